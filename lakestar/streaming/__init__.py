@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reproduced warehouse is a full-refresh batch build: it has no watermark,
+window, state or late-data logic, so this package deliberately holds no
+operator. Incremental loading is not part of the modelled behaviour (every
+build drops and recreates the gold tables), see README.
+"""
