@@ -134,3 +134,243 @@ register("table_preview", with_pipeline("""
 SELECT * FROM g_fact ORDER BY sales_key LIMIT 100"""))(
     lambda spark, sf_dir: marts.table_preview(gold_tables(spark, sf_dir), "Fact_Sales", 100)
 )
+
+# --- B/H: silver dimensions and expressions -------------------------------------
+
+from lakestar import schemas  # noqa: E402
+from lakestar.functions.keys import stable_key  # noqa: E402
+from lakestar.functions.text import py_strip, title_case, txn_id  # noqa: E402
+from lakestar.oracle import STABLE_KEY, STRIP, TITLE, q  # noqa: E402
+from lakestar.operators import quality  # noqa: E402
+from lakestar.operators.dedup import keep_first  # noqa: E402
+from lakestar.plans import silver  # noqa: E402
+from lakestar.plans.warehouse import bronze_from_landing, numbered_ledger, rebuild_comparison  # noqa: E402
+from lakestar.sources import readers, testmap  # noqa: E402
+
+
+def bronze(spark: SparkSession, sf_dir: str):
+    return bronze_from_landing(spark, testdata_warehouse(spark, sf_dir).landing)
+
+
+register("dim_customers", with_pipeline("SELECT * FROM g_dim_customers"))(
+    lambda spark, sf_dir: silver.dim_customers(bronze(spark, sf_dir).customers)
+)
+register("dim_products", with_pipeline("SELECT * FROM g_dim_products"))(
+    lambda spark, sf_dir: silver.dim_products(bronze(spark, sf_dir).products)
+)
+register("dim_stores", with_pipeline("SELECT * FROM g_dim_stores"))(
+    lambda spark, sf_dir: silver.dim_stores(bronze(spark, sf_dir).stores)
+)
+register("dim_time", with_pipeline("SELECT * FROM g_dim_time"))(
+    lambda spark, sf_dir: silver.dim_time(bronze(spark, sf_dir).sales)
+)
+
+for _t in ("dim_customers", "dim_products", "dim_stores", "dim_time", "fact_sales"):
+    register(f"gold_{_t}", with_pipeline(f"SELECT * FROM g_{_t.replace('fact_sales', 'fact')}"))(
+        (lambda t: lambda spark, sf_dir: gold_tables(spark, sf_dir)[t].select(*schemas.GOLD_COLUMNS[t]))(_t)
+    )
+
+register("clean_customers", with_pipeline(f"""
+SELECT customer_id, {STRIP('customer_name')} AS customer_name, {STRIP('email')} AS email,
+       {STRIP('country')} AS country FROM bz_customers"""))(
+    lambda spark, sf_dir: bronze(spark, sf_dir).customers.select(
+        "customer_id",
+        py_strip(F.col("customer_name")).alias("customer_name"),
+        py_strip(F.col("email")).alias("email"),
+        py_strip(F.col("country")).alias("country"),
+    )
+)
+
+register("title_case", f"""
+SELECT conv_id, turn, {TITLE('text')} AS titled FROM conversations""")(
+    lambda spark, sf_dir: testmap.table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", title_case(F.col("text")).alias("titled")
+    )
+)
+
+register("stable_product_key", with_pipeline(f"""
+SELECT DISTINCT "Product" AS product_name,
+       {STABLE_KEY('coalesce("Product", ' + q(silver.NULL_PRODUCT_TEXT) + ')', '(SELECT greatest(count(*), 1) FROM g_dim_products)')} AS product_key
+FROM bz_sales"""))(
+    lambda spark, sf_dir: bronze(spark, sf_dir).sales.select(F.col("Product").alias("product_name")).distinct().select(
+        "product_name",
+        stable_key(
+            F.coalesce(F.col("product_name"), F.lit(silver.NULL_PRODUCT_TEXT)),
+            max(testdata_warehouse(spark, sf_dir).counts["dim_products"], 1),
+        ).alias("product_key"),
+    )
+)
+
+register("country_to_customer", with_pipeline("SELECT country, customer_key FROM g_cust_lookup"))(
+    lambda spark, sf_dir: silver.country_to_customer(gold_tables(spark, sf_dir)["dim_customers"])
+)
+
+
+def _ledger_countries(spark, sf_dir):
+    s = bronze(spark, sf_dir).sales
+    return s.select(title_case(py_strip(F.col("Country"))).alias("country")).where(F.col("country").isNotNull()).distinct()
+
+
+register("country_to_store", with_pipeline(f"""
+SELECT c.ctry AS country, coalesce(s.store_key, {silver.DEFAULT_STORE_KEY})::BIGINT AS store_key
+FROM (SELECT DISTINCT ctry FROM g_ledger WHERE ctry IS NOT NULL) c LEFT JOIN g_store_lookup s ON c.ctry = s.country"""))(
+    lambda spark, sf_dir: _ledger_countries(spark, sf_dir)
+    .join(silver.country_to_store(gold_tables(spark, sf_dir)["dim_stores"]), "country", "left")
+    .select("country", F.coalesce(F.col("store_key"), F.lit(silver.DEFAULT_STORE_KEY)).cast("long").alias("store_key"))
+)
+
+_LEDGER_KEYS_SQL = ", ".join(f"l.{c}" for c in testmap.LEDGER_ORDER)
+_LEDGER_KEYS = list(testmap.LEDGER_ORDER)
+
+register("fact_measures", with_pipeline(f"""
+SELECT {_LEDGER_KEYS_SQL}, c.quantity, c.unit_price, m.total_revenue, a.total_profit
+FROM g_ledger l JOIN g_conformed c ON l.seq = c.seq JOIN g_measured m ON m.seq = l.seq JOIN g_all a ON a.seq = l.seq"""))(
+    lambda spark, sf_dir: numbered_ledger(spark, sf_dir).select(
+        *_LEDGER_KEYS, "quantity", "unit_price", "total_revenue", "total_profit"
+    )
+)
+
+register("fill_defaults", with_pipeline("""
+SELECT filled_quantity, filled_price, default_store, COUNT(*) AS ledger_rows, CAST(SUM(quantity) AS BIGINT) AS quantity
+FROM g_conformed GROUP BY ALL"""))(
+    lambda spark, sf_dir: numbered_ledger(spark, sf_dir).groupBy(
+        F.col("_filled_qty").alias("filled_quantity"),
+        F.col("_filled_price").alias("filled_price"),
+        F.col("_default_store").alias("default_store"),
+    ).agg(F.count(F.lit(1)).alias("ledger_rows"), F.sum("quantity").alias("quantity"))
+)
+
+
+def _prune_reason():
+    return F.when(F.col("customer_key").isNull(), F.lit("no_customer")).when(F.col("time_key").isNull(), F.lit("no_date"))
+
+
+register("orphan_prune", with_pipeline("""
+SELECT transaction_id, CASE WHEN customer_key IS NULL THEN 'no_customer' ELSE 'no_date' END AS reason
+FROM g_all WHERE customer_key IS NULL OR time_key IS NULL"""))(
+    lambda spark, sf_dir: numbered_ledger(spark, sf_dir)
+    .where(~silver.keep_condition())
+    .select(txn_id(F.col("_txn")).alias("transaction_id"), _prune_reason().alias("reason"))
+)
+
+
+def _transaction_ids(spark, sf_dir):
+    from lakestar.operators.numbering import number_rows
+
+    led = numbered_ledger(spark, sf_dir)
+    kept = number_rows(led, "sales_key", where=silver.keep_condition())
+    pruned = led.where(~silver.keep_condition()).withColumn("sales_key", F.lit(None).cast("long"))
+    cols = [txn_id(F.col("_txn")).alias("transaction_id"), "sales_key", *_LEDGER_KEYS]
+    return kept.select(*cols).unionByName(pruned.select(*cols))
+
+
+register("transaction_ids", with_pipeline(f"""
+SELECT a.transaction_id, f.sales_key, {_LEDGER_KEYS_SQL}
+FROM g_all a JOIN g_ledger l ON a.seq = l.seq LEFT JOIN g_fact f ON f.transaction_id = a.transaction_id"""))(
+    _transaction_ids
+)
+
+
+def _dedup_first(spark, sf_dir):
+    c = bronze(spark, sf_dir).customers
+    parity = F.pmod(F.col("customer_id"), F.lit(2))
+    originals = c.withColumn("_rank", parity)
+    copies = c.withColumn("customer_name", F.concat(F.col("customer_name"), F.lit(" (copy)"))).withColumn(
+        "_rank", F.lit(1) - parity
+    )
+    return keep_first(originals.unionByName(copies), ["customer_id"], ["_rank"]).drop("_rank")
+
+
+register("dedup_first", with_pipeline("""
+SELECT customer_id, CASE WHEN customer_id % 2 = 0 THEN customer_name ELSE customer_name || ' (copy)' END AS customer_name,
+       email, country, membership_tier FROM bz_customers"""))(_dedup_first)
+
+# --- A: sources -------------------------------------------------------------------
+
+register("src_customers", with_pipeline("SELECT * FROM bz_customers"))(
+    lambda spark, sf_dir: bronze(spark, sf_dir).customers
+)
+register("src_stores", with_pipeline("SELECT * FROM bz_stores"))(lambda spark, sf_dir: bronze(spark, sf_dir).stores)
+register("src_products", with_pipeline("SELECT * FROM bz_products"))(
+    lambda spark, sf_dir: bronze(spark, sf_dir).products
+)
+register("src_sales", with_pipeline("SELECT * FROM bz_sales"))(lambda spark, sf_dir: bronze(spark, sf_dir).sales)
+
+_EXTRACT_SQL = f"""
+bz_extract AS (
+  SELECT c.c_custkey::BIGINT AS "Row ID",
+         'Ab ' || (c.c_custkey % 7)::VARCHAR || ' Cd' || (c.c_custkey % 100)::VARCHAR AS "Customer Name",
+         list_extract([{', '.join(q(s) for s in testmap.EXTRACT_SEGMENTS)}], (c.c_custkey % {len(testmap.EXTRACT_SEGMENTS)}) + 1) AS "Customer Segment",
+         n.n_name || '-' || (c.c_custkey % 5)::VARCHAR AS "City", r.r_name AS "State"
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+
+
+def _extract(spark, sf_dir):
+    return readers.read_orders_extract(
+        spark, testdata_warehouse(spark, sf_dir).landing["orders_extract"], testmap.EXTRACT_POSITION
+    )
+
+
+register("src_orders_extract", f"WITH {_EXTRACT_SQL.strip()}\nSELECT * FROM bz_extract")(_extract)
+
+# --- L2: registry -----------------------------------------------------------------
+
+from lakestar.plans import registry as reg  # noqa: E402
+
+_COUNTRIES = "[" + ", ".join(q(c) for c in reg.COUNTRIES) + "]"
+_TIER_CASE = "CASE seg " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in reg.SEGMENT_TIERS.items()) + f" ELSE {q(reg.DEFAULT_TIER)} END"
+_WS_SPLIT = "[\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+"
+_REGISTRY_CTES = f"""{_EXTRACT_SQL.strip()},
+r_uniq AS (
+  SELECT "Row ID" AS pos, {STRIP('coalesce("Customer Name", ' + q(reg.MISSING_TEXT) + ')')} AS nm,
+         {STRIP('coalesce("Customer Segment", ' + q(reg.MISSING_TEXT) + ')')} AS seg
+  FROM bz_extract QUALIFY row_number() OVER (PARTITION BY "Customer Name" ORDER BY "Row ID") = 1),
+r_tok AS (
+  SELECT *, string_split_regex(nm, '{_WS_SPLIT}') AS parts FROM r_uniq),
+r_named AS (
+  SELECT pos, nm, seg,
+         CASE WHEN nm = '' THEN {q(reg.DEFAULT_FIRST)} ELSE lower(parts[1]) END AS fst,
+         CASE WHEN nm <> '' AND len(parts) > 1 THEN lower(parts[-1]) ELSE {q(reg.DEFAULT_LAST)} END AS lst
+  FROM r_tok),
+r_emails AS (
+  SELECT pos, nm AS customer_name, fst || '.' || lst || {q(reg.EMAIL_DOMAIN)} AS base_email,
+         row_number() OVER (PARTITION BY fst || '.' || lst ORDER BY pos) > 1 AS suffixed, fst, lst, seg
+  FROM r_named),
+r_customers AS (
+  SELECT row_number() OVER (ORDER BY pos) AS customer_id, customer_name,
+         CASE WHEN suffixed THEN fst || '.' || lst || pos::VARCHAR || {q(reg.EMAIL_DOMAIN)} ELSE base_email END AS email,
+         list_extract({_COUNTRIES}, (pos % {len(reg.COUNTRIES)}) + 1) AS country,
+         {_TIER_CASE} AS membership_tier, pos, base_email, suffixed
+  FROM r_emails),
+r_stores AS (
+  SELECT row_number() OVER (ORDER BY pos) AS store_id,
+         {q(reg.STORE_PREFIX)} || {STRIP('"City"')} AS store_name, {STRIP('"City"')} AS city, {STRIP('"State"')} AS state,
+         list_extract({_COUNTRIES}, (pos % {len(reg.COUNTRIES)}) + 1) AS country
+  FROM (SELECT "Row ID" AS pos, "City", "State" FROM bz_extract
+        QUALIFY row_number() OVER (PARTITION BY "City", "State" ORDER BY "Row ID") = 1
+        ORDER BY pos LIMIT {reg.MAX_STORES}))"""
+
+
+def _registry(spark, sf_dir):
+    return reg.build_registry(_extract(spark, sf_dir), testmap.EXTRACT_POSITION)
+
+
+register("registry_customers", f"""WITH {_REGISTRY_CTES}
+SELECT customer_id, customer_name, email, country, membership_tier FROM r_customers""")(
+    lambda spark, sf_dir: _registry(spark, sf_dir).customers
+)
+register("registry_stores", f"WITH {_REGISTRY_CTES}\nSELECT * FROM r_stores")(
+    lambda spark, sf_dir: _registry(spark, sf_dir).stores
+)
+register("registry_emails", f"""WITH {_REGISTRY_CTES}
+SELECT pos, customer_name, base_email, email, suffixed FROM r_customers""")(
+    lambda spark, sf_dir: _registry(spark, sf_dir).emails.select("pos", "customer_name", "base_email", "email", "suffixed")
+)
+register("segment_tier", f"""WITH {_EXTRACT_SQL.strip()}
+SELECT "Row ID", "Customer Segment",
+       CASE {STRIP('"Customer Segment"')} {' '.join(f'WHEN {q(k)} THEN {q(v)}' for k, v in reg.SEGMENT_TIERS.items())} ELSE {q(reg.DEFAULT_TIER)} END AS membership_tier
+FROM bz_extract""")(
+    lambda spark, sf_dir: _extract(spark, sf_dir).select(
+        "Row ID", "Customer Segment", reg.segment_tier(py_strip(F.col("Customer Segment"))).alias("membership_tier")
+    )
+)

@@ -15,6 +15,25 @@ _STRIP_RE = f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$"
 _TITLE_SPLIT_RE = "(?<=[^\\p{Lu}\\p{Ll}\\p{Lt}])"
 
 
+def _title_exceptions() -> dict[str, str]:
+    """Lower-case characters whose title case is not their upper case (e.g.
+    "ß" -> "Ss", digraphs, ligatures), derived from Python's Unicode tables."""
+    out = {}
+    for i in range(0x110000):
+        c = chr(i)
+        if c == c.lower() and c.title() != c.upper():
+            out[c] = c.title()
+    return out
+
+
+TITLE_EXCEPTIONS = _title_exceptions()
+
+
+def _title_first(ch: Column) -> Column:
+    m = F.create_map(*[F.lit(x) for kv in TITLE_EXCEPTIONS.items() for x in kv])
+    return F.coalesce(F.element_at(m, ch), F.upper(ch))
+
+
 def py_strip(col: Column) -> Column:
     """``str.strip()``: Spark ``trim`` only removes U+0020."""
     return F.regexp_replace(col, _STRIP_RE, "")
@@ -26,7 +45,7 @@ def title_case(col: Column) -> Column:
     ``men's`` would stay ``Men's`` instead of ``Men'S``."""
     pieces = F.split(F.lower(col), _TITLE_SPLIT_RE)
     titled = F.transform(
-        pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 1 << 30))
+        pieces, lambda p: F.concat(_title_first(F.substring(p, 1, 1)), F.substring(p, 2, 1 << 30))
     )
     return F.when(col.isNotNull(), F.concat_ws("", titled))
 

@@ -6,6 +6,7 @@ the fixed values (keywords, mappings, ratios) are shared."""
 from __future__ import annotations
 
 from lakestar.functions import guard
+from lakestar.functions.text import TITLE_EXCEPTIONS
 from lakestar.plans import silver
 from lakestar.sources import testmap
 
@@ -26,9 +27,10 @@ def STRIP(x: str) -> str:
 
 def TITLE(x: str) -> str:
     cased = "\\p{Lu}\\p{Ll}\\p{Lt}"
+    first = "CASE lower(w[1]) " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in TITLE_EXCEPTIONS.items()) + " ELSE upper(w[1]) END"
     return (
         f"CASE WHEN ({x}) IS NULL THEN NULL ELSE array_to_string(list_transform("
-        f"regexp_extract_all({x}, '[{cased}]+|[^{cased}]+'), lambda w: upper(w[1]) || lower(w[2:])), '') END"
+        f"regexp_extract_all({x}, '[{cased}]+|[^{cased}]+'), lambda w: {first} || lower(w[2:])), '') END"
     )
 
 

@@ -19,7 +19,7 @@ from lakestar.plans import gold, marts
 from lakestar.session import work_dir
 from lakestar.sources import readers, testmap
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 _CACHE: dict[tuple[str, str], "TestWarehouse"] = {}
 
 
@@ -106,3 +106,25 @@ def rebuild_comparison(spark: SparkSession, sf_dir: str, num_partitions: int = 3
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
+
+
+_LEDGER_CACHE: dict[tuple[str, str], DataFrame] = {}
+
+
+def numbered_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conformed ledger row (pruned ones included) with its transaction
+    sequence, staged once per application; used by the audit queries."""
+    from lakestar.plans import silver
+    from lakestar.operators.numbering import number_rows
+
+    key = _key(spark, sf_dir)
+    with _LOCK:
+        if key not in _LEDGER_CACHE:
+            wh = testdata_warehouse(spark, sf_dir)
+            t = wh.tables(spark)
+            bronze = bronze_from_landing(spark, wh.landing)
+            n_products = max(wh.counts["dim_products"], 1)
+            conformed = silver.conform_sales(bronze.sales, t["dim_customers"], t["dim_stores"], n_products, bronze.order_cols)
+            staged = silver.stage_sales(conformed, bronze.order_cols)
+            _LEDGER_CACHE[key] = number_rows(staged, "_txn")
+        return _LEDGER_CACHE[key]
