@@ -374,3 +374,169 @@ FROM bz_extract""")(
         "Row ID", "Customer Segment", reg.segment_tier(py_strip(F.col("Customer Segment"))).alias("membership_tier")
     )
 )
+
+# --- A13/A14: build audit -------------------------------------------------------
+
+_STAGE_SQL = {
+    "bronze_customers": "SELECT count(*) FROM bz_customers",
+    "dim_customers": "SELECT count(*) FROM g_dim_customers",
+    "bronze_products": "SELECT count(*) FROM bz_products",
+    "dim_products": "SELECT count(*) FROM g_dim_products",
+    "bronze_stores": "SELECT count(*) FROM bz_stores",
+    "dim_stores": "SELECT count(*) FROM g_dim_stores",
+    "dim_time": "SELECT count(*) FROM g_dim_time",
+    "bronze_ledger": "SELECT count(*) FROM bz_sales",
+    "pruned_rows": "SELECT count(*) FROM g_conformed WHERE customer_key IS NULL OR time_key IS NULL",
+    "no_customer": "SELECT count(*) FROM g_conformed WHERE customer_key IS NULL",
+    "no_date": "SELECT count(*) FROM g_conformed WHERE time_key IS NULL",
+    "default_store": "SELECT count(*) FROM g_conformed WHERE default_store",
+    "filled_quantity": "SELECT count(*) FROM g_conformed WHERE filled_quantity",
+    "filled_price": "SELECT count(*) FROM g_conformed WHERE filled_price",
+    "fact_sales": "SELECT count(*) FROM g_fact",
+}
+register("stage_row_counts", with_pipeline(
+    "\nUNION ALL\n".join(f"SELECT {q(k)} AS stage, ({v})::BIGINT AS rows" for k, v in _STAGE_SQL.items())
+))(lambda spark, sf_dir: testdata_warehouse(spark, sf_dir).stage_counts(spark))
+
+_GOLD_CTE = {t: f"g_{t}" if t != "fact_sales" else "g_fact" for t in schemas.GOLD_COLUMNS}
+
+register("rebuild_is_identical", with_pipeline("\nUNION ALL\n".join(
+    f"SELECT {q(t)} AS table_name, count(*)::BIGINT AS rows, 0::BIGINT AS differing_rows FROM {c}"
+    for t, c in sorted(_GOLD_CTE.items())
+)))(lambda spark, sf_dir: rebuild_comparison(spark, sf_dir))
+
+# --- J: constraint reports --------------------------------------------------------
+
+
+def _pk_sql(name: str, cte: str, key: str) -> str:
+    return (
+        f"SELECT {q(name)} AS table_name, {q(key)} AS key_column, "
+        f"count(*) FILTER (WHERE n > 1 OR k IS NULL) AS duplicate_keys, "
+        f"coalesce(sum(n - 1) FILTER (WHERE n > 1), 0)::BIGINT AS surplus_rows "
+        f"FROM (SELECT {key} AS k, count(*) AS n FROM {cte} GROUP BY {key})"
+    )
+
+
+register("pk_violations", f"WITH {__import__('lakestar.oracle', fromlist=['pipeline_ctes']).pipeline_ctes()},\n{_REGISTRY_CTES}\n" + "\nUNION ALL\n".join(
+    [_pk_sql(t, _GOLD_CTE[t], schemas.GOLD_KEYS[t]) for t in schemas.GOLD_COLUMNS]
+    + [_pk_sql("registry_customers", "r_customers", "email")]
+))(
+    lambda spark, sf_dir: quality.key_violations(
+        [(t, df, schemas.GOLD_KEYS[t]) for t, df in gold_tables(spark, sf_dir).items()]
+        + [("registry_customers", _registry(spark, sf_dir).customers, "email")]
+    )
+)
+
+register("null_violations", with_pipeline("\nUNION ALL\n".join(
+    f"SELECT {q(t)} AS table_name, {q(c)} AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_rows FROM {_GOLD_CTE[t]}"
+    for t in schemas.GOLD_COLUMNS for c in schemas.GOLD_COLUMNS[t]
+)))(
+    lambda spark, sf_dir: quality.null_violations(
+        [(t, df, schemas.GOLD_COLUMNS[t]) for t, df in gold_tables(spark, sf_dir).items()]
+    )
+)
+
+register("fk_violations", with_pipeline("\nUNION ALL\n".join(
+    f"SELECT {q(fk)} AS fk_column, {q(dim)} AS ref_table, count(DISTINCT f.{fk}) AS orphan_keys, count(*) AS orphan_rows "
+    f"FROM g_fact f WHERE NOT EXISTS (SELECT 1 FROM {_GOLD_CTE[dim]} d WHERE d.{fk} = f.{fk})"
+    for fk, dim in schemas.FACT_FOREIGN_KEYS
+)))(
+    lambda spark, sf_dir: (lambda t: quality.fk_violations(
+        t["fact_sales"], [(fk, t[dim], dim) for fk, dim in schemas.FACT_FOREIGN_KEYS]
+    ))(gold_tables(spark, sf_dir))
+)
+
+_LEN_SOURCES = {"customers": "bz_customers", "stores": "bz_stores"}
+register("length_violations", with_pipeline("\nUNION ALL\n".join(
+    f"SELECT {q(t)} AS table_name, {q(c)} AS column_name, {n} AS max_length, "
+    f"count(*) FILTER (WHERE length({c}) > {n}) AS violations FROM {_LEN_SOURCES[t]}"
+    for t, limits in quality.REGISTRY_MAX_LENGTHS.items() for c, n in limits.items()
+)))(
+    lambda spark, sf_dir: (lambda b: quality.length_violations(
+        [("customers", b.customers, quality.REGISTRY_MAX_LENGTHS["customers"]),
+         ("stores", b.stores, quality.REGISTRY_MAX_LENGTHS["stores"])]
+    ))(bronze(spark, sf_dir))
+)
+
+# --- K: text operators over tables of statements / questions / replies ----------
+
+from lakestar.functions import guard  # noqa: E402
+from lakestar.oracle import WS  # noqa: E402
+from lakestar.plans import assistant  # noqa: E402
+
+
+def _text_source_sql(templates: list[str]) -> str:
+    arr = "[" + ", ".join(q(t) for t in templates) + "]"
+    return (
+        f"SELECT 'orders' AS src, o_orderkey::BIGINT AS k1, 0::BIGINT AS k2, "
+        f"replace(list_extract({arr}, (o_orderkey % {len(templates)})::BIGINT + 1), '{{k}}', o_orderkey::VARCHAR) AS text "
+        f"FROM orders UNION ALL SELECT 'conversations', conv_id::BIGINT, turn::BIGINT, text FROM conversations"
+    )
+
+
+_W = "[\\p{L}\\p{N}_]"
+_W_NOT = "[^\\p{L}\\p{N}_]"
+_GUARD_CASE = (
+    "CASE "
+    + " ".join(
+        f"WHEN regexp_matches(u, '(^|{_W_NOT}){kw}($|{_W_NOT})') THEN {q(guard.KEYWORD_MESSAGE.format(kw=kw))}"
+        for kw in guard.FORBIDDEN_KEYWORDS
+    )
+    + " WHEN NOT (" + " OR ".join(f"starts_with(u, {q(p)})" for p in guard.READ_ONLY_PREFIXES) + ")"
+    + f" THEN {q(guard.PREFIX_MESSAGE)} ELSE '' END"
+)
+
+register("sql_guard", f"""
+WITH stm AS ({_text_source_sql(testmap.STATEMENT_TEMPLATES)}),
+u AS (SELECT src, k1, k2, upper({STRIP('text')}) AS u FROM stm),
+g AS (SELECT src, k1, k2, {_GUARD_CASE} AS reason FROM u)
+SELECT src, k1, k2, reason, reason = '' AS is_safe FROM g""")(
+    lambda spark, sf_dir: guard.with_sql_guard(testmap.statements(spark, sf_dir), "text").select(
+        "src", "k1", "k2", "reason", "is_safe"
+    )
+)
+
+_INTENT_CASE = (
+    "CASE "
+    + " ".join(
+        "WHEN " + " OR ".join(f"contains(p, {q(w)})" for w in words) + f" THEN {q(name)}"
+        for name, words in guard.INTENT_KEYWORDS
+    )
+    + f" ELSE {q(guard.DEFAULT_INTENT)} END"
+)
+
+register("route_questions", f"""
+WITH qs AS ({_text_source_sql(testmap.QUESTION_TEMPLATES)})
+SELECT src, k1, k2, {_INTENT_CASE} AS intent FROM (SELECT src, k1, k2, lower(text) AS p FROM qs)""")(
+    lambda spark, sf_dir: assistant.answer_batch(
+        testmap.questions(spark, sf_dir), "text", gold_tables(spark, sf_dir)
+    ).routed.select("src", "k1", "k2", "intent")
+)
+
+_FENCE = f"(?s){guard.FENCE_OPEN}{WS}*(.*?){WS}*{guard.FENCE_CLOSE}"
+register("extract_sql_block", f"""
+WITH rp AS ({_text_source_sql(testmap.REPLY_TEMPLATES)}),
+c AS (SELECT src, k1, k2, {STRIP('text')} AS c FROM rp),
+p AS (SELECT src, k1, k2, CASE WHEN regexp_matches(c, {q(_FENCE)}) THEN {STRIP(f"regexp_extract(c, {q(_FENCE)}, 1)")} ELSE c END AS picked FROM c)
+SELECT src, k1, k2, {STRIP(f"regexp_replace(picked, {q(guard.FENCE_OPEN + '|' + guard.FENCE_CLOSE)}, '', 'g')")} AS sql FROM p""")(
+    lambda spark, sf_dir: testmap.replies(spark, sf_dir).select(
+        "src", "k1", "k2", guard.extract_sql_block(F.col("text")).alias("sql")
+    )
+)
+
+SANDBOX_DEFAULT_SQL = (
+    "SELECT f.*, p.product_name, p.category, p.unit_price AS product_unit_price, p.unit_cost "
+    "FROM Fact_Sales f JOIN Dim_Products p ON f.product_key = p.product_key ORDER BY f.sales_key LIMIT 10"
+)
+
+
+def _sandbox_default(spark, sf_dir):
+    res = assistant.run_sandbox(spark, gold_tables(spark, sf_dir), SANDBOX_DEFAULT_SQL)
+    if not res.success:
+        raise RuntimeError(res.error)
+    return res.data
+
+
+register("sandbox_default", with_pipeline(
+    SANDBOX_DEFAULT_SQL.replace("Fact_Sales", "g_fact").replace("Dim_Products", "g_dim_products")
+))(_sandbox_default)
