@@ -29,9 +29,16 @@ def _title_exceptions() -> dict[str, str]:
 TITLE_EXCEPTIONS = _title_exceptions()
 
 
+_FIRST_EXCEPTION = min(ord(c) for c in TITLE_EXCEPTIONS)
+
+
 def _title_first(ch: Column) -> Column:
+    # the exception map is only consulted for code points at or above the
+    # smallest exception (U+00DF); map lookups scan their keys
     m = F.create_map(*[F.lit(x) for kv in TITLE_EXCEPTIONS.items() for x in kv])
-    return F.coalesce(F.element_at(m, ch), F.upper(ch))
+    return F.when(F.ascii(ch) < F.lit(_FIRST_EXCEPTION), F.upper(ch)).otherwise(
+        F.coalesce(F.element_at(m, ch), F.upper(ch))
+    )
 
 
 def py_strip(col: Column) -> Column:

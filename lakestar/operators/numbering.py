@@ -5,14 +5,16 @@ one task. Instead:
 
 1. ``stage_ordered`` range-partitions on the order columns, sorts within each
    partition and checkpoints the result into the session's checkpoint dir, so
-   both passes below (and any recomputation after an executor loss) see the
+   every later pass (and any recomputation after an executor loss) sees the
    same partitions in the same order;
-2. ``number_rows`` takes the in-partition position from
-   ``monotonically_increasing_id`` (partition index in the upper bits), counts
-   rows per partition (one row per partition), turns the counts into prefix
-   offsets with a window over that tiny table, and adds the offset back with a
-   broadcast join on the partition id. The broadcast side has exactly one row
-   per partition, so its size is bounded by the partition count.
+2. ``partition_counts`` counts rows per staged partition (optionally also rows
+   matching conditions) in one aggregate pass: one row per partition;
+3. ``partition_offsets`` turns those counts into prefix offsets with a window
+   over that tiny table;
+4. ``number_rows`` adds in-partition position (``monotonically_increasing_id``
+   minus the partition bits) and the partition's offset, via a broadcast join
+   on the partition id. The broadcast side has exactly one row per partition,
+   so its size is bounded by the partition count.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from lakestar.session import checkpoint_dir
 
-_PID = "__pid"
+PID = "__pid"
 _POS = "__pos"
 
 
@@ -35,19 +37,59 @@ def stage_ordered(df: DataFrame, order_cols: list[str], num_partitions: int | No
     return staged.checkpoint(eager=True)
 
 
-def number_rows(staged: DataFrame, out_col: str, where: Column | None = None, start: int = 1) -> DataFrame:
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def target_partitions(df: DataFrame, bytes_per_partition: int = TARGET_PARTITION_BYTES) -> int:
+    """Partition count for a full shuffle of ``df``: the optimizer's size
+    estimate (file sizes for scans; no job runs) over the target partition
+    size, and at least ``spark.sql.shuffle.partitions``."""
+    spark = df.sparkSession
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate unavailable (e.g. remote session)
+        return floor
+    return max(floor, -(-size // bytes_per_partition))
+
+
+def local_position() -> Column:
+    """0-based position of the row within its partition, in arrival order."""
+    return F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
+
+
+def partition_counts(staged: DataFrame, conditions: dict[str, Column] | None = None) -> DataFrame:
+    """(__pid, n[, n_<name> ...]): rows per partition, and rows matching each
+    condition, in one pass."""
+    conditions = conditions or {}
+    return staged.groupBy(F.spark_partition_id().alias(PID)).agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(f"n_{k}") for k, c in conditions.items()]
+    )
+
+
+def partition_offsets(counts: DataFrame, count_col: str = "n") -> DataFrame:
+    """(__pid, __off): rows in all earlier partitions."""
+    before = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(PID, F.coalesce(F.sum(count_col).over(before), F.lit(0)).cast("long").alias("__off"))
+
+
+def number_rows(
+    staged: DataFrame,
+    out_col: str,
+    where: Column | None = None,
+    start: int = 1,
+    offsets: DataFrame | None = None,
+) -> DataFrame:
     """Append ``out_col`` = position (from ``start``) in partition/row order.
 
     ``staged`` must come from ``stage_ordered`` (or be a narrow transformation
     of it). With ``where`` only the matching rows are kept and numbered.
+    ``offsets`` (from ``partition_offsets`` over the matching rows) saves the
+    counting pass when the caller already has the counts.
     """
     rows = staged if where is None else staged.where(where)
-    located = rows.withColumn(_PID, F.spark_partition_id()).withColumn(
-        _POS,
-        F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33),
-    )
-    counts = located.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PID, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    numbered = located.join(F.broadcast(offsets), _PID, "inner")
-    return numbered.withColumn(out_col, F.col(_POS) + F.col("__off") + F.lit(start)).drop(_PID, _POS, "__off")
+    located = rows.withColumn(PID, F.spark_partition_id()).withColumn(_POS, local_position())
+    if offsets is None:
+        offsets = partition_offsets(partition_counts(rows))
+    numbered = located.join(F.broadcast(offsets), PID, "inner")
+    return numbered.withColumn(out_col, F.col(_POS) + F.col("__off") + F.lit(start)).drop(PID, _POS, "__off")

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.operators.lookup import broadcast_if_small
+from lakestar.operators.lookup import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
 
 # ---------------------------------------------------------------------------
 # Maximum text lengths declared by the registry DDL.
@@ -52,16 +52,28 @@ def null_violations(tables: list[tuple[str, DataFrame, list[str]]]) -> DataFrame
     return _union(frames)
 
 
-def fk_violations(fact: DataFrame, refs: list[tuple[str, DataFrame, str]]) -> DataFrame:
+def fk_violations(
+    fact: DataFrame,
+    refs: list[tuple[str, DataFrame, str]],
+    known_rows: dict[str, int] | None = None,
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+) -> DataFrame:
     """Per foreign key: fact rows whose key has no match in the dimension.
 
     The fact is first reduced to (key, rows) with a map-side combined
     aggregate, so the anti join sees one row per distinct key, not the fact.
+    The dimension's key set is broadcast only when its row count (given in
+    ``known_rows`` or measured) is within ``max_broadcast_rows``.
     """
     frames = []
     for fk, dim, dim_name in refs:
         used = fact.groupBy(F.col(fk).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-        keys, _ = broadcast_if_small(dim.select(F.col(fk).alias("k")).distinct())
+        dim_keys = dim.select(F.col(fk).alias("k")).distinct()
+        if known_rows and dim_name in known_rows:
+            small = known_rows[dim_name] <= max_broadcast_rows
+            keys = F.broadcast(dim_keys) if small else dim_keys
+        else:
+            keys, _ = broadcast_if_small(dim_keys, max_broadcast_rows)
         orphans = used.join(keys, "k", "left_anti")
         frames.append(
             orphans.agg(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestar import schemas
@@ -11,7 +11,7 @@ from lakestar.functions.numeric import half_even_round
 from lakestar.functions.text import py_strip, title_case, txn_id
 from lakestar.operators.dedup import first_per_key, keep_first
 from lakestar.operators.lookup import lookup_join
-from lakestar.operators.numbering import number_rows, stage_ordered
+from lakestar.operators.numbering import PID, local_position, partition_offsets, stage_ordered, target_partitions
 
 # ---------------------------------------------------------------------------
 # Fixed values of the conformance rules.
@@ -134,38 +134,89 @@ def conform_sales(
     )
 
 
-def ledger_observation(conformed: DataFrame) -> tuple[DataFrame, Observation]:
-    obs = Observation("ledger")
-    observed = conformed.observe(
-        obs,
-        F.count(F.lit(1)).alias("ledger_rows"),
-        F.count_if(F.col("customer_key").isNull()).alias("no_customer"),
-        F.count_if(F.col("time_key").isNull()).alias("no_date"),
-        F.count_if(F.col("customer_key").isNull() | F.col("time_key").isNull()).alias("pruned_rows"),
-        F.count_if(F.col("_default_store")).alias("default_store"),
-        F.count_if(F.col("_filled_qty")).alias("filled_quantity"),
-        F.count_if(F.col("_filled_price")).alias("filled_price"),
+def ledger_summary(staged: DataFrame) -> DataFrame:
+    """One pass over the staged ledger with GROUPING SETS ((partition), (date)):
+    per staged partition the row count, kept rows and the pruning/default
+    counters, and the distinct ledger dates. Its size is partitions + distinct
+    dates, independent of the ledger's row count; it feeds the numbering
+    offsets, the calendar and the run counters."""
+    keep = keep_condition()
+    pid = F.spark_partition_id().alias(PID)
+    staged = staged.select(pid, F.col("_date").alias("d"), *[
+        c.alias(n) for n, c in {
+            "_keep": keep,
+            "_no_customer": F.col("customer_key").isNull(),
+            "_no_date": F.col("time_key").isNull(),
+            "_default_store": F.col("_default_store"),
+            "_filled_qty": F.col("_filled_qty"),
+            "_filled_price": F.col("_filled_price"),
+        }.items()
+    ])
+    return staged.groupingSets([[PID], ["d"]], PID, "d").agg(
+        F.grouping_id().alias("level"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_if("_keep").alias("n_kept"),
+        F.count_if("_no_customer").alias("no_customer"),
+        F.count_if("_no_date").alias("no_date"),
+        F.count_if(~F.col("_keep")).alias("pruned_rows"),
+        F.count_if("_default_store").alias("default_store"),
+        F.count_if("_filled_qty").alias("filled_quantity"),
+        F.count_if("_filled_price").alias("filled_price"),
     )
-    return observed, obs
+
+
+def summary_partitions(summary: DataFrame) -> DataFrame:
+    """Per-partition rows of the ledger summary."""
+    return summary.where(F.col("level") == 1).drop("d", "level")
+
+
+def summary_dates(summary: DataFrame) -> DataFrame:
+    return summary.where(F.col("level") == 2).select("d")
+
+
+SUMMARY_COUNTERS = ["no_customer", "no_date", "pruned_rows", "default_store", "filled_quantity", "filled_price"]
 
 
 def keep_condition():
     return F.col("customer_key").isNotNull() & F.col("product_key").isNotNull() & F.col("time_key").isNotNull()
 
 
-def stage_sales(conformed: DataFrame, order_cols: list[str], num_partitions: int | None = None) -> DataFrame:
-    """Range-partition + sort the conformed ledger once and cut lineage."""
+def stage_sales(
+    conformed: DataFrame, order_cols: list[str], num_partitions: int | None = None, size_from: DataFrame | None = None
+) -> DataFrame:
+    """Range-partition + sort the conformed ledger once and cut lineage.
+
+    The partition count follows the size of ``size_from`` (the raw ledger
+    scan: the estimate of a join would multiply its inputs' sizes)."""
+    if num_partitions is None:
+        num_partitions = target_partitions(size_from if size_from is not None else conformed)
     return stage_ordered(conformed, order_cols, num_partitions)
 
 
-def number_sales(staged: DataFrame) -> DataFrame:
+def number_sales(staged: DataFrame, summary: DataFrame | None = None) -> DataFrame:
     """transaction_id over every ledger row, then prune rows without a
-    customer or date, then sales_key 1..n over the rows that remain."""
-    with_txn = number_rows(staged, "_txn")
-    numbered = number_rows(with_txn, "sales_key", where=keep_condition())
-    return numbered.select(
-        F.col("sales_key"),
-        txn_id(F.col("_txn")).alias("transaction_id"),
+    customer or date, then sales_key 1..n over the rows that remain.
+
+    Both positions are taken in the same pass over the staged ledger: the
+    in-partition position of every row before the filter, that of the kept
+    rows after it; the partition offsets of both come from ``summary``.
+    """
+    if summary is None:
+        summary = ledger_summary(staged)
+    per_pid = summary_partitions(summary)
+    all_off = partition_offsets(per_pid, "n").withColumnRenamed("__off", "__off_all")
+    kept_off = partition_offsets(per_pid, "n_kept").withColumnRenamed("__off", "__off_kept")
+    offsets = all_off.join(kept_off, PID)
+    rows = (
+        staged.withColumn(PID, F.spark_partition_id())
+        .withColumn("__pos_all", local_position())
+        .where(keep_condition())
+        .withColumn("__pos_kept", local_position())
+        .join(F.broadcast(offsets), PID, "inner")
+    )
+    return rows.select(
+        (F.col("__pos_kept") + F.col("__off_kept") + F.lit(1)).alias("sales_key"),
+        txn_id(F.col("__pos_all") + F.col("__off_all") + F.lit(1)).alias("transaction_id"),
         F.col("customer_key").cast("long").alias("customer_key"),
         F.col("product_key").cast("long").alias("product_key"),
         "store_key",

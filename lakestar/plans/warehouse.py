@@ -125,6 +125,6 @@ def numbered_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
             bronze = bronze_from_landing(spark, wh.landing)
             n_products = max(wh.counts["dim_products"], 1)
             conformed = silver.conform_sales(bronze.sales, t["dim_customers"], t["dim_stores"], n_products, bronze.order_cols)
-            staged = silver.stage_sales(conformed, bronze.order_cols)
-            _LEDGER_CACHE[key] = number_rows(staged, "_txn")
+            staged = silver.stage_sales(conformed, bronze.order_cols, size_from=bronze.sales)
+            _LEDGER_CACHE[key] = number_rows(staged, "_txn")  # pruned rows included
         return _LEDGER_CACHE[key]
