@@ -255,10 +255,14 @@ FROM g_all WHERE customer_key IS NULL OR time_key IS NULL"""))(
 
 
 def _transaction_ids(spark, sf_dir):
-    from lakestar.operators.numbering import number_rows
+    from lakestar.operators.numbering import number_rows, partition_offsets
 
+    wh = testdata_warehouse(spark, sf_dir)
     led = numbered_ledger(spark, sf_dir)
-    kept = number_rows(led, "sales_key", where=silver.keep_condition())
+    offsets = None
+    if wh.summary is not None:
+        offsets = partition_offsets(silver.summary_partitions(wh.summary), "n_kept")
+    kept = number_rows(led, "sales_key", where=silver.keep_condition(), offsets=offsets)
     pruned = led.where(~silver.keep_condition()).withColumn("sales_key", F.lit(None).cast("long"))
     cols = [txn_id(F.col("_txn")).alias("transaction_id"), "sales_key", *_LEDGER_KEYS]
     return kept.select(*cols).unionByName(pruned.select(*cols))

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -34,6 +35,18 @@ class BuildResult:
     counts: dict[str, int] = field(default_factory=dict)
     seconds: float = 0.0
     timings: dict[str, float] = field(default_factory=dict)
+    # staged (checkpointed) ledger and its summary, reusable in this session
+    staged: DataFrame | None = None
+    summary: DataFrame | None = None
+
+
+def _concurrently(jobs: list) -> list:
+    """Run independent Spark actions as concurrent jobs from driver threads
+    (small jobs then share the executors instead of queueing); results in
+    order, the first failure re-raised."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(job) for job in jobs]
+        return [f.result() for f in futures]
 
 
 def _observed_write(df: DataFrame, path: str, name: str, metrics: list) -> dict:
@@ -56,16 +69,19 @@ def build(
     timings: dict[str, float] = {}
     one = F.count(F.lit(1))
 
-    # dimensions: small, written first so the fact reads them back from disk
-    for name, src, make in (
-        ("customers", bronze.customers, silver.dim_customers),
-        ("products", bronze.products, silver.dim_products),
-        ("stores", bronze.stores, silver.dim_stores),
-    ):
+    # dimensions: small, written first (as concurrent jobs) so the fact reads
+    # them back from disk
+    def write_dim(name, src, make):
         obs_in = Observation(f"bronze_{name}")
         m = _observed_write(make(src.observe(obs_in, one.alias("n"))), f"{out}/dim_{name}", f"dim_{name}", [one.alias("n")])
-        counts[f"bronze_{name}"] = obs_in.get["n"]
-        counts[f"dim_{name}"] = m["n"]
+        return {f"bronze_{name}": obs_in.get["n"], f"dim_{name}": m["n"]}
+
+    for part in _concurrently([
+        lambda: write_dim("customers", bronze.customers, silver.dim_customers),
+        lambda: write_dim("products", bronze.products, silver.dim_products),
+        lambda: write_dim("stores", bronze.stores, silver.dim_stores),
+    ]):
+        counts.update(part)
 
     timings["dims"] = time.time() - t0
     dim_c = spark.read.parquet(f"{out}/dim_customers")
@@ -86,9 +102,7 @@ def build(
     counts["bronze_ledger"] = int(totals["ledger_rows"] or 0)
     for k in silver.SUMMARY_COUNTERS:
         counts[k] = int(totals[k] or 0)
-    m = _observed_write(silver.dim_time_from_dates(silver.summary_dates(summary)), f"{out}/dim_time", "dim_time", [one.alias("n")])
-    counts["dim_time"] = m["n"]
-    timings["dim_time"] = time.time() - t0
+    timings["summary"] = time.time() - t0
 
     fact = silver.number_sales(staged, summary)
     fact_metrics = [
@@ -97,7 +111,13 @@ def build(
         F.max("sales_key").alias("max_key"),
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in schemas.FACT_SALES],
     ]
-    fm = _observed_write(fact, f"{out}/fact_sales", "fact_sales", fact_metrics)
+    tm, fm = _concurrently([
+        lambda: _observed_write(
+            silver.dim_time_from_dates(silver.summary_dates(summary)), f"{out}/dim_time", "dim_time", [one.alias("n")]
+        ),
+        lambda: _observed_write(fact, f"{out}/fact_sales", "fact_sales", fact_metrics),
+    ])
+    counts["dim_time"] = tm["n"]
     counts["fact_sales"] = fm["n"]
     timings["fact_sales"] = time.time() - t0
 
@@ -112,7 +132,7 @@ def build(
     spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").text(
         f"{warehouse_root.rstrip('/')}/{CURRENT_POINTER}"
     )
-    return BuildResult(out, counts, time.time() - t0, timings)
+    return BuildResult(out, counts, time.time() - t0, timings, staged, summary)
 
 
 def _check_version(spark: SparkSession, out: str, fact_metrics: dict, counts: dict[str, int]) -> None:
@@ -125,21 +145,17 @@ def _check_version(spark: SparkSession, out: str, fact_metrics: dict, counts: di
     nulls = {k: v for k, v in fact_metrics.items() if k.startswith("null_") and v}
     if nulls:
         raise ValueError(f"fact_sales NOT NULL violated: {nulls}")
-    quality.assert_clean(
-        quality.key_violations([(t, df, schemas.GOLD_KEYS[t]) for t, df in tables.items()]),
-        ["duplicate_keys"], "primary key",
-    )
-    quality.assert_clean(
-        quality.null_violations([(t, df, schemas.GOLD_COLUMNS[t]) for t, df in tables.items()]),
-        ["null_rows"], "NOT NULL",
-    )
-    quality.assert_clean(
-        quality.fk_violations(
+    reports = [
+        (quality.key_violations([(t, df, schemas.GOLD_KEYS[t]) for t, df in tables.items()]),
+         ["duplicate_keys"], "primary key"),
+        (quality.null_violations([(t, df, schemas.GOLD_COLUMNS[t]) for t, df in tables.items()]),
+         ["null_rows"], "NOT NULL"),
+        (quality.fk_violations(
             fact, [(fk, tables[dim], dim) for fk, dim in schemas.FACT_FOREIGN_KEYS],
             known_rows={t: counts[t] for t in tables if t in counts},
-        ),
-        ["orphan_rows"], "foreign key",
-    )
+        ), ["orphan_rows"], "foreign key"),
+    ]
+    _concurrently([(lambda r=r: quality.assert_clean(*r)) for r in reports])
 
 
 def current_version_path(spark: SparkSession, warehouse_root: str) -> str:

@@ -11,7 +11,14 @@ from lakestar.functions.numeric import half_even_round
 from lakestar.functions.text import py_strip, title_case, txn_id
 from lakestar.operators.dedup import first_per_key, keep_first
 from lakestar.operators.lookup import lookup_join
-from lakestar.operators.numbering import PID, local_position, partition_offsets, stage_ordered, target_partitions
+from lakestar.operators.numbering import (
+    PID,
+    local_position,
+    number_rows,
+    partition_offsets,
+    stage_ordered,
+    target_partitions,
+)
 
 # ---------------------------------------------------------------------------
 # Fixed values of the conformance rules.
@@ -228,5 +235,14 @@ def number_sales(staged: DataFrame, summary: DataFrame | None = None) -> DataFra
     )
 
 
+def number_ledger(staged: DataFrame, summary: DataFrame | None = None) -> DataFrame:
+    """Every staged ledger row (pruned ones included) with ``_txn``, its
+    position in ledger order; offsets from ``summary`` when given."""
+    offsets = None
+    if summary is not None:
+        offsets = partition_offsets(summary_partitions(summary), "n")
+    return number_rows(staged, "_txn", offsets=offsets)
+
+
 def fact_columns() -> list[str]:
     return list(schemas.FACT_SALES)

@@ -30,6 +30,8 @@ class TestWarehouse:
     version_path: str
     counts: dict[str, int]
     build_seconds: float
+    staged: DataFrame | None = None
+    summary: DataFrame | None = None
 
     def tables(self, spark: SparkSession) -> dict[str, DataFrame]:
         return gold.open_tables(spark, self.version_path)
@@ -65,7 +67,9 @@ def testdata_warehouse(spark: SparkSession, sf_dir: str, rebuild: bool = False)
         base = f"{work_dir(spark)}/{tag}"
         landing = _CACHE[key].landing if key in _CACHE else testmap.write_landing(spark, sf_dir, f"{base}/landing")
         result = gold.build(spark, bronze_from_landing(spark, landing), f"{base}/warehouse")
-        wh = TestWarehouse(landing, f"{base}/warehouse", result.version_path, result.counts, result.seconds)
+        wh = TestWarehouse(
+            landing, f"{base}/warehouse", result.version_path, result.counts, result.seconds, result.staged, result.summary
+        )
         _CACHE[key] = wh
         return wh
 
@@ -113,18 +117,23 @@ _LEDGER_CACHE: dict[tuple[str, str], DataFrame] = {}
 
 def numbered_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conformed ledger row (pruned ones included) with its transaction
-    sequence, staged once per application; used by the audit queries."""
+    sequence ``_txn``. Reuses the build's staged ledger and summary when the
+    build ran in this session; otherwise stages once per application."""
     from lakestar.plans import silver
-    from lakestar.operators.numbering import number_rows
 
     key = _key(spark, sf_dir)
     with _LOCK:
         if key not in _LEDGER_CACHE:
             wh = testdata_warehouse(spark, sf_dir)
-            t = wh.tables(spark)
-            bronze = bronze_from_landing(spark, wh.landing)
-            n_products = max(wh.counts["dim_products"], 1)
-            conformed = silver.conform_sales(bronze.sales, t["dim_customers"], t["dim_stores"], n_products, bronze.order_cols)
-            staged = silver.stage_sales(conformed, bronze.order_cols, size_from=bronze.sales)
-            _LEDGER_CACHE[key] = number_rows(staged, "_txn")  # pruned rows included
+            if wh.staged is not None and wh.summary is not None:
+                _LEDGER_CACHE[key] = silver.number_ledger(wh.staged, wh.summary)
+            else:
+                t = wh.tables(spark)
+                bronze = bronze_from_landing(spark, wh.landing)
+                n_products = max(wh.counts["dim_products"], 1)
+                conformed = silver.conform_sales(
+                    bronze.sales, t["dim_customers"], t["dim_stores"], n_products, bronze.order_cols
+                )
+                staged = silver.stage_sales(conformed, bronze.order_cols, size_from=bronze.sales)
+                _LEDGER_CACHE[key] = silver.number_ledger(staged)
         return _LEDGER_CACHE[key]

@@ -42,3 +42,16 @@ def test_constraint_reports_count_injected_faults(spark):
     assert ln.violations == 1
     with pytest.raises(ValueError):
         quality.assert_clean(quality.key_violations([("dim", dim, "k")]), ["duplicate_keys"], "pk")
+
+
+def test_lookup_join_salted_path_matches_broadcast(spark):
+    from lakestar.operators.lookup import lookup_join
+
+    left = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 50).cast("string")).alias("k"), "id"
+    )
+    right = spark.createDataFrame([("hot", 1)] + [(str(i), i + 10) for i in range(40)], "k string, v int")
+    small = lookup_join(left, right, "k")
+    salted = lookup_join(left, right, "k", max_rows=5, salts=7)
+    assert salted.count() == small.count() == 3000
+    assert salted.exceptAll(small).count() == 0 and small.exceptAll(salted).count() == 0
