@@ -4,6 +4,7 @@ modelled warehouse drops and recreates its tables on every run)."""
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -125,13 +126,10 @@ def build(
         _check_version(spark, out, fm, counts)
     timings["checks"] = time.time() - t0
 
-    spark.createDataFrame(sorted(counts.items()), "stage string, rows long").coalesce(1).write.mode(
-        "overwrite"
-    ).parquet(f"{out}/{STAGE_COUNTS}")
+    lines = "".join(json.dumps({"stage": k, "rows": v}) + "\n" for k, v in sorted(counts.items()))
+    write_small_file(spark, f"{out}/{STAGE_COUNTS}/part-0.json", lines)
     # switch: readers resolve the current version through this pointer
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").text(
-        f"{warehouse_root.rstrip('/')}/{CURRENT_POINTER}"
-    )
+    write_small_file(spark, f"{warehouse_root.rstrip('/')}/{CURRENT_POINTER}", version + "\n")
     return BuildResult(out, counts, time.time() - t0, timings, staged, summary)
 
 
@@ -158,10 +156,48 @@ def _check_version(spark: SparkSession, out: str, fact_metrics: dict, counts: di
     _concurrently([(lambda r=r: quality.assert_clean(*r)) for r in reports])
 
 
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_small_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small metadata file through the Hadoop FileSystem API: to a
+    temporary name first, then renamed over the target, so readers never see
+    a partial pointer."""
+    target, fs = _fs_path(spark, path)
+    tmp, _ = _fs_path(spark, f"{path}.tmp-{uuid.uuid4().hex[:8]}")
+    stream = fs.create(tmp, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    if fs.exists(target):
+        fs.delete(target, False)
+    if not fs.rename(tmp, target):
+        raise OSError(f"could not publish {path}")
+
+
+def read_small_file(spark: SparkSession, path: str) -> str:
+    target, fs = _fs_path(spark, path)
+    stream = fs.open(target)
+    try:
+        reader = spark.sparkContext._jvm.java.io.BufferedReader(
+            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8")
+        )
+        return reader.readLine() or ""
+    finally:
+        stream.close()
+
+
 def current_version_path(spark: SparkSession, warehouse_root: str) -> str:
     root = warehouse_root.rstrip("/")
-    version = spark.read.text(f"{root}/{CURRENT_POINTER}").first()[0]  # one-line pointer
-    return f"{root}/{version}"
+    return f"{root}/{read_small_file(spark, f'{root}/{CURRENT_POINTER}').strip()}"
+
+
+def read_stage_counts(spark: SparkSession, version_path: str) -> DataFrame:
+    return spark.read.schema("stage string, rows long").json(f"{version_path}/{STAGE_COUNTS}")
 
 
 def open_tables(spark: SparkSession, version_path: str) -> dict[str, DataFrame]:

@@ -37,7 +37,7 @@ class TestWarehouse:
         return gold.open_tables(spark, self.version_path)
 
     def stage_counts(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.version_path}/{gold.STAGE_COUNTS}")
+        return gold.read_stage_counts(spark, self.version_path)
 
 
 def bronze_from_landing(spark: SparkSession, landing: dict[str, str]) -> gold.Bronze:
