@@ -202,3 +202,15 @@ def read_stage_counts(spark: SparkSession, version_path: str) -> DataFrame:
 
 def open_tables(spark: SparkSession, version_path: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(f"{version_path}/{t}") for t in schemas.GOLD_COLUMNS}
+
+
+def warehouse_exists(spark: SparkSession, warehouse_root: str) -> bool:
+    target, fs = _fs_path(spark, f"{warehouse_root.rstrip('/')}/{CURRENT_POINTER}")
+    return bool(fs.exists(target))
+
+
+def ensure_warehouse(spark: SparkSession, warehouse_root: str, bronze_factory) -> str:
+    """Current version path; builds one first when the warehouse has none."""
+    if not warehouse_exists(spark, warehouse_root):
+        build(spark, bronze_factory(), warehouse_root)
+    return current_version_path(spark, warehouse_root)

@@ -120,6 +120,15 @@ def build_registry(extract: DataFrame, position_col: str) -> Registry:
     return Registry(customers, stores, emails)
 
 
+def write_registry(registry: Registry, root: str) -> dict[str, str]:
+    """Set-based load of the registry tables (replaces row-by-row inserts);
+    full refresh like the source it models."""
+    paths = {"customers": f"{root.rstrip('/')}/customers", "stores": f"{root.rstrip('/')}/stores"}
+    registry.customers.write.mode("overwrite").parquet(paths["customers"])
+    registry.stores.write.mode("overwrite").parquet(paths["stores"])
+    return paths
+
+
 def _bounded_order(col: str):
     # window over the MAX_STORES rows left after the limit: bounded input
     from pyspark.sql import Window
