@@ -82,11 +82,11 @@ cat AS (
   SELECT {R2('SUM(f.total_revenue)')} AS rev, {R2('SUM(f.total_profit)')} AS profit, SUM(f.quantity) AS units
   FROM g_fact f JOIN g_dim_products p ON f.product_key = p.product_key GROUP BY p.category)"""
 
-register("kpi_totals", with_pipeline(f""", {_CATEGORY_ROWS.strip()}
+register("kpi_totals", with_pipeline(f"""
 SELECT {R2('coalesce(SUM(rev), 0)')} AS total_revenue, {R2('coalesce(SUM(profit), 0)')} AS total_profit,
        round_even(CASE WHEN SUM(rev) > 0 THEN SUM(profit) / SUM(rev) * 100 ELSE 0 END, 1) AS avg_margin_pct,
        CAST(coalesce(SUM(units), 0) AS BIGINT) AS total_units
-FROM cat""").replace(")\n, cat AS", "),\ncat AS"))(_mart(marts.kpi_totals))
+FROM cat""", extra_ctes=_CATEGORY_ROWS))(_mart(marts.kpi_totals))
 
 register("period_series", with_pipeline(f"""
 SELECT printf('%d-%02d', t.year, t.month) AS "Period", {R2('SUM(f.total_revenue)')} AS "Monthly Revenue ($)",
@@ -421,10 +421,10 @@ def _pk_sql(name: str, cte: str, key: str) -> str:
     )
 
 
-register("pk_violations", f"WITH {__import__('lakestar.oracle', fromlist=['pipeline_ctes']).pipeline_ctes()},\n{_REGISTRY_CTES}\n" + "\nUNION ALL\n".join(
+register("pk_violations", with_pipeline("\nUNION ALL\n".join(
     [_pk_sql(t, _GOLD_CTE[t], schemas.GOLD_KEYS[t]) for t in schemas.GOLD_COLUMNS]
     + [_pk_sql("registry_customers", "r_customers", "email")]
-))(
+), extra_ctes=_REGISTRY_CTES))(
     lambda spark, sf_dir: quality.key_violations(
         [(t, df, schemas.GOLD_KEYS[t]) for t, df in gold_tables(spark, sf_dir).items()]
         + [("registry_customers", _registry(spark, sf_dir).customers, "email")]

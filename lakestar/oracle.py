@@ -127,5 +127,8 @@ g_fact AS (
   FROM g_all WHERE customer_key IS NOT NULL AND time_key IS NOT NULL)"""
 
 
-def with_pipeline(select: str) -> str:
-    return f"WITH {pipeline_ctes()}\n{select}"
+def with_pipeline(select: str, extra_ctes: str = "") -> str:
+    """The pipeline CTEs (plus ``extra_ctes``, comma-separated CTE text)
+    followed by ``select``."""
+    extra = f",\n{extra_ctes.strip()}" if extra_ctes.strip() else ""
+    return f"WITH {pipeline_ctes()}{extra}\n{select}"

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from lakestar.functions.numeric import half_even_round
 from lakestar.functions.text import title_case
+from lakestar.operators.lookup import broadcast_if_small
 
 # ---------------------------------------------------------------------------
 # Fixed values of the test mapping.
@@ -52,6 +53,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """Broadcast a reference table (nation, region) after checking its size."""
+    return broadcast_if_small(df, 100_000)[0]
+
+
 def _tier(segment):
     m = F.create_map(*[F.lit(x) for kv in SEGMENT_TIERS.items() for x in kv])
     return F.element_at(m, segment)
@@ -62,7 +68,7 @@ def registry_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     return (
         c.where(F.col("c_nationkey") < CUSTOMER_NATIONS_BELOW)
-        .join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+        .join(_small(n), c.c_nationkey == n.n_nationkey)
         .select(
             F.col("c_custkey").cast("long").alias("customer_id"),
             F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")).alias("customer_name"),
@@ -77,10 +83,10 @@ def registry_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    geo = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    geo = n.join(_small(r), n.n_regionkey == r.r_regionkey)
     return (
         s.where((F.col("s_nationkey") < STORE_NATIONS_BELOW) | (F.col("s_suppkey") == DEFAULT_STORE_SUPPLIER))
-        .join(F.broadcast(geo), s.s_nationkey == geo.n_nationkey)
+        .join(_small(geo), s.s_nationkey == geo.n_nationkey)
         .select(
             (F.col("s_suppkey") + 1).cast("long").alias("store_id"),
             F.col("s_name").alias("store_name"),
@@ -103,7 +109,7 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ledger row per lineitem row (shuffle joins on the order and part
-    keys; nation is broadcast, 25 rows)."""
+    keys; nation is broadcast after a size check)."""
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -111,7 +117,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     order_country = (
         o.join(c, o.o_custkey == c.c_custkey)
-        .join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)
+        .join(_small(n), F.col("c_nationkey") == n.n_nationkey)
         .select("o_orderkey", "o_orderdate", "n_name")
     )
     rows = li.join(order_country, li.l_orderkey == order_country.o_orderkey).join(p, li.l_partkey == p.p_partkey)
@@ -129,10 +135,10 @@ def orders_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    geo = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    geo = n.join(_small(r), n.n_regionkey == r.r_regionkey)
     k = F.col("c_custkey")
     segments = F.array(*[F.lit(s) for s in EXTRACT_SEGMENTS])
-    return c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey).select(
+    return c.join(_small(geo), c.c_nationkey == geo.n_nationkey).select(
         k.cast("long").alias(EXTRACT_POSITION),
         F.concat(F.lit("Ab "), (k % 7).cast("string"), F.lit(" Cd"), (k % 100).cast("string")).alias("Customer Name"),
         F.element_at(segments, (k % len(EXTRACT_SEGMENTS) + 1).cast("int")).alias("Customer Segment"),
