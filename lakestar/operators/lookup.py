@@ -47,8 +47,14 @@ def lookup_join(
     how: str = "left",
     max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     salts: int = DEFAULT_SALTS,
+    rows_at_most: int | None = None,
 ) -> DataFrame:
-    side, small = broadcast_if_small(lookup, max_rows)
+    """``rows_at_most``: a known upper bound of the lookup's rows (e.g. the
+    row count of the dimension it was aggregated from); saves the count."""
+    if rows_at_most is not None and rows_at_most <= max_rows:
+        side, small = F.broadcast(lookup), True
+    else:
+        side, small = broadcast_if_small(lookup, max_rows)
     if small:
         return left.join(side, on, how)
     keys = [on] if isinstance(on, str) else list(on)

@@ -90,7 +90,7 @@ def build(
     dim_s = spark.read.parquet(f"{out}/dim_stores")
     n_products = max(counts["dim_products"], 1)
 
-    conformed = silver.conform_sales(bronze.sales, dim_c, dim_s, n_products, bronze.order_cols)
+    conformed = silver.conform_sales(bronze.sales, dim_c, dim_s, n_products, bronze.order_cols, dim_rows=counts)
     staged = silver.stage_sales(conformed, bronze.order_cols, num_partitions, size_from=bronze.sales)
     timings["stage_ledger"] = time.time() - t0
 
@@ -201,7 +201,9 @@ def read_stage_counts(spark: SparkSession, version_path: str) -> DataFrame:
 
 
 def open_tables(spark: SparkSession, version_path: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{version_path}/{t}") for t in schemas.GOLD_COLUMNS}
+    """Gold tables of one version, with their fixed schemas (no footer-based
+    schema inference)."""
+    return {t: spark.read.schema(schemas.GOLD_SCHEMAS[t]).parquet(f"{version_path}/{t}") for t in schemas.GOLD_COLUMNS}
 
 
 def warehouse_exists(spark: SparkSession, warehouse_root: str) -> bool:

@@ -103,11 +103,13 @@ def conform_sales(
     dim_s: DataFrame,
     n_products: int,
     order_cols: list[str],
+    dim_rows: dict[str, int] | None = None,
 ) -> DataFrame:
     """Ledger rows with conformed keys and measures, before numbering/pruning.
 
     Both country lookups hold one row per country and are broadcast after a
-    size check; the product key is a row-level hash (no join at all).
+    size check (``dim_rows``, the dimensions' row counts, bound them without
+    a count); the product key is a row-level hash (no join at all).
     """
     country = title_case(py_strip(F.col("Country").cast("string")))
     base = sales.select(
@@ -120,7 +122,11 @@ def conform_sales(
     )
     cust = country_to_customer(dim_c).withColumnRenamed("country", "_country")
     stores = country_to_store(dim_s).withColumnRenamed("country", "_country").withColumnRenamed("store_key", "_store")
-    joined = lookup_join(lookup_join(base, cust, "_country"), stores, "_country")
+    dim_rows = dim_rows or {}
+    joined = lookup_join(
+        lookup_join(base, cust, "_country", rows_at_most=dim_rows.get("dim_customers")),
+        stores, "_country", rows_at_most=dim_rows.get("dim_stores"),
+    )
     quantity = F.coalesce(F.col("_qty_raw"), F.lit(DEFAULT_QUANTITY)).cast("long")
     unit_price = F.coalesce(F.col("_price_raw"), F.lit(DEFAULT_UNIT_PRICE)).cast("double")
     revenue = half_even_round(quantity * unit_price)

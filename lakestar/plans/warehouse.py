@@ -10,7 +10,7 @@ share one build.
 from __future__ import annotations
 
 import threading
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,9 +32,15 @@ class TestWarehouse:
     build_seconds: float
     staged: DataFrame | None = None
     summary: DataFrame | None = None
+    _opened: dict = field(default_factory=dict)
 
     def tables(self, spark: SparkSession) -> dict[str, DataFrame]:
-        return gold.open_tables(spark, self.version_path)
+        """The version's tables, opened once per application: a version is
+        immutable, so the file listing is reused across queries."""
+        app = spark.sparkContext.applicationId
+        if self._opened.get("app") != app:
+            self._opened = {"app": app, "tables": gold.open_tables(spark, self.version_path)}
+        return dict(self._opened["tables"])
 
     def stage_counts(self, spark: SparkSession) -> DataFrame:
         return gold.read_stage_counts(spark, self.version_path)
@@ -132,7 +138,7 @@ def numbered_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                 bronze = bronze_from_landing(spark, wh.landing)
                 n_products = max(wh.counts["dim_products"], 1)
                 conformed = silver.conform_sales(
-                    bronze.sales, t["dim_customers"], t["dim_stores"], n_products, bronze.order_cols
+                    bronze.sales, t["dim_customers"], t["dim_stores"], n_products, bronze.order_cols, dim_rows=wh.counts
                 )
                 staged = silver.stage_sales(conformed, bronze.order_cols, size_from=bronze.sales)
                 _LEDGER_CACHE[key] = silver.number_ledger(staged)

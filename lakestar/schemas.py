@@ -71,3 +71,49 @@ FACT_FOREIGN_KEYS = [
     ("store_key", "dim_stores"),
     ("time_key", "dim_time"),
 ]
+
+
+GOLD_SCHEMAS = {
+    "dim_customers": T.StructType([
+        T.StructField("customer_key", T.LongType()),
+        T.StructField("customer_name", T.StringType()),
+        T.StructField("email", T.StringType()),
+        T.StructField("country", T.StringType()),
+        T.StructField("membership_tier", T.StringType()),
+    ]),
+    "dim_products": T.StructType([
+        T.StructField("product_key", T.LongType()),
+        T.StructField("product_name", T.StringType()),
+        T.StructField("category", T.StringType()),
+        T.StructField("unit_price", T.DoubleType()),
+        T.StructField("unit_cost", T.DoubleType()),
+    ]),
+    "dim_stores": T.StructType([
+        T.StructField("store_key", T.LongType()),
+        T.StructField("store_name", T.StringType()),
+        T.StructField("city", T.StringType()),
+        T.StructField("state", T.StringType()),
+        T.StructField("country", T.StringType()),
+    ]),
+    "dim_time": T.StructType([
+        T.StructField("time_key", T.StringType()),
+        T.StructField("day", T.IntegerType()),
+        T.StructField("month", T.IntegerType()),
+        T.StructField("year", T.IntegerType()),
+        T.StructField("quarter", T.IntegerType()),
+        T.StructField("day_of_week", T.StringType()),
+        T.StructField("is_weekend", T.BooleanType()),
+    ]),
+    "fact_sales": T.StructType([
+        T.StructField("sales_key", T.LongType()),
+        T.StructField("transaction_id", T.StringType()),
+        T.StructField("customer_key", T.LongType()),
+        T.StructField("product_key", T.LongType()),
+        T.StructField("store_key", T.LongType()),
+        T.StructField("time_key", T.StringType()),
+        T.StructField("quantity", T.LongType()),
+        T.StructField("unit_price", T.DoubleType()),
+        T.StructField("total_revenue", T.DoubleType()),
+        T.StructField("total_profit", T.DoubleType()),
+    ]),
+}
