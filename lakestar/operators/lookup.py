@@ -1,21 +1,27 @@
-"""Size-checked broadcast joins, with a salted shuffle join beyond the bound.
+"""Size-checked broadcast joins, with a hot-key salted shuffle join beyond the bound.
 
 A side is broadcast only after its row count has been measured against a
-bound. Above the bound the join becomes a shuffle join in which every left
-row carries a salt in [0, salts) derived from a hash of its own columns, and
-the lookup side is replicated once per salt (``explode`` of a sequence, not a
-cross join). A key holding a third of all left rows is thereby spread over
-``salts`` tasks instead of one; AQE's skew handling stays on as well.
+bound. Above the bound the join becomes a shuffle join in which only the hot
+keys are split: keys of the left side with more than ``hot_rows`` rows are
+found with a map-side combined count, each of their rows carries a salt in
+[0, salts) derived from a hash of the row, and only the matching lookup rows
+are replicated once per salt (``explode`` of a sequence, not a cross join).
+A key holding a third of all left rows is thereby spread over ``salts``
+tasks; every other key joins unsalted. AQE's skew handling stays on as well.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 DEFAULT_SALTS = 32
+DEFAULT_HOT_ROWS = 1_000_000
 _SALT = "__salt"
+_HOT = "__hot"
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
@@ -26,7 +32,27 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     return df, False
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", salts: int = DEFAULT_SALTS) -> DataFrame:
+def hot_keys(left: DataFrame, on: list[str], hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """Keys of ``left`` holding more than ``hot_rows`` rows (at most
+    rows / hot_rows of them)."""
+    return (
+        left.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on]))
+        .groupBy(*on)
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .where(F.col("__n") > hot_rows)
+        .select(*on)
+    )
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    how: str = "left",
+    salts: int = DEFAULT_SALTS,
+    hot_rows: int = DEFAULT_HOT_ROWS,
+    max_hot_keys: int = DEFAULT_MAX_BROADCAST_ROWS,
+) -> DataFrame:
     """Equi-join with the left side's hot keys spread over ``salts`` tasks.
 
     The salt is a hash of the left row's columns, so a recomputed task
@@ -35,8 +61,21 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "le
     """
     if how not in ("left", "left_outer", "inner"):
         raise ValueError(f"salted join supports inner/left joins, not {how}")
-    salted_left = left.withColumn(_SALT, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)))
-    replicated = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    hot, small = broadcast_if_small(hot_keys(left, on, hot_rows).withColumn(_HOT, F.lit(True)), max_hot_keys)
+    if not small:  # too many hot keys to list: salt every key
+        hot = None
+    row_hash = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts))
+    all_salts = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
+    if hot is None:
+        salted_left = left.withColumn(_SALT, row_hash)
+        replicated = right.withColumn(_SALT, F.explode(all_salts))
+    else:
+        salted_left = left.join(hot, on, "left").withColumn(
+            _SALT, F.when(F.col(_HOT), row_hash).otherwise(F.lit(0).cast("long"))
+        ).drop(_HOT)
+        replicated = right.join(hot, on, "left").withColumn(
+            _SALT, F.explode(F.when(F.col(_HOT), all_salts).otherwise(F.array(F.lit(0).cast("long"))))
+        ).drop(_HOT)
     return salted_left.join(replicated, [*on, _SALT], how).drop(_SALT)
 
 
@@ -48,6 +87,7 @@ def lookup_join(
     max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     salts: int = DEFAULT_SALTS,
     rows_at_most: int | None = None,
+    hot_rows: int = DEFAULT_HOT_ROWS,
 ) -> DataFrame:
     """``rows_at_most``: a known upper bound of the lookup's rows (e.g. the
     row count of the dimension it was aggregated from); saves the count."""
@@ -58,4 +98,4 @@ def lookup_join(
     if small:
         return left.join(side, on, how)
     keys = [on] if isinstance(on, str) else list(on)
-    return salted_join(left, lookup, keys, how, salts)
+    return salted_join(left, lookup, keys, how, salts, hot_rows)

@@ -52,6 +52,11 @@ def test_lookup_join_salted_path_matches_broadcast(spark):
     )
     right = spark.createDataFrame([("hot", 1)] + [(str(i), i + 10) for i in range(40)], "k string, v int")
     small = lookup_join(left, right, "k")
-    salted = lookup_join(left, right, "k", max_rows=5, salts=7)
+    salted = lookup_join(left, right, "k", max_rows=5, salts=7, hot_rows=500)
     assert salted.count() == small.count() == 3000
     assert salted.exceptAll(small).count() == 0 and small.exceptAll(salted).count() == 0
+    from lakestar.operators.lookup import hot_keys, salted_join
+
+    assert [r.k for r in hot_keys(left, ["k"], 500).collect()] == ["hot"]
+    every = salted_join(left, right, ["k"], "left", salts=5, hot_rows=500, max_hot_keys=0)
+    assert every.exceptAll(small).count() == 0 and small.exceptAll(every).count() == 0
