@@ -64,15 +64,17 @@ def pipeline_ctes() -> str:
     return f"""
 bz_customers AS (
   SELECT c.c_custkey::BIGINT AS customer_id, '  ' || c.c_name || ' ' AS customer_name,
-         upper(c.c_name) || '@X.COM' AS email, n.n_name AS country,
+         upper(c.c_name) || '@X.COM' AS email,
+         CASE WHEN c.c_nationkey < {testmap.CUSTOMER_NATIONS_BELOW} THEN n.n_name
+              ELSE n.n_name || {q(testmap.CLOSED_SUFFIX)} END AS country,
          {_tier_case('c.c_mktsegment')} AS membership_tier
-  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-  WHERE c.c_nationkey < {testmap.CUSTOMER_NATIONS_BELOW}),
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
 bz_stores AS (
   SELECT (s.s_suppkey + 1)::BIGINT AS store_id, s.s_name AS store_name, n.n_name AS city,
-         r.r_name AS state, {TITLE('n.n_name')} AS country
-  FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE s.s_nationkey < {testmap.STORE_NATIONS_BELOW} OR s.s_suppkey = {testmap.DEFAULT_STORE_SUPPLIER}),
+         r.r_name AS state,
+         CASE WHEN s.s_nationkey < {testmap.STORE_NATIONS_BELOW} OR s.s_suppkey = {testmap.DEFAULT_STORE_SUPPLIER}
+              THEN {TITLE('n.n_name')} ELSE lower(n.n_name) END AS country
+  FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
 bz_products AS (
   SELECT (p_partkey + 1)::BIGINT AS id, p_name AS title, p_retailprice::DOUBLE AS price, p_type AS category FROM part),
 bz_sales AS (

@@ -1,17 +1,19 @@
 """Mapping of the driver's TPC-H-like tables onto the retail inputs.
 
 The test tables have no nulls, orphans or unmatched countries, so those paths
-are derived on purpose:
-
-* customers keep nations 0..19 only: ledger rows of nations 20..24 find no
-  customer and are pruned (the orphan path);
-* stores keep nations 0..14 plus supplier 0 (store 1, the default store):
-  sales of nations 15..19 fall back to store 1;
+are derived on purpose, without dropping any row:
+
+* customers of nations 20..24 carry a country suffixed "-CLOSED": no ledger
+  country matches it, so their nations' ledger rows find no customer and are
+  pruned (the orphan path);
+* stores outside nations 0..14 (except supplier 0, store 1, the default store)
+  carry their country in lower case: store countries are not cleaned, so it
+  never matches the title-cased ledger country and those sales fall back to
+  store 1;
 * a quantity of exactly 7 becomes NULL in the ledger (the fill-default path);
 * the orders extract repeats names and e-mail bases on purpose.
 
-These restrictions shape the inputs, not the work: every lineitem row flows
-through the ledger and every customer through the orders extract.
+Every customer, supplier, part, order and lineitem row flows into the inputs.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from lakestar.operators.lookup import broadcast_if_small
 # ---------------------------------------------------------------------------
 # Fixed values of the test mapping.
 CUSTOMER_NATIONS_BELOW = 20
+CLOSED_SUFFIX = "-CLOSED"
 STORE_NATIONS_BELOW = 15
 DEFAULT_STORE_SUPPLIER = 0
 NULL_QUANTITY = 7.0
@@ -66,16 +69,13 @@ def _tier(segment):
 def registry_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
-    return (
-        c.where(F.col("c_nationkey") < CUSTOMER_NATIONS_BELOW)
-        .join(_small(n), c.c_nationkey == n.n_nationkey)
-        .select(
-            F.col("c_custkey").cast("long").alias("customer_id"),
-            F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")).alias("customer_name"),
-            F.concat(F.upper(F.col("c_name")), F.lit("@X.COM")).alias("email"),
-            F.col("n_name").alias("country"),
-            _tier(F.col("c_mktsegment")).alias("membership_tier"),
-        )
+    open_nation = F.col("c_nationkey") < CUSTOMER_NATIONS_BELOW
+    return c.join(_small(n), c.c_nationkey == n.n_nationkey).select(
+        F.col("c_custkey").cast("long").alias("customer_id"),
+        F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")).alias("customer_name"),
+        F.concat(F.upper(F.col("c_name")), F.lit("@X.COM")).alias("email"),
+        F.when(open_nation, F.col("n_name")).otherwise(F.concat(F.col("n_name"), F.lit(CLOSED_SUFFIX))).alias("country"),
+        _tier(F.col("c_mktsegment")).alias("membership_tier"),
     )
 
 
@@ -84,16 +84,13 @@ def registry_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     geo = n.join(_small(r), n.n_regionkey == r.r_regionkey)
-    return (
-        s.where((F.col("s_nationkey") < STORE_NATIONS_BELOW) | (F.col("s_suppkey") == DEFAULT_STORE_SUPPLIER))
-        .join(_small(geo), s.s_nationkey == geo.n_nationkey)
-        .select(
-            (F.col("s_suppkey") + 1).cast("long").alias("store_id"),
-            F.col("s_name").alias("store_name"),
-            F.col("n_name").alias("city"),
-            F.col("r_name").alias("state"),
-            title_case(F.col("n_name")).alias("country"),
-        )
+    matched = (F.col("s_nationkey") < STORE_NATIONS_BELOW) | (F.col("s_suppkey") == DEFAULT_STORE_SUPPLIER)
+    return s.join(_small(geo), s.s_nationkey == geo.n_nationkey).select(
+        (F.col("s_suppkey") + 1).cast("long").alias("store_id"),
+        F.col("s_name").alias("store_name"),
+        F.col("n_name").alias("city"),
+        F.col("r_name").alias("state"),
+        F.when(matched, title_case(F.col("n_name"))).otherwise(F.lower(F.col("n_name"))).alias("country"),
     )
 
 
