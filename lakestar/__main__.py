@@ -16,7 +16,6 @@ import argparse
 import sys
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 
 def _session() -> SparkSession:

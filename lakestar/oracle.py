@@ -5,7 +5,6 @@ the fixed values (keywords, mappings, ratios) are shared."""
 
 from __future__ import annotations
 
-from lakestar.functions import guard
 from lakestar.functions.text import TITLE_EXCEPTIONS
 from lakestar.plans import silver
 from lakestar.sources import testmap

@@ -8,9 +8,7 @@ fresh temporary folder (which then also becomes the checkpoint dir).
 
 from __future__ import annotations
 
-import os
 import tempfile
-import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,16 +62,3 @@ def work_dir(spark: SparkSession) -> str:
     path = f"{root}/lakestar-work"
     spark.conf.set("lakestar.work.dir", path)
     return path
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_fs_path(path: str) -> str | None:
-    """Plain filesystem path for a file: URI, else None."""
-    if path.startswith("file:"):
-        return path[5:].lstrip("/").join(["/", ""]) if not path.startswith("file:///") else path[7:]
-    if path.startswith("/"):
-        return path
-    return None if "://" in path else os.path.abspath(path)
