@@ -9,9 +9,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestar.oracle import R2, with_pipeline
-from lakestar.plans import marts
-from lakestar.plans.warehouse import testdata_warehouse
+from lakestar import schemas
+from lakestar.functions import guard
+from lakestar.functions.keys import stable_key
+from lakestar.functions.text import py_strip, title_case, txn_id
+from lakestar.operators import quality
+from lakestar.operators.dedup import keep_first
+from lakestar.oracle import R2, STABLE_KEY, STRIP, TITLE, WS, q, with_pipeline
+from lakestar.plans import assistant, marts, silver
+from lakestar.plans import registry as reg
+from lakestar.plans.warehouse import bronze_from_landing, numbered_ledger, rebuild_comparison, testdata_warehouse
+from lakestar.sources import readers, testmap
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -137,15 +145,6 @@ SELECT * FROM g_fact ORDER BY sales_key LIMIT 100"""))(
 
 # --- B/H: silver dimensions and expressions -------------------------------------
 
-from lakestar import schemas  # noqa: E402
-from lakestar.functions.keys import stable_key  # noqa: E402
-from lakestar.functions.text import py_strip, title_case, txn_id  # noqa: E402
-from lakestar.oracle import STABLE_KEY, STRIP, TITLE, q  # noqa: E402
-from lakestar.operators import quality  # noqa: E402
-from lakestar.operators.dedup import keep_first  # noqa: E402
-from lakestar.plans import silver  # noqa: E402
-from lakestar.plans.warehouse import bronze_from_landing, numbered_ledger, rebuild_comparison  # noqa: E402
-from lakestar.sources import readers, testmap  # noqa: E402
 
 
 def bronze(spark: SparkSession, sf_dir: str):
@@ -319,7 +318,6 @@ register("src_orders_extract", f"WITH {_EXTRACT_SQL.strip()}\nSELECT * FROM bz_e
 
 # --- L2: registry -----------------------------------------------------------------
 
-from lakestar.plans import registry as reg  # noqa: E402
 
 _COUNTRIES = "[" + ", ".join(q(c) for c in reg.COUNTRIES) + "]"
 _TIER_CASE = "CASE seg " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in reg.SEGMENT_TIERS.items()) + f" ELSE {q(reg.DEFAULT_TIER)} END"
@@ -464,9 +462,6 @@ register("length_violations", with_pipeline("\nUNION ALL\n".join(
 
 # --- K: text operators over tables of statements / questions / replies ----------
 
-from lakestar.functions import guard  # noqa: E402
-from lakestar.oracle import WS  # noqa: E402
-from lakestar.plans import assistant  # noqa: E402
 
 
 def _text_source_sql(templates: list[str]) -> str:

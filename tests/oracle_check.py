@@ -70,8 +70,11 @@ def main(argv):
     import __spark_entry__ as E
     from lakestar.session import local_session
 
+    args = list(argv[1:])
     sf_dir = "/root/testdata/sf0.01"
-    names = argv[1:] or list(E.queries())
+    if args and args[0].startswith("--sf="):
+        sf_dir = f"/root/testdata/sf{args.pop(0).split('=', 1)[1]}"
+    names = args or list(E.queries())
     spark = local_session(8)
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
