@@ -233,16 +233,22 @@ LANDING_PARTS = ("registry/customers", "registry/stores", "catalogue", "ledger",
 
 
 def write_landing(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
+    """Write the five landing datasets (independent jobs, run concurrently)."""
+    from concurrent.futures import ThreadPoolExecutor
+
     paths = {part: f"{root}/{part}" for part in LANDING_PARTS}
-    registry_customers(spark, sf_dir).write.mode("overwrite").parquet(paths["registry/customers"])
-    registry_stores(spark, sf_dir).write.mode("overwrite").parquet(paths["registry/stores"])
-    catalogue(spark, sf_dir).write.mode("overwrite").json(paths["catalogue"])
-    # header order differs from the reader's column order on purpose
     led = ledger(spark, sf_dir)
-    led.select("Product", "Unit_Price", "Date", *LEDGER_ORDER, "Country", "Order_Quantity").write.mode(
-        "overwrite"
-    ).option("header", True).csv(paths["ledger"])
-    orders_extract(spark, sf_dir).write.mode("overwrite").option("header", True).option(
-        "encoding", "ISO-8859-1"
-    ).csv(paths["orders_extract"])
+    writers = [
+        lambda: registry_customers(spark, sf_dir).write.mode("overwrite").parquet(paths["registry/customers"]),
+        lambda: registry_stores(spark, sf_dir).write.mode("overwrite").parquet(paths["registry/stores"]),
+        lambda: catalogue(spark, sf_dir).write.mode("overwrite").json(paths["catalogue"]),
+        # header order differs from the reader's column order on purpose
+        lambda: led.select("Product", "Unit_Price", "Date", *LEDGER_ORDER, "Country", "Order_Quantity")
+        .write.mode("overwrite").option("header", True).csv(paths["ledger"]),
+        lambda: orders_extract(spark, sf_dir).write.mode("overwrite").option("header", True)
+        .option("encoding", "ISO-8859-1").csv(paths["orders_extract"]),
+    ]
+    with ThreadPoolExecutor(max_workers=len(writers)) as pool:
+        for f in [pool.submit(w) for w in writers]:
+            f.result()
     return paths
