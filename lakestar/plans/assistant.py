@@ -9,6 +9,7 @@ keyword/prefix guard and the Spark-specific rules.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +59,27 @@ def check_statement(spark: SparkSession, sql: str) -> str | None:
     return None
 
 
+# Plan nodes a read-only statement never contains: reflection calls, external
+# scripts, and commands (DDL/DML and other side effects).
+_PLAN_MARKERS = re.compile(
+    r"\b(ScriptTransformation|\w+Command|(?:try_reflect|reflect|java_method)(?=\())", re.IGNORECASE
+)
+
+
+def plan_violation(spark: SparkSession, sql: str) -> str | None:
+    """Second line behind the text rules: analyse the statement with
+    ``EXPLAIN EXTENDED`` (which does not execute it) and look for plan nodes
+    a read-only query cannot have. Statements that fail analysis are left to
+    the execution step, which reports the error."""
+    try:
+        plan = spark.sql(f"EXPLAIN EXTENDED {sql.strip().rstrip(';')}").first()[0]
+    except Exception:  # noqa: BLE001 - reported when the statement runs
+        return None
+    analyzed = plan.split("== Analyzed Logical Plan ==")[-1].split("== Optimized Logical Plan ==")[0]
+    found = _PLAN_MARKERS.search(analyzed)
+    return found.group(1) if found else None
+
+
 def run_sandbox(spark: SparkSession, tables: dict[str, DataFrame], sql: str, from_reply: bool = False) -> SandboxResult:
     if from_reply:
         sql = spark.createDataFrame([(sql,)], "s string").select(extract_sql_block(F.col("s"))).first()[0]
@@ -65,6 +87,9 @@ def run_sandbox(spark: SparkSession, tables: dict[str, DataFrame], sql: str, fro
     if reason:
         return SandboxResult(False, sql, None, reason)
     register_views(tables)
+    node = plan_violation(spark, sql)
+    if node:
+        return SandboxResult(False, sql, None, f"Sandbox plan check blocked: {node}.")
     try:
         return SandboxResult(True, sql, spark.sql(sql.strip().rstrip(";")), None)
     except Exception as exc:  # noqa: BLE001 - reported like the original

@@ -59,3 +59,12 @@ def test_ensure_warehouse_builds_once(spark, gold, tmp_path):
     second = gold_mod.ensure_warehouse(spark, root, factory)
     assert first == second and len(calls) == 1
     assert spark.read.parquet(f"{first}/fact_sales").agg(F.max("sales_key")).first()[0] == gold.counts["fact_sales"]
+
+
+def test_plan_check_finds_side_effects(spark, gold):
+    assistant.register_views(gold.tables(spark))
+    assert assistant.plan_violation(spark, "SELECT reflect('java.lang.Math', 'abs', -1)") == "reflect"
+    assert assistant.plan_violation(spark, "SELECT TRANSFORM(sales_key) USING 'cat' FROM fact_sales") == "ScriptTransformation"
+    assert assistant.plan_violation(spark, "CREATE TABLE t_never AS SELECT 1 AS x").endswith("Command")
+    assert not spark.catalog.tableExists("t_never")
+    assert assistant.plan_violation(spark, "SELECT count(*) FROM fact_sales") is None
