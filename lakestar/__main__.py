@@ -49,7 +49,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p = sub.add_parser("build")
     for name in ("customers", "stores", "catalogue", "ledger", "warehouse"):
         p.add_argument(f"--{name}", required=True)
-    p.add_argument("--order-columns", required=True, help="ledger order, e.g. row_no:long")
+    p.add_argument("--order-columns", default="", help="ledger order, e.g. row_no:long (default: file order)")
     p.add_argument("--catalogue-array", action="store_true", help="catalogue files hold one JSON array each")
     for name in ("report", "ask", "sql"):
         p = sub.add_parser(name)
@@ -68,11 +68,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return 0
     if args.command == "build":
         order = _order_columns(args.order_columns)
+        if order:
+            sales = readers.read_ledger(spark, args.ledger, order)
+        else:
+            sales, order = readers.read_ledger_in_file_order(spark, args.ledger), readers.FILE_POSITION
         bronze = gold.Bronze(
             customers=readers.read_registry(spark, args.customers, "customers"),
             stores=readers.read_registry(spark, args.stores, "stores"),
             products=readers.read_catalogue(spark, args.catalogue, multi_line=args.catalogue_array),
-            sales=readers.read_ledger(spark, args.ledger, order),
+            sales=sales,
             order_cols=list(order),
         )
         result = gold.build(spark, bronze, args.warehouse)

@@ -76,6 +76,44 @@ def read_ledger(spark: SparkSession, path: str, order_columns: dict[str, str] |
     return _read_csv_by_name(spark, path, cols)
 
 
+FILE_POSITION = {"_src_file": "string", "_src_block": "long", "_src_row": "long"}
+
+
+def with_file_position(df: DataFrame) -> DataFrame:
+    """Attach the row's position in its input files as order columns: file
+    path, split start offset, and the row counter of the scan partition.
+
+    Rows of one split are read in file order within one partition, so the
+    three columns order rows by (file path, position in file); the counter is
+    taken right on the scan, before any shuffle, so a recomputed task yields
+    the same values. Must be applied directly to a file-source DataFrame.
+    """
+    return df.select(
+        "*",
+        F.col("_metadata.file_path").alias("_src_file"),
+        F.col("_metadata.file_block_start").alias("_src_block"),
+        F.monotonically_increasing_id().alias("_src_row"),
+    )
+
+
+def read_ledger_in_file_order(spark: SparkSession, path: str) -> DataFrame:
+    """Sales ledger CSV without an order column: its order is file order."""
+    raw = (
+        spark.read.option("header", True)
+        .option("inferSchema", False)
+        .option("mode", "FAILFAST")
+        .csv(path)
+    )
+    missing = [c for c in schemas.LEDGER_COLUMNS if c not in raw.columns]
+    if missing:
+        raise ValueError(f"CSV at {path} lacks columns {missing}")
+    positioned = with_file_position(raw)
+    return positioned.select(
+        *[F.col(f"`{c}`").cast(t).alias(c) for c, t in schemas.LEDGER_COLUMNS.items()],
+        *FILE_POSITION,
+    )
+
+
 def _cp1252_c1_table() -> tuple[str, str]:
     # Latin-1 decodes bytes 0x80-0x9F to C1 controls; windows-1252 assigns
     # printable characters to most of them. Derive the table from the codec.

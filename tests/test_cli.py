@@ -20,3 +20,11 @@ def test_cli_build_report_ask_sql(spark, gold, tmp_path, capsys):
     assert main(["sql", "--warehouse", wh, "DROP TABLE fact_sales"], spark) == 2
     assert main(["sql", "--warehouse", wh, "SELECT count(*) AS n FROM fact_sales"], spark) == 0
     assert main(["registry", "--extract", land["orders_extract"], "--out", str(tmp_path / "reg")], spark) == 0
+
+
+def test_cli_build_in_file_order(spark, gold, tmp_path, capsys):
+    land = gold.landing
+    wh = str(tmp_path / "wh")
+    assert main(["build", "--customers", land["registry/customers"], "--stores", land["registry/stores"],
+                 "--catalogue", land["catalogue"], "--ledger", land["ledger"], "--warehouse", wh], spark) == 0
+    assert str(gold.counts["fact_sales"]) in capsys.readouterr().out

@@ -66,3 +66,15 @@ def test_choose_source_falls_back_and_reports(spark):
     assert choice.source == "local" and "primary" in choice.errors and choice.df.count() == 1
     with pytest.raises(RuntimeError):
         readers.choose_source([("only", lambda: spark.read.parquet(d + "-missing"))])
+
+
+def test_ledger_in_file_order(spark):
+    d = tempfile.mkdtemp(prefix="lakestar-order-")
+    for name, rows in (("part-b.csv", range(5, 10)), ("part-a.csv", range(0, 5))):
+        with open(os.path.join(d, name), "w") as f:
+            f.write("Date,Country,Product,Order_Quantity,Unit_Price\n")
+            for i in rows:
+                f.write(f"2024-01-{i + 1:02d},Canada,P{i},1,{i}.5\n")
+    df = readers.read_ledger_in_file_order(spark, d)
+    ordered = df.orderBy(*readers.FILE_POSITION).select("Product").collect()
+    assert [r.Product for r in ordered] == [f"P{i}" for i in range(10)]
