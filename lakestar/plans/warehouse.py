@@ -20,11 +20,11 @@ from lakestar.session import work_dir
 from lakestar.sources import readers, testmap
 
 _LOCK = threading.RLock()
-_CACHE: dict[tuple[str, str], "TestWarehouse"] = {}
+_CACHE: dict[tuple[str, str], "BuiltWarehouse"] = {}
 
 
 @dataclass
-class TestWarehouse:
+class BuiltWarehouse:
     landing: dict[str, str]
     root: str
     version_path: str
@@ -64,7 +64,7 @@ def landing_for(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     return testdata_warehouse(spark, sf_dir).landing
 
 
-def testdata_warehouse(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> TestWarehouse:
+def testdata_warehouse(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> BuiltWarehouse:
     key = _key(spark, sf_dir)
     with _LOCK:
         if key in _CACHE and not rebuild:
@@ -73,7 +73,7 @@ def testdata_warehouse(spark: SparkSession, sf_dir: str, rebuild: bool = False)
         base = f"{work_dir(spark)}/{tag}"
         landing = _CACHE[key].landing if key in _CACHE else testmap.write_landing(spark, sf_dir, f"{base}/landing")
         result = gold.build(spark, bronze_from_landing(spark, landing), f"{base}/warehouse")
-        wh = TestWarehouse(
+        wh = BuiltWarehouse(
             landing, f"{base}/warehouse", result.version_path, result.counts, result.seconds, result.staged, result.summary
         )
         _CACHE[key] = wh
