@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lakestar.functions.text import first_token, last_token, py_strip
 from lakestar.operators.dedup import keep_first
 from lakestar.operators.lookup import lookup_join
-from lakestar.operators.numbering import number_rows, stage_ordered
+from lakestar.operators.numbering import number_rows, stage_ordered, target_partitions
 
 # ---------------------------------------------------------------------------
 # Fixed values of the registry derivation.
@@ -97,7 +97,7 @@ def registry_emails(extract: DataFrame, position_col: str) -> DataFrame:
 
 def build_registry(extract: DataFrame, position_col: str) -> Registry:
     emails = registry_emails(extract, position_col)
-    staged = stage_ordered(emails, ["pos"])
+    staged = stage_ordered(emails, ["pos"], target_partitions(extract))
     customers = number_rows(staged, "customer_id").select(
         "customer_id",
         "customer_name",

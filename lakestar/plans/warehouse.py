@@ -60,6 +60,18 @@ def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
 
 
+def register_build(
+    spark: SparkSession, sf_dir: str, landing: dict[str, str], root: str, result: gold.BuildResult
+) -> BuiltWarehouse:
+    """Make an externally run build the one the registered queries use."""
+    wh = BuiltWarehouse(
+        landing, root, result.version_path, result.counts, result.seconds, result.staged, result.summary
+    )
+    with _LOCK:
+        _CACHE[_key(spark, sf_dir)] = wh
+    return wh
+
+
 def landing_for(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     return testdata_warehouse(spark, sf_dir).landing
 
