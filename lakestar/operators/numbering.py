@@ -38,19 +38,24 @@ def stage_ordered(df: DataFrame, order_cols: list[str], num_partitions: int | No
 
 
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_PARTITIONS = 1_000_000
 
 
 def target_partitions(df: DataFrame, bytes_per_partition: int = TARGET_PARTITION_BYTES) -> int:
     """Partition count for a full shuffle of ``df``: the optimizer's size
     estimate (file sizes for scans; no job runs) over the target partition
-    size, and at least ``spark.sql.shuffle.partitions``."""
+    size, and at least ``spark.sql.shuffle.partitions``. An unknown size (the
+    optimizer's default estimate) falls back to that floor."""
     spark = df.sparkSession
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        unknown = int(spark.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1)))
     except Exception:  # noqa: BLE001 - estimate unavailable (e.g. remote session)
         return floor
-    return max(floor, -(-size // bytes_per_partition))
+    if size >= unknown:
+        return floor
+    return int(min(MAX_PARTITIONS, max(floor, -(-size // bytes_per_partition))))
 
 
 def local_position() -> Column:
