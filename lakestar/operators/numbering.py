@@ -19,6 +19,8 @@ one task. Instead:
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +43,18 @@ TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 MAX_PARTITIONS = 1_000_000
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30,
+          "t": 1 << 40, "tb": 1 << 40, "p": 1 << 50, "pb": 1 << 50}
+
+
+def _parse_bytes(text: str) -> int:
+    """A Spark byte-size setting such as ``10g`` or ``9223372036854775807b``."""
+    m = re.fullmatch(r"\s*(\d+)\s*([a-zA-Z]*)\s*", text)
+    if not m or m.group(2).lower() not in _UNITS:
+        raise ValueError(f"not a byte size: {text!r}")
+    return int(m.group(1)) * _UNITS[m.group(2).lower()]
+
+
 def target_partitions(df: DataFrame, bytes_per_partition: int = TARGET_PARTITION_BYTES) -> int:
     """Partition count for a full shuffle of ``df``: the optimizer's size
     estimate (file sizes for scans; no job runs) over the target partition
@@ -50,7 +64,7 @@ def target_partitions(df: DataFrame, bytes_per_partition: int = TARGET_PARTITION
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        unknown = int(spark.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1)))
+        unknown = _parse_bytes(spark.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1)))
     except Exception:  # noqa: BLE001 - estimate unavailable (e.g. remote session)
         return floor
     if size >= unknown:
