@@ -48,12 +48,24 @@ def _any_keyword_pattern() -> str:
     return f"(?<!{_WORD})(?:{'|'.join(FORBIDDEN_KEYWORDS)})(?!{_WORD})"
 
 
+# Java's look-behind does not see a supplementary-plane character as one code
+# point, so keyword boundaries are tested on a view of the text in which such
+# letters/digits become "X" (a letter in no keyword) and the rest a space.
+_SUPPLEMENTARY_WORD = "[\\x{10000}-\\x{10FFFF}&&[\\p{L}\\p{N}]]"
+_SUPPLEMENTARY = "[\\x{10000}-\\x{10FFFF}]"
+
+
+def bmp_word_view(col: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(col, _SUPPLEMENTARY_WORD, "X"), _SUPPLEMENTARY, " ")
+
+
 def guard_reason(col: Column) -> Column:
     """Refusal message of the read-only check, NULL when the statement passes."""
     u = F.upper(py_strip(col))
+    w = bmp_word_view(u)
     per_keyword = F.coalesce(
         *[
-            F.when(u.rlike(keyword_pattern(kw)), F.lit(KEYWORD_MESSAGE.format(kw=kw)))
+            F.when(w.rlike(keyword_pattern(kw)), F.lit(KEYWORD_MESSAGE.format(kw=kw)))
             for kw in FORBIDDEN_KEYWORDS
         ]
     )
@@ -62,7 +74,7 @@ def guard_reason(col: Column) -> Column:
         cond = u.startswith(prefix)
         read_only = cond if read_only is None else (read_only | cond)
     return (
-        F.when(u.rlike(_any_keyword_pattern()), per_keyword)
+        F.when(w.rlike(_any_keyword_pattern()), per_keyword)
         .when(~read_only, F.lit(PREFIX_MESSAGE))
     )
 
@@ -119,5 +131,5 @@ def sandbox_violation(col: Column) -> Column:
     Text checks are not a sandbox; run ad-hoc SQL with a least-privilege
     catalog as well.
     """
-    u = F.upper(py_strip(col))
+    u = bmp_word_view(F.upper(py_strip(col)))
     return F.coalesce(*[F.when(u.rlike(p), F.lit(name)) for name, p in _SANDBOX_RULES])

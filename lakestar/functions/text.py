@@ -11,10 +11,12 @@ WHITESPACE_CLASS = (
     "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
 )
 _STRIP_RE = f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$"
-# a piece boundary sits right after every character that is not cased; cased
-# as Python defines it (Lowercase, Uppercase or Titlecase property, so "º"
-# and modifier letters count), not only the Lu/Ll/Lt categories
-_TITLE_SPLIT_RE = "(?<=[^\\p{IsLowercase}\\p{IsUppercase}\\p{IsTitlecase}])"
+# tokens: maximal runs of cased characters, and runs of the others; cased as
+# Python defines it (Lowercase, Uppercase or Titlecase property, so "º" and
+# modifier letters count), not only the Lu/Ll/Lt categories. Matched forward:
+# Java's look-behind mis-reads supplementary-plane characters.
+_CASED = "\\p{IsLowercase}\\p{IsUppercase}\\p{IsTitlecase}"
+_TITLE_TOKENS_RE = f"[{_CASED}]+|[^{_CASED}]+"
 
 
 def _title_exceptions() -> dict[str, str]:
@@ -47,16 +49,22 @@ def py_strip(col: Column) -> Column:
 
 
 def title_case(col: Column) -> Column:
-    """``str.title()``: each character right after an uncased one (or at the
+    """``str.title()``: a character right after an uncased one (or at the
     start) gets its title case, every other character its lower case.
     ``initcap`` only splits on spaces, so ``men's`` would stay ``Men's``
-    instead of ``Men'S``. The pieces are cut from the original string, so the
-    first character of each is title-cased from its original form."""
-    pieces = F.split(col, _TITLE_SPLIT_RE)
-    titled = F.transform(
-        pieces, lambda p: F.concat(_title_first(F.substring(p, 1, 1)), F.lower(F.substring(p, 2, 1 << 30)))
-    )
-    return F.when(col.isNotNull(), F.concat_ws("", titled))
+    instead of ``Men'S``.
+
+    Per token the original first character is title-cased; the rest is taken
+    from the lower-cased whole token (keeps final-sigma context), after the
+    lower case of the first character (which may be longer than one)."""
+    tokens = F.regexp_extract_all(col, F.lit(_TITLE_TOKENS_RE), 0)
+
+    def title_token(t: Column) -> Column:
+        first = F.substring(t, 1, 1)
+        rest = F.lower(t).substr(F.length(F.lower(first)) + F.lit(1), F.lit(1 << 30))
+        return F.concat(_title_first(first), rest)
+
+    return F.when(col.isNotNull(), F.concat_ws("", F.transform(tokens, title_token)))
 
 
 def txn_id(n: Column) -> Column:

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from lakestar.functions import py_strip, stable_key, title_case
 from lakestar.functions.guard import FORBIDDEN_KEYWORDS, INTENT_KEYWORDS, KEYWORD_MESSAGE, PREFIX_MESSAGE, guard_reason, intent
 
-SETTINGS = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=int(__import__("os").environ.get("LAKESTAR_EXAMPLES", "4")), deadline=None, suppress_health_check=list(HealthCheck))
 WORDS = st.sampled_from(["select", "SELECT", "with", "drop", "DROP", "update", "x", "ß", "é", "_", "1", " ", "\t", "\n",
-                         "'", "-", ".", "Category", "customers", "REGION", "trend", "margin", "ǆ", "Ⅻ", "½", "İ"])
+                         "'", "-", ".", "Category", "customers", "REGION", "trend", "margin", "ǆ", "Ⅻ", "½", "İ",
+                         "𨉭", "\U00102e89", "𝟘", "\u0301", "ª"])
 TEXT = st.lists(st.one_of(WORDS, st.text(max_size=6)), max_size=12).map("".join)
 
 
@@ -34,6 +35,18 @@ def test_title_property_latin1(spark, values):
     assert _eval(spark, values, title_case) == [v.title() for v in values]
 
 
+@SETTINGS
+@given(st.lists(st.text(alphabet=st.characters(max_codepoint=127), max_size=24), min_size=60, max_size=120))
+def test_title_property_ascii(spark, values):
+    assert _eval(spark, values, title_case) == [v.title() for v in values]
+
+
+@SETTINGS
+@given(st.lists(TEXT, min_size=40, max_size=80))
+def test_title_property_mixed(spark, values):
+    assert _eval(spark, values, title_case) == [v.title() for v in values]
+
+
 @SETTINGS
 @given(st.lists(TEXT, min_size=40, max_size=80), st.integers(min_value=1, max_value=2**31 - 1))
 def test_stable_key_property(spark, values, n):
