@@ -56,13 +56,22 @@ _SUPPLEMENTARY = "[\\x{10000}-\\x{10FFFF}]"
 
 
 def bmp_word_view(col: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(col, _SUPPLEMENTARY_WORD, "X"), _SUPPLEMENTARY, " ")
-
-
-def guard_reason(col: Column) -> Column:
-    """Refusal message of the read-only check, NULL when the statement passes."""
-    u = F.upper(py_strip(col))
-    w = bmp_word_view(u)
+    # the replacements only run on the (rare) texts holding such characters
+    return F.when(
+        col.rlike(_SUPPLEMENTARY),
+        F.regexp_replace(F.regexp_replace(col, _SUPPLEMENTARY_WORD, "X"), _SUPPLEMENTARY, " "),
+    ).otherwise(col)
+
+
+def guard_reason(col: Column, prepared: tuple[Column, Column] | None = None) -> Column:
+    """Refusal message of the read-only check, NULL when the statement passes.
+    ``prepared``: the upper-cased stripped text and its BMP view, when the
+    caller has them as columns already."""
+    if prepared is None:
+        u = F.upper(py_strip(col))
+        w = bmp_word_view(u)
+    else:
+        u, w = prepared
     per_keyword = F.coalesce(
         *[
             F.when(w.rlike(keyword_pattern(kw)), F.lit(KEYWORD_MESSAGE.format(kw=kw)))
@@ -80,9 +89,14 @@ def guard_reason(col: Column) -> Column:
 
 
 def with_sql_guard(df: DataFrame, col: str, safe_col: str = "is_safe", reason_col: str = "reason") -> DataFrame:
-    reason = guard_reason(F.col(col))
-    return df.withColumn(reason_col, F.coalesce(reason, F.lit(""))).withColumn(
-        safe_col, F.col(reason_col) == F.lit("")
+    # the normalised text is a column of its own (a separate projection), so
+    # the strip/upper/view work runs once per row, not once per CASE branch
+    prepared = df.withColumn("__u", F.upper(py_strip(F.col(col)))).withColumn("__w", bmp_word_view(F.col("__u")))
+    reason = guard_reason(F.col(col), (F.col("__u"), F.col("__w")))
+    return (
+        prepared.withColumn(reason_col, F.coalesce(reason, F.lit("")))
+        .withColumn(safe_col, F.col(reason_col) == F.lit(""))
+        .drop("__u", "__w")
     )
 
 
