@@ -6,6 +6,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakestar.sources import readers
 
@@ -78,3 +79,20 @@ def test_ledger_in_file_order(spark):
     df = readers.read_ledger_in_file_order(spark, d)
     ordered = df.orderBy(*readers.FILE_POSITION).select("Product").collect()
     assert [r.Product for r in ordered] == [f"P{i}" for i in range(10)]
+
+
+def test_ledger_in_file_order_across_splits(spark):
+    d = tempfile.mkdtemp(prefix="lakestar-split-")
+    with open(os.path.join(d, "ledger.csv"), "w") as f:
+        f.write("Date,Country,Product,Order_Quantity,Unit_Price\n")
+        for i in range(3000):
+            f.write(f"2024-01-01,Canada,P{i:05d},1,1.5\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        df = readers.read_ledger_in_file_order(spark, d)
+        assert df.select(F.spark_partition_id()).distinct().count() > 5
+        got = [r.Product for r in df.orderBy(*readers.FILE_POSITION).select("Product").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == [f"P{i:05d}" for i in range(3000)]
