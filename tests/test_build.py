@@ -68,3 +68,28 @@ def test_marts_use_no_python_and_no_global_window(spark, gold):
 def test_scan_is_pruned(spark, gold):
     plan = _plan(marts.sales_by_category(gold.tables(spark)))
     assert "ReadSchema: struct<sales_key:bigint,product_key:bigint,quantity:bigint,total_revenue:double,total_profit:double>" in plan
+
+
+def _ancestors(lines, idx):
+    """Lines above ``idx`` with smaller indentation: its ancestors in a plan tree."""
+    def depth(line):
+        return len(line) - len(line.lstrip(" :|+-"))
+
+    out, level = [], depth(lines[idx])
+    for line in reversed(lines[:idx]):
+        if depth(line) < level:
+            out.append(line)
+            level = depth(line)
+    return out
+
+
+def test_fact_numbering_has_no_window_over_the_fact(spark, gold):
+    from lakestar.plans import silver
+
+    fact = silver.number_sales(gold.staged, gold.summary)
+    lines = fact._jdf.queryExecution().executedPlan().toString().splitlines()
+    windows = [i for i, line in enumerate(lines) if "Window [" in line]
+    assert windows, "expected the offsets window"
+    for i in windows:
+        assert any("BroadcastExchange" in a for a in _ancestors(lines, i)), lines[i]
+    assert "BatchEvalPython" not in "\n".join(lines) and "ArrowEvalPython" not in "\n".join(lines)
