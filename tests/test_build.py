@@ -93,3 +93,12 @@ def test_fact_numbering_has_no_window_over_the_fact(spark, gold):
     for i in windows:
         assert any("BroadcastExchange" in a for a in _ancestors(lines, i)), lines[i]
     assert "BatchEvalPython" not in "\n".join(lines) and "ArrowEvalPython" not in "\n".join(lines)
+
+
+def test_many_small_partitions_give_the_same_fact(spark, gold, tmp_path):
+    from lakestar.plans.warehouse import bronze_from_landing
+
+    res = build(spark, bronze_from_landing(spark, gold.landing), str(tmp_path / "wh64"), num_partitions=64)
+    a = gold.tables(spark)["fact_sales"]
+    b = spark.read.parquet(f"{res.version_path}/fact_sales").select(*a.columns)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
