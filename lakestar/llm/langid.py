@@ -160,7 +160,8 @@ class Grams(Rows):
         elif len(gram) == 1:
             row = 0 if gram in "<>" else self.add(self.model.unseen[1])
         else:
-            row = self.add((self.rows[self[gram[:-1]]] + self.rows[self[gram[1:]]]) / 2)
+            parts = [self[gram[:-1]], self[gram[1:]]]  # may grow the matrix
+            row = self.add(self.rows[parts].sum(axis=0) / 2)
         self[gram] = row
         return row
 
@@ -182,8 +183,8 @@ class Scorer(Rows):
             found = self.model.known[0].get(word)
             if found is None:
                 marked = f"<{word}>"
-                of = [marked[i : i + ORDER] for i in range(max(1, len(marked) - ORDER + 1))]
-                found = self.grams.rows[[self.grams[g] for g in of]].sum(axis=0) / ORDER
+                of = [self.grams[marked[i : i + ORDER]] for i in range(max(1, len(marked) - ORDER + 1))]
+                found = self.grams.rows[of].sum(axis=0) / ORDER
             row = self.add(found)
         self[word] = row
         return row

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestar.llm import bpe_codec, langid, packing, quality, token_count
+from lakestar.llm import bpe_codec, embedding_dedup, langid, packing, quality, simhash, token_count
 from lakestar.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -22,10 +22,18 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(MERGES), limit=1024)
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.deduplicated(table(spark, sf_dir, "documents"), radius=3, shingle=3, seed=42)
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path(MERGES), capacity=1024, end_id=2)
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.deduplicated(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -37,7 +45,9 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_codec": op1_bpe_codec,
     "op4_token_counts": op4_token_counts,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
 }
