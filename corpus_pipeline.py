@@ -13,7 +13,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestar.llm import langid, packing, quality
+from lakestar.llm import langid, packing, pii, quality, simhash
 from lakestar.llm.common import table
 from lakestar.llm.queries import MERGES
 from lakestar.session import work_dir
@@ -31,6 +31,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.good(docs, table(spark, sf_dir, "labels"))
 
 
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest doc_id stays."""
+    return simhash.representatives(docs, radius=3, shingle=3, seed=42)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is masked by its kind; n_chars follows."""
+    return pii.redacted(docs)
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed(docs, public_tokenizers.path(MERGES), capacity=1024, end_id=2)
 
@@ -38,6 +48,8 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 STAGES: list[tuple[str, Stage]] = [
     ("language_id", language_id),
     ("quality_rules", quality_rules),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("personal_data", personal_data),
     ("best_fit_packing", best_fit_packing),
 ]
 

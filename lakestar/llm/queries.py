@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestar.llm import bpe_codec, embedding_dedup, langid, packing, quality, simhash, token_count
+from lakestar.llm import bpe_codec, embedding_dedup, langid, license_scan, packing, pii, quality, simhash, token_count, warc
 from lakestar.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -18,6 +18,14 @@ def op1_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scanned(table(spark, sf_dir, "documents"))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scanned(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(MERGES), limit=1024)
 
@@ -42,14 +50,21 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), least=1000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_codec": op1_bpe_codec,
+    "op2_license_scan": op2_license_scan,
+    "op3_pii": op3_pii,
     "op4_token_counts": op4_token_counts,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
+    "op10_warc": op10_warc,
 }
 
 #: Statements only where SQL expresses the whole result.
