@@ -7,7 +7,7 @@ inverted index leads from fingerprints to places in templates; each offset
 between text and template that a hit shows is a candidate. A candidate is
 aligned within ``BAND`` words around its offset (matches score 2, mismatches and
 gaps cost 1, free ends), and reported if the matched words cover at least
-``COVERAGE`` of the template. A match inside the span of one with more matched
+``COVERAGE`` of the template (all of it in one run, if it is short). A match inside the span of one with more matched
 words is dropped, as a notice that is part of a longer text.
 
 Texts stream through tasks without a shuffle; the index is as large as the
@@ -34,6 +34,8 @@ GRAM = 3
 WINDOW = 3
 BAND = 12
 COVERAGE = 0.8
+#: Templates below this many words have to match whole and unbroken: one other word names another licence.
+SHORT = 20
 
 MATCH, MISS, GAP = 2, -1, -1
 
@@ -115,13 +117,14 @@ class Index:
         found: list[Match] = []
         for t, offset in self.candidates(ids):
             pattern = self.texts[t]
-            needed = COVERAGE * len(pattern)
+            short = len(pattern) < SHORT
+            needed = len(pattern) * (1 if short else COVERAGE)
             # too few of the template's words in reach: no alignment can cover it
             reach = ids[max(0, offset - BAND) : offset + len(pattern) + BAND]
             if self.has[t][reach].sum() < needed:
                 continue
             matched, start, end = align(pattern, ids, offset)
-            if matched >= needed:
+            if matched >= needed and not (short and end - start > matched):
                 found.append(Match(self.names[t], matched / len(pattern), matched, start, end))
         found.sort(key=lambda m: (-m.matched, -m.coverage, m.license, m.start))
         best: list[Match] = []

@@ -45,7 +45,7 @@ _DIGITS = re.compile(r"[0-9]+")
 _SCHEME_TAIL = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*\Z")
 _USER = re.compile(r"[^\s/?#@\"'<>]+:[^\s/?#@\"'<>]+(?=@[A-Za-z0-9\[])")
 _LINK_TARGET = re.compile(r"[A-Za-z0-9._%+@-]{3,}")
-_ASSIGNED = re.compile(r"(?: ?(?:number|no\.?|id))? ?[:=#] ?[\"']?([A-Za-z0-9_\-]{6,})", re.IGNORECASE)
+_ASSIGNED = re.compile(r"(?: ?(?:number|no\.?|id))? ?[:=#] ?[\"']?([A-Za-z0-9_\-]*)", re.IGNORECASE)
 _GROUPED = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{2,4}){3,8}")
 
 Span = tuple[int, int, str]
@@ -162,7 +162,7 @@ def _account(text: str, at: int, after: int, done: dict[str, int], spans: list[S
             spans.append((m.start(1), m.start(1) + len(value), "account"))
             done["account"] = m.start(1) + len(value)
             return
-    if sum(map(str.isdigit, m.group(1))) >= 3:
+    if len(m.group(1)) >= 6 and sum(map(str.isdigit, m.group(1))) >= 3:
         spans.append((*m.span(1), "account"))
         done["account"] = m.end(1)
 

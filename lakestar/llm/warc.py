@@ -247,7 +247,7 @@ class Packed(Entry):
             return self.offset + self.length
         while self.more():  # no skip-lengths: inflate to the member's end, keeping nothing
             self.known = self.known[:0]
-        return self.read_to - len(self.engine.unused_data) - len(self.input)
+        return self.read_to - len(self.engine.unused_data)
 
 
 class Plain(Entry):
