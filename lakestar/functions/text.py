@@ -61,7 +61,8 @@ def title_case(col: Column) -> Column:
 
     def title_token(t: Column) -> Column:
         first = F.substring(t, 1, 1)
-        rest = F.lower(t).substr(F.length(F.lower(first)) + F.lit(1), F.lit(1 << 30))
+        lower = F.lower(t)
+        rest = lower.substr(F.length(F.lower(first)) + F.lit(1), F.length(lower))
         return F.concat(_title_first(first), rest)
 
     return F.when(col.isNotNull(), F.concat_ws("", F.transform(tokens, title_token)))

@@ -40,7 +40,6 @@ def stage_ordered(df: DataFrame, order_cols: list[str], num_partitions: int | No
 
 
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-MAX_PARTITIONS = 1_000_000
 
 
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30,
@@ -55,21 +54,26 @@ def _parse_bytes(text: str) -> int:
     return int(m.group(1)) * _UNITS[m.group(2).lower()]
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df``; None when it is not known."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        unknown = _parse_bytes(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1)))
+    except Exception:  # noqa: BLE001 - estimate unavailable (e.g. remote session)
+        return None
+    return None if size >= unknown else size
+
+
 def target_partitions(df: DataFrame, bytes_per_partition: int = TARGET_PARTITION_BYTES) -> int:
     """Partition count for a full shuffle of ``df``: the optimizer's size
     estimate (file sizes for scans; no job runs) over the target partition
     size, and at least ``spark.sql.shuffle.partitions``. An unknown size (the
     optimizer's default estimate) falls back to that floor."""
-    spark = df.sparkSession
-    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        unknown = _parse_bytes(spark.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1)))
-    except Exception:  # noqa: BLE001 - estimate unavailable (e.g. remote session)
-        return floor
-    if size >= unknown:
+    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = estimated_bytes(df)
+    if size is None:
         return floor
-    return int(min(MAX_PARTITIONS, max(floor, -(-size // bytes_per_partition))))
+    return int(max(floor, -(-size // bytes_per_partition)))
 
 
 def local_position() -> Column:
