@@ -6,4 +6,4 @@ expressions; marts, data-quality checks and text operators run as DataFrame
 jobs on top of the written gold tables.
 """
 
-__all__ = ["functions", "operators", "sources", "plans", "streaming"]
+__all__ = ["functions", "operators", "sources", "plans"]

@@ -18,7 +18,7 @@ from lakestar.operators.dedup import keep_first
 from lakestar.oracle import R2, STABLE_KEY, STRIP, TITLE, WS, q, with_pipeline
 from lakestar.plans import assistant, marts, silver
 from lakestar.plans import registry as reg
-from lakestar.plans.warehouse import bronze_from_landing, numbered_ledger, rebuild_comparison, testdata_warehouse
+from lakestar.plans.warehouse import bronze_from_landing, ledger_state, numbered_ledger, rebuild_comparison, testdata_warehouse
 from lakestar.sources import readers, testmap
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,11 @@ def gold_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return testdata_warehouse(spark, sf_dir).tables(spark)
 
 
+def public_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    tables = gold_tables(spark, sf_dir)
+    return {t: tables[t] for t in marts.list_tables(tables)}
+
+
 def _mart(fn, *args):
     return lambda spark, sf_dir: fn(gold_tables(spark, sf_dir), *args)
 
@@ -152,10 +157,10 @@ def bronze(spark: SparkSession, sf_dir: str):
 
 
 register("dim_customers", with_pipeline("SELECT * FROM g_dim_customers"))(
-    lambda spark, sf_dir: silver.dim_customers(bronze(spark, sf_dir).customers)
+    lambda spark, sf_dir: silver.dim_customers(bronze(spark, sf_dir).customers, ["row_no"])
 )
 register("dim_products", with_pipeline("SELECT * FROM g_dim_products"))(
-    lambda spark, sf_dir: silver.dim_products(bronze(spark, sf_dir).products)
+    lambda spark, sf_dir: silver.dim_products(bronze(spark, sf_dir).products, ["row_no"])
 )
 register("dim_stores", with_pipeline("SELECT * FROM g_dim_stores"))(
     lambda spark, sf_dir: silver.dim_stores(bronze(spark, sf_dir).stores)
@@ -254,17 +259,8 @@ FROM g_all WHERE customer_key IS NULL OR time_key IS NULL"""))(
 
 
 def _transaction_ids(spark, sf_dir):
-    from lakestar.operators.numbering import number_rows, partition_offsets
-
-    wh = testdata_warehouse(spark, sf_dir)
-    led = numbered_ledger(spark, sf_dir)
-    offsets = None
-    if wh.summary is not None:
-        offsets = partition_offsets(silver.summary_partitions(wh.summary), "n_kept")
-    kept = number_rows(led, "sales_key", where=silver.keep_condition(), offsets=offsets)
-    pruned = led.where(~silver.keep_condition()).withColumn("sales_key", F.lit(None).cast("long"))
-    cols = [txn_id(F.col("_txn")).alias("transaction_id"), "sales_key", *_LEDGER_KEYS]
-    return kept.select(*cols).unionByName(pruned.select(*cols))
+    rows = silver.ledger_keys(*ledger_state(spark, sf_dir))
+    return rows.select(txn_id(F.col("_txn")).alias("transaction_id"), "sales_key", *_LEDGER_KEYS)
 
 
 register("transaction_ids", with_pipeline(f"""
@@ -274,19 +270,11 @@ FROM g_all a JOIN g_ledger l ON a.seq = l.seq LEFT JOIN g_fact f ON f.transactio
 )
 
 
-def _dedup_first(spark, sf_dir):
-    c = bronze(spark, sf_dir).customers
-    parity = F.pmod(F.col("customer_id"), F.lit(2))
-    originals = c.withColumn("_rank", parity)
-    copies = c.withColumn("customer_name", F.concat(F.col("customer_name"), F.lit(" (copy)"))).withColumn(
-        "_rank", F.lit(1) - parity
-    )
-    return keep_first(originals.unionByName(copies), ["customer_id"], ["_rank"]).drop("_rank")
-
-
 register("dedup_first", with_pipeline("""
-SELECT customer_id, CASE WHEN customer_id % 2 = 0 THEN customer_name ELSE customer_name || ' (copy)' END AS customer_name,
-       email, country, membership_tier FROM bz_customers"""))(_dedup_first)
+SELECT customer_id, customer_name, email, country, membership_tier FROM bz_customers
+QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY row_no) = 1"""))(
+    lambda spark, sf_dir: keep_first(bronze(spark, sf_dir).customers, ["customer_id"], ["row_no"]).drop("row_no")
+)
 
 # --- A: sources -------------------------------------------------------------------
 
@@ -299,6 +287,19 @@ register("src_products", with_pipeline("SELECT * FROM bz_products"))(
 )
 register("src_sales", with_pipeline("SELECT * FROM bz_sales"))(lambda spark, sf_dir: bronze(spark, sf_dir).sales)
 
+_QUOTED = f"list_extract([{', '.join(q(x) for x in testmap.QUOTED_PRODUCTS)}], (p_partkey % {len(testmap.QUOTED_PRODUCTS)}) + 1)"
+_NUMBER = f"list_extract([{', '.join(q(x) for x in testmap.MISSING_NUMBERS)}], (p_partkey % {len(testmap.MISSING_NUMBERS)}) + 1)"
+register("src_sales_quoted", f"""
+SELECT p_partkey::BIGINT AS p_partkey, CASE WHEN p_partkey % 4 <> 0 THEN '2024-02-03' END AS "Date", p_type AS "Country",
+       CASE WHEN {_QUOTED} NOT IN ('NA', 'n/a') THEN replace({_QUOTED}, '{{k}}', p_partkey::VARCHAR) END AS "Product",
+       TRY_CAST({_NUMBER} AS DOUBLE) AS "Order_Quantity",
+       CASE WHEN p_partkey % 3 = 0 AND {_NUMBER} IN ('1.5', '2') THEN {_NUMBER}::DOUBLE END AS "Unit_Price"
+FROM part""".replace(f"TRY_CAST({_NUMBER} AS DOUBLE)", f"CASE WHEN {_NUMBER} IN ('1.5', '2') THEN {_NUMBER}::DOUBLE END"))(
+    lambda spark, sf_dir: readers.read_ledger(
+        spark, testdata_warehouse(spark, sf_dir).landing["ledger_quoted"], {"p_partkey": "long"}, multi_line=True
+    )
+)
+
 _EXTRACT_SQL = f"""
 bz_extract AS (
   SELECT c.c_custkey::BIGINT AS "Row ID",
@@ -323,10 +324,11 @@ _COUNTRIES = "[" + ", ".join(q(c) for c in reg.COUNTRIES) + "]"
 _TIER_CASE = "CASE seg " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in reg.SEGMENT_TIERS.items()) + f" ELSE {q(reg.DEFAULT_TIER)} END"
 _WS_SPLIT = "[\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+"
 _REGISTRY_CTES = f"""{_EXTRACT_SQL.strip()},
+bz_positioned AS (SELECT *, row_number() OVER (ORDER BY "Row ID") - 1 AS pos FROM bz_extract),
 r_uniq AS (
-  SELECT "Row ID" AS pos, {STRIP('coalesce("Customer Name", ' + q(reg.MISSING_TEXT) + ')')} AS nm,
+  SELECT pos, {STRIP('coalesce("Customer Name", ' + q(reg.MISSING_TEXT) + ')')} AS nm,
          {STRIP('coalesce("Customer Segment", ' + q(reg.MISSING_TEXT) + ')')} AS seg
-  FROM bz_extract QUALIFY row_number() OVER (PARTITION BY "Customer Name" ORDER BY "Row ID") = 1),
+  FROM bz_positioned QUALIFY row_number() OVER (PARTITION BY "Customer Name" ORDER BY pos) = 1),
 r_tok AS (
   SELECT *, string_split_regex(nm, '{_WS_SPLIT}') AS parts FROM r_uniq),
 r_named AS (
@@ -348,13 +350,13 @@ r_stores AS (
   SELECT row_number() OVER (ORDER BY pos) AS store_id,
          {q(reg.STORE_PREFIX)} || {STRIP('"City"')} AS store_name, {STRIP('"City"')} AS city, {STRIP('"State"')} AS state,
          list_extract({_COUNTRIES}, (pos % {len(reg.COUNTRIES)}) + 1) AS country
-  FROM (SELECT "Row ID" AS pos, "City", "State" FROM bz_extract
-        QUALIFY row_number() OVER (PARTITION BY "City", "State" ORDER BY "Row ID") = 1
-        ORDER BY pos LIMIT {reg.MAX_STORES}))"""
+  FROM (SELECT pos, "City", "State" FROM bz_positioned
+        QUALIFY row_number() OVER (PARTITION BY "City", "State" ORDER BY pos) = 1))"""
 
 
 def _registry(spark, sf_dir):
-    return reg.build_registry(_extract(spark, sf_dir), testmap.EXTRACT_POSITION)
+    # without its position column: the place in the files counts
+    return reg.build_registry(readers.read_orders_extract(spark, testdata_warehouse(spark, sf_dir).landing["orders_extract"]))
 
 
 register("registry_customers", f"""WITH {_REGISTRY_CTES}
@@ -368,6 +370,14 @@ register("registry_emails", f"""WITH {_REGISTRY_CTES}
 SELECT pos, customer_name, base_email, email, suffixed FROM r_customers""")(
     lambda spark, sf_dir: _registry(spark, sf_dir).emails.select("pos", "customer_name", "base_email", "email", "suffixed")
 )
+_G, _P1, _P2 = "(c_custkey // 5)", "(c_custkey // 5 * 5 + 1)", "(c_custkey // 5 * 5 + 2)"
+register("registry_email_chain", f"""
+SELECT c_custkey::BIGINT AS pos, c_custkey % 5 IN (1, 2, 3) AS suffixed,
+       'g' || {_G} || CASE c_custkey % 5 WHEN 0 THEN '.lee' WHEN 1 THEN '.lee' || {_P1} WHEN 2 THEN '.lee' || {_P1} || {_P2}
+         WHEN 3 THEN '.lee' || {_P1} || {_P2} || (c_custkey // 5 * 5 + 3) ELSE '.other' END || {q(reg.EMAIL_DOMAIN)} AS email
+FROM customer""")(
+    lambda spark, sf_dir: reg.registry_emails(testmap.chained_names(spark, sf_dir)).select("pos", "suffixed", "email")
+)
 register("segment_tier", f"""WITH {_EXTRACT_SQL.strip()}
 SELECT "Row ID", "Customer Segment",
        CASE {STRIP('"Customer Segment"')} {' '.join(f'WHEN {q(k)} THEN {q(v)}' for k, v in reg.SEGMENT_TIERS.items())} ELSE {q(reg.DEFAULT_TIER)} END AS membership_tier
@@ -395,6 +405,7 @@ _STAGE_SQL = {
     "filled_quantity": "SELECT count(*) FROM g_conformed WHERE filled_quantity",
     "filled_price": "SELECT count(*) FROM g_conformed WHERE filled_price",
     "fact_sales": "SELECT count(*) FROM g_fact",
+    "quarantined": "SELECT count(*) FROM g_ledger WHERE d IS NULL AND \"Date\" IS NOT NULL",
 }
 register("stage_row_counts", with_pipeline(
     "\nUNION ALL\n".join(f"SELECT {q(k)} AS stage, ({v})::BIGINT AS rows" for k, v in _STAGE_SQL.items())
@@ -403,7 +414,7 @@ register("stage_row_counts", with_pipeline(
 _GOLD_CTE = {t: f"g_{t}" if t != "fact_sales" else "g_fact" for t in schemas.GOLD_COLUMNS}
 
 register("rebuild_is_identical", with_pipeline("\nUNION ALL\n".join(
-    f"SELECT {q(t)} AS table_name, count(*)::BIGINT AS rows, 0::BIGINT AS differing_rows FROM {c}"
+    f"SELECT {q(t)} AS table_name, count(*)::BIGINT AS rows, TRUE AS identical FROM {c}"
     for t, c in sorted(_GOLD_CTE.items())
 )))(lambda spark, sf_dir: rebuild_comparison(spark, sf_dir))
 
@@ -424,9 +435,9 @@ register("pk_violations", with_pipeline("\nUNION ALL\n".join(
     + [_pk_sql("registry_customers", "r_customers", "email")]
 ), extra_ctes=_REGISTRY_CTES))(
     lambda spark, sf_dir: quality.key_violations(
-        [(t, df, schemas.GOLD_KEYS[t]) for t, df in gold_tables(spark, sf_dir).items()]
+        [(t, df, schemas.GOLD_KEYS[t]) for t, df in public_tables(spark, sf_dir).items() if t != "fact_sales"]
         + [("registry_customers", _registry(spark, sf_dir).customers, "email")]
-    )
+    ).unionByName(quality.dense_key_violations("fact_sales", gold_tables(spark, sf_dir)["fact_sales"], schemas.GOLD_KEYS["fact_sales"]))
 )
 
 register("null_violations", with_pipeline("\nUNION ALL\n".join(
@@ -434,7 +445,7 @@ register("null_violations", with_pipeline("\nUNION ALL\n".join(
     for t in schemas.GOLD_COLUMNS for c in schemas.GOLD_COLUMNS[t]
 )))(
     lambda spark, sf_dir: quality.null_violations(
-        [(t, df, schemas.GOLD_COLUMNS[t]) for t, df in gold_tables(spark, sf_dir).items()]
+        [(t, df, schemas.GOLD_COLUMNS[t]) for t, df in public_tables(spark, sf_dir).items()]
     )
 )
 
@@ -460,6 +471,37 @@ register("length_violations", with_pipeline("\nUNION ALL\n".join(
     ))(bronze(spark, sf_dir))
 )
 
+
+def _faults(spark, sf_dir):
+    """Copies of the tables with faults put in: repeated and missing keys, nulls, orphans, long texts."""
+    t = gold_tables(spark, sf_dir)
+    c, p, f = t["dim_customers"], t["dim_products"], t["fact_sales"]
+    repeated = c.unionByName(c.where("customer_key % 10 = 0")).unionByName(c.where("customer_key % 20 = 0").withColumn("customer_key", F.lit(None).cast("long")))
+    again = f.unionByName(f.where("sales_key % 50 = 0"))
+    nulls = p.withColumn("category", F.when(F.col("product_key") % 7 != 0, F.col("category")))
+    orphans = f.withColumn("customer_key", F.when(F.col("sales_key") % 100 == 0, -F.col("sales_key")).otherwise(F.col("customer_key")))
+    long = c.withColumn("country", F.when(F.col("customer_key") % 3 == 0, F.repeat(F.lit("x"), 51)).otherwise(F.col("country")))
+    keys = quality.key_violations([("dim_customers", repeated, "customer_key")]).unionByName(quality.dense_key_violations("fact_sales", again, "sales_key"))
+    return (
+        keys.select(F.concat("table_name", F.lit(".keys")).alias("fault"), "duplicate_keys", "surplus_rows")
+        .unionByName(quality.null_violations([("dim_products", nulls, ["category"])]).select(F.lit("null").alias("fault"), F.lit(0).cast("long").alias("duplicate_keys"), F.col("null_rows").alias("surplus_rows")))
+        .unionByName(
+            quality.fk_violations(orphans, [("customer_key", c, "dim_customers")]).select(F.lit("orphan").alias("fault"), F.col("orphan_keys").alias("duplicate_keys"), F.col("orphan_rows").alias("surplus_rows"))
+        )
+        .unionByName(
+            quality.length_violations([("customers", long, {"country": 50})]).select(F.lit("length").alias("fault"), F.lit(0).cast("long").alias("duplicate_keys"), F.col("violations").alias("surplus_rows"))
+        )
+    )
+
+
+register("constraint_faults", with_pipeline("""
+SELECT 'dim_customers.keys' AS fault, count(*) FILTER (WHERE customer_key % 10 = 0) + (count(*) FILTER (WHERE customer_key % 20 = 0) > 0)::BIGINT AS duplicate_keys,
+       count(*) FILTER (WHERE customer_key % 10 = 0) + greatest(count(*) FILTER (WHERE customer_key % 20 = 0) - 1, 0) AS surplus_rows FROM g_dim_customers
+UNION ALL SELECT 'fact_sales.keys', count(*), count(*) FROM g_fact WHERE sales_key % 50 = 0
+UNION ALL SELECT 'null', 0, count(*) FROM g_dim_products WHERE product_key % 7 = 0
+UNION ALL SELECT 'orphan', count(*), count(*) FROM g_fact WHERE sales_key % 100 = 0
+UNION ALL SELECT 'length', 0, count(*) FROM g_dim_customers WHERE customer_key % 3 = 0"""))(_faults)
+
 # --- K: text operators over tables of statements / questions / replies ----------
 
 
@@ -507,9 +549,17 @@ _INTENT_CASE = (
 register("route_questions", f"""
 WITH qs AS ({_text_source_sql(testmap.QUESTION_TEMPLATES)})
 SELECT src, k1, k2, {_INTENT_CASE} AS intent FROM (SELECT src, k1, k2, lower(text) AS p FROM qs)""")(
-    lambda spark, sf_dir: assistant.answer_batch(
-        testmap.questions(spark, sf_dir), "text", gold_tables(spark, sf_dir)
-    ).routed.select("src", "k1", "k2", "intent")
+    lambda spark, sf_dir: guard.with_intent(testmap.questions(spark, sf_dir), "text").select("src", "k1", "k2", "intent")
+)
+
+_SQL_CASE = "CASE intent " + " ".join(f"WHEN {q(i)} THEN {q(s)}" for i, s in marts.INTENT_SQL.items()) + " END"
+register("answer_records", f"""
+WITH qs AS ({_text_source_sql(testmap.QUESTION_TEMPLATES)}),
+i AS (SELECT src, k1, k2, text AS question, {_INTENT_CASE} AS intent FROM (SELECT *, lower(text) AS p FROM qs))
+SELECT src, k1, k2, question, intent, {_SQL_CASE} AS sql, TRUE AS success, NULL::VARCHAR AS error FROM i""")(
+    lambda spark, sf_dir: assistant.answer_records(testmap.questions(spark, sf_dir), "text").select(
+        "src", "k1", "k2", F.col("text").alias("question"), "intent", "sql", "success", "error"
+    )
 )
 
 _FENCE = f"(?s){guard.FENCE_OPEN}{WS}*(.*?){WS}*{guard.FENCE_CLOSE}"
@@ -525,7 +575,7 @@ SELECT src, k1, k2, {STRIP(f"regexp_replace(picked, {q(guard.FENCE_OPEN + '|' +
 
 SANDBOX_DEFAULT_SQL = (
     "SELECT f.*, p.product_name, p.category, p.unit_price AS product_unit_price, p.unit_cost "
-    "FROM Fact_Sales f JOIN Dim_Products p ON f.product_key = p.product_key ORDER BY f.sales_key LIMIT 10"
+    "FROM Fact_Sales f JOIN Dim_Products p ON f.product_key = p.product_key WHERE f.sales_key <= 10 ORDER BY f.sales_key"
 )
 
 

@@ -142,8 +142,8 @@ _SANDBOX_RULES = [
 def sandbox_violation(col: Column) -> Column:
     """Name of the first added sandbox rule a statement breaks, else NULL.
 
-    Text checks are not a sandbox; run ad-hoc SQL with a least-privilege
-    catalog as well.
+    Text checks are not a sandbox: the assistant also checks the analysed plan
+    and refuses paths as table names.
     """
     u = bmp_word_view(F.upper(py_strip(col)))
     return F.coalesce(*[F.when(u.rlike(p), F.lit(name)) for name, p in _SANDBOX_RULES])

@@ -30,6 +30,12 @@ PID = "__pid"
 _POS = "__pos"
 
 
+def stage_in_place(df: DataFrame) -> DataFrame:
+    """Checkpoint rows that are already in the order of their files, without any exchange."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def stage_ordered(df: DataFrame, order_cols: list[str], num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     checkpoint_dir(spark)
@@ -96,23 +102,52 @@ def partition_offsets(counts: DataFrame, count_col: str = "n") -> DataFrame:
     return counts.select(PID, F.coalesce(F.sum(count_col).over(before), F.lit(0)).cast("long").alias("__off"))
 
 
+def run_offsets(runs: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """Offsets of runs of rows that are in order within a partition.
+
+    ``runs`` has a row for each run: ``key`` (with the partition id), its rows
+    ``n``, its kept rows ``n_kept`` and the position ``first`` of its first row
+    in the partition. ``order`` sorts the runs of all partitions. The result
+    (key, __off_all, __off_kept) turns a row's position in its partition,
+    before and after the rows that are not kept went, into its place in the
+    whole. Its size is that of ``runs``: partitions, or splits of files.
+    """
+    earlier = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(PID).orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+
+    def before(column: str, window) -> Column:
+        return F.coalesce(F.sum(column).over(window), F.lit(0))
+
+    return runs.select(
+        *key,
+        (before("n", earlier) - F.col("first")).cast("long").alias("__off_all"),
+        (before("n_kept", earlier) - before("n_kept", inside)).cast("long").alias("__off_kept"),
+    )
+
+
 def number_rows(
     staged: DataFrame,
     out_col: str,
     where: Column | None = None,
     start: int = 1,
-    offsets: DataFrame | None = None,
 ) -> DataFrame:
     """Append ``out_col`` = position (from ``start``) in partition/row order.
 
     ``staged`` must come from ``stage_ordered`` (or be a narrow transformation
     of it). With ``where`` only the matching rows are kept and numbered.
-    ``offsets`` (from ``partition_offsets`` over the matching rows) saves the
-    counting pass when the caller already has the counts.
     """
     rows = staged if where is None else staged.where(where)
     located = rows.withColumn(PID, F.spark_partition_id()).withColumn(_POS, local_position())
-    if offsets is None:
-        offsets = partition_offsets(partition_counts(rows))
-    numbered = located.join(F.broadcast(offsets), PID, "inner")
+    numbered = located.join(F.broadcast(partition_offsets(partition_counts(rows))), PID, "inner")
     return numbered.withColumn(out_col, F.col(_POS) + F.col("__off") + F.lit(start)).drop(PID, _POS, "__off")
+
+
+def number_in_file_order(df: DataFrame, file_position: list[str], out_col: str, start: int = 0) -> DataFrame:
+    """Number rows read with file positions by (file, place in the file), without an exchange of the rows."""
+    staged = stage_in_place(df)
+    key = [PID, *file_position[:2]]
+    located = staged.withColumn(PID, F.spark_partition_id()).withColumn(_POS, local_position())
+    runs = located.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.count(F.lit(1)).alias("n_kept"), F.min(_POS).alias("first"))
+    offsets = run_offsets(runs, key, file_position[:2])
+    numbered = located.join(F.broadcast(offsets), key, "inner")
+    return numbered.withColumn(out_col, F.col(_POS) + F.col("__off_all") + F.lit(start)).drop(PID, _POS, "__off_all", "__off_kept", *file_position)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestar.operators.lookup import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
+from lakestar.session import checkpoint_dir
 
 # ---------------------------------------------------------------------------
 # Maximum text lengths declared by the registry DDL.
@@ -39,6 +40,34 @@ def key_violations(tables: list[tuple[str, DataFrame, str]]) -> DataFrame:
     return _union(frames)
 
 
+def dense_key_surplus(df: DataFrame, key: str) -> DataFrame:
+    """Rows beyond the first of a dense long key, and values missing below the greatest.
+
+    A bitmap per 32,768 neighbouring values is built on the map side, so a few
+    kilobytes per bucket and task are shuffled instead of every key.
+    """
+    k = F.col(key)
+    buckets = df.where(k.isNotNull()).groupBy(F.bitmap_bucket_number(k).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(k).alias("top"), F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(k))).alias("different")
+    )
+    total = buckets.agg(F.sum("n").alias("n"), F.sum("different").alias("different"), F.max("top").alias("top"))
+    return total.select(
+        F.lit(key).alias("key_column"),
+        F.coalesce(F.col("n") - F.col("different"), F.lit(0)).cast("long").alias("surplus_rows"),
+        F.coalesce(F.col("top") - F.col("different"), F.lit(0)).cast("long").alias("missing_keys"),
+    )
+
+
+def dense_key_violations(name: str, df: DataFrame, key: str) -> DataFrame:
+    """The row of ``key_violations`` for a dense long key: the bitmaps are
+    counted first, and only a key that they find repeated is grouped in full."""
+    found = dense_key_surplus(df, key).first()  # one row
+    nulls = df.where(F.col(key).isNull()).limit(1).count()
+    if found["surplus_rows"] or nulls:
+        return key_violations([(name, df, key)])
+    return df.sparkSession.createDataFrame([(name, key, 0, 0)], "table_name string, key_column string, duplicate_keys long, surplus_rows long")
+
+
 def null_violations(tables: list[tuple[str, DataFrame, list[str]]]) -> DataFrame:
     """Per (table, column): rows holding NULL in a NOT NULL column. One
     aggregate pass per table, unpivoted with ``stack``."""
@@ -60,21 +89,24 @@ def fk_violations(
 ) -> DataFrame:
     """Per foreign key: fact rows whose key has no match in the dimension.
 
-    The fact is first reduced to (key, rows) with a map-side combined
-    aggregate, so the anti join sees one row per distinct key, not the fact.
-    The dimension's key set is broadcast only when its row count (given in
-    ``known_rows`` or measured) is within ``max_broadcast_rows``.
+    One pass over the fact with a grouping set for each key reduces it to
+    (key, rows), combined on the map side. Its checkpoint serves all keys; the
+    anti joins see one row per distinct key. A dimension's keys are broadcast
+    only if their number (given in ``known_rows``, or measured) is within
+    ``max_broadcast_rows``.
     """
+    keys = [fk for fk, _, _ in refs]
+    used = fact.groupingSets([[k] for k in keys], *keys).agg(
+        *[F.grouping(k).alias(f"__no_{k}") for k in keys], F.count(F.lit(1)).alias("n")
+    )
+    checkpoint_dir(fact.sparkSession)
+    used = used.checkpoint(eager=True)
     frames = []
     for fk, dim, dim_name in refs:
-        used = fact.groupBy(F.col(fk).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+        mine = used.where(F.col(f"__no_{fk}") == 0).select(F.col(fk).alias("k"), "n")
         dim_keys = dim.select(F.col(fk).alias("k")).distinct()
-        if known_rows and dim_name in known_rows:
-            small = known_rows[dim_name] <= max_broadcast_rows
-            keys = F.broadcast(dim_keys) if small else dim_keys
-        else:
-            keys, _ = broadcast_if_small(dim_keys, max_broadcast_rows)
-        orphans = used.join(keys, "k", "left_anti")
+        dim_keys, _ = broadcast_if_small(dim_keys, max_broadcast_rows, rows_at_most=(known_rows or {}).get(dim_name))
+        orphans = mine.join(dim_keys, "k", "left_anti")
         frames.append(
             orphans.agg(
                 F.count(F.lit(1)).alias("orphan_keys"),

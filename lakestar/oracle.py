@@ -59,30 +59,46 @@ def _tier_case(col: str) -> str:
     return f"CASE {col} {whens} END"
 
 
+def _unless(rule: tuple[int, int], value: str) -> str:
+    return f"CASE WHEN l.l_orderkey % {rule[0]} <> {rule[1]} THEN {value} END"
+
+
+def _twice(once: str, key: str, remainder: int, changed: str) -> str:
+    """All rows with row_no, and copies of some before or after their originals."""
+    return (
+        f"SELECT *, 2 * {key} + 1 AS row_no FROM {once} UNION ALL BY NAME "
+        f"SELECT * REPLACE ({changed}), CASE WHEN {key} % 2 = 0 THEN 2 * {key} + 2 ELSE 2 * {key} END AS row_no "
+        f"FROM {once} WHERE {key} % {testmap.TWICE_EVERY} = {remainder}"
+    )
+
+
 _ORDER = ", ".join(testmap.LEDGER_ORDER)
 
 
 def pipeline_ctes() -> str:
     return f"""
-bz_customers AS (
+bz_customers_once AS (
   SELECT c.c_custkey::BIGINT AS customer_id, '  ' || c.c_name || ' ' AS customer_name,
          upper(c.c_name) || '@X.COM' AS email,
          CASE WHEN c.c_nationkey < {testmap.CUSTOMER_NATIONS_BELOW} THEN n.n_name
               ELSE n.n_name || {q(testmap.CLOSED_SUFFIX)} END AS country,
          {_tier_case('c.c_mktsegment')} AS membership_tier
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
+bz_customers AS ({_twice('bz_customers_once', 'customer_id', testmap.TWICE_CUSTOMER, f"customer_name || {q(testmap.COPY_SUFFIX)} AS customer_name")}),
 bz_stores AS (
   SELECT (s.s_suppkey + 1)::BIGINT AS store_id, s.s_name AS store_name, n.n_name AS city,
          r.r_name AS state,
          CASE WHEN s.s_nationkey < {testmap.STORE_NATIONS_BELOW} OR s.s_suppkey = {testmap.DEFAULT_STORE_SUPPLIER}
               THEN {TITLE('n.n_name')} ELSE lower(n.n_name) END AS country
   FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
-bz_products AS (
+bz_products_once AS (
   SELECT (p_partkey + 1)::BIGINT AS id, p_name AS title, p_retailprice::DOUBLE AS price, p_type AS category FROM part),
+bz_products AS ({_twice('bz_products_once', 'id', testmap.TWICE_PRODUCT, f"title || {q(testmap.COPY_SUFFIX)} AS title, price + 1 AS price")}),
 bz_sales AS (
-  SELECT strftime(o.o_orderdate, '%Y-%m-%d') AS "Date", n.n_name AS "Country", p.p_name AS "Product",
+  SELECT {_unless(testmap.NULL_DATE, "strftime(o.o_orderdate, '%Y-%m-%d')")} AS "Date", {_unless(testmap.NULL_COUNTRY, 'n.n_name')} AS "Country",
+         {_unless(testmap.NULL_PRODUCT, 'p.p_name')} AS "Product",
          CASE WHEN l.l_quantity <> {testmap.NULL_QUANTITY} THEN l.l_quantity END AS "Order_Quantity",
-         {HE2('l.l_extendedprice / l.l_quantity')} AS "Unit_Price",
+         {_unless(testmap.NULL_PRICE, HE2('l.l_extendedprice / l.l_quantity'))} AS "Unit_Price",
          l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN part p ON l.l_partkey = p.p_partkey),
@@ -90,12 +106,12 @@ g_dim_customers AS (
   SELECT customer_id AS customer_key, {TITLE(STRIP('customer_name'))} AS customer_name,
          lower({STRIP('email')}) AS email, {TITLE(STRIP('country'))} AS country, membership_tier
   FROM bz_customers
-  QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY customer_name, email, country, membership_tier) = 1),
+  QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY row_no) = 1),
 g_dim_products AS (
   SELECT id AS product_key, {STRIP('title')} AS product_name, {TITLE(STRIP('category'))} AS category,
          price AS unit_price, {HE2(f'price * {silver.UNIT_COST_RATIO}::DOUBLE')} AS unit_cost
   FROM bz_products
-  QUALIFY row_number() OVER (PARTITION BY id ORDER BY title, price, category) = 1),
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY row_no) = 1),
 g_dim_stores AS (
   SELECT store_id AS store_key, store_name, city, state, country FROM bz_stores),
 g_ledger AS (

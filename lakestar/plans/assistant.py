@@ -9,13 +9,13 @@ keyword/prefix guard and the Spark-specific rules.
 
 from __future__ import annotations
 
-import re
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestar.functions.guard import extract_sql_block, guard_reason, sandbox_violation, with_intent
+from lakestar.functions.guard import extract_sql_block, guard_reason, sandbox_violation, with_intent, with_sql_guard
 from lakestar.plans import marts
 
 
@@ -32,6 +32,17 @@ def answer_batch(questions: DataFrame, col: str, tables: dict[str, DataFrame]) -
     return BatchAnswer(routed, {i: marts.INTENT_MARTS[i](tables) for i in sorted(present)})
 
 
+def answer_records(questions: DataFrame, col: str) -> DataFrame:
+    """The questions with the record of their answer: intent, statement, and
+    whether the guard lets it run (``success``, else ``error``). One expression
+    over the column; the statement of an intent is a fixed text."""
+    routed = with_intent(questions, col)
+    statements = F.create_map(*[F.lit(x) for kv in marts.INTENT_SQL.items() for x in kv])
+    stated = routed.withColumn("sql", F.element_at(statements, F.col("intent")))
+    judged = with_sql_guard(stated, "sql", "success", "error")
+    return judged.withColumn("error", F.when(~F.col("success"), F.col("error")))
+
+
 @dataclass
 class SandboxResult:
     success: bool
@@ -59,25 +70,93 @@ def check_statement(spark: SparkSession, sql: str) -> str | None:
     return None
 
 
-# Plan nodes a read-only statement never contains: reflection calls, external
-# scripts, and commands (DDL/DML and other side effects).
-_PLAN_MARKERS = re.compile(
-    r"\b(ScriptTransformation|\w+Command|(?:try_reflect|reflect|java_method)(?=\())", re.IGNORECASE
-)
+_COMMAND = "org.apache.spark.sql.catalyst.plans.logical.Command"
+_REFLECTION = ("CallMethodViaReflection", "TryReflect")
+_SUBQUERIES = ("ScalarSubquery", "ListQuery", "Exists", "LateralSubquery", "FunctionTableSubqueryArgumentExpression")
+# leaves that read nothing
+_CONSTANT_LEAVES = ("LocalRelation", "OneRowRelation", "CTERelationRef", "Range", "EmptyRelation")
+
+
+def _items(seq):
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def _expressions(node):
+    stack = _items(node.expressions())
+    while stack:
+        e = stack.pop()
+        yield e
+        stack.extend(_items(e.children()))
+
+
+def _nodes(plan):
+    """Nodes of a logical plan, those of its subqueries included."""
+    stack = [plan]
+    while stack:
+        node = stack.pop()
+        yield node
+        stack.extend(_items(node.children()))
+        for e in _expressions(node):
+            if e.getClass().getSimpleName() in _SUBQUERIES:
+                stack.append(e.plan())
+
 
+def _roots(leaf) -> frozenset[str]:
+    """Paths that a file relation reads; nothing for any other leaf."""
+    if leaf.getClass().getSimpleName() != "LogicalRelation":
+        return frozenset()
+    relation = leaf.relation()
+    if relation.getClass().getSimpleName() != "HadoopFsRelation":
+        return frozenset()
+    return frozenset(p.toString() for p in _items(relation.location().rootPaths()))
 
-def plan_violation(spark: SparkSession, sql: str) -> str | None:
-    """Second line behind the text rules: analyse the statement with
-    ``EXPLAIN EXTENDED`` (which does not execute it) and look for plan nodes
-    a read-only query cannot have. Statements that fail analysis are left to
-    the execution step, which reports the error."""
+
+def table_roots(tables: dict[str, DataFrame]) -> frozenset[str]:
+    """Paths of the version's own tables."""
+    return frozenset(r for df in tables.values() for leaf in _items(df._jdf.queryExecution().analyzed().collectLeaves()) for r in _roots(leaf))
+
+
+def analysed(spark: SparkSession, sql: str):
+    """The analysed plan of a statement; nothing is executed, commands neither."""
+    state = spark._jsparkSession.sessionState()
+    skip = spark.sparkContext._jvm.org.apache.spark.sql.execution.CommandExecutionMode.SKIP()
+    return state.executePlan(state.sqlParser().parsePlan(sql.strip().rstrip(";")), skip).analyzed()
+
+
+def plan_violation(spark: SparkSession, sql: str, allowed: frozenset[str]) -> str | None:
+    """Second line behind the text rules: the plan's node classes, not its
+    text. Commands, scripts and reflection are refused, and so is every leaf
+    that reads anything but the tables' own files. Statements that fail
+    analysis are left to the execution step, which reports the error."""
     try:
-        plan = spark.sql(f"EXPLAIN EXTENDED {sql.strip().rstrip(';')}").first()[0]
+        plan = analysed(spark, sql)
     except Exception:  # noqa: BLE001 - reported when the statement runs
         return None
-    analyzed = plan.split("== Analyzed Logical Plan ==")[-1].split("== Optimized Logical Plan ==")[0]
-    found = _PLAN_MARKERS.search(analyzed)
-    return found.group(1) if found else None
+    command = spark.sparkContext._jvm.java.lang.Class.forName(_COMMAND)
+    for node in _nodes(plan):
+        name = node.getClass().getSimpleName()
+        if command.isInstance(node) or name == "ScriptTransformation":
+            return name
+        for e in _expressions(node):
+            if e.getClass().getSimpleName() in _REFLECTION:
+                return e.getClass().getSimpleName()
+        if not node.children().size() and name not in _CONSTANT_LEAVES:
+            roots = _roots(node)
+            if not roots or not roots <= allowed:
+                return f"{name} outside the warehouse"
+    return None
+
+
+@contextmanager
+def _no_paths_as_tables(spark: SparkSession):
+    """Within, ``format.`path``` is no table name."""
+    key = "spark.sql.runSQLOnFiles"
+    before = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def run_sandbox(spark: SparkSession, tables: dict[str, DataFrame], sql: str, from_reply: bool = False) -> SandboxResult:
@@ -86,11 +165,14 @@ def run_sandbox(spark: SparkSession, tables: dict[str, DataFrame], sql: str, fro
     reason = check_statement(spark, sql)
     if reason:
         return SandboxResult(False, sql, None, reason)
-    register_views(tables)
-    node = plan_violation(spark, sql)
-    if node:
-        return SandboxResult(False, sql, None, f"Sandbox plan check blocked: {node}.")
-    try:
-        return SandboxResult(True, sql, spark.sql(sql.strip().rstrip(";")), None)
-    except Exception as exc:  # noqa: BLE001 - reported like the original
-        return SandboxResult(False, sql, None, str(exc))
+    own = {n: df for n, df in tables.items() if not n.startswith("_")}
+    register_views(own)
+    with _no_paths_as_tables(spark):
+        found = plan_violation(spark, sql, table_roots(own))
+        if found:
+            return SandboxResult(False, sql, None, f"Sandbox plan check blocked: {found}.")
+        try:
+            # analysis resolves all tables here; execution reads what it resolved
+            return SandboxResult(True, sql, spark.sql(sql.strip().rstrip(";")), None)
+        except Exception as exc:  # noqa: BLE001 - reported like the original
+            return SandboxResult(False, sql, None, str(exc))

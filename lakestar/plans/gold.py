@@ -5,17 +5,23 @@ modelled warehouse drops and recreates its tables on every run)."""
 from __future__ import annotations
 
 import json
+import re
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from lakestar import schemas
 from lakestar.operators import quality
+from lakestar.operators.numbering import target_partitions
 from lakestar.plans import silver
+from lakestar.session import checkpoint_dir
 
 CURRENT_POINTER = "_CURRENT"
 STAGE_COUNTS = "_stage_counts"
@@ -23,11 +29,18 @@ STAGE_COUNTS = "_stage_counts"
 
 @dataclass
 class Bronze:
+    """Source tables. The order columns give the rows of a source their order:
+    they number the ledger and decide which of several rows of a key is first
+    (without any, the smallest row is)."""
+
     customers: DataFrame
     stores: DataFrame
     products: DataFrame
     sales: DataFrame
     order_cols: list[str]
+    customer_order: list[str] | None = None
+    product_order: list[str] | None = None
+    dates: silver.DateRule = silver.DateRule()
 
 
 @dataclass
@@ -50,22 +63,42 @@ def _concurrently(jobs: list) -> list:
         return [f.result() for f in futures]
 
 
-def _observed_write(df: DataFrame, path: str, name: str, metrics: list) -> dict:
+def _observed_write(df: DataFrame, path: str, name: str, metrics: list, partition_by: list[str] | None = None) -> dict:
     obs = Observation(name)
-    df.observe(obs, *metrics).write.mode("overwrite").parquet(path)
+    df.observe(obs, *metrics).write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
     return obs.get
 
 
+#: Versions that a build leaves in the warehouse, the new one included.
+KEEP_VERSIONS = 3
+#: A build lock older than this belongs to a build that died.
+STALE_LOCK_SECONDS = 12 * 3600
+LOCK = "_BUILDING"
+MONTHS = "_months"
+QUARANTINE = "_quarantine"
+
+
 def build(
     spark: SparkSession,
     bronze: Bronze,
     warehouse_root: str,
     num_partitions: int | None = None,
-    check: bool = True,
+    keep_versions: int = KEEP_VERSIONS,
 ) -> BuildResult:
+    """Write a new version, check it, and switch to it. One build at a time
+    works on a warehouse; versions beyond ``keep_versions`` are deleted."""
+    root = warehouse_root.rstrip("/")
+    with _build_lock(spark, root):
+        result = _build(spark, bronze, root, num_partitions)
+        # switch: readers resolve the current version through this pointer
+        write_small_file(spark, f"{root}/{CURRENT_POINTER}", result.version_path.rsplit("/", 1)[-1] + "\n")
+        remove_old_versions(spark, root, keep_versions)
+    return result
+
+
+def _build(spark: SparkSession, bronze: Bronze, root: str, num_partitions: int | None) -> BuildResult:
     t0 = time.time()
-    version = f"v{int(t0 * 1000)}-{uuid.uuid4().hex[:8]}"
-    out = f"{warehouse_root.rstrip('/')}/{version}"
+    out = f"{root}/v{int(t0 * 1000)}-{uuid.uuid4().hex[:8]}"
     counts: dict[str, int] = {}
     timings: dict[str, float] = {}
     one = F.count(F.lit(1))
@@ -76,17 +109,17 @@ def build(
     # counted by their own small jobs, since an observation below the
     # keep-first shuffle would sit in a map stage that a lost executor can
     # make Spark recompute.
-    def write_dim(name, make, src):
-        m = _observed_write(make(src), f"{out}/dim_{name}", f"dim_{name}", [one.alias("n")])
+    def write_dim(name, df):
+        m = _observed_write(df, f"{out}/dim_{name}", f"dim_{name}", [one.alias("n")])
         return {f"dim_{name}": m["n"]}
 
     def count_bronze(name, src):
         return {f"bronze_{name}": src.count()}
 
     for part in _concurrently([
-        lambda: write_dim("customers", silver.dim_customers, bronze.customers),
-        lambda: write_dim("products", silver.dim_products, bronze.products),
-        lambda: write_dim("stores", silver.dim_stores, bronze.stores),
+        lambda: write_dim("customers", silver.dim_customers(bronze.customers, bronze.customer_order)),
+        lambda: write_dim("products", silver.dim_products(bronze.products, bronze.product_order)),
+        lambda: write_dim("stores", silver.dim_stores(bronze.stores)),
         lambda: count_bronze("customers", bronze.customers),
         lambda: count_bronze("products", bronze.products),
         lambda: count_bronze("stores", bronze.stores),
@@ -95,18 +128,17 @@ def build(
 
     timings["dims"] = time.time() - t0
     dim_c = spark.read.parquet(f"{out}/dim_customers")
-    dim_p = spark.read.parquet(f"{out}/dim_products")
     dim_s = spark.read.parquet(f"{out}/dim_stores")
     n_products = max(counts["dim_products"], 1)
 
-    conformed = silver.conform_sales(bronze.sales, dim_c, dim_s, n_products, bronze.order_cols, dim_rows=counts)
-    staged = silver.stage_sales(conformed, bronze.order_cols, num_partitions, size_from=bronze.sales)
+    lookups = silver.country_lookups(dim_c, dim_s)
+    staged = silver.stage_sales(bronze.sales, lookups, n_products, bronze.order_cols, num_partitions, bronze.dates)
     timings["stage_ledger"] = time.time() - t0
 
     # one small summary pass over the staged ledger feeds the calendar (every
     # ledger date, pruned rows included), the numbering offsets and counters
     summary = silver.ledger_summary(staged).checkpoint(eager=True)
-    totals = silver.summary_partitions(summary).agg(
+    totals = silver.summary_runs(summary).agg(
         F.sum("n").alias("ledger_rows"), *[F.sum(c).alias(c) for c in silver.SUMMARY_COUNTERS]
     ).first()  # one row
     counts["bronze_ledger"] = int(totals["ledger_rows"] or 0)
@@ -114,38 +146,48 @@ def build(
         counts[k] = int(totals[k] or 0)
     timings["summary"] = time.time() - t0
 
-    fact = silver.number_sales(staged, summary)
+    # one file group per month: reports on the latest months read only theirs.
+    # This is one more exchange of the fact.
+    day = F.to_date("time_key")
+    fact = silver.number_sales(staged, summary).withColumns({"year": F.year(day), "month": F.month(day)})
+    fact_parts = num_partitions or target_partitions(bronze.sales)
+    by_month = fact.repartitionByRange(fact_parts, "year", "month", "sales_key").sortWithinPartitions("year", "month", "sales_key")
     fact_metrics = [
         one.alias("n"),
         F.min("sales_key").alias("min_key"),
         F.max("sales_key").alias("max_key"),
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in schemas.FACT_SALES],
     ]
-    tm, fm = _concurrently([
-        lambda: _observed_write(
-            silver.dim_time_from_dates(silver.summary_dates(summary)), f"{out}/dim_time", "dim_time", [one.alias("n")]
-        ),
-        lambda: _observed_write(fact, f"{out}/fact_sales", "fact_sales", fact_metrics),
-    ])
+    dates = silver.summary_dates(summary)
+    jobs = [
+        lambda: _observed_write(silver.dim_time_from_dates(dates), f"{out}/dim_time", "dim_time", [one.alias("n")]),
+        lambda: _observed_write(by_month, f"{out}/fact_sales", "fact_sales", fact_metrics, ["year", "month"]),
+        lambda: silver.kept_months(summary).write.mode("overwrite").parquet(f"{out}/{MONTHS}"),
+    ]
+    if bronze.dates.quarantine:
+        aside = silver.numbered(staged, summary).where(F.col("_bad_date").isNotNull())
+        aside = aside.select(F.col("_txn").alias("ledger_row"), F.col("_bad_date").alias("date_text"), "product_key", "quantity", "unit_price")
+        jobs.append(lambda: aside.write.mode("overwrite").parquet(f"{out}/{QUARANTINE}"))
+    tm, fm, *_ = _concurrently(jobs)
     counts["dim_time"] = tm["n"]
     counts["fact_sales"] = fm["n"]
     timings["fact_sales"] = time.time() - t0
 
-    if check:
-        _check_version(spark, out, fm, counts)
+    _check_version(spark, out, fm, counts)
     timings["checks"] = time.time() - t0
 
     lines = "".join(json.dumps({"stage": k, "rows": v}) + "\n" for k, v in sorted(counts.items()))
     write_small_file(spark, f"{out}/{STAGE_COUNTS}/part-0.json", lines)
-    # switch: readers resolve the current version through this pointer
-    write_small_file(spark, f"{warehouse_root.rstrip('/')}/{CURRENT_POINTER}", version + "\n")
     return BuildResult(out, counts, time.time() - t0, timings, staged, summary)
 
 
 def _check_version(spark: SparkSession, out: str, fact_metrics: dict, counts: dict[str, int]) -> None:
-    tables = {t: spark.read.parquet(f"{out}/{t}") for t in schemas.GOLD_COLUMNS if t != "fact_sales"}
-    fact = spark.read.parquet(f"{out}/fact_sales")
-    # fact key: dense 1..n by construction; check the invariant from the write
+    """Keys, nulls and references of a written version; raises on the first that is broken."""
+    opened = open_tables(spark, out)
+    tables = {t: opened[t] for t in schemas.GOLD_COLUMNS if t != "fact_sales"}
+    fact = opened["fact_sales"]
+    # the fact's keys are dense 1..n by construction: their range is observed
+    # by the write, their uniqueness is counted in bitmaps
     n = fact_metrics["n"]
     if n and (fact_metrics["min_key"] != 1 or fact_metrics["max_key"] != n):
         raise ValueError(f"fact_sales keys are not 1..{n}: {fact_metrics}")
@@ -155,6 +197,7 @@ def _check_version(spark: SparkSession, out: str, fact_metrics: dict, counts: di
     reports = [
         (quality.key_violations([(t, df, schemas.GOLD_KEYS[t]) for t, df in tables.items()]),
          ["duplicate_keys"], "primary key"),
+        (quality.dense_key_surplus(fact, schemas.GOLD_KEYS["fact_sales"]), ["surplus_rows", "missing_keys"], "fact_sales primary key"),
         (quality.null_violations([(t, df, schemas.GOLD_COLUMNS[t]) for t, df in tables.items()]),
          ["null_rows"], "NOT NULL"),
         (quality.fk_violations(
@@ -165,6 +208,45 @@ def _check_version(spark: SparkSession, out: str, fact_metrics: dict, counts: di
     _concurrently([(lambda r=r: quality.assert_clean(*r)) for r in reports])
 
 
+@contextmanager
+def _build_lock(spark: SparkSession, root: str):
+    """A file that only one build can create; one left by a dead build is taken over when it is old."""
+    target, fs = _fs_path(spark, f"{root}/{LOCK}")
+    if fs.exists(target) and time.time() - fs.getFileStatus(target).getModificationTime() / 1000 > STALE_LOCK_SECONDS:
+        fs.delete(target, False)
+    try:
+        fs.create(target, False).close()
+    except Py4JJavaError as exc:
+        raise RuntimeError(f"another build holds {root}/{LOCK}") from exc
+    try:
+        yield
+    finally:
+        fs.delete(target, False)
+
+
+def remove_old_versions(spark: SparkSession, root: str, keep: int) -> list[str]:
+    """Delete all but the newest ``keep`` versions; the current one stays in any case."""
+    folder, fs = _fs_path(spark, root)
+    names = [f.getPath().getName() for f in fs.listStatus(folder) if f.isDirectory()]
+    names = sorted((n for n in names if re.fullmatch(r"v\d+-[0-9a-f]+", n)), key=lambda n: int(n[1:].split("-")[0]))
+    current = read_small_file(spark, f"{root}/{CURRENT_POINTER}").strip()
+    old = [n for n in names[: max(0, len(names) - max(1, keep))] if n != current]
+    for name in old:
+        delete_path(spark, f"{root}/{name}")
+    return old
+
+
+def staging_folders(spark: SparkSession) -> set[str]:
+    """Folders of the checkpoints that this application has written so far."""
+    folder, fs = _fs_path(spark, checkpoint_dir(spark))
+    return {f.getPath().toString() for f in fs.listStatus(folder) if f.getPath().getName().startswith("rdd-")}
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target, fs = _fs_path(spark, path)
+    fs.delete(target, True)
+
+
 def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -172,20 +254,31 @@ def _fs_path(spark: SparkSession, path: str):
 
 
 def write_small_file(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small metadata file through the Hadoop FileSystem API: to a
-    temporary name first, then renamed over the target, so readers never see
-    a partial pointer."""
+    """Publish a small metadata file: written under a temporary name, then
+    moved over the target in one overwriting rename, so that readers see the
+    old or the new content at any time. Stores without such a rename get one
+    overwriting create, which they make visible as a whole when it is closed."""
     target, fs = _fs_path(spark, path)
     tmp, _ = _fs_path(spark, f"{path}.tmp-{uuid.uuid4().hex[:8]}")
-    stream = fs.create(tmp, True)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def put(at, overwrite):
+        stream = fs.create(at, overwrite)
+        try:
+            stream.write(bytearray(text.encode("utf-8")))
+        finally:
+            stream.close()
+
     try:
-        stream.write(bytearray(text.encode("utf-8")))
-    finally:
-        stream.close()
-    if fs.exists(target):
-        fs.delete(target, False)
-    if not fs.rename(tmp, target):
-        raise OSError(f"could not publish {path}")
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
+    except Py4JJavaError:  # no such interface for this store
+        put(target, True)
+        return
+    put(tmp, True)
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE
+    context.rename(fs.makeQualified(tmp), fs.makeQualified(target), how)
 
 
 def read_small_file(spark: SparkSession, path: str) -> str:
@@ -211,8 +304,18 @@ def read_stage_counts(spark: SparkSession, version_path: str) -> DataFrame:
 
 def open_tables(spark: SparkSession, version_path: str) -> dict[str, DataFrame]:
     """Gold tables of one version, with their fixed schemas (no footer-based
-    schema inference)."""
-    return {t: spark.read.schema(schemas.GOLD_SCHEMAS[t]).parquet(f"{version_path}/{t}") for t in schemas.GOLD_COLUMNS}
+    schema inference). ``_fact_by_month`` is the fact with its partition
+    columns, ``_months`` the months that have sales."""
+    opened = {
+        t: spark.read.schema(schemas.GOLD_SCHEMAS[t]).parquet(f"{version_path}/{t}")
+        for t in schemas.GOLD_COLUMNS
+        if t != "fact_sales"
+    }
+    by_month = StructType([*schemas.GOLD_SCHEMAS["fact_sales"].fields, StructField("year", IntegerType()), StructField("month", IntegerType())])
+    opened["_fact_by_month"] = spark.read.schema(by_month).parquet(f"{version_path}/fact_sales")
+    opened["_months"] = spark.read.schema("year int, month int").parquet(f"{version_path}/{MONTHS}")
+    opened["fact_sales"] = opened["_fact_by_month"].drop("year", "month")
+    return opened
 
 
 def warehouse_exists(spark: SparkSession, warehouse_root: str) -> bool:

@@ -1,21 +1,27 @@
 """Customer/store registry derived from an orders extract.
 
 Row position in the extract matters (first occurrence wins, country is
-assigned cyclically from it, ids follow it); the extract must therefore carry
-its position as a column.
+assigned cyclically from it, ids follow it): it is a column of the extract, or
+the row's place in the files, numbered from 0 by ``positioned``.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import time
+import uuid
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestar.functions.text import first_token, last_token, py_strip
+from lakestar.operators import quality
 from lakestar.operators.dedup import keep_first
 from lakestar.operators.lookup import lookup_join
-from lakestar.operators.numbering import number_rows, stage_ordered, target_partitions
+from lakestar.operators.numbering import number_in_file_order, number_rows, stage_ordered, target_partitions
+from lakestar.plans import gold
+from lakestar.session import checkpoint_dir
+from lakestar.sources.readers import FILE_POSITION
 
 # ---------------------------------------------------------------------------
 # Fixed values of the registry derivation.
@@ -26,11 +32,15 @@ EMAIL_DOMAIN = "@superstore.com"
 DEFAULT_FIRST = "user"
 DEFAULT_LAST = "cust"
 STORE_PREFIX = "Superstore Hub - "
-MAX_STORES = 50
 MISSING_TEXT = "nan"
 # ---------------------------------------------------------------------------
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _text(col: str) -> Column:
     """``str(value).strip()`` with pandas' text for a missing value."""
     return py_strip(F.coalesce(F.col(f"`{col}`").cast("string"), F.lit(MISSING_TEXT)))
@@ -46,91 +56,149 @@ def segment_tier(segment: Column) -> Column:
     return F.coalesce(F.element_at(m, segment), F.lit(DEFAULT_TIER))
 
 
-@dataclass
-class Registry:
-    customers: DataFrame
-    stores: DataFrame
-    emails: DataFrame
+def positioned(extract: DataFrame, position_col: str | None = None) -> DataFrame:
+    """The extract with its row position as ``pos``."""
+    if position_col is not None:
+        return extract.withColumnRenamed(position_col, "pos")
+    return number_in_file_order(extract, list(FILE_POSITION), "pos", start=0)
 
 
-def unique_customers(extract: DataFrame, position_col: str) -> DataFrame:
+def unique_customers(extract: DataFrame) -> DataFrame:
     """First extract row per raw customer name (map-side combined)."""
-    cols = [position_col, "Customer Name", "Customer Segment"]
-    return keep_first(extract.select(*[F.col(f"`{c}`").alias(c) for c in cols]), ["Customer Name"], [position_col])
+    return keep_first(extract.select("pos", "`Customer Name`", "`Customer Segment`"), ["Customer Name"], ["pos"])
 
 
-def registry_emails(extract: DataFrame, position_col: str) -> DataFrame:
-    """``first.last@domain``; a repeated address gets the row position appended.
+def registry_emails(extract: DataFrame) -> DataFrame:
+    """``first.last@domain``; an address that an earlier customer has gets the
+    row position appended. An appended address counts as had from then on, so
+    a later customer whose own address equals it is appended too.
 
-    The first holder of an address is found with a min-position aggregate and
-    a join back on the address (no window over an address group, so a hot
-    address costs one row per task before the shuffle). Unlike the sequential
-    original, a suffixed address is not re-checked against later addresses;
-    uniqueness is verified by the key check on e-mail.
+    The first customer with an address is found by a min-position aggregate.
+    Appended addresses are then matched with the first customers of the same
+    address as theirs, those that come later are appended in turn, and so on:
+    a round for each link of the longest chain, each over the customers that
+    the round before appended.
     """
-    uniq = unique_customers(extract, position_col)
     name = _text("Customer Name")
     first, last = first_token(name, DEFAULT_FIRST), last_token(name, DEFAULT_LAST)
-    based = uniq.select(
-        F.col(position_col).alias("pos"),
-        name.alias("customer_name"),
-        first.alias("_first"),
-        last.alias("_last"),
-        F.concat(first, F.lit("."), last, F.lit(EMAIL_DOMAIN)).alias("base_email"),
-        _text("Customer Segment").alias("segment"),
+    stem = F.concat(first, F.lit("."), last)
+    based = checkpointed(
+        unique_customers(extract).select(
+            "pos",
+            name.alias("customer_name"),
+            F.concat(stem, F.lit(EMAIL_DOMAIN)).alias("base_email"),
+            F.concat(stem, F.col("pos").cast("string"), F.lit(EMAIL_DOMAIN)).alias("appended"),
+            _text("Customer Segment").alias("segment"),
+        )
     )
-    holders = based.groupBy("base_email").agg(F.min("pos").alias("_holder"))
-    joined = lookup_join(based, holders, "base_email", "inner")
-    suffixed = F.col("pos") != F.col("_holder")
+    heads = based.groupBy("base_email").agg(F.min("pos").alias("head"))
+    joined = checkpointed(lookup_join(based, heads, "base_email", "inner").withColumn("_taken", F.col("pos") != F.col("head")))
+    late = checkpointed(joined.where("_taken").select(F.col("appended").alias("base_email"), F.col("pos").alias("at")))
+    taken_heads = None
+    while True:
+        first_at = late.groupBy("base_email").agg(F.min("at").alias("at"))
+        found = joined.where("not _taken").join(first_at, "base_email").where("at < pos").select("pos", "appended")
+        if taken_heads is not None:
+            found = found.join(taken_heads, "pos", "left_anti")
+        found = checkpointed(found)
+        if not found.limit(1).count():
+            break
+        heads_now = found.select("pos")
+        taken_heads = heads_now if taken_heads is None else checkpointed(taken_heads.union(heads_now))
+        late = found.select(F.col("appended").alias("base_email"), F.col("pos").alias("at"))
+    suffixed = F.col("_taken")
+    if taken_heads is not None:
+        joined = joined.join(taken_heads.withColumn("_chained", F.lit(True)), "pos", "left")
+        suffixed = suffixed | F.coalesce(F.col("_chained"), F.lit(False))
     return joined.select(
         "pos",
         "customer_name",
         "base_email",
-        F.when(
-            suffixed,
-            F.concat(F.col("_first"), F.lit("."), F.col("_last"), F.col("pos").cast("string"), F.lit(EMAIL_DOMAIN)),
-        ).otherwise(F.col("base_email")).alias("email"),
+        F.when(suffixed, F.col("appended")).otherwise(F.col("base_email")).alias("email"),
         suffixed.alias("suffixed"),
         "segment",
     )
 
 
-def build_registry(extract: DataFrame, position_col: str) -> Registry:
-    emails = registry_emails(extract, position_col)
+def registry_customers(emails: DataFrame, extract: DataFrame) -> DataFrame:
     staged = stage_ordered(emails, ["pos"], target_partitions(extract))
-    customers = number_rows(staged, "customer_id").select(
+    return number_rows(staged, "customer_id").select(
         "customer_id",
         "customer_name",
         "email",
         cyclic_country(F.col("pos")).alias("country"),
         segment_tier(F.col("segment")).alias("membership_tier"),
     )
-    outlets = keep_first(
-        extract.select(F.col(f"`{position_col}`").alias("pos"), F.col("City"), F.col("State")), ["City", "State"], ["pos"]
-    )
-    # the first MAX_STORES outlets by position: a top-k, then numbered in order
-    head = outlets.orderBy("pos").limit(MAX_STORES)
-    stores = head.select(
-        F.row_number().over(_bounded_order("pos")).cast("long").alias("store_id"),
+
+
+def registry_stores(extract: DataFrame, max_stores: int | None = None) -> DataFrame:
+    """Outlets in the order of their first rows; ``max_stores`` keeps only the first so many."""
+    outlets = keep_first(extract.select("pos", "City", "State"), ["City", "State"], ["pos"])
+    stores = number_rows(stage_ordered(outlets, ["pos"], target_partitions(extract)), "store_id")
+    if max_stores is not None:
+        stores = stores.where(F.col("store_id") <= max_stores)
+    return stores.select(
+        "store_id",
         F.concat(F.lit(STORE_PREFIX), _text("City")).alias("store_name"),
         _text("City").alias("city"),
         _text("State").alias("state"),
         cyclic_country(F.col("pos")).alias("country"),
     )
-    return Registry(customers, stores, emails)
 
 
-def write_registry(registry: Registry, root: str) -> dict[str, str]:
-    """Set-based load of the registry tables (replaces row-by-row inserts);
-    full refresh like the source it models."""
-    paths = {"customers": f"{root.rstrip('/')}/customers", "stores": f"{root.rstrip('/')}/stores"}
-    registry.customers.write.mode("overwrite").parquet(paths["customers"])
-    registry.stores.write.mode("overwrite").parquet(paths["stores"])
-    return paths
+class Registry:
+    """Tables of one extract; each is only computed when it is asked for."""
+
+    def __init__(self, extract: DataFrame, position_col: str | None = None, max_stores: int | None = None) -> None:
+        self._source, self._position, self._max_stores = extract, position_col, max_stores
+
+    @cached_property
+    def extract(self) -> DataFrame:
+        return positioned(self._source, self._position)
 
+    @cached_property
+    def emails(self) -> DataFrame:
+        return registry_emails(self.extract)
 
-def _bounded_order(col: str):
-    # window over the MAX_STORES rows left after the limit: bounded input
-    from pyspark.sql import Window
+    @cached_property
+    def customers(self) -> DataFrame:
+        return registry_customers(self.emails, self._source)
 
-    return Window.orderBy(col)
+    @cached_property
+    def stores(self) -> DataFrame:
+        return registry_stores(self.extract, self._max_stores)
+
+
+def build_registry(extract: DataFrame, position_col: str | None = None, max_stores: int | None = None) -> Registry:
+    return Registry(extract, position_col, max_stores)
+
+
+def check_registry(customers: DataFrame, stores: DataFrame) -> None:
+    """What the registry's tables promise: unique ids and e-mails, no nulls, text within its lengths."""
+    limits = quality.REGISTRY_MAX_LENGTHS
+    quality.assert_clean(
+        quality.key_violations([("customers", customers, "customer_id"), ("customers", customers, "email"), ("stores", stores, "store_id")]),
+        ["duplicate_keys"], "registry key",
+    )
+    quality.assert_clean(
+        quality.null_violations([("customers", customers, customers.columns), ("stores", stores, stores.columns)]),
+        ["null_rows"], "registry NOT NULL",
+    )
+    quality.assert_clean(
+        quality.length_violations([("customers", customers, limits["customers"]), ("stores", stores, limits["stores"])]),
+        ["violations"], "registry text length",
+    )
+
+
+def write_registry(registry: Registry, root: str) -> dict[str, str]:
+    """Set-based load of the registry tables (replaces row-by-row inserts) as a
+    new version of ``root``; it becomes the current one only if it holds what
+    the tables promise."""
+    spark = registry.customers.sparkSession
+    version = f"v{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
+    paths = {t: f"{root.rstrip('/')}/{version}/{t}" for t in ("customers", "stores")}
+    registry.customers.write.parquet(paths["customers"])
+    registry.stores.write.parquet(paths["stores"])
+    check_registry(spark.read.parquet(paths["customers"]), spark.read.parquet(paths["stores"]))
+    gold.write_small_file(spark, f"{root.rstrip('/')}/{gold.CURRENT_POINTER}", version + "\n")
+    return paths

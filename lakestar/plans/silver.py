@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestar import schemas
@@ -10,15 +12,9 @@ from lakestar.functions.keys import stable_key
 from lakestar.functions.numeric import half_even_round
 from lakestar.functions.text import py_strip, title_case, txn_id
 from lakestar.operators.dedup import first_per_key, keep_first
-from lakestar.operators.lookup import lookup_join
-from lakestar.operators.numbering import (
-    PID,
-    local_position,
-    number_rows,
-    partition_offsets,
-    stage_ordered,
-    target_partitions,
-)
+from lakestar.operators.lookup import broadcast_if_small, salted_join
+from lakestar.operators.numbering import PID, local_position, run_offsets, stage_in_place, stage_ordered, target_partitions
+from lakestar.sources.readers import FILE_POSITION
 
 # ---------------------------------------------------------------------------
 # Fixed values of the conformance rules.
@@ -60,9 +56,33 @@ def dim_stores(stores: DataFrame) -> DataFrame:
     return stores.select(F.col("store_id").cast("long").alias("store_key"), "store_name", "city", "state", "country")
 
 
-def ledger_dates(sales: DataFrame) -> DataFrame:
-    """Parsed ledger date; NULL stays NULL, malformed text raises (ANSI cast)."""
-    return sales.select(F.to_date(F.col("Date")).alias("d"))
+@dataclass(frozen=True)
+class DateRule:
+    """How ledger dates are read: the first format that fits, else the ISO
+    form of a date or timestamp. Text that is no date stops the build; with
+    ``quarantine`` the row is set aside (no date, counted, its text kept)."""
+
+    formats: tuple[str, ...] = ("M/d/yyyy",)
+    quarantine: bool = False
+
+    def parsed(self, text: Column) -> Column:
+        """NULL for text that is no date."""
+        return F.coalesce(F.expr("try_cast(`{}` as date)".format(_DATE_TEXT)), *[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in self.formats])
+
+    def date(self, text: Column) -> Column:
+        parsed = self.parsed(text)
+        if self.quarantine:
+            return parsed
+        wrong = F.raise_error(F.concat(F.lit("ledger date cannot be read: "), text)).cast("date")
+        return F.when(text.isNull() | parsed.isNotNull(), parsed).otherwise(wrong)
+
+
+_DATE_TEXT = "Date"
+
+
+def ledger_dates(sales: DataFrame, dates: DateRule = DateRule()) -> DataFrame:
+    """Parsed ledger date; NULL stays NULL."""
+    return sales.select(dates.date(F.col(_DATE_TEXT)).alias("d"))
 
 
 def dim_time_from_dates(dates: DataFrame) -> DataFrame:
@@ -97,42 +117,56 @@ def country_to_store(dim_s: DataFrame) -> DataFrame:
     return first_per_key(dim_s.select("country", "store_key"), "country", "store_key")
 
 
+@dataclass
+class CountryLookups:
+    """Customer and store of each country; ``small`` if both may be broadcast."""
+
+    customers: DataFrame
+    stores: DataFrame
+    small: bool
+
+
+def country_lookups(dim_c: DataFrame, dim_s: DataFrame) -> CountryLookups:
+    """Both lookups hold one row per country; each is measured before it may be broadcast."""
+    cust = country_to_customer(dim_c).withColumnRenamed("country", "_country")
+    stores = country_to_store(dim_s).withColumnRenamed("country", "_country").withColumnRenamed("store_key", "_store")
+    (cust, small_c), (stores, small_s) = broadcast_if_small(cust), broadcast_if_small(stores)
+    return CountryLookups(cust, stores, small_c and small_s)
+
+
 def conform_sales(
     sales: DataFrame,
-    dim_c: DataFrame,
-    dim_s: DataFrame,
+    lookups: CountryLookups,
     n_products: int,
     order_cols: list[str],
-    dim_rows: dict[str, int] | None = None,
+    dates: DateRule = DateRule(),
 ) -> DataFrame:
     """Ledger rows with conformed keys and measures, before numbering/pruning.
 
-    Both country lookups hold one row per country and are broadcast after a
-    size check (``dim_rows``, the dimensions' row counts, bound them without
-    a count); the product key is a row-level hash (no join at all).
+    With small lookups this is row-level work and keeps partitions and order;
+    else the lookups are salted shuffle joins. The product key is a row-level
+    hash (no join at all).
     """
     country = title_case(py_strip(F.col("Country").cast("string")))
     base = sales.select(
         *order_cols,
-        F.to_date(F.col("Date")).alias("_date"),
+        dates.date(F.col(_DATE_TEXT)).alias("_date"),
+        F.col(_DATE_TEXT).alias("_date_text"),
         country.alias("_country"),
         F.coalesce(F.col("Product").cast("string"), F.lit(NULL_PRODUCT_TEXT)).alias("_product"),
         F.col("Order_Quantity").alias("_qty_raw"),
         F.col("Unit_Price").alias("_price_raw"),
     )
-    cust = country_to_customer(dim_c).withColumnRenamed("country", "_country")
-    stores = country_to_store(dim_s).withColumnRenamed("country", "_country").withColumnRenamed("store_key", "_store")
-    dim_rows = dim_rows or {}
-    joined = lookup_join(
-        lookup_join(base, cust, "_country", rows_at_most=dim_rows.get("dim_customers")),
-        stores, "_country", rows_at_most=dim_rows.get("dim_stores"),
-    )
+    joined = base
+    for side in (lookups.customers, lookups.stores):
+        joined = joined.join(side, "_country", "left") if lookups.small else salted_join(joined, side, ["_country"])
     quantity = F.coalesce(F.col("_qty_raw"), F.lit(DEFAULT_QUANTITY)).cast("long")
     unit_price = F.coalesce(F.col("_price_raw"), F.lit(DEFAULT_UNIT_PRICE)).cast("double")
     revenue = half_even_round(quantity * unit_price)
     return joined.select(
         *order_cols,
         "_date",
+        F.when(F.col("_date").isNull(), F.col("_date_text")).alias("_bad_date"),
         F.col("customer_key"),
         stable_key(F.col("_product"), n_products).alias("product_key"),
         F.coalesce(F.col("_store"), F.lit(DEFAULT_STORE_KEY)).cast("long").alias("store_key"),
@@ -147,30 +181,90 @@ def conform_sales(
     )
 
 
+def in_file_order(order_cols: list[str]) -> bool:
+    return list(order_cols) == list(FILE_POSITION)
+
+
+def staging_plan(
+    sales: DataFrame,
+    lookups: CountryLookups,
+    n_products: int,
+    order_cols: list[str],
+    num_partitions: int | None = None,
+    dates: DateRule = DateRule(),
+) -> DataFrame:
+    """The conformed ledger in order, before it is staged.
+
+    In file order the scan's partitions are kept: no exchange of the ledger.
+    Otherwise the raw columns are range-partitioned, and rows are conformed and
+    sorted after the exchange, so that sampling and shuffling never pay for it. The partition count follows the size of the raw scan.
+    """
+    if num_partitions is None:
+        num_partitions = target_partitions(sales)
+    if not lookups.small:
+        # the salted joins move the rows: order them afterwards
+        rows = conform_sales(sales, lookups, n_products, order_cols, dates)
+        return rows.repartitionByRange(num_partitions, *order_cols).sortWithinPartitions(*order_cols)
+    if in_file_order(order_cols):
+        return conform_sales(sales, lookups, n_products, order_cols, dates)
+    # sorted last: the optimizer drops a sort below a join
+    sales = sales.repartitionByRange(num_partitions, *order_cols)
+    return conform_sales(sales, lookups, n_products, order_cols, dates).sortWithinPartitions(*order_cols)
+
+
+def stage_sales(
+    sales: DataFrame,
+    lookups: CountryLookups,
+    n_products: int,
+    order_cols: list[str],
+    num_partitions: int | None = None,
+    dates: DateRule = DateRule(),
+) -> DataFrame:
+    """Conform and order the ledger once and cut the lineage."""
+    staged = stage_in_place(staging_plan(sales, lookups, n_products, order_cols, num_partitions, dates))
+    # the files that a row came from tell the order of runs only where the scan's partitions were kept
+    return staged if in_file_order(order_cols) and lookups.small else staged.drop(*FILE_POSITION)
+
+
+def _run_columns(staged: DataFrame) -> list[str]:
+    return list(FILE_POSITION)[:2] if "_src_file" in staged.columns else []
+
+
 def ledger_summary(staged: DataFrame) -> DataFrame:
-    """One pass over the staged ledger with GROUPING SETS ((partition), (date)):
-    per staged partition the row count, kept rows and the pruning/default
-    counters, and the distinct ledger dates. Its size is partitions + distinct
-    dates, independent of the ledger's row count; it feeds the numbering
-    offsets, the calendar and the run counters."""
+    """One pass over the staged ledger with GROUPING SETS ((run), (date)): per
+    run (a staged partition, or a split of a file in it) the row count, kept
+    rows, first position and the pruning/default counters, and the distinct
+    ledger dates with their kept rows. Its size is runs + distinct dates,
+    independent of the ledger's row count; it feeds the numbering offsets, the
+    calendar and the run counters."""
     keep = keep_condition()
-    pid = F.spark_partition_id().alias(PID)
-    staged = staged.select(pid, F.col("_date").alias("d"), *[
-        c.alias(n) for n, c in {
-            "_keep": keep,
-            "_no_customer": F.col("customer_key").isNull(),
-            "_no_date": F.col("time_key").isNull(),
-            "_default_store": F.col("_default_store"),
-            "_filled_qty": F.col("_filled_qty"),
-            "_filled_price": F.col("_filled_price"),
-        }.items()
-    ])
-    return staged.groupingSets([[PID], ["d"]], PID, "d").agg(
-        F.grouping_id().alias("level"),
+    run = _run_columns(staged)
+    rows = staged.select(
+        F.spark_partition_id().alias(PID),
+        *run,
+        F.col("_date").alias("d"),
+        local_position().alias("_pos"),
+        *[
+            c.alias(n)
+            for n, c in {
+                "_keep": keep,
+                "_no_customer": F.col("customer_key").isNull(),
+                "_no_date": F.col("time_key").isNull(),
+                "_bad_date": F.col("_bad_date").isNotNull(),
+                "_default_store": F.col("_default_store"),
+                "_filled_qty": F.col("_filled_qty"),
+                "_filled_price": F.col("_filled_price"),
+            }.items()
+        ],
+    )
+    return rows.groupingSets([[PID, *run], ["d"]], PID, *run, "d").agg(
+        F.grouping(PID).alias("is_date"),
         F.count(F.lit(1)).alias("n"),
+        F.min("_pos").alias("first"),
         F.count_if("_keep").alias("n_kept"),
         F.count_if("_no_customer").alias("no_customer"),
         F.count_if("_no_date").alias("no_date"),
+        F.count_if("_bad_date").alias("quarantined"),
         F.count_if(~F.col("_keep")).alias("pruned_rows"),
         F.count_if("_default_store").alias("default_store"),
         F.count_if("_filled_qty").alias("filled_quantity"),
@@ -178,58 +272,56 @@ def ledger_summary(staged: DataFrame) -> DataFrame:
     )
 
 
-def summary_partitions(summary: DataFrame) -> DataFrame:
-    """Per-partition rows of the ledger summary."""
-    return summary.where(F.col("level") == 1).drop("d", "level")
+def summary_runs(summary: DataFrame) -> DataFrame:
+    """Per-run rows of the ledger summary."""
+    return summary.where(F.col("is_date") == 0).drop("d", "is_date")
 
 
 def summary_dates(summary: DataFrame) -> DataFrame:
-    return summary.where(F.col("level") == 2).select("d")
+    return summary.where(F.col("is_date") == 1).select("d")
 
 
-SUMMARY_COUNTERS = ["no_customer", "no_date", "pruned_rows", "default_store", "filled_quantity", "filled_price"]
+def kept_months(summary: DataFrame) -> DataFrame:
+    """Months of the dates that have kept rows."""
+    kept = summary.where((F.col("is_date") == 1) & (F.col("n_kept") > 0))
+    return kept.select(F.year("d").alias("year"), F.month("d").alias("month")).distinct()
 
 
-def keep_condition():
-    return F.col("customer_key").isNotNull() & F.col("product_key").isNotNull() & F.col("time_key").isNotNull()
+SUMMARY_COUNTERS = ["no_customer", "no_date", "quarantined", "pruned_rows", "default_store", "filled_quantity", "filled_price"]
 
 
-def stage_sales(
-    conformed: DataFrame, order_cols: list[str], num_partitions: int | None = None, size_from: DataFrame | None = None
-) -> DataFrame:
-    """Range-partition + sort the conformed ledger once and cut lineage.
+def keep_condition():
+    return F.col("customer_key").isNotNull() & F.col("product_key").isNotNull() & F.col("time_key").isNotNull()
 
-    The partition count follows the size of ``size_from`` (the raw ledger
-    scan: the estimate of a join would multiply its inputs' sizes)."""
-    if num_partitions is None:
-        num_partitions = target_partitions(size_from if size_from is not None else conformed)
-    return stage_ordered(conformed, order_cols, num_partitions)
 
+def numbered(staged: DataFrame, summary: DataFrame | None = None) -> DataFrame:
+    """Every staged ledger row with ``_txn``, its place in the ledger, and
+    ``__off_kept``, which makes its position among the kept rows of its
+    partition its place among all kept rows.
 
-def number_sales(staged: DataFrame, summary: DataFrame | None = None) -> DataFrame:
-    """transaction_id over every ledger row, then prune rows without a
-    customer or date, then sales_key 1..n over the rows that remain.
-
-    Both positions are taken in the same pass over the staged ledger: the
-    in-partition position of every row before the filter, that of the kept
-    rows after it; the partition offsets of both come from ``summary``.
+    Both offsets come from ``summary`` (a row for each run) and are joined by
+    a broadcast of that size.
     """
-    if summary is None:
-        summary = ledger_summary(staged)
-    per_pid = summary_partitions(summary)
-    all_off = partition_offsets(per_pid, "n").withColumnRenamed("__off", "__off_all")
-    kept_off = partition_offsets(per_pid, "n_kept").withColumnRenamed("__off", "__off_kept")
-    offsets = all_off.join(kept_off, PID)
-    rows = (
+    run = _run_columns(staged)
+    runs = summary_runs(summary if summary is not None else ledger_summary(staged))
+    offsets = run_offsets(runs, [PID, *run], run or [PID])
+    return (
         staged.withColumn(PID, F.spark_partition_id())
         .withColumn("__pos_all", local_position())
-        .where(keep_condition())
-        .withColumn("__pos_kept", local_position())
-        .join(F.broadcast(offsets), PID, "inner")
+        .join(F.broadcast(offsets), [PID, *run], "inner")
+        .withColumn("_txn", F.col("__pos_all") + F.col("__off_all") + F.lit(1))
+        .drop(PID, "__pos_all", "__off_all")
     )
+
+
+def number_sales(staged: DataFrame, summary: DataFrame | None = None) -> DataFrame:
+    """transaction_id over every ledger row, then prune rows without a
+    customer or date, then sales_key 1..n over the rows that remain, in the
+    same pass over the staged ledger."""
+    rows = numbered(staged, summary).where(keep_condition())
     return rows.select(
-        (F.col("__pos_kept") + F.col("__off_kept") + F.lit(1)).alias("sales_key"),
-        txn_id(F.col("__pos_all") + F.col("__off_all") + F.lit(1)).alias("transaction_id"),
+        (local_position() + F.col("__off_kept") + F.lit(1)).alias("sales_key"),
+        txn_id(F.col("_txn")).alias("transaction_id"),
         F.col("customer_key").cast("long").alias("customer_key"),
         F.col("product_key").cast("long").alias("product_key"),
         "store_key",
@@ -241,13 +333,12 @@ def number_sales(staged: DataFrame, summary: DataFrame | None = None) -> DataFra
     )
 
 
-def number_ledger(staged: DataFrame, summary: DataFrame | None = None) -> DataFrame:
-    """Every staged ledger row (pruned ones included) with ``_txn``, its
-    position in ledger order; offsets from ``summary`` when given."""
-    offsets = None
-    if summary is not None:
-        offsets = partition_offsets(summary_partitions(summary), "n")
-    return number_rows(staged, "_txn", offsets=offsets)
+def ledger_keys(staged: DataFrame, summary: DataFrame | None = None) -> DataFrame:
+    """Every staged ledger row with ``_txn`` and ``sales_key``, the latter NULL for pruned rows."""
+    rows = numbered(staged, summary)
+    kept = rows.where(keep_condition()).withColumn("sales_key", local_position() + F.col("__off_kept") + F.lit(1))
+    pruned = rows.where(~keep_condition()).withColumn("sales_key", F.lit(None).cast("long"))
+    return kept.unionByName(pruned).drop("__off_kept")
 
 
 def fact_columns() -> list[str]:

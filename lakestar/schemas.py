@@ -41,6 +41,9 @@ ORDERS_EXTRACT_COLUMNS = {
     "State": "string",
 }
 
+# extract columns that may be absent
+OPTIONAL_EXTRACT_COLUMNS = ["Customer Segment"]
+
 DIM_CUSTOMERS = ["customer_key", "customer_name", "email", "country", "membership_tier"]
 DIM_PRODUCTS = ["product_key", "product_name", "category", "unit_price", "unit_cost"]
 DIM_STORES = ["store_key", "store_name", "city", "state", "country"]

@@ -10,7 +10,10 @@ are derived on purpose, without dropping any row:
   carry their country in lower case: store countries are not cleaned, so it
   never matches the title-cased ledger country and those sales fall back to
   store 1;
-* a quantity of exactly 7 becomes NULL in the ledger (the fill-default path);
+* a quantity of exactly 7 becomes NULL in the ledger (the fill-default path),
+  and so do the dates, prices, products and countries of some orders;
+* some customers and products appear twice, with the copy before or after the
+  original in source order (the keep-first path);
 * the orders extract repeats names and e-mail bases on purpose.
 
 Every customer, supplier, part, order and lineitem row flows into the inputs.
@@ -49,6 +52,15 @@ LEDGER_ORDER = {
     "l_extendedprice": "double",
 }
 EXTRACT_POSITION = "Row ID"
+# Row order of the registry and the catalogue; keys that appear twice.
+SOURCE_ORDER = {"row_no": "long"}
+TWICE_EVERY, TWICE_CUSTOMER, TWICE_PRODUCT = 25, 3, 7
+COPY_SUFFIX = " (copy)"
+# Orders whose ledger rows lack a field: (modulus, remainder) of the order key.
+NULL_DATE = (97, 5)
+NULL_PRICE = (89, 7)
+NULL_PRODUCT = (83, 11)
+NULL_COUNTRY = (79, 13)
 # ---------------------------------------------------------------------------
 
 
@@ -66,6 +78,18 @@ def _tier(segment):
     return F.element_at(m, segment)
 
 
+def _twice(df: DataFrame, key: str, remainder: int, copied: dict) -> DataFrame:
+    """The rows with ``row_no``, and a changed copy of some: after the original
+    for even keys, before it for odd ones."""
+    k = F.col(key)
+    copies = df.where(k % TWICE_EVERY == remainder).withColumns(copied)
+    return df.withColumn("row_no", 2 * k + 1).unionByName(copies.withColumn("row_no", F.when(k % 2 == 0, 2 * k + 2).otherwise(2 * k)))
+
+
+def _unless(rule: tuple[int, int], value):
+    return F.when(F.col("l_orderkey") % rule[0] != rule[1], value)
+
+
 def registry_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
@@ -76,7 +100,7 @@ def registry_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.upper(F.col("c_name")), F.lit("@X.COM")).alias("email"),
         F.when(open_nation, F.col("n_name")).otherwise(F.concat(F.col("n_name"), F.lit(CLOSED_SUFFIX))).alias("country"),
         _tier(F.col("c_mktsegment")).alias("membership_tier"),
-    )
+    ).transform(lambda df: _twice(df, "customer_id", TWICE_CUSTOMER, {"customer_name": F.concat("customer_name", F.lit(COPY_SUFFIX))}))
 
 
 def registry_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +125,7 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("title"),
         F.col("p_retailprice").cast("double").alias("price"),
         F.col("p_type").alias("category"),
-    )
+    ).transform(lambda df: _twice(df, "id", TWICE_PRODUCT, {"title": F.concat("title", F.lit(COPY_SUFFIX)), "price": F.col("price") + 1}))
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,11 +143,11 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = li.join(order_country, li.l_orderkey == order_country.o_orderkey).join(p, li.l_partkey == p.p_partkey)
     return rows.select(
-        F.date_format(F.col("o_orderdate"), "yyyy-MM-dd").alias("Date"),
-        F.col("n_name").alias("Country"),
-        F.col("p_name").alias("Product"),
+        _unless(NULL_DATE, F.date_format(F.col("o_orderdate"), "yyyy-MM-dd")).alias("Date"),
+        _unless(NULL_COUNTRY, F.col("n_name")).alias("Country"),
+        _unless(NULL_PRODUCT, F.col("p_name")).alias("Product"),
         F.when(F.col("l_quantity") != F.lit(NULL_QUANTITY), F.col("l_quantity")).alias("Order_Quantity"),
-        half_even_round(F.col("l_extendedprice") / F.col("l_quantity")).alias("Unit_Price"),
+        _unless(NULL_PRICE, half_even_round(F.col("l_extendedprice") / F.col("l_quantity"))).alias("Unit_Price"),
         *[F.col(k).cast(t).alias(k) for k, t in LEDGER_ORDER.items()],
     )
 
@@ -144,6 +168,45 @@ def orders_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------------------
+# Product texts that a CSV has to quote, texts of numbers that
+# stand for a missing one.
+QUOTED_PRODUCTS = ['Bolt 1/4" wide {k}', 'Say "hi, you" {k}', "a,b {k}", '"{k}"', "NA", "two\nlines {k}", "O'Neil; {k}", "n/a", "plain {k}"]
+MISSING_NUMBERS = ["NA", "N/A", "null", "nan", "1.5", "2"]
+# ---------------------------------------------------------------------------
+
+
+def quoted_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger of text fields, one row for each part, as people export it."""
+    p, k = table(spark, sf_dir, "part"), F.col("p_partkey")
+    number = F.element_at(F.array(*[F.lit(x) for x in MISSING_NUMBERS]), (k % len(MISSING_NUMBERS) + 1).cast("int"))
+    product = F.element_at(F.array(*[F.lit(x) for x in QUOTED_PRODUCTS]), (k % len(QUOTED_PRODUCTS) + 1).cast("int"))
+    return p.select(
+        k.cast("string").alias("p_partkey"),
+        F.when(k % 4 == 0, "NaN").otherwise("2024-02-03").alias("Date"),
+        F.col("p_type").alias("Country"),
+        F.replace(product, F.lit("{k}"), k.cast("string")).alias("Product"),
+        number.alias("Order_Quantity"),
+        F.when(k % 3 == 0, number).alias("Unit_Price"),
+    )
+
+
+def chained_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An extract in groups of five customers: the second has the address of
+    the first, the third that which the second gets, the fourth that which the
+    third gets; the fifth has its own."""
+    k = F.col("c_custkey").cast("long")
+    g, p1, p2 = F.floor(k / 5).cast("long"), F.floor(k / 5).cast("long") * 5 + 1, F.floor(k / 5).cast("long") * 5 + 2
+    name = (
+        F.when(k % 5 == 0, F.concat(F.lit("G"), g, F.lit(" Lee")))
+        .when(k % 5 == 1, F.concat(F.lit("G"), g, F.lit("  Lee")))
+        .when(k % 5 == 2, F.concat(F.lit("G"), g, F.lit(" Lee"), p1))
+        .when(k % 5 == 3, F.concat(F.lit("G"), g, F.lit(" Lee"), p1, p2))
+        .otherwise(F.concat(F.lit("G"), g, F.lit(" Other")))
+    )
+    return table(spark, sf_dir, "customer").select(k.alias("pos"), name.alias("Customer Name"), F.lit(None).cast("string").alias("Customer Segment"))
+
+
 # ---------------------------------------------------------------------------
 # Question, statement and reply templates for the text
 # operators. "{k}" is replaced by the order key.
@@ -228,11 +291,11 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Landing zone: the files the build reads, in the formats of the sources.
-LANDING_PARTS = ("registry/customers", "registry/stores", "catalogue", "ledger", "orders_extract")
+LANDING_PARTS = ("registry/customers", "registry/stores", "catalogue", "ledger", "ledger_quoted", "orders_extract")
 
 
 def write_landing(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
-    """Write the five landing datasets (independent jobs, run concurrently)."""
+    """Write the landing datasets (independent jobs, run concurrently)."""
     from concurrent.futures import ThreadPoolExecutor
 
     paths = {part: f"{root}/{part}" for part in LANDING_PARTS}
@@ -244,7 +307,9 @@ def write_landing(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]
         # header order differs from the reader's column order on purpose
         lambda: led.select("Product", "Unit_Price", "Date", *LEDGER_ORDER, "Country", "Order_Quantity")
         .write.mode("overwrite").option("header", True).csv(paths["ledger"]),
-        lambda: orders_extract(spark, sf_dir).write.mode("overwrite").option("header", True)
+        lambda: quoted_ledger(spark, sf_dir).write.mode("overwrite").option("header", True).option("escape", '"').csv(paths["ledger_quoted"]),
+        # in the order of its position, as an export would be
+        lambda: orders_extract(spark, sf_dir).repartitionByRange(EXTRACT_POSITION).sortWithinPartitions(EXTRACT_POSITION).write.mode("overwrite").option("header", True)
         .option("encoding", "ISO-8859-1").csv(paths["orders_extract"]),
     ]
     with ThreadPoolExecutor(max_workers=len(writers)) as pool:

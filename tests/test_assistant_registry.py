@@ -1,5 +1,6 @@
 """Sandbox, batch question answering, registry derivation and load."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakestar.plans import assistant, gold as gold_mod, registry
@@ -58,13 +59,96 @@ def test_ensure_warehouse_builds_once(spark, gold, tmp_path):
     first = gold_mod.ensure_warehouse(spark, root, factory)
     second = gold_mod.ensure_warehouse(spark, root, factory)
     assert first == second and len(calls) == 1
-    assert spark.read.parquet(f"{first}/fact_sales").agg(F.max("sales_key")).first()[0] == gold.counts["fact_sales"]
+    assert gold_mod.open_tables(spark, first)["fact_sales"].agg(F.max("sales_key")).first()[0] == gold.counts["fact_sales"]
 
 
 def test_plan_check_finds_side_effects(spark, gold):
-    assistant.register_views(gold.tables(spark))
-    assert assistant.plan_violation(spark, "SELECT reflect('java.lang.Math', 'abs', -1)") == "reflect"
-    assert assistant.plan_violation(spark, "SELECT TRANSFORM(sales_key) USING 'cat' FROM fact_sales") == "ScriptTransformation"
-    assert assistant.plan_violation(spark, "CREATE TABLE t_never AS SELECT 1 AS x").endswith("Command")
-    assert not spark.catalog.tableExists("t_never")
-    assert assistant.plan_violation(spark, "SELECT count(*) FROM fact_sales") is None
+    t = gold.tables(spark)
+    assistant.register_views(t)
+    own = assistant.table_roots(t)
+    check = lambda sql: assistant.plan_violation(spark, sql, own)
+    assert check("SELECT reflect('java.lang.Math', 'abs', -1)") == "CallMethodViaReflection"
+    assert check("SELECT 1 WHERE '1' = (SELECT reflect('java.lang.Math', 'abs', -1))") == "CallMethodViaReflection"
+    assert check("SELECT TRANSFORM(sales_key) USING 'cat' FROM fact_sales") == "ScriptTransformation"
+    assert check("CREATE TABLE t_never AS SELECT 1 AS x") and check("SET spark.sql.shuffle.partitions=1") and check("DROP VIEW fact_sales")
+    assert not spark.catalog.tableExists("t_never") and spark.catalog.tableExists("fact_sales")
+    assert check("SELECT 'InsertCommand reflect( ScriptTransformation' AS w") is None
+    assert check("WITH a AS (SELECT 1 AS x) SELECT * FROM a JOIN range(3) ON x = id") is None
+    assert check("SELECT count(*) FROM fact_sales f WHERE EXISTS (SELECT 1 FROM dim_stores s WHERE s.store_key = f.store_key)") is None
+
+
+@pytest.mark.parametrize("kind", ["text", "csv", "json", "parquet", "orc", "binaryFile"])
+def test_sandbox_reads_no_files(spark, gold, tmp_path, kind):
+    t = gold.tables(spark)
+    path = str(tmp_path / "x")
+    df = spark.createDataFrame([("secret",)], "value string")
+    (df.write.format(kind) if kind != "binaryFile" else df.write.format("text")).save(path)
+    for sql in (f"SELECT * FROM `{kind}`.`{path}`", f"SELECT * FROM {kind}./* x */`{path}`", f"SELECT * FROM {kind} . `{path}`", f"SELECT (SELECT count(*) FROM `{kind}`.`{path}`)"):
+        assert not assistant.run_sandbox(spark, t, sql).success, sql
+    # a view over files outside the warehouse is a leaf that is not its own
+    spark.read.format(kind).load(path).createOrReplaceTempView("foreign_files")
+    for sql in ("SELECT * FROM foreign_files", "SELECT 1 WHERE EXISTS (SELECT 1 FROM foreign_files)", "WITH a AS (SELECT * FROM foreign_files) SELECT count(*) FROM a"):
+        refused = assistant.run_sandbox(spark, t, sql)
+        assert not refused.success and "outside the warehouse" in refused.error, sql
+    spark.catalog.dropTempView("foreign_files")
+    assert spark.conf.get("spark.sql.runSQLOnFiles") == "true"
+
+
+def test_answer_records(spark):
+    qs = spark.createDataFrame([("per category",), ("hello",)], "q string")
+    rows = {r.q: r for r in assistant.answer_records(qs, "q").collect()}
+    assert rows["per category"].intent == "category" and "dim_products" in rows["per category"].sql
+    assert all(r.success and r.error is None for r in rows.values())
+
+
+def test_intent_statements_give_the_intents_results(spark, gold):
+    t = gold.tables(spark)
+    for name in ("profit", "trend", "country", "default"):
+        res = assistant.run_sandbox(spark, t, assistant.marts.INTENT_SQL[name])
+        assert res.success and res.data.count() == assistant.marts.INTENT_MARTS[name](t).count()
+
+
+EXTRACT = "pos_no long, `Customer Name` string, `Customer Segment` string, City string, State string"
+
+
+def emails(spark, names):
+    df = spark.createDataFrame([(p, n, None, "c", "s") for p, n in names], EXTRACT)
+    return {r.pos: r.email.split("@")[0] for r in registry.build_registry(df, "pos_no").emails.collect()}
+
+
+def test_email_chains(spark):
+    assert emails(spark, [(0, "Ann Lee"), (2, "Ann  Lee"), (5, "Ann Lee2")]) == {0: "ann.lee", 2: "ann.lee2", 5: "ann.lee25"}
+    # the appended address comes later than its own holder: both keep it, as the sequence gives it
+    assert emails(spark, [(0, "Ann Lee"), (1, "Ann Lee7"), (7, "Ann  Lee")]) == {0: "ann.lee", 1: "ann.lee7", 7: "ann.lee7"}
+    assert emails(spark, [(3, "X Y"), (4, "X  Y"), (5, "X Y4"), (6, "X  Y4"), (7, "X Y45"), (8, "X Y456")]) == {
+        3: "x.y", 4: "x.y4", 5: "x.y45", 6: "x.y46", 7: "x.y457", 8: "x.y456"}
+    assert emails(spark, [(0, "Cher"), (1, "Cher "), (2, "")]) == {0: "cher.cust", 1: "cher.cust1", 2: "user.cust"}
+
+
+def test_load_is_refused_if_an_address_is_twice(spark, tmp_path):
+    rows = [(0, "Ann Lee", "Corporate", "A", "X"), (1, "Ann Lee7", None, "A", "X"), (7, "Ann  Lee", None, "B", "Y")]
+    root = str(tmp_path / "registry")
+    good = registry.build_registry(spark.createDataFrame(rows[:2], EXTRACT), "pos_no")
+    registry.write_registry(good, root)
+    current = gold_mod.current_version_path(spark, root)
+    with pytest.raises(ValueError, match="registry key"):
+        registry.write_registry(registry.build_registry(spark.createDataFrame(rows, EXTRACT), "pos_no"), root)
+    with pytest.raises(ValueError, match="text length"):
+        registry.write_registry(registry.build_registry(spark.createDataFrame([(0, "a" * 101, None, "A", "X")], EXTRACT), "pos_no"), root)
+    assert gold_mod.current_version_path(spark, root) == current
+
+
+def test_plain_extract_is_numbered_by_its_place(spark, tmp_path):
+    for name, rows in (("b.csv", [("Dan", "E")]), ("a.csv", [("Bob Lee", "C"), ("Ann Lee", "D"), ("Bob  Lee", "C")])):
+        (tmp_path / name).write_text("Row ID,Customer Name,City,State\n" + "".join(f"99,{n},{c},S\n" for n, c in rows))
+    reg = registry.build_registry(readers.read_orders_extract(spark, str(tmp_path)))
+    got = [(r.customer_id, r.customer_name, r.email.split("@")[0], r.country, r.membership_tier) for r in reg.customers.orderBy("customer_id").collect()]
+    assert got == [(1, "Bob Lee", "bob.lee", "United States", "Gold"), (2, "Ann Lee", "ann.lee", "Canada", "Gold"),
+                   (3, "Bob  Lee", "bob.lee2", "United Kingdom", "Gold"), (4, "Dan", "dan.cust", "Germany", "Gold")]
+    assert [(r.city, r.country) for r in reg.stores.orderBy("store_id").collect()] == [("C", "United States"), ("D", "Canada"), ("E", "Germany")]
+
+
+def test_all_outlets_unless_limited(spark):
+    df = spark.createDataFrame([(i, "n", None, f"c{i}", "s") for i in range(130)], EXTRACT)
+    assert registry.build_registry(df, "pos_no").stores.count() == 130
+    assert [r.city for r in registry.build_registry(df, "pos_no", max_stores=3).stores.orderBy("store_id").collect()] == ["c0", "c1", "c2"]

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakestar.plans import marts
-from lakestar.plans.gold import build, current_version_path
+from lakestar.plans import gold as gold_plan
+from lakestar.plans.gold import build, current_version_path, open_tables
 from lakestar.plans.warehouse import bronze_from_landing
 
 
@@ -100,5 +101,142 @@ def test_many_small_partitions_give_the_same_fact(spark, gold, tmp_path):
 
     res = build(spark, bronze_from_landing(spark, gold.landing), str(tmp_path / "wh64"), num_partitions=64)
     a = gold.tables(spark)["fact_sales"]
-    b = spark.read.parquet(f"{res.version_path}/fact_sales").select(*a.columns)
+    b = open_tables(spark, res.version_path)["fact_sales"]
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_ledger_is_conformed_after_the_exchange(spark, gold):
+    from lakestar.plans import silver
+
+    b = bronze_from_landing(spark, gold.landing)
+    t = gold.tables(spark)
+    lookups = silver.country_lookups(t["dim_customers"], t["dim_stores"])
+    assert lookups.small
+    lines = _plan(silver.staging_plan(b.sales, lookups, 5, b.order_cols, 3)).splitlines()
+    at = next(i for i, line in enumerate(lines) if "Exchange rangepartitioning" in line)
+    above, below = "\n".join(_ancestors(lines, at)), "\n".join(lines[at + 1 :])
+    assert "BroadcastHashJoin" in above and "Sort [" in above
+    assert "md5" not in below and "regexp_extract_all" not in below
+
+
+def test_file_order_needs_no_exchange_of_the_ledger(spark, gold):
+    from lakestar.plans import silver
+    from lakestar.sources import readers
+
+    t = gold.tables(spark)
+    sales = readers.read_ledger_in_file_order(spark, gold.landing["ledger"])
+    plan = _plan(silver.staging_plan(sales, silver.country_lookups(t["dim_customers"], t["dim_stores"]), 5, list(readers.FILE_POSITION)))
+    lines = plan.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan csv" in line or "Scan csv" in line)
+    assert not any("Exchange" in a for a in _ancestors(lines, scan))
+
+
+def test_file_order_numbers_rows_across_splits(spark, gold, tmp_path):
+    """Small splits, packed into partitions in any order, still give the files' order."""
+    from dataclasses import replace
+
+    from lakestar.sources import readers
+
+    folder = tmp_path / "ledger"
+    folder.mkdir()
+    n = 0
+    for name in ("c", "a", "b"):
+        lines = []
+        for _ in range({"a": 900, "b": 20, "c": 400}[name]):
+            lines.append(f"2024-01-{n % 27 + 1:02d},{'Nation_1' if n % 3 else 'Nowhere'},P{name}{n},1,{n}.5")
+            n += 1
+        (folder / f"{name}.csv").write_text("Date,Country,Product,Order_Quantity,Unit_Price\n" + "\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        sales = readers.read_ledger_in_file_order(spark, str(folder))
+        b = replace(bronze_from_landing(spark, gold.landing), sales=sales, order_cols=list(readers.FILE_POSITION))
+        res = build(spark, b, str(tmp_path / "wh"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    rows = open_tables(spark, res.version_path)["fact_sales"].orderBy("sales_key").collect()
+    order = [*range(400, 1300), *range(1300, 1320), *range(0, 400)]  # files by name
+    kept = [(place, i) for place, i in enumerate(order, 1) if i % 3]
+    assert [(r.sales_key, r.transaction_id, r.unit_price) for r in rows] == [(k, f"TXN{place:06d}", i + 0.5) for k, (place, i) in enumerate(kept, 1)]
+
+
+def test_reads_are_pruned(spark, gold):
+    t = gold.tables(spark)
+    for df in (marts.table_preview(t, "fact_sales", 7), marts.nl_default(t)):
+        assert "LessThanOrEqual(sales_key," in _plan(df)
+    months = t["_months"].count()
+    for n, df in ((3, marts.recent_months(t, 3)), (12, marts.nl_trend(t))):
+        assert "PartitionFilters: [" in _plan(df) and "(year#" in _plan(df).split("PartitionFilters: [")[1]
+        assert df.count() == min(n, months)
+
+
+def test_fact_files_are_grouped_by_month(spark, gold):
+    by_month = gold.tables(spark)["_fact_by_month"]
+    assert by_month.where("substr(time_key, 1, 7) <> format_string('%04d-%02d', year, month)").count() == 0
+    assert {tuple(r) for r in by_month.select("year", "month").distinct().collect()} == {tuple(r) for r in gold.tables(spark)["_months"].collect()}
+
+
+def test_repeated_fact_key_fails_the_check(spark, gold):
+    f = gold.tables(spark)["fact_sales"]
+    surplus = gold_plan.quality.dense_key_surplus
+    assert tuple(surplus(f, "sales_key").first())[1:] == (0, 0)
+    broken = f.withColumn("sales_key", F.when(F.col("sales_key") == 5, 6).otherwise(F.col("sales_key")))
+    assert tuple(surplus(broken, "sales_key").first())[1:] == (1, 1)
+    with pytest.raises(ValueError, match="primary key"):
+        gold_plan.quality.assert_clean(surplus(broken, "sales_key"), ["surplus_rows", "missing_keys"], "primary key")
+    plan = _plan(surplus(f, "sales_key"))
+    assert "bitmap_construct_agg" in plan
+
+
+def test_pointer_is_replaced_in_one_step(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "_CURRENT")
+    gold_plan.write_small_file(spark, path, "v1\n")
+    gold_plan.write_small_file(spark, path, "v2\n")
+    assert gold_plan.read_small_file(spark, path) == "v2"
+
+    class Broken(Exception):
+        pass
+
+    def stop(*_):
+        raise Broken
+
+    # killed after the new content was written, before it is moved
+    monkeypatch.setattr(spark.sparkContext._gateway, "new_array", stop)
+    with pytest.raises(Broken):
+        gold_plan.write_small_file(spark, path, "v3\n")
+    assert gold_plan.read_small_file(spark, path) == "v2"
+
+
+def test_a_killed_build_leaves_the_current_version(spark, gold, tmp_path, monkeypatch):
+    root = str(tmp_path / "wh")
+    first = build(spark, bronze_from_landing(spark, gold.landing), root)
+    for step in ("_check_version", "write_small_file"):
+        with monkeypatch.context() as m:
+            m.setattr(gold_plan, step, lambda *a, **k: (_ for _ in ()).throw(KeyboardInterrupt()))
+            with pytest.raises(KeyboardInterrupt):
+                build(spark, bronze_from_landing(spark, gold.landing), root)
+        assert current_version_path(spark, root) == first.version_path
+    assert open_tables(spark, current_version_path(spark, root))["fact_sales"].count() == gold.counts["fact_sales"]
+
+
+def test_one_build_at_a_time_and_old_versions_go(spark, gold, tmp_path):
+    root = str(tmp_path / "wh")
+    with gold_plan._build_lock(spark, root):
+        with pytest.raises(RuntimeError, match="another build"):
+            build(spark, bronze_from_landing(spark, gold.landing), root)
+    for i in range(4):
+        (tmp_path / "wh" / f"v{i}-abcdef01").mkdir()
+    result = build(spark, bronze_from_landing(spark, gold.landing), root, keep_versions=2)
+    left = {p.name for p in (tmp_path / "wh").iterdir() if p.is_dir()}
+    assert left == {"v3-abcdef01", result.version_path.rsplit("/", 1)[-1]}
+
+
+def test_reports_read_the_fact_once(spark, gold):
+    from lakestar.plans.warehouse import run_all_reports
+
+    t = gold.tables(spark)
+    for name, df in run_all_reports(t).items():
+        assert "fact_sales" not in _plan(df)
+        alone = {"sales_by_category": marts.sales_by_category(t), "top_customers": marts.top_customers(t, 5),
+                 "recent_months": marts.recent_months(t, 10), "revenue_by_country": marts.revenue_by_country(t)}[name]
+        assert df.collect() == alone.collect()

@@ -3,13 +3,16 @@ null/unmatched countries, null product, fractional and missing quantities,
 missing prices, default store, time-of-day dates, malformed dates."""
 
 import hashlib
+from dataclasses import replace
 
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 
 from lakestar import schemas
+from lakestar.plans import gold
 from lakestar.plans.gold import Bronze, build
+from lakestar.plans.silver import DateRule
 
 CUSTOMERS = [(1, " ann  lee ", "ANN@X.COM ", " canada", "Gold"), (2, "bob", "b@x.com", "Canada", "Silver"),
              (3, "cy", "c@x.com", "france ", "Bronze")]
@@ -82,5 +85,34 @@ def test_edge_ledger_through_build(spark, tmp_path):
 
 def test_malformed_date_fails_the_build(spark, tmp_path):
     bad = LEDGER + [(6, "31/12/2024", "Canada", "Widget", 1.0, 1.0)]
-    with pytest.raises(PySparkException):
+    with pytest.raises(PySparkException, match="31/12/2024"):
         build(spark, bronze(spark, bad), str(tmp_path / "wh"), num_partitions=2)
+
+
+def test_month_first_dates_and_own_formats(spark, tmp_path):
+    rows = [(1, "01/05/2024", "Canada", "Widget", 1.0, 1.0), (2, "2024-02-01", "Canada", "Widget", 1.0, 1.0), (3, None, "Canada", "Widget", 1.0, 1.0)]
+    res = build(spark, bronze(spark, rows), str(tmp_path / "wh"), num_partitions=1)
+    got = [r.time_key for r in gold.open_tables(spark, res.version_path)["fact_sales"].orderBy("sales_key").collect()]
+    assert got == ["2024-01-05", "2024-02-01"] and res.counts["no_date"] == 1
+    german = replace(bronze(spark, [(1, "31.12.2024", "Canada", "Widget", 1.0, 1.0)]), dates=DateRule(("d.M.yyyy",)))
+    res = build(spark, german, str(tmp_path / "wh2"), num_partitions=1)
+    assert gold.open_tables(spark, res.version_path)["fact_sales"].first().time_key == "2024-12-31"
+
+
+def test_quarantine_sets_rows_aside_and_counts_them(spark, tmp_path):
+    rows = LEDGER + [(6, "31/12/2024", "Canada", "Widget", 1.0, 1.0), (7, "soon", "Canada", "Widget", 2.0, 1.0), (8, None, "Canada", "Widget", 2.0, 1.0)]
+    res = build(spark, replace(bronze(spark, rows), dates=DateRule(quarantine=True)), str(tmp_path / "wh"), num_partitions=2)
+    aside = spark.read.parquet(f"{res.version_path}/_quarantine").orderBy("ledger_row").collect()
+    assert [(r.ledger_row, r.date_text, r.quantity) for r in aside] == [(6, "31/12/2024", 1), (7, "soon", 2)]
+    assert res.counts["quarantined"] == 2 and res.counts["no_date"] == 3 and res.counts["bronze_ledger"] == 8
+    assert sorted(tuple(r) for r in gold.open_tables(spark, res.version_path)["fact_sales"].collect()) == expected_fact()
+
+
+def test_first_row_of_a_key_by_source_order(spark, tmp_path):
+    twice = spark.createDataFrame([(2, 1, "Alpha", "a@x", "Canada", "Gold"), (1, 1, "Zeta", "z@x", "France", "Gold")],
+                                  "row_no long, customer_id long, customer_name string, email string, country string, membership_tier string")
+    prices = spark.createDataFrame([(5, 1, "B", 2.0, "c"), (4, 1, "C", 9.0, "c")], "row_no long, id long, title string, price double, category string")
+    b = replace(bronze(spark, LEDGER[:1]), customers=twice, products=prices, customer_order=["row_no"], product_order=["row_no"])
+    res = build(spark, b, str(tmp_path / "wh"), num_partitions=1)
+    t = gold.open_tables(spark, res.version_path)
+    assert t["dim_customers"].first().customer_name == "Zeta" and t["dim_products"].first().unit_price == 9.0

@@ -60,3 +60,33 @@ def test_lookup_join_salted_path_matches_broadcast(spark):
     assert [r.k for r in hot_keys(left, ["k"], 500).collect()] == ["hot"]
     every = salted_join(left, right, ["k"], "left", salts=5, hot_rows=500, max_hot_keys=0)
     assert every.exceptAll(small).count() == 0 and small.exceptAll(every).count() == 0
+
+
+def test_measuring_sends_no_rows_to_one_task(spark):
+    from lakestar.operators import lookup
+
+    df = spark.range(1000).selectExpr("id", "cast(id as string) s")
+    n, size = lookup.measured(df)
+    assert n == 1000 and size == 1000 * (16 + 8) + sum(len(str(i)) for i in range(1000))
+    assert lookup.broadcast_if_small(df, max_rows=1000)[1] and not lookup.broadcast_if_small(df, max_rows=999)[1]
+    assert not lookup.broadcast_if_small(df, max_bytes=20_000)[1]
+
+
+def test_null_keys_are_spread(spark):
+    from pyspark.sql import functions as F
+
+    from lakestar.operators.lookup import salted_join
+
+    left = spark.range(9000).selectExpr("id", "case when id % 3 = 0 then null else cast(id % 50 as int) end k")
+    right = spark.range(50).selectExpr("cast(id as int) k", "id * 10 v")
+    old = spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = salted_join(left, right, ["k"], "left", salts=16, hot_rows=10**9)
+        parts = joined.where("k is null").groupBy(F.spark_partition_id()).count().collect()
+        assert joined.count() == 9000 and joined.where("k is null and v is null").count() == 3000
+        assert len(parts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old[0])
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old[1])

@@ -96,3 +96,32 @@ def test_ledger_in_file_order_across_splits(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == [f"P{i:05d}" for i in range(3000)]
+
+
+def write(folder, **files):
+    for name, text in files.items():
+        (folder / f"{name}.csv").write_text(text, encoding="utf-8", newline="")
+
+
+HEADER = "Date,Country,Product,Order_Quantity,Unit_Price\n"
+
+
+def test_quotes_commas_and_missing_tokens(spark, tmp_path):
+    write(tmp_path, a=HEADER + '2024-01-01,NA,"Bolt 1/4"" wide",N/A,null\n2024-01-02,None ,"Say ""hi, you""",2,"3.5"\nNaN,"","NULL",,nan\n')
+    rows = {r.Date: r for r in readers.read_ledger(spark, str(tmp_path)).collect()}
+    assert rows["2024-01-01"].Product == 'Bolt 1/4" wide' and rows["2024-01-02"].Product == 'Say "hi, you"'
+    assert rows["2024-01-01"].Country is None and rows["2024-01-01"].Order_Quantity is None and rows["2024-01-01"].Unit_Price is None
+    assert rows["2024-01-02"].Country == "None " and rows["2024-01-02"].Unit_Price == 3.5
+    assert tuple(rows[None])[1:] == (None, None, None, None)
+
+
+def test_line_breaks_in_fields(spark, tmp_path):
+    write(tmp_path, a=HEADER + '2024-01-01,C,"two\nlines",1,2\n2024-01-02,C,one,1,2\n')
+    rows = readers.read_ledger_in_file_order(spark, str(tmp_path), multi_line=True).orderBy("_src_row").collect()
+    assert [r.Product for r in rows] == ["two\nlines", "one"]
+
+
+def test_files_with_other_headers_are_refused(spark, tmp_path):
+    write(tmp_path, a=HEADER + "2024-01-01,C,P,1,2\n", b="Product,Date,Country,Unit_Price,Order_Quantity\nQ,2024-02-02,C,1,2\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_ledger(spark, str(tmp_path)).collect()
