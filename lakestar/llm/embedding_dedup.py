@@ -42,6 +42,8 @@ BLOCKS = 4
 TILE = 8192
 #: Cells of a comparison matrix held at once.
 MATRIX = 1 << 19
+#: Cells of a block up to which their sizes are sent to every task.
+CELLS = 100_000
 #: Vectors that the rotation is fitted on.
 SAMPLE = 4096
 #: Coordinates are rounded to this fraction of one.
@@ -195,10 +197,12 @@ def linked(classes: DataFrame, threshold: float) -> DataFrame:
     placed = classes.select("node", "size", "vector").mapInArrow(place, f"dim int, block int, cell long, node long, size long, vector {kind}")
     placed = checkpointed(placed)
     key = ["dim", "block", "cell"]
-    # cells of each block are bounded by the radius
     cuts = placed.groupBy(*key).agg(F.ceil(F.count("*") / F.lit(float(TILE))).cast("long").alias("cuts"))
+    # a coordinate of a unit vector lies in -1 .. 1, so a block has at most so many cells
+    if 2 + 2 * FINE / np.sqrt(max(0.0, 2 - 2 * threshold) / BLOCKS + 1e-12) <= CELLS:
+        cuts = F.broadcast(cuts)
     tiles = (
-        placed.join(F.broadcast(cuts), key)
+        placed.join(cuts, key)
         .groupBy(*key, F.pmod(F.xxhash64("node"), F.col("cuts")).alias("cut"))
         .agg(F.collect_list(F.struct("node", "size", "vector")).alias("rows"))  # about ``TILE`` rows
         .select(*key, "cut", F.col("rows.node").alias("nodes"), F.col("rows.size").alias("sizes"), F.col("rows.vector").alias("vectors"))

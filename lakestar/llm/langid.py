@@ -6,7 +6,7 @@ word falls back to its character 4-grams, each unseen one of these to 3-grams,
 prediction, its share of the posterior the score.
 
 The model is fitted on at most about ``SAMPLE`` documents of each language
-(all documents of smaller languages), chosen by a hash of the key; at most
+(all documents of smaller languages, and at most ``LANGUAGES`` languages), chosen by a hash of the key; at most
 ``ENTRIES`` words and n-grams of each order and language are kept, so that its
 size is bounded whatever the input. Prediction reads whole texts and nothing
 but texts.
@@ -36,6 +36,8 @@ UNKNOWN = "und"
 SAMPLE = 4000
 #: Words, and n-grams of each order, kept for each language.
 ENTRIES = 12_000
+#: Languages to learn, those with the most documents.
+LANGUAGES = 500
 #: The longest n-grams.
 ORDER = 4
 #: Added to every count.
@@ -70,9 +72,10 @@ def training_rows(df: DataFrame, id_col: str, text_col: str, lang_col: str, samp
     """About ``sample`` documents of each language by a hash of the key; all where there are fewer."""
     rows = df.select(F.col(f"`{id_col}`").alias("key"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("key").isNotNull() & ~held_out(F.col("key")))
-    share = rows.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(sample)) / F.count("*")).alias("share"))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("size")).orderBy(F.desc("size"), "lang").limit(LANGUAGES)
+    share = sizes.select("lang", F.least(F.lit(1.0), F.lit(float(sample)) / F.col("size")).alias("share"))
     place = F.pmod(F.xxhash64("key"), F.lit(1 << 20)) / float(1 << 20)
-    return rows.join(F.broadcast(share), "lang").where(place < F.col("share")).select("lang", "text")  # a row for each language
+    return rows.join(F.broadcast(share), "lang").where(place < F.col("share")).select("lang", "text")  # at most ``LANGUAGES`` rows
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, entries: int = ENTRIES) -> Model:

@@ -235,7 +235,8 @@ def judge(field: Field, texts: list[str]) -> tuple[list[tuple[int, int, int, int
 
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", quality_col: str = "quality", sample: int = SAMPLE) -> Field:
     """Train on a bounded sample of the labelled documents."""
-    chosen = labels.select(F.col(f"`{id_col}`").cast("long").alias("key"), F.col(f"`{quality_col}`").cast("int").alias("quality")).dropna().dropDuplicates(["key"])
+    chosen = labels.select(F.col(f"`{id_col}`").cast("long").alias("key"), F.col(f"`{quality_col}`").cast("int").alias("quality")).dropna()
+    chosen = chosen.groupBy("key").agg(F.min("quality").alias("quality"))
     chosen = chosen.orderBy(F.xxhash64("key"), "key").limit(sample)
     rows = keyed_text(df, id_col, text_col).join(F.broadcast(chosen), "key")  # at most ``sample`` rows
 
@@ -246,7 +247,8 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("quality"), pa.array(packed, pa.binary())], ["key", "quality", "active"])
 
     bounded_batches(df.sparkSession)
-    found = rows.mapInArrow(run, "key long, quality int, active binary").dropDuplicates(["key"]).orderBy("key").toArrow()
+    measured = rows.mapInArrow(run, "key long, quality int, active binary")
+    found = measured.groupBy("key", "quality").agg(F.min("active").alias("active")).orderBy("key").toArrow()  # repeated rows train once
     docs, kinds = [], []
     for quality, active in zip(found.column("quality").to_pylist(), found.column("active").to_pylist()):
         if active:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.llm.common import bounded_batches, checkpointed, keyed_text, texts_of
+from lakestar.llm.common import bounded_batches, checkpointed, keyed_text, texts_of, unclashed
 from lakestar.llm.components import components
 
 #: Fingerprints of a tile.
@@ -152,9 +152,10 @@ def representatives(df: DataFrame, radius: int = 3, shingle: int = 3, seed: int
     without a key cannot be named and all stay.
     """
     found = deduplicated(df.where(F.col(f"`{id_col}`").isNotNull()), radius, shingle, seed, id_col, text_col)
-    kept = found.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count("*").alias("n"))
-    kept = checkpointed(kept.select(F.col(id_col).alias("kept_key"), "n"))
+    name = unclashed(df.columns, "kept_key")
+    kept = found.where(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias(name)).agg(F.count("*").alias("n"))
+    kept = checkpointed(kept)
     key = F.col(f"`{id_col}`").cast("long")
-    once = df.join(kept.where("n = 1").select("kept_key"), key == F.col("kept_key"), "left_semi")
-    more = df.join(kept.where("n > 1").select("kept_key"), key == F.col("kept_key"), "left_semi").dropDuplicates([id_col])
+    once = df.join(kept.where("n = 1").select(name), key == F.col(name), "left_semi")
+    more = df.join(kept.where("n > 1").select(name), key == F.col(name), "left_semi").dropDuplicates([id_col])
     return once.unionByName(more).unionByName(df.where(key.isNull()))

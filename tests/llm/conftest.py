@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 #: Columns of documents, and some whose names the operators use themselves.
-EXTRA = ["key", "bits", "component_id", "nth", "score"]
+EXTRA = ["key", "bits", "component_id", "nth", "score", "kept_key", "n"]
 SCHEMA = StructType(
     [StructField("doc_id", LongType()), StructField("text", StringType()), StructField("lang", StringType()), StructField("source", StringType()), StructField("n_chars", LongType())]
     + [StructField(c, StringType()) for c in EXTRA]
