@@ -20,6 +20,7 @@ empty result; other columns are not read.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -207,15 +208,20 @@ class Scorer(Rows):
         return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
 
 
+#: The worker's scorer; words scored in one task serve the next.
+_SCORERS: dict[str, Scorer] = {}
+
+
 def predictor(df: DataFrame, model: Model):
     """A function text -> (language, score) for tasks; its model is broadcast (bounded by ``ENTRIES``)."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    held: dict[int, Scorer] = {}
+    name = uuid.uuid4().hex
 
     def predict(text: str) -> tuple[str, float]:
-        if 0 not in held:
-            held[0] = Scorer(shared.value)
-        return held[0].predict(text)
+        if name not in _SCORERS:
+            _SCORERS.clear()  # one model at a time
+            _SCORERS[name] = Scorer(shared.value)
+        return _SCORERS[name].predict(text)
 
     return predict
 
