@@ -140,7 +140,8 @@ def deduplicated(df: DataFrame, radius: int = 3, shingle: int = 3, seed: int = 4
     found = components(linked(classes.select("bits"), radius))
     member = classes.join(found.select(F.col("node").alias("bits"), "component"), "bits", "left")
     member = member.select("bits", "least", F.coalesce("component", "bits").alias("component"))
-    names = member.groupBy("component").agg(F.min("least").alias("component_id"))
+    # combined on the map side, and cut off here: the join below is then a plain one, whose hot keys Spark can split
+    names = checkpointed(member.groupBy("component").agg(F.min("least").alias("component_id")))
     named = member.join(names, "component").select("bits", "component_id")
     return rows.join(named, "bits").select(F.col("key").alias(id_col), F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
