@@ -354,9 +354,16 @@ r_stores AS (
         QUALIFY row_number() OVER (PARTITION BY "City", "State" ORDER BY pos) = 1))"""
 
 
+_REGISTRIES: dict[tuple[str, str], reg.Registry] = {}
+
+
 def _registry(spark, sf_dir):
-    # without its position column: the place in the files counts
-    return reg.build_registry(readers.read_orders_extract(spark, testdata_warehouse(spark, sf_dir).landing["orders_extract"]))
+    """One registry per application and scale directory; its staged tables serve all queries.
+    The extract is read without its position column: the place in the files counts."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _REGISTRIES:
+        _REGISTRIES[key] = reg.build_registry(readers.read_orders_extract(spark, testdata_warehouse(spark, sf_dir).landing["orders_extract"]))
+    return _REGISTRIES[key]
 
 
 register("registry_customers", f"""WITH {_REGISTRY_CTES}
