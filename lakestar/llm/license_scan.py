@@ -7,8 +7,11 @@ inverted index leads from fingerprints to places in templates; each offset
 between text and template that a hit shows is a candidate. A candidate is
 aligned within ``BAND`` words around its offset (matches score 2, mismatches and
 gaps cost 1, free ends), and reported if the matched words cover at least
-``COVERAGE`` of the template (all of it in one run, if it is short). A match inside the span of one with more matched
-words is dropped, as a notice that is part of a longer text.
+``COVERAGE`` of the template (all of it in one run, if it is short). Where a short
+template says ``...``, up to ``HOLDER`` words of the text may stand, such as years
+and holders. A match inside the span of one with more matched words is dropped,
+as a notice that is part of a longer text. Runs too short for WINDOW + GRAM - 1
+words are found by all grams of the text, not by fingerprints.
 
 Texts stream through tasks without a shuffle; the index is as large as the
 templates. Defined results: a null or empty text and a text shorter than every
@@ -36,6 +39,8 @@ BAND = 12
 COVERAGE = 0.8
 #: Templates below this many words have to match whole and unbroken: one other word names another licence.
 SHORT = 20
+#: Words of the text that may stand in a gap of a short template.
+HOLDER = 12
 
 MATCH, MISS, GAP = 2, -1, -1
 
@@ -89,20 +94,26 @@ class Index:
         self.base = len(self.number) + 1
         self.texts = [np.array([self.number[w] for w in words[name]], dtype=np.int64) for name in self.names]
         self.has = [np.isin(np.arange(self.base), ids) for ids in self.texts]
-        rows = []
+        # words of each template before its gaps
+        self.breaks = [np.cumsum([len(words_of(part)) for part in templates[name].split("...")])[:-1].tolist() for name in self.names]
+        rows, unguarded = [], set()
         for t, ids in enumerate(self.texts):
             hashes = gram_hashes(ids, self.base)
             # all grams of a template: a text's own windows choose which of them it shows
             rows += [(int(h), t, p) for p, h in enumerate(hashes)]
+            if max(map(len, np.split(ids, self.breaks[t]))) < WINDOW + GRAM - 1:
+                unguarded.update(hashes.tolist())
         rows.sort()
         self.hashes = np.array([r[0] for r in rows], dtype=np.uint64)
         self.template = np.array([r[1] for r in rows], dtype=np.int64)
         self.place = np.array([r[2] for r in rows], dtype=np.int64)
+        # grams of templates so short that a text's fingerprints may miss them
+        self.unguarded = np.array(sorted(unguarded), dtype=np.uint64)
 
     def candidates(self, ids: np.ndarray) -> Iterator[tuple[int, int]]:
         """(template, offset) of all hits, each once."""
         hashes = gram_hashes(ids, self.base)
-        at = winnowed(hashes)
+        at = np.union1d(winnowed(hashes), np.flatnonzero(np.isin(hashes, self.unguarded)))
         first = np.searchsorted(self.hashes, hashes[at], side="left")
         count = np.searchsorted(self.hashes, hashes[at], side="right") - first
         at, first, count = at[count > 0], first[count > 0], count[count > 0]
@@ -117,14 +128,17 @@ class Index:
         found: list[Match] = []
         for t, offset in self.candidates(ids):
             pattern = self.texts[t]
-            short = len(pattern) < SHORT
-            needed = len(pattern) * (1 if short else COVERAGE)
+            if len(pattern) < SHORT:
+                if span := unbroken(pattern, self.breaks[t], ids, offset):
+                    found.append(Match(self.names[t], 1.0, len(pattern), *span))
+                continue
+            needed = len(pattern) * COVERAGE
             # too few of the template's words in reach: no alignment can cover it
             reach = ids[max(0, offset - BAND) : offset + len(pattern) + BAND]
             if self.has[t][reach].sum() < needed:
                 continue
             matched, start, end = align(pattern, ids, offset)
-            if matched >= needed and not (short and end - start > matched):
+            if matched >= needed:
                 found.append(Match(self.names[t], matched / len(pattern), matched, start, end))
         found.sort(key=lambda m: (-m.matched, -m.coverage, m.license, m.start))
         best: list[Match] = []
@@ -137,6 +151,31 @@ class Index:
         return sorted(best, key=lambda m: (m.start, m.end, m.license))
 
 
+def unbroken(template: np.ndarray, breaks: list[int], ids: np.ndarray, offset: int) -> tuple[int, int] | None:
+    """(start, end) of the whole template whose longest part stands at the offset, with the nearest places of the others."""
+    parts = np.split(template, breaks)
+    longest = max(range(len(parts)), key=lambda k: len(parts[k]))
+
+    def stands(part: np.ndarray, at: int) -> bool:
+        return at >= 0 and np.array_equal(ids[at : at + len(part)], part)
+
+    start = offset + sum(map(len, parts[:longest]))
+    if not stands(parts[longest], start):
+        return None
+    end = start + len(parts[longest])
+    for part in parts[longest + 1 :]:
+        at = next((x for x in range(end, end + HOLDER + 1) if stands(part, x)), None)
+        if at is None:
+            return None
+        end = at + len(part)
+    for part in reversed(parts[:longest]):
+        at = next((x for x in range(start - len(part), start - len(part) - HOLDER - 1, -1) if stands(part, x)), None)
+        if at is None:
+            return None
+        start = at
+    return start, end
+
+
 def align(template: np.ndarray, ids: np.ndarray, offset: int) -> tuple[int, int, int]:
     """(matched words, start, end) of the best local alignment with text word - template word
     within the band around the offset; of equal ones that which ends nearest to it."""

@@ -1,7 +1,7 @@
 """Licence notices and texts that the scan looks for.
 
 Fixed values: the public wording of notices and licences, with holders and
-years left out.
+years left out. ``...`` is where they stand in a short notice.
 """
 
 TEMPLATES: dict[str, str] = {
@@ -17,7 +17,8 @@ TEMPLATES: dict[str, str] = {
     "CC-BY-SA-4.0-work": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "CC-BY-NC-4.0-work": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     "BSD-notice": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
-    "rights-reserved": "Copyright. All rights reserved. No part of this publication may be reproduced without permission.",
+    "rights-reserved-notice": "All rights reserved.",
+    "rights-reserved": "Copyright ... All rights reserved. No part of this publication may be reproduced without permission.",
     "MIT": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
         '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, '

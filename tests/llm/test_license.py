@@ -86,3 +86,23 @@ def test_query(odd, documents, empty):
     counts = Counter(map(tuple, scan.scanned(twice).collect()))
     assert counts and all(n == 2 for n in counts.values())
     assert scan.scanned(empty).count() == 0
+
+
+def test_rights_reserved_lines(documents):
+    """Licence lines as they are written in documents, not as the templates have them."""
+    line = "All rights reserved."
+    for text in (line, "all  rights\nreserved", f"Chapter one. {line} Chapter two. " * 9, f"x {line} y"):
+        assert [m.license for m in scan.spans(INDEX, text)] == ["rights-reserved-notice"] * text.lower().count("rights")
+    rnd = random.Random(6)
+    for _ in range(300):  # whatever stands beside it: fingerprints of the neighbours must not hide it
+        beside = [" ".join(rnd.choice(["copyright", "software", "of", "version", "stone", "river"]) for _ in range(rnd.randrange(6))) for _ in range(2)]
+        assert "rights-reserved-notice" in {m.license for m in scan.spans(INDEX, f"{beside[0]}. {line} {beside[1]}")}
+    tail = "No part of this publication may be reproduced without permission."
+    for head in ("Copyright.", "Copyright 2021 Acme.", "Copyright (c) 2019-2021 by Smith & Sons Ltd.", "Copyright \u00a9 2020 A. Person and B. Person."):
+        text = f"Before. {head} {line} {tail} After."
+        (m,) = scan.spans(INDEX, text)
+        assert m.license == "rights-reserved" and text[m.start : m.end] == f"{head} {line} {tail}"[:-1]
+    assert scan.spans(INDEX, "All rights are reserved. All rights waived.") == []
+    texts = {r["doc_id"]: r["text"] or "" for r in documents.collect()}
+    got = Counter(r["doc_id"] for r in scan.scanned(documents).collect() if r["license"] == "rights-reserved-notice")
+    assert got == Counter({k: n for k, t in texts.items() if (n := t.count(line))})
