@@ -5,11 +5,12 @@
    full). A row keeps its task, and its number among the task's pieces of that
    length; the rows are checkpointed, so both stay what they are.
 2. The histogram of lengths has at most ``capacity`` rows. On it ``plan`` solves
-   the configuration linear program by multiplicative weights: a length's price
-   is its share of the capacity times a weight that grows with its uncovered
-   demand, the best pattern under the prices comes from knapsack dynamic
-   programming, and each pattern takes a fixed share of the bins. Counts are
-   rounded down; what remains is packed best fit, largest length first.
+   the configuration linear program by multiplicative weights (``program``): a
+   length's price is its share of the capacity times a weight that shrinks as it
+   is covered, the best pattern under the prices comes from knapsack dynamic
+   programming, and every round gives its pattern the same share of the bins,
+   against the whole demand. The averaged counts are rounded down; what remains
+   is packed best fit, largest length first.
 3. Pieces of equal length are interchangeable: the n-th of a length takes the
    n-th place of that length in the plan. Its number is a prefix sum over the
    per-task counts plus its number in the task, so no task sees all pieces of a
@@ -24,6 +25,7 @@ columns are not read.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -36,12 +38,12 @@ from pyspark.sql import functions as F
 from lakestar.llm import bpe
 from lakestar.llm.common import bounded_batches, checkpointed, keyed_text, steps, texts_of
 
-#: Patterns that the linear program may use.
-ROUNDS = 300
-#: How fast prices follow uncovered demand.
+#: Rounds of the linear program.
+ROUNDS = 2000
+#: How fast prices follow coverage.
 RATE = 0.05
-#: Share of a length's demand that one pattern may cover at once.
-STEP = 1.0
+#: Sequences from which the linear program is solved.
+LEAST = 300
 
 PIECES = "key long, piece int, start long, length long, ids_crc32 long, task long, nth long"
 
@@ -93,17 +95,20 @@ def pieces_of(df: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, i
 
 def best_pattern(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> dict[int, int]:
     """The most valuable multiset of lengths within the capacity: {index: times}."""
+    priced = np.full(capacity + 1, -np.inf)
+    priced[capacity - lengths] = prices  # longest first
+    index = np.zeros(capacity + 1, dtype=np.int64)
+    index[lengths] = np.arange(len(lengths))
     value = np.zeros(capacity + 1)
     choice = np.full(capacity + 1, -1, dtype=np.int64)
-    fitting = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
+    first = int(lengths[0])
     for c in range(1, capacity + 1):
         value[c] = value[c - 1]
-        k = fitting[c]
-        if k:
-            offers = value[c - lengths[:k]] + prices[:k]
-            best = k - 1 - int(offers[::-1].argmax())  # of equal offers the longest
+        if c >= first:
+            offers = value[: c - first + 1] + priced[capacity - c : capacity - first + 1]
+            best = int(offers.argmax())  # of equal offers the longest
             if offers[best] > value[c]:
-                value[c], choice[c] = offers[best], best
+                value[c], choice[c] = offers[best], index[c - best]
     times: dict[int, int] = {}
     c = capacity
     while c > 0:
@@ -126,6 +131,25 @@ def _fill(times: dict[int, int], lengths: np.ndarray, left: np.ndarray, capacity
     return times
 
 
+def program(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int) -> tuple[float, dict[tuple[tuple[int, int], ...], float]]:
+    """(lower bound of the sequences, {((index, times), ...): fractional count}) of the configuration linear program.
+
+    No packing needs fewer sequences than the prices of all pieces over the value of the best
+    pattern; the counts add up to the best such bound."""
+    bound = float((demand * lengths).sum()) / capacity
+    short = np.zeros(len(lengths))  # rounds by which the coverage of a length is behind
+    chosen: Counter[tuple[tuple[int, int], ...]] = Counter()
+    for _ in range(rounds):
+        prices = lengths / capacity * np.exp(np.clip(RATE * (short - short.max()), -30, 0))
+        times = best_pattern(lengths, prices, capacity)
+        i, n = (np.array(x, dtype=np.int64) for x in (list(times), list(times.values())))
+        bound = max(bound, float((demand * prices).sum() / (prices[i] * n).sum()))
+        chosen[tuple(sorted(times.items()))] += 1
+        short += 1
+        short[i] -= bound * n / demand[i]
+    return bound, {pattern: bound * k / rounds for pattern, k in chosen.items()}
+
+
 def plan(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> list[tuple[dict[int, int], int]]:
     """[({length: times}, sequences)] that together hold exactly the histogram. If the rounded
     program needs more sequences than best fit alone, the latter stands."""
@@ -143,29 +167,18 @@ def _solve(histogram: dict[int, int], capacity: int, rounds: int) -> list[tuple[
     left = demand.copy()
 
     def take(times: dict[int, int], most: int) -> None:
-        nonlocal left
-        times = _fill(times, lengths, left, capacity)
-        n = min(most, min(int(left[i]) // t for i, t in times.items()))
-        for i, t in times.items():
-            left[i] -= t * n
-        out.append(({int(lengths[i]): t for i, t in times.items()}, n))
+        if n := min(most, min(int(left[i]) // t for i, t in times.items())):
+            for i, t in times.items():
+                left[i] -= t * n
+            out.append(({int(lengths[i]): t for i, t in times.items()}, n))
 
     bins = -(-int((demand * lengths).sum()) // capacity)
-    weight = np.zeros(len(lengths))
-    if rounds and bins >= rounds:  # fewer sequences than patterns: nothing to average, the rest packs them
-        for done in range(1, rounds + 1):
-            open_ = np.flatnonzero(left)
-            if not len(open_):
-                break
-            # uncovered beyond what the bins used so far should have covered raises the price
-            used = 1 - (left * lengths).sum() / (demand * lengths).sum()
-            weight += left / demand - (1 - used)
-            prices = lengths[open_] / capacity * np.exp(np.clip(RATE * (weight[open_] - weight[open_].max()), -30, 0))
-            times = {int(open_[i]): t for i, t in best_pattern(lengths[open_], prices, capacity).items()}
-            step = min(max(1, int(demand[i] * STEP)) // t for i, t in times.items())
-            take(times, max(1, step))
+    if rounds and bins >= LEAST:
+        _, counts = program(lengths, demand, capacity, rounds)
+        for pattern, count in sorted(counts.items(), key=lambda x: -x[1]):
+            take(dict(pattern), int(count))
     while (rest := np.flatnonzero(left)).size:
-        take({int(rest[-1]): 1}, int(left[rest[-1]]))
+        take(_fill({int(rest[-1]): 1}, lengths, left, capacity), int(left[rest[-1]]))
     return out
 
 

@@ -158,6 +158,27 @@ def test_best_pattern_is_optimal():
         assert np.isclose(sum(prices[i] * t for i, t in times.items()), value[60])
 
 
+FEW = {347: 9000, 353: 7000, 211: 12000, 509: 4000}
+
+
+def test_linear_program_is_solved():
+    """Fractional counts that cover the whole demand, and a plan near their sum where best fit alone is far from it."""
+    for histogram in (FEW, {520: 5000, 128: 15000}):
+        lengths = np.array(sorted(histogram))
+        demand = np.array([histogram[k] for k in lengths.tolist()])
+        bound, counts = packing.program(lengths, demand, 1024, packing.ROUNDS)
+        assert np.isclose(sum(counts.values()), bound) and bound >= (lengths * demand).sum() / 1024
+        covered = np.zeros(len(lengths))
+        for pattern, count in counts.items():
+            assert sum(int(lengths[i]) * t for i, t in pattern) <= 1024
+            for i, t in pattern:
+                covered[i] += t * count
+        assert (covered >= 0.98 * demand).all()
+        used = sum(n for _, n in packing.plan(histogram, 1024))
+        assert bound - 1e-6 <= used <= 1.005 * bound
+    assert sum(n for _, n in packing.plan(FEW, 1024)) < 0.99 * sum(n for _, n in packing._solve(FEW, 1024, 0))
+
+
 def check_packing(df, got, by_merges, capacity=1024):
     documents = Counter()
     expected = Counter()
