@@ -18,8 +18,9 @@ from lakestar.llm.common import checkpointed
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40))).alias("h")).first()
-    return row["n"], row["h"] or 0
+    # a sum of longs would overflow beyond 2**24 edges
+    row = edges.agg(F.count("*").alias("n"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)).cast("decimal(28,0)")).alias("h")).first()
+    return row["n"], int(row["h"] or 0)
 
 
 def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame:

@@ -5,9 +5,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lakestar.llm import embedding_dedup, simhash
-from lakestar.llm.components import components
+from lakestar.llm.components import _state, components
 
 from . import brute
 
@@ -32,6 +33,15 @@ def test_components(spark, shape):
     assert got == {n: parts[n] for n in nodes}
 
 
+def test_state_of_many_edges(spark):
+    """Hashes of 40 bits each that add up beyond a long."""
+    n = 18_000_000
+    edges = spark.range(0, n, 1, 8).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    count, total = _state(edges)
+    assert count == n and 2**63 < total < n * 2**40
+    assert _state(edges.where("a > 0")) != (count, total) and _state(edges.limit(0)) == (0, 0)
+
+
 def test_fingerprints():
     for text in ("", "one", "Two words", "a b c", "a b c d A B C", "ÄÖ x y z " * 50, "the\x1cfile x y z"):
         assert simhash.fingerprint(text) == brute.fingerprint(text)
