@@ -11,7 +11,9 @@ gaps cost 1, free ends), and reported if the matched words cover at least
 template says ``...``, up to ``HOLDER`` words of the text may stand, such as years
 and holders. A match inside the span of one with more matched words is dropped,
 as a notice that is part of a longer text. Runs too short for WINDOW + GRAM - 1
-words are found by all grams of the text, not by fingerprints.
+words are found by all grams of the text, not by fingerprints. Licences that
+differ by a few words are told apart by these words (``TELLING``): a match whose
+stretch of the text lacks them is dropped.
 
 Texts stream through tasks without a shuffle; the index is as large as the
 templates. Defined results: a null or empty text and a text shorter than every
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lakestar.llm.common import bounded_batches, keyed_text, texts_of
-from lakestar.llm.license_texts import TEMPLATES
+from lakestar.llm.license_texts import TELLING, TEMPLATES
 
 GRAM = 3
 WINDOW = 3
@@ -96,6 +98,7 @@ class Index:
         self.has = [np.isin(np.arange(self.base), ids) for ids in self.texts]
         # words of each template before its gaps
         self.breaks = [np.cumsum([len(words_of(part)) for part in templates[name].split("...")])[:-1].tolist() for name in self.names]
+        self.telling = [[np.array([self.number[w] for w in words_of(run)]) for run in TELLING.get(name, ()) if set(words_of(run)) <= set(words[name])] for name in self.names]
         rows, unguarded = [], set()
         for t, ids in enumerate(self.texts):
             hashes = gram_hashes(ids, self.base)
@@ -138,7 +141,7 @@ class Index:
             if self.has[t][reach].sum() < needed:
                 continue
             matched, start, end = align(pattern, ids, offset)
-            if matched >= needed:
+            if matched >= needed and all(holds(ids[start:end], run) for run in self.telling[t]):
                 found.append(Match(self.names[t], matched / len(pattern), matched, start, end))
         found.sort(key=lambda m: (-m.matched, -m.coverage, m.license, m.start))
         best: list[Match] = []
@@ -151,6 +154,11 @@ class Index:
         return sorted(best, key=lambda m: (m.start, m.end, m.license))
 
 
+def holds(ids: np.ndarray, run: np.ndarray) -> bool:
+    """Whether the run of words stands unbroken in the text."""
+    return len(ids) >= len(run) and bool((np.lib.stride_tricks.sliding_window_view(ids, len(run)) == run).all(axis=1).any())
+
+
 def unbroken(template: np.ndarray, breaks: list[int], ids: np.ndarray, offset: int) -> tuple[int, int] | None:
     """(start, end) of the whole template whose longest part stands at the offset, with the nearest places of the others."""
     parts = np.split(template, breaks)

@@ -106,3 +106,38 @@ def test_rights_reserved_lines(documents):
     texts = {r["doc_id"]: r["text"] or "" for r in documents.collect()}
     got = Counter(r["doc_id"] for r in scan.scanned(documents).collect() if r["license"] == "rights-reserved-notice")
     assert got == Counter({k: n for k, t in texts.items() if (n := t.count(line))})
+
+
+def test_siblings_are_told_apart():
+    """Headers and texts as works carry them, written out here."""
+    tail = "either version {} of the License, or (at your option) any later version.\n\n * This {} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU {} License for more details.\n"
+    head = " * This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {} License as published by the Free Software Foundation; "
+    for name, kind, version, work in (
+        ("GPL-2.0", "General Public", "2", "program"),
+        ("GPL-3.0", "General Public", "3", "program"),
+        ("LGPL-2.0", "Library General Public", "2", "library"),
+        ("LGPL-2.1", "Lesser General Public", "2.1", "library"),
+        ("LGPL-3.0", "Lesser General Public", "3", "program"),
+        ("LGPL-3.0", "Lesser General Public", "3", "library"),
+        ("AGPL-3.0", "Affero General Public", "3", "program"),
+    ):
+        text = "Copyright 2020 Somebody\n" + (head + tail).format(work, kind, version, work, kind)
+        assert [m.license for m in scan.spans(INDEX, text)] == [name], (name, work)
+    clauses = [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    ]
+    third = "3. Neither the name of Acme Inc. nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    advertising = "3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by Acme Inc."
+    warranty = (
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF '
+        "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT OWNER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+        "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+        "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN "
+        "IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    )
+    for name, parts in (("BSD-2-Clause", []), ("BSD-3-Clause", [third]), ("BSD-4-Clause", [advertising, third])):
+        assert [m.license for m in scan.spans(INDEX, "\n".join([*clauses, *parts, warranty]))] == [name]
+    text = "Released by us. Copyright 2001 Acme. " + head.format("program", "General Public") + tail.format("4", "program", "General Public")
+    assert scan.spans(INDEX, text) == []  # a version that no template has
