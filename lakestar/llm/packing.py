@@ -42,8 +42,6 @@ from lakestar.llm.common import bounded_batches, checkpointed, keyed_text, steps
 ROUNDS = 2000
 #: How fast prices follow coverage.
 RATE = 0.05
-#: Sequences from which the linear program is solved.
-LEAST = 300
 
 PIECES = "key long, piece int, start long, length long, ids_crc32 long, task long, nth long"
 
@@ -172,8 +170,7 @@ def _solve(histogram: dict[int, int], capacity: int, rounds: int) -> list[tuple[
                 left[i] -= t * n
             out.append(({int(lengths[i]): t for i, t in times.items()}, n))
 
-    bins = -(-int((demand * lengths).sum()) // capacity)
-    if rounds and bins >= LEAST:
+    if rounds:
         _, counts = program(lengths, demand, capacity, rounds)
         for pattern, count in sorted(counts.items(), key=lambda x: -x[1]):
             take(dict(pattern), int(count))

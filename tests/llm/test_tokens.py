@@ -179,6 +179,12 @@ def test_linear_program_is_solved():
     assert sum(n for _, n in packing.plan(FEW, 1024)) < 0.99 * sum(n for _, n in packing._solve(FEW, 1024, 0))
 
 
+def test_small_tables_use_the_program_too():
+    histogram = {k: n // 100 for k, n in FEW.items()}
+    alone = sum(n for _, n in packing._solve(histogram, 1024, 0))
+    assert alone < 300 and sum(n for _, n in packing.plan(histogram, 1024)) < alone
+
+
 def check_packing(df, got, by_merges, capacity=1024):
     documents = Counter()
     expected = Counter()
