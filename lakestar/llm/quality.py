@@ -6,7 +6,8 @@ it passes the base rules and content lines hold at least ``CONTENT_SHARE`` of
 its words.
 
 The field is trained here, by gradient ascent on the likelihood, on at most
-``SAMPLE`` labelled documents (by a hash of the key); the lines of a document
+``SAMPLE`` labelled documents with ``LINES`` lines in all (by a hash of the key);
+the lines of a document
 labelled good are content, those of one labelled bad are boilerplate, and lines
 of both kinds that look alike get the label that most of them have.
 
@@ -30,6 +31,10 @@ from lakestar.llm.common import bounded_batches, kept_rows, keyed_text, texts_of
 
 #: Labelled documents to train on.
 SAMPLE = 2000
+#: Most lines of the training sample: documents that do not fit any more are passed over.
+LINES = 250_000
+#: Most lines, padding included, of a training group of several documents.
+GROUP_LINES = 65_536
 #: Share of the words that content lines must hold.
 CONTENT_SHARE = 0.5
 MIN_WORDS = 50
@@ -114,14 +119,22 @@ def _padded(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return out, lengths
 
 
+def grouped(lengths: list[int]) -> list[list[int]]:
+    """Documents that share a matrix: similar numbers of lines, at most 256 documents and ``GROUP_LINES`` padded lines."""
+    groups: list[list[int]] = []
+    for i in np.argsort(lengths, kind="stable").tolist():
+        if not groups or len(groups[-1]) == 256 or (len(groups[-1]) + 1) * lengths[i] > GROUP_LINES:
+            groups.append([])
+        groups[-1].append(i)
+    return groups
+
+
 def train(docs: list[np.ndarray], labels: list[int], steps: int = STEPS) -> Field:
     """Weights that make the labels of all lines likely; every document has one label for all its lines."""
     if len(set(labels)) < 2:
         return NEUTRAL
-    order = np.argsort([len(d) for d in docs], kind="stable")
     groups = []
-    for at in range(0, len(order), 256):  # similar numbers of lines share a matrix
-        chosen = order[at : at + 256]
+    for chosen in grouped([len(d) for d in docs]):
         active, lengths = _padded([docs[i] for i in chosen])
         groups.append((active, lengths, np.array([labels[i] for i in chosen])))
     lines = sum(int(g[1].sum()) for g in groups)
@@ -233,8 +246,8 @@ def judge(field: Field, texts: list[str]) -> tuple[list[tuple[int, int, int, int
     return counts, failed, [not f and s >= CONTENT_SHARE for f, s in zip(failed, share)], share
 
 
-def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", quality_col: str = "quality", sample: int = SAMPLE) -> Field:
-    """Train on a bounded sample of the labelled documents."""
+def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", quality_col: str = "quality", sample: int = SAMPLE, lines: int = LINES) -> Field:
+    """Train on a bounded sample of the labelled documents: at most ``sample`` of them, with at most ``lines`` lines in all."""
     chosen = labels.select(F.col(f"`{id_col}`").cast("long").alias("key"), F.col(f"`{quality_col}`").cast("int").alias("quality")).dropna()
     chosen = chosen.groupBy("key").agg(F.min("quality").alias("quality"))
     chosen = chosen.orderBy(F.xxhash64("key"), "key").limit(sample)
@@ -248,7 +261,18 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
 
     bounded_batches(df.sparkSession)
     measured = rows.mapInArrow(run, "key long, quality int, active binary")
-    found = measured.groupBy("key", "quality").agg(F.min("active").alias("active")).orderBy("key").toArrow()  # repeated rows train once
+    once = measured.groupBy("key", "quality").agg(F.min("active").alias("active")).persist()  # repeated rows train once
+    try:
+        sizes = once.select("key", F.xxhash64("key").alias("at"), (F.length("active") / ACTIVE).cast("long").alias("n")).collect()  # at most ``sample`` rows
+        room, over = lines, []
+        for r in sorted(sizes, key=lambda r: (r["at"], r["key"])):
+            if r["n"] <= room:
+                room -= r["n"]
+            else:
+                over.append(r["key"])
+        found = (once.where(~F.col("key").isin(over)) if over else once).orderBy("key").toArrow()
+    finally:
+        once.unpersist()
     docs, kinds = [], []
     for quality, active in zip(found.column("quality").to_pylist(), found.column("active").to_pylist()):
         if active:

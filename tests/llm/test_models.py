@@ -120,3 +120,18 @@ def test_language_backs_off():
     scorer = langid.Scorer(model)
     assert scorer.predict("KNOWN")[0] == "a" and scorer.predict("xyzw")[0] == "a"
     assert scorer.predict("q")[0] == "b" and scorer.predict("12 ²½ !")[0] == "und"
+
+
+def test_training_sample_is_bounded_in_lines(spark, monkeypatch):
+    lengths = [200_000, *([3] * 700), 40_000, 40_000]
+    groups = quality.grouped(lengths)
+    assert sorted(i for g in groups for i in g) == list(range(len(lengths)))
+    assert all(len(g) == 1 or len(g) * max(lengths[i] for i in g) <= quality.GROUP_LINES for g in groups)
+    assert max(map(len, groups)) == 256
+    docs = spark.createDataFrame([(i, "A line of some words.\n" * (500 if i == 3 else 4)) for i in range(12)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda docs, kinds: seen.append(sorted(map(len, docs))))
+    quality.fit(docs, labels)
+    quality.fit(docs, labels, lines=100)
+    assert seen == [[4] * 11 + [500], [4] * 11]
