@@ -6,9 +6,10 @@ word falls back to its character 4-grams, each unseen one of these to 3-grams,
 prediction, its share of the posterior the score.
 
 The model is fitted on at most about ``SAMPLE`` documents of each language
-(all documents of smaller languages, and at most ``LANGUAGES`` languages), chosen by a hash of the key; at most
-``ENTRIES`` words and n-grams of each order and language are kept, so that its
-size is bounded whatever the input. Prediction reads whole texts and nothing
+(all documents of smaller languages), chosen by a hash of the key; at most
+``ENTRIES`` words and n-grams of each order and language are kept, fewer where
+there are so many languages that the scores of an order would exceed ``CELLS``.
+Every language is learned. Prediction reads whole texts and nothing
 but texts.
 
 Defined results: ``und`` with score 0 for null, for texts without a letter, and
@@ -27,7 +28,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestar.llm.common import bounded_batches, kept_rows, keyed_text, texts_of
@@ -37,8 +38,8 @@ UNKNOWN = "und"
 SAMPLE = 4000
 #: Words, and n-grams of each order, kept for each language.
 ENTRIES = 12_000
-#: Languages to learn, those with the most documents.
-LANGUAGES = 500
+#: Scores of an order, an entry in a language each, from which every language keeps fewer entries.
+CELLS = 10_000_000
 #: The longest n-grams.
 ORDER = 4
 #: Added to every count.
@@ -73,10 +74,10 @@ def training_rows(df: DataFrame, id_col: str, text_col: str, lang_col: str, samp
     """About ``sample`` documents of each language by a hash of the key; all where there are fewer."""
     rows = df.select(F.col(f"`{id_col}`").alias("key"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("key").isNotNull() & ~held_out(F.col("key")))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("size")).orderBy(F.desc("size"), "lang").limit(LANGUAGES)
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("size"))
     share = sizes.select("lang", F.least(F.lit(1.0), F.lit(float(sample)) / F.col("size")).alias("share"))
     place = F.pmod(F.xxhash64("key"), F.lit(1 << 20)) / float(1 << 20)
-    return rows.join(F.broadcast(share), "lang").where(place < F.col("share")).select("lang", "text")  # at most ``LANGUAGES`` rows
+    return rows.join(F.broadcast(share), "lang").where(place < F.col("share")).select("lang", "text")  # a row for each language
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, entries: int = ENTRIES) -> Model:
@@ -102,21 +103,21 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     partial = training_rows(df, id_col, text_col, lang_col, sample).mapInArrow(count, "lang string, n int, gram string, c long")
     counts = partial.groupBy("lang", "n", "gram").agg(F.sum("c").alias("c")).persist()
     try:
-        # how many entries have each count, capped at 2000: enough to find the count from which ``entries`` are left
-        sizes = counts.groupBy("lang", "n", F.least("c", F.lit(2000)).alias("c")).agg(F.count("*").alias("k"), F.sum("c").alias("total")).collect()
-        totals: Counter = Counter()
-        cuts: dict[tuple[str, int], int] = {}
-        left: Counter = Counter()
-        for r in sorted(sizes, key=lambda r: -r["c"]):
-            at = (r["lang"], r["n"])
-            totals[at] += r["total"]
-            left[at] += r["k"]
-            if left[at] <= entries:
-                cuts[at] = r["c"]
+        # the count from which at most ``entries`` are left; none if more than these share the highest count
+        falling = Window.partitionBy("lang", "n").orderBy(F.desc("c")).rowsBetween(Window.unboundedPreceding, 0)
+        entries = min(entries, max(1, CELLS // max(1, counts.select("lang").distinct().count()) ** 2))
+        sizes = counts.groupBy("lang", "n", "c").agg(F.count("*").alias("k")).withColumn("left", F.sum("k").over(falling))
+        cuts = sizes.groupBy("lang", "n").agg(F.sum(F.col("c") * F.col("k")).alias("total"), F.min(F.when(F.col("left") <= entries, F.col("c"))).alias("cut")).collect()
         if not cuts:
             return Model([], [{} for _ in range(ORDER + 1)], np.zeros((ORDER + 1, 0)))
-        least = F.coalesce(*[F.when((F.col("lang") == lang) & (F.col("n") == n), F.lit(c)) for (lang, n), c in cuts.items()])
-        kept = counts.where(F.col("c") >= least).toArrow()
+        totals = Counter({(r["lang"], r["n"]): r["total"] for r in cuts})
+        least = df.sparkSession.createDataFrame([(r["lang"], r["n"], r["cut"]) for r in cuts], "lang string, n int, cut long")
+        known = counts.join(F.broadcast(least), ["lang", "n"])  # a row for each language and order
+        rows = known.where(F.col("c") >= F.col("cut")).drop("cut")
+        if any(r["cut"] is None for r in cuts):
+            place = F.row_number().over(Window.partitionBy("lang", "n").orderBy(F.desc("c"), "gram"))
+            rows = rows.union(known.where(F.col("cut").isNull()).drop("cut").withColumn("place", place).where(F.col("place") <= entries).drop("place"))
+        kept = rows.toArrow()
     finally:
         counts.unpersist()
     languages = sorted({lang for lang, _ in totals})
@@ -213,7 +214,7 @@ _SCORERS: dict[str, Scorer] = {}
 
 
 def predictor(df: DataFrame, model: Model):
-    """A function text -> (language, score) for tasks; its model is broadcast (bounded by ``ENTRIES``)."""
+    """A function text -> (language, score) for tasks; its model is broadcast (bounded by ``ENTRIES`` and ``CELLS``)."""
     shared = df.sparkSession.sparkContext.broadcast(model)
     name = uuid.uuid4().hex
 

@@ -135,3 +135,15 @@ def test_training_sample_is_bounded_in_lines(spark, monkeypatch):
     quality.fit(docs, labels)
     quality.fit(docs, labels, lines=100)
     assert seen == [[4] * 11 + [500], [4] * 11]
+
+
+def test_language_model_keeps_the_top_entries_of_every_language(spark):
+    free = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    text = " ".join(["alpha"] * 2500 + ["beta"] * 2400 + ["gamma"] * 2300 + ["delta"] * 4)
+    docs = spark.createDataFrame([(free[0], text, "aa"), (free[1], "one two three four", "bb")], "doc_id long, text string, lang string")
+    model = langid.fit(docs, entries=2)
+    assert model.languages == ["aa", "bb"]
+    learned = {lang: {w for w, scores in model.known[0].items() if scores[i] > scores[1 - i]} for i, lang in enumerate(model.languages)}
+    assert learned["aa"] == {"alpha", "beta"} and learned["bb"] == {"four", "one"}  # of equal counts the first by name
+    many = spark.createDataFrame([(free[i], f"common w{chr(97 + i % 26)}{chr(97 + i // 26)}", f"l{i:03}") for i in range(520)], "doc_id long, text string, lang string")
+    assert langid.fit(many).languages == [f"l{i:03}" for i in range(520)]
