@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakestar.llm import bpe_codec, embedding_dedup, langid, license_scan, packing, pii, quality, simhash, token_count, warc
+from lakestar.llm import bpe_codec, embedding_dedup, langid, license_scan, packing, periodic, pii, quality, simhash, spelling, token_count, warc
 from lakestar.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -54,6 +56,50 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), least=1000)
 
 
+def without_letter(key: int, word: str) -> str:
+    """The contract's planted misspellings: of one (document, word) pair in 97, one letter goes."""
+    h = zlib.crc32(f"{key}:{word}".encode())
+    if h % 97:
+        return word
+    at = h % len(word)
+    return word[:at] + word[at + 1 :]
+
+
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.grouped(table(spark, sf_dir, "documents"), shortest=5, least=3, ratio=2, rewrite=without_letter)
+
+
+def with_loops(docs: DataFrame) -> DataFrame:
+    """The contract's planted loops: in one document of ten the words from one on repeat a period.
+
+    (doc_id, text); words are joined by blanks where they repeat, other texts stay."""
+    h = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    words = F.filter(F.split("text", "[ \\t-\\r]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    rows = rows.select("*", F.size("words").cast("long").alias("n"))
+    rows = rows.select("*", F.expr("if(n > 0, g % n, null)").alias("a"))
+    rows = rows.select("*", F.expr("1 + (n - a) div (3 + g % 8)").alias("p"))
+    loop = F.expr("slice(flatten(array_repeat(slice(words, int(a + 1), int(p)), int(ceil((n - a) / p)))), 1, int(n - a))")
+    looped = F.array_join(F.concat(F.expr("slice(words, 1, int(a))"), loop), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, looped).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.detected(with_loops(table(spark, sf_dir, "documents")), shortest=12)
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length, -r.start as start, -r.period as period)))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("run"), lines.alias("lines"), "collapsed").select(
+        "doc_id",
+        "n_runs",
+        (-F.col("run.start")).alias("start"),
+        F.col("run.length").alias("length"),
+        (-F.col("run.period")).alias("period"),
+        F.expr("1000 * run.length div -run.period").alias("exponent_milli"),
+        F.sha2(F.encode("lines", "UTF-8"), 256).alias("runs_sha256"),
+        F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_codec": op1_bpe_codec,
     "op2_license_scan": op2_license_scan,
@@ -65,6 +111,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
+    "op12_spelling_groups": op12_spelling_groups,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 #: Statements only where SQL expresses the whole result.
