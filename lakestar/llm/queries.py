@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Callable
 
@@ -9,11 +10,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestar.llm import bpe_codec, embedding_dedup, langid, license_scan, packing, periodic, pii, quality, simhash, spelling, token_count, warc
+from lakestar.llm import bpe_codec, embedding_dedup, langid, license_scan, packing, periodic, pii, quality, simhash, spelling, token_count, token_shards, warc
 from lakestar.llm.common import table
+from lakestar.session import work_dir
 
 RANKS = "byte_bpe_50k.tiktoken"
 MERGES = "byte_bpe_50k.json"
+WORDS = "word_bpe_49k.json"
 
 
 def op1_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +59,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), least=1000)
 
 
+def op11_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{work_dir(spark)}/token-shards-{uuid.uuid4().hex}"
+    held = token_shards.stored(table(spark, sf_dir, "documents"), folder, public_tokenizers.path(WORDS), end_id=2)
+    return held.select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def without_letter(key: int, word: str) -> str:
     """The contract's planted misspellings: of one (document, word) pair in 97, one letter goes."""
     h = zlib.crc32(f"{key}:{word}".encode())
@@ -111,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
+    "op11_token_shards": op11_token_shards,
     "op12_spelling_groups": op12_spelling_groups,
     "op13_periodic_runs": op13_periodic_runs,
 }
