@@ -28,6 +28,7 @@ manifest, which reads as an empty table; other columns are not read.
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 import uuid
@@ -35,6 +36,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from itertools import islice
 
 import numpy as np
@@ -54,13 +56,13 @@ from lakestar.operators.numbering import target_partitions
 
 READ_SCHEMA = "key long, start long, n_tokens long, ids binary"
 #: Ids of a block.
-BLOCK_IDS = 4 << 20
+BLOCK_IDS = 2 << 20
 #: Bytes of input (as the plan's statistics give them) for which a file is written.
 FILE_BYTES = 128 << 20
 BATCH_BYTES = 4 << 20
 MANIFEST = "_token-shards-"
 #: Distinct words that an encoder remembers, and bytes of a text that it splits at once.
-WORDS, SLICE = 600_000, 1 << 20
+WORDS, SLICE = 400_000, 1 << 20
 #: New words that are encoded as one text.
 TOGETHER = 1000
 
@@ -223,6 +225,13 @@ class Encoder:
         return np.split(ids, after[:-1]) if len(after) else []
 
 
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> Encoder:
+    """The worker's encoder, kept for its next tasks. A task has a core, so the library keeps to one thread."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Encoder(path)
+
+
 def _slices(raw: bytes) -> Iterator[bytes]:
     at = 0
     while at < len(raw):
@@ -246,7 +255,7 @@ def encoded(df: DataFrame, path: str, end_id: int, bounds: np.ndarray, id_col: s
     """(key, ids, range) of every row; ids end with the end id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, rows = Encoder(path), 0
+        encoder, rows = encoder_of(path), 0
         end = np.array([end_id], dtype="<u4")
         for batch in batches:
             texts, keys = texts_of(batch), batch.column("key")
