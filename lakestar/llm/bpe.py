@@ -3,18 +3,19 @@
 Pieces of similar length share a matrix of symbols, one row each. In every
 round each row merges its leftmost pair of the lowest rank; rows without a pair
 in the vocabulary leave the matrix (compaction), the others shrink by a column.
-Pair ranks come from an open-addressing table hashed by both symbols. Pieces
-beyond ``WIDE`` bytes are rows of their own: there one round merges all
-occurrences of the lowest pair from the left, which is the same unless merging
-creates a pair of a lower rank; such ranks are known beforehand and merge one
-occurrence a round.
+Pair ranks come from an open-addressing table hashed by both symbols. A row of
+n symbols takes up to n rounds over n columns, so pieces beyond ``WIDE`` bytes
+are no rows: each is merged by a heap of its pairs over a linked list, in the
+same order, in n log n steps.
 """
 
 from __future__ import annotations
 
 import base64
 import json
-from functools import lru_cache
+from array import array
+from functools import cached_property, lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 
@@ -24,6 +25,8 @@ NONE = np.int32(2**31 - 1)
 WIDE = 128
 BUCKETS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 24, 32, 48, 64, 96, WIDE)
 ROWS = 1 << 15
+_PLACE = 40  # positions in a piece are below 2**40
+_POSITION = (1 << _PLACE) - 1
 
 
 class Merges:
@@ -44,11 +47,6 @@ class Merges:
         self.symbol_bytes = np.frombuffer(b"".join(symbols.get(k, b"") for k in range(size)), dtype=np.uint8)
         self.left, self.right, self.rank = left, right, rank
         self._hash(left, right, rank)
-        # ranks whose result takes part in a pair of a lower rank
-        lowest = np.full(size, NONE, dtype=np.int64)
-        np.minimum.at(lowest, left, rank)
-        np.minimum.at(lowest, right, rank)
-        self.single = lowest[self.result] < np.arange(len(self.result))
         self.whole: dict[bytes, int] = {}
         if whole:
             self._whole_pieces(symbols)
@@ -178,30 +176,37 @@ class Merges:
             ranks[after, where[after]] = self.ranks_of(merged[after], symbols[after, where[after] + 1])
 
     def _long(self, symbols: np.ndarray) -> np.ndarray:
-        symbols = symbols.astype(np.int32)
-        ranks = self.ranks_of(symbols[:-1], symbols[1:])
-        while len(ranks):
-            lowest = ranks.min()
-            if lowest == NONE:
-                break
-            at = np.flatnonzero(ranks == lowest)
-            if self.single[lowest]:
-                at = at[:1]
-            elif len(at) > 1:
-                # of overlapping occurrences every second one, from the left
-                first = np.concatenate(([True], np.diff(at) != 1))
-                run = np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))
-                at = at[(np.arange(len(at)) - run) % 2 == 0]
-            keep = np.ones(len(symbols), dtype=bool)
-            keep[at + 1] = False
-            symbols = symbols.copy()
-            symbols[at] = self.result[lowest]
-            ranks = np.append(ranks, NONE)[keep][:-1]
-            symbols = symbols[keep]
-            now = at - np.arange(len(at))
-            for pair in (now[now > 0] - 1, now[now < len(symbols) - 1]):
-                ranks[pair] = self.ranks_of(symbols[pair], symbols[pair + 1])
-        return symbols
+        """One long piece: a heap of its pairs by rank, then place, over a linked list of its symbols."""
+        n = len(symbols)
+        at = np.flatnonzero((ranks := self.ranks_of(symbols[:-1], symbols[1:])) != NONE)
+        heap = ((ranks[at].astype(np.int64) << _PLACE) | at).tolist()  # numbers that order by rank, then from the left
+        heapify(heap)
+        held = array("q", symbols.astype(np.int64).tobytes())
+        after, before = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
+        rank_of, result = self.pairs.get, self.result
+        while heap:
+            entry = heappop(heap)
+            rank, i = entry >> _PLACE, entry & _POSITION
+            j = after[i]
+            if j >= n or held[i] < 0 or rank_of(held[i] << 20 | held[j]) != rank:
+                continue  # one of the two has been merged since
+            held[i] = merged = int(result[rank])
+            held[j] = -1
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (new := rank_of(merged << 20 | held[k])) is not None:
+                    heappush(heap, new << _PLACE | i)
+            h = before[i]
+            if h >= 0 and (new := rank_of(held[h] << 20 | merged)) is not None:
+                heappush(heap, new << _PLACE | h)
+        left = np.frombuffer(held, dtype=np.int64)
+        return left[left >= 0].astype(np.int32)
+
+    @cached_property
+    def pairs(self) -> dict[int, int]:
+        """Rank of each pair, for the pieces that are merged one pair at a time."""
+        return dict(zip(((self.left.astype(np.int64) << 20) | self.right).tolist(), self.rank.tolist()))
 
     # -- decoding
 

@@ -43,7 +43,8 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]+")
 _SCHEME_TAIL = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*\Z")
-_USER = re.compile(r"[^\s/?#@\"'<>]+:[^\s/?#@\"'<>]+(?=@[A-Za-z0-9\[])")
+_USER = re.compile(r"[^\s/?#@\"'<>]*")
+_HOST = re.compile(r"@[A-Za-z0-9\[]")
 _LINK_TARGET = re.compile(r"[A-Za-z0-9._%+@-]{3,}")
 _ASSIGNED = re.compile(r"(?: ?(?:number|no\.?|id))? ?[:=#] ?[\"']?([A-Za-z0-9_\-]*)", re.IGNORECASE)
 _GROUPED = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{2,4}){3,8}")
@@ -137,10 +138,12 @@ def _address(text: str, at: int, after: int, done: dict[str, int], spans: list[S
     if at < done["address"]:
         return
     if text[at] == ":":
-        # a URL with credentials; the longest usual scheme has a few letters
-        if _SCHEME_TAIL.search(text, max(0, at - 12), at) and (m := _USER.match(text, after)):
-            spans.append((after, m.end(), "address"))
-            done["address"] = m.end()
+        # a URL with credentials, name:word before an at-sign; the longest usual scheme has a few letters
+        if _SCHEME_TAIL.search(text, max(0, at - 12), at):
+            end = _USER.match(text, after).end()
+            if _HOST.match(text, end) and text.find(":", after + 1, end - 1) >= 0:
+                spans.append((after, end, "address"))
+                done["address"] = end
     elif not text[at - 1 : at].isalnum() and (m := _LINK_TARGET.match(text, after)) and ("@" in m.group() or any(map(str.isdigit, m.group()))):
         spans.append((after, m.end(), "address"))
         done["address"] = m.end()

@@ -14,11 +14,13 @@ of both kinds that look alike get the label that most of them have.
 Defined results: a null or empty text has no words and fails the base rules; a
 null key stays null; repeated rows give repeated rows; an empty table gives an
 empty result; without labelled documents of both kinds all lines are content;
-other columns are not read.
+other columns are not read. A text's lines and words are listed run by run, and
+kept as numbers: some tens of bytes a line, and a line's text where it is a new one.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -33,8 +35,12 @@ from lakestar.llm.common import bounded_batches, kept_rows, keyed_text, texts_of
 SAMPLE = 2000
 #: Most lines of the training sample: documents that do not fit any more are passed over.
 LINES = 250_000
-#: Most lines, padding included, of a training group of several documents.
+#: Most lines, padding included, of a group of several documents that are trained on, or decoded, together.
 GROUP_LINES = 65_536
+#: Characters of a text whose lines are listed at once.
+RUN_CHARS = 1 << 20
+#: Documents of a group below which each is decoded alone.
+FEW = 24
 #: Share of the words that content lines must hold.
 CONTENT_SHARE = 0.5
 MIN_WORDS = 50
@@ -44,6 +50,7 @@ WINDOW = 3
 # fixed values
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
+_BLANK_BYTES = BLANKS.encode()
 
 STEPS = 80
 RATE = 0.3
@@ -68,17 +75,35 @@ SIZE = int(_FIRST[-1]) + 2 * len(FLAGS)
 ACTIVE = len(_EDGES) + len(FLAGS)
 
 
+def line_runs(text: str) -> Iterator[list[str]]:
+    """Lines that hold a word, those of about ``RUN_CHARS`` characters at once."""
+    at = 0
+    while at < len(text):
+        end = text.find("\n", at + RUN_CHARS)
+        end = len(text) if end < 0 else end + 1
+        if lines := [line for line in text[at:end].split("\n") if line.strip(BLANKS)]:
+            yield lines
+        at = end
+
+
 def lines_of(text: str) -> list[str]:
     """Lines that hold a word."""
-    return [line for line in text.split("\n") if line.strip(BLANKS)]
+    return [line for lines in line_runs(text) for line in lines]
 
 
-def measures(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(active features of each line, words of each line)."""
+def measures(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(active features of each line, words of each line): bytes and longs, whatever the text's length."""
+    seen: set[str] = set()
+    runs = [_measured(lines, seen) for lines in line_runs(text)]
+    if not runs:
+        return np.empty((0, ACTIVE), dtype=np.uint8), np.empty(0, dtype=np.int64)
+    return np.concatenate([a for a, _ in runs]), np.concatenate([c for _, c in runs])
+
+
+def _measured(lines: list[str], seen: set[str]) -> tuple[np.ndarray, np.ndarray]:
     values = np.empty((len(lines), len(_EDGES)))
-    flags = np.empty((len(lines), len(FLAGS)), dtype=np.int64)
+    flags = np.empty((len(lines), len(FLAGS)), dtype=np.uint8)
     counts = np.empty(len(lines), dtype=np.int64)
-    seen: set[str] = set()
     for i, line in enumerate(lines):
         words = line.encode("utf-8").split()
         n, chars = len(words), len(line)
@@ -93,7 +118,7 @@ def measures(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
         flags[i] = (line.rstrip(BLANKS)[-1] in ".!?", line in seen)
         counts[i] = n
         seen.add(line)
-    active = np.empty((len(lines), ACTIVE), dtype=np.int64)
+    active = np.empty((len(lines), ACTIVE), dtype=np.uint8)
     for k, edges in enumerate(_EDGES):
         active[:, k] = _FIRST[k] + np.searchsorted(edges, values[:, k])
     active[:, len(_EDGES) :] = _FIRST[-1] + 2 * np.arange(len(FLAGS)) + flags
@@ -183,50 +208,105 @@ def _gradient(field: Field, active: np.ndarray, lengths: np.ndarray, label: np.n
 
 
 def viterbi(field: Field, docs: list[np.ndarray]) -> list[np.ndarray]:
-    """The most likely labels of the lines of each document; equal paths favour content."""
-    out: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(docs)
-    order = sorted((i for i in range(len(docs)) if len(docs[i])), key=lambda i: len(docs[i]))
-    for at in range(0, len(order), 128):
-        chosen = order[at : at + 128]
-        lengths = np.array([len(docs[i]) for i in chosen])
-        scores = [field.emit[docs[i]].sum(axis=1) for i in chosen]
-        width = int(lengths[-1])
-        back = np.zeros((len(chosen), width, 2), dtype=np.int8)
-        best = np.array([s[0] for s in scores]) + field.start
-        for t in range(1, width):
-            on = int(np.searchsorted(lengths, t, side="right"))  # documents from here on have a line t
-            paths = best[on:, :, None] + field.step
-            back[on:, t] = paths.argmax(axis=1)
-            best[on:] = paths.max(axis=1) + np.array([s[t] for s in scores[on:]])
-        for k, i in enumerate(chosen):
-            labels = np.empty(lengths[k], dtype=np.int64)
-            state = int(best[k].argmax())
-            for t in range(int(lengths[k]) - 1, -1, -1):
-                labels[t] = state
-                state = int(back[k, t, state])
-            out[i] = labels
+    """The most likely labels of the lines of each document; equal paths favour content.
+
+    Documents of similar length are decoded together, within ``GROUP_LINES`` padded lines; those
+    that few others are like in length, each alone."""
+    out: list[np.ndarray] = [np.zeros(0, dtype=np.int8)] * len(docs)
+    held = [i for i in range(len(docs)) if len(docs[i])]
+    for group in grouped([len(docs[i]) for i in held]):
+        chosen = [held[k] for k in group]
+        labels = _decoded_together(field, [docs[i] for i in chosen]) if len(chosen) >= FEW else [_decoded(field, docs[i]) for i in chosen]
+        for i, lab in zip(chosen, labels):
+            out[i] = lab
     return out
 
 
-def base_counts(text: str) -> tuple[int, int, int, int, int]:
-    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) of a text."""
-    words = text.encode("utf-8").split()  # bytes are split at exactly these blanks
-    lines = lines_of(text)
-    return len(words), len(text) - sum(map(text.count, BLANKS)), sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeat_words(words)
+def _scores(field: Field, active: np.ndarray) -> np.ndarray:
+    runs = [field.emit[active[k : k + GROUP_LINES]].sum(axis=1) for k in range(0, len(active), GROUP_LINES)]
+    return runs[0] if len(runs) == 1 else np.concatenate(runs)
+
+
+def _decoded(field: Field, active: np.ndarray) -> np.ndarray:
+    """One document of any length: a byte and two doubles a line."""
+    (aa, ab), (ba, bb) = field.step.tolist()
+    scores = _scores(field, active)
+    back = bytearray(len(scores))  # of both states, where the best path came from
+    a, b = (scores[0] + field.start).tolist()
+    for at in range(1, len(scores), GROUP_LINES):
+        for t, (sa, sb) in enumerate(scores[at : at + GROUP_LINES].tolist(), at):
+            to_a, to_b = b + ba > a + aa, b + bb > a + ab
+            a, b = (b + ba if to_a else a + aa) + sa, (b + bb if to_b else a + ab) + sb
+            back[t] = to_a | to_b << 1
+    state = int(b > a)
+    labels = np.empty(len(scores), dtype=np.int8)
+    for t in range(len(scores) - 1, -1, -1):
+        labels[t] = state
+        state = back[t] >> state & 1
+    return labels
+
+
+def _decoded_together(field: Field, docs: list[np.ndarray]) -> list[np.ndarray]:
+    """Documents in ascending order of length."""
+    lengths = np.array([len(d) for d in docs])
+    scores = [_scores(field, d) for d in docs]
+    width = int(lengths[-1])
+    back = np.zeros((len(docs), width, 2), dtype=np.int8)
+    best = np.array([s[0] for s in scores]) + field.start
+    for t in range(1, width):
+        on = int(np.searchsorted(lengths, t, side="right"))  # documents from here on have a line t
+        paths = best[on:, :, None] + field.step
+        back[on:, t] = paths.argmax(axis=1)
+        best[on:] = paths.max(axis=1) + np.array([s[t] for s in scores[on:]])
+    out = []
+    for k in range(len(docs)):
+        labels = np.empty(lengths[k], dtype=np.int8)
+        state = int(best[k].argmax())
+        for t in range(int(lengths[k]) - 1, -1, -1):
+            labels[t] = state
+            state = int(back[k, t, state])
+        out.append(labels)
+    return out
 
 
-def repeat_words(words: list[bytes], window: int = WINDOW) -> int:
-    """Words that stand in a window of words found twice or more."""
-    n = len(words) - window + 1
+def base_counts(text: str) -> tuple[int, int, int, int, int]:
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) of a text."""
+    n_lines, different = 0, set()
+    for lines in line_runs(text):
+        n_lines += len(lines)
+        different.update(lines)
+    n_lines -= len(different)
+    del different
+    ids = word_numbers(text)
+    return len(ids), len(text) - sum(map(text.count, BLANKS)), sum(map(text.count, SYMBOLS)), n_lines, repeat_words(ids)
+
+
+def word_numbers(text: str) -> np.ndarray:
+    """A number for each word, equal for equal words; words are listed slice by slice."""
+    raw, at, parts = text.encode("utf-8"), 0, []
+    number: defaultdict[bytes, int] = defaultdict()
+    number.default_factory = number.__len__
+    while at < len(raw):
+        end = at + RUN_CHARS
+        while end < len(raw) and raw[end] not in _BLANK_BYTES:  # a word stays whole
+            end += 1
+        words = raw[at:end].split()  # bytes are split at exactly these blanks
+        parts.append(np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=len(words)))
+        at = end
+    return parts[0] if len(parts) == 1 else np.concatenate([np.empty(0, dtype=np.int64), *parts])
+
+
+def repeat_words(ids: np.ndarray, window: int = WINDOW) -> int:
+    """Words, given by number, that stand in a window of words found twice or more."""
+    n = len(ids) - window + 1
     if n < 2:
         return 0
-    number: dict[bytes, int] = {}
-    ids = np.array([number.setdefault(w, len(number)) for w in words], dtype=np.int64)
+    many = int(ids.max()) + 1
     code = ids[:n]
     for k in range(1, window):  # numbered anew after each word, so that the product stays small
-        code = np.unique(code * len(number) + ids[k : k + n], return_inverse=True)[1]
+        code = np.unique(code * many + ids[k : k + n], return_inverse=True)[1]
     again = np.bincount(code)[code] > 1
-    covered = np.zeros(len(words), dtype=bool)
+    covered = np.zeros(len(ids), dtype=bool)
     for k in range(window):
         covered[k : k + n] |= again
     return int(covered.sum())
@@ -238,7 +318,7 @@ def base_failed(n_words: int, n_repeat_words: int) -> bool:
 
 def judge(field: Field, texts: list[str]) -> tuple[list[tuple[int, int, int, int, int]], list[bool], list[bool], list[float]]:
     """(base counts, base_failed, kept, content share) of each text."""
-    measured = [measures(lines_of(t)) for t in texts]
+    measured = [measures(t) for t in texts]
     labels = viterbi(field, [m for m, _ in measured])
     share = [float(w[lab == CONTENT].sum() / w.sum()) if len(w) else 0.0 for (_, w), lab in zip(measured, labels)]
     counts = [base_counts(t) for t in texts]
@@ -255,8 +335,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [measures(lines_of(t))[0] for t in texts_of(batch)]
-            packed = [f.astype(np.uint8).tobytes() for f in found]
+            packed = [measures(t)[0].tobytes() for t in texts_of(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("quality"), pa.array(packed, pa.binary())], ["key", "quality", "active"])
 
     bounded_batches(df.sparkSession)

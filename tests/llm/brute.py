@@ -1,6 +1,7 @@
 """Plain versions of the contracts, for comparison on small tables."""
 
 import re
+from collections import Counter
 
 import numpy as np
 import xxhash
@@ -69,7 +70,8 @@ def base_counts(text):
     text = text or ""
     words = WORD.findall(text)
     windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
-    covered = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(3)}
+    times = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if times[w] > 1 for k in range(3)}
     seen, again = set(), 0
     for line in text.split("\n"):
         if WORD.search(line):

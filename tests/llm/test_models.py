@@ -1,6 +1,7 @@
 """Operators 8 and 9: exact counts against brute force, models by held-out accuracy."""
 
 import itertools
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -62,6 +63,37 @@ def test_gradient_is_that_of_the_likelihood():
         assert np.isclose((likelihood(quality.Field(*moved)) - likelihood(field)) / 1e-6, slope[at], atol=1e-4)
 
 
+def test_documents_decoded_alone_and_together_agree(monkeypatch):
+    rnd = np.random.default_rng(9)
+    docs = [rnd.integers(0, quality.SIZE, (n, quality.ACTIVE)).astype(np.uint8) for n in (1, 2, 3, 0, *rnd.integers(1, 60, 40))]
+    for scale in (0.0, 0.3, 2.0):  # 0: all paths are equal
+        field = quality.Field(scale * rnd.standard_normal((quality.SIZE, 2)), scale * rnd.standard_normal((2, 2)), scale * rnd.standard_normal(2))
+        found = []
+        for few, lines in ((1, 65_536), (10**9, 65_536), (5, 100)):
+            monkeypatch.setattr(quality, "FEW", few)
+            monkeypatch.setattr(quality, "GROUP_LINES", lines)
+            found.append([x.tolist() for x in quality.viterbi(field, docs)])
+        assert found[0] == found[1] == found[2]
+        assert [len(x) for x in found[0]] == [len(d) for d in docs]
+        assert scale or not any(map(sum, found[0]))
+
+
+def test_a_text_of_very_many_lines(monkeypatch):
+    text = "ab\n" * 100_000 + "A line of content, with words.\n" * 1000 + "\n \n" * 50_000
+    short = ["one line\nand another"] * 127
+    tracemalloc.start()
+    try:
+        counts, *_ = quality.judge(quality.NEUTRAL, [*short, text])
+        assert tracemalloc.get_traced_memory()[1] < 100e6
+    finally:
+        tracemalloc.stop()
+    assert counts[-1] == (106_000, 200_000 + 25_000, 0, 100_998, 106_000)
+    whole = quality.judge(quality.NEUTRAL, [text[:5000], "x y\n\nz"])
+    monkeypatch.setattr(quality, "RUN_CHARS", 7)
+    assert [m.tolist() for m in quality.measures(text[:500])] == [m.tolist() for m in quality._measured(quality.lines_of(text[:500]), set())]
+    assert quality.judge(quality.NEUTRAL, [text[:5000], "x y\n\nz"]) == whole
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     return spark.read.parquet(f"{LARGER}/documents.parquet"), spark.read.parquet(f"{LARGER}/labels.parquet")
@@ -69,7 +101,7 @@ def labelled(spark):
 
 def test_quality_query_counts(odd, labelled, empty, spark):
     docs, labels = labelled
-    for df in (odd.where("text is null or length(text) < 20000"), docs):
+    for df in (odd, docs):
         got = Counter(tuple(r)[:7] for r in quality.judged(df, labels).collect())
         assert got == Counter((r["doc_id"], *brute.base_counts(r["text"])) for r in df.collect())
     none = labels.where("false")
@@ -81,7 +113,7 @@ def test_quality_query_counts(odd, labelled, empty, spark):
 def test_quality_held_out():
     rows = duckdb.sql(f"select text, quality from '{LARGER}/labels.parquet' join '{LARGER}/documents.parquet' using (doc_id) where text is not null order by doc_id").fetchall()
     learn, rest = rows[::2], rows[1::2]
-    lines = [(quality.measures(quality.lines_of(t))[0], 1 - q) for t, q in learn if quality.lines_of(t)]
+    lines = [(quality.measures(t)[0], 1 - q) for t, q in learn if quality.lines_of(t)]
     field = quality.train([m for m, _ in lines], [q for _, q in lines])
     _, failed, kept, _ = quality.judge(field, [t for t, _ in rest])
     judged = [(k, bool(q)) for f, k, (_, q) in zip(failed, kept, rest) if not f]

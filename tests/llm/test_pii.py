@@ -1,9 +1,12 @@
 """Operator 3 against its patterns."""
 
 import hashlib
+import random
 import re
+import time
 from collections import Counter
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -57,6 +60,25 @@ def test_added_kinds():
     assert pii.find("a token of thanks, the account is closed; http://host.org/path") == []
 
 
+def test_credentials_equal_their_pattern():
+    pattern = re.compile(r"[^\s/?#@\"'<>]+:[^\s/?#@\"'<>]+(?=@[A-Za-z0-9\[])")
+    rnd = random.Random(4)
+    for _ in range(3000):
+        rest = "".join(rnd.choice(":::aab@@[/ ?'") for _ in range(rnd.randint(0, 12)))
+        m = pattern.match(rest)
+        found = [(a, b) for a, b, k in pii.find("x://" + rest) if k == "address"]
+        assert found == ([(4, 4 + m.end())] if m else [])
+
+
+@pytest.mark.parametrize("unit", ["a:", "a@", "http://a:", "mailto:a", "tel:1", "+1 ", "+1(", "1.", "1-", "1 ", "token=", "token: a1", "IBAN: DE89 ", "password=a1b2c3 ", "a.b@c", "x://@", "://", "a:b@["])
+def test_every_parser_is_linear(unit):
+    for before in ("", "http://", "+1", "token = ", "a@"):
+        text = before + unit * (400_000 // len(unit))
+        began = time.process_time()
+        pii.find(text)
+        assert time.process_time() - began < 4, (before, unit)
+
+
 def test_masking():
     text = "write a.b@c.org or +1 (407) 555-7710 now"
     assert pii.masked(text, pii.find(text)) == "write [EMAIL] or [PHONE] now"

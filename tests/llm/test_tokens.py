@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -185,6 +186,20 @@ def test_small_tables_use_the_program_too():
     assert alone < 300 and sum(n for _, n in packing.plan(histogram, 1024)) < alone
 
 
+def test_long_pieces_take_n_log_n(by_ranks):
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)) for n in (129, 1000, 60_000)]
+    assert cut(*bpe.rank_encoder(RANKS).encode(texts)) == [by_ranks.encode_ordinary(t) for t in texts]
+    text = "".join(rnd.choice("acgt") for _ in range(400_000))
+    began = time.process_time()
+    counted = token_count.counter(MERGES).count([text])[0]
+    heap = time.process_time() - began
+    began = time.process_time()
+    _, counts = bpe.Encoder(*bpe.merge_file(MERGES)).encode([text])
+    assert counts.tolist() == [counted]
+    assert time.process_time() - began < 4 * heap + 2
+
+
 def check_packing(df, got, by_merges, capacity=1024):
     documents = Counter()
     expected = Counter()
