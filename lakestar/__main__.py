@@ -132,7 +132,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     args = _parser().parse_args(argv)
     spark = spark or _session()
 
-    from lakestar.plans import assistant, gold, registry, warehouse
+    from lakestar.plans import assistant, gold, intents, registry, warehouse
     from lakestar.sources import readers
 
     if args.command == "registry":
@@ -142,7 +142,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.command == "build":
         before = gold.staging_folders(spark)
         result = gold.build(spark, _bronze(spark, args), args.warehouse)
-        for folder in gold.staging_folders(spark) - before:
+        for folder in (gold.staging_folders(spark) - before) | {result.staging}:
             gold.delete_path(spark, folder)
         print(result.version_path)
         for stage, rows in sorted(result.counts.items()):
@@ -160,9 +160,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return 0
     if args.command == "ask":
         qs = spark.createDataFrame([(args.text,)], "question string")
-        record = assistant.answer_records(qs, "question").first()
-        print(f"intent: {record['intent']}\nsql: {record['sql']}")
-        _give(assistant.answer_batch(qs, "question", tables).results[record["intent"]], args.out)
+        batch = assistant.answer_batch(qs, "question", tables)
+        intent, result = next(iter(batch.results.items()))
+        print(f"intent: {intent}\nsql: {intents.statement(intent)}")
+        _give(result, args.out)
         return 0
     res = assistant.run_sandbox(spark, tables, args.text)
     if not res.success:

@@ -16,9 +16,17 @@ from lakestar.functions.text import py_strip, title_case, txn_id
 from lakestar.operators import quality
 from lakestar.operators.dedup import keep_first
 from lakestar.oracle import R2, STABLE_KEY, STRIP, TITLE, WS, q, with_pipeline
-from lakestar.plans import assistant, marts, silver
+from lakestar.plans import assistant, gold, intents, marts, published, silver
 from lakestar.plans import registry as reg
-from lakestar.plans.warehouse import bronze_from_landing, ledger_state, numbered_ledger, rebuild_comparison, testdata_warehouse
+from lakestar.plans.warehouse import (
+    all_reports,
+    bronze_from_landing,
+    numbered_ledger,
+    published_database,
+    rebuild_comparison,
+    second_warehouse,
+    testdata_warehouse,
+)
 from lakestar.sources import readers, testmap
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,39 +117,64 @@ GROUP BY t.year, t.month ORDER BY 1"""))(_mart(marts.period_series))
 
 # --- I8-I13: question templates ------------------------------------------------
 
+
+def _template(intent):
+    return lambda spark, sf_dir: intents.mart(intent, gold_tables(spark, sf_dir))
+
+
 register("nl_category", with_pipeline(f"""
 SELECT p.category AS "Category", {R2('SUM(f.total_revenue)')} AS "Revenue", CAST(SUM(f.quantity) AS BIGINT) AS "Quantity_Sold"
 FROM g_fact f JOIN g_dim_products p ON f.product_key = p.product_key
-GROUP BY p.category ORDER BY "Revenue" DESC"""))(_mart(marts.nl_category))
+GROUP BY p.category ORDER BY "Revenue" DESC"""))(_template("category"))
 
 register("nl_customer", with_pipeline(f"""
 SELECT c.customer_name AS "Customer", c.country AS "Country", c.membership_tier AS "Tier",
        {R2('SUM(f.total_revenue)')} AS "Total_Spent"
 FROM g_fact f JOIN g_dim_customers c ON f.customer_key = c.customer_key
 GROUP BY c.customer_key, c.customer_name, c.country, c.membership_tier
-ORDER BY "Total_Spent" DESC, c.customer_key LIMIT 10"""))(_mart(marts.nl_customer, 10))
+ORDER BY "Total_Spent" DESC, c.customer_key LIMIT 10"""))(_template("customer"))
 
 register("nl_country", with_pipeline(f"""
 SELECT c.country AS "Country", COUNT(f.sales_key) AS "Orders", {R2('SUM(f.total_revenue)')} AS "Revenue"
 FROM g_fact f JOIN g_dim_customers c ON f.customer_key = c.customer_key
-GROUP BY c.country ORDER BY "Revenue" DESC"""))(_mart(marts.nl_country))
+GROUP BY c.country ORDER BY "Revenue" DESC"""))(_template("country"))
 
 register("nl_trend", with_pipeline(f"""
 SELECT t.year AS "Year", t.month AS "Month", {R2('SUM(f.total_revenue)')} AS "Revenue",
        {R2('SUM(f.total_profit)')} AS "Profit"
 FROM g_fact f JOIN g_dim_time t ON f.time_key = t.time_key
-GROUP BY t.year, t.month ORDER BY "Year" DESC, "Month" DESC LIMIT 12"""))(_mart(marts.nl_trend, 12))
+GROUP BY t.year, t.month ORDER BY "Year" DESC, "Month" DESC LIMIT 12"""))(_template("trend"))
 
 register("nl_profit", with_pipeline(f"""
 SELECT p.category AS "Category", {R2('SUM(f.total_revenue)')} AS "Revenue", {R2('SUM(f.total_profit)')} AS "Profit"
 FROM g_fact f JOIN g_dim_products p ON f.product_key = p.product_key
-GROUP BY p.category ORDER BY "Profit" DESC"""))(_mart(marts.nl_profit))
+GROUP BY p.category ORDER BY "Profit" DESC"""))(_template("profit"))
 
 register("nl_default", with_pipeline("""
 SELECT f.transaction_id, c.customer_name, p.product_name, p.category, f.total_revenue
 FROM g_fact f JOIN g_dim_customers c ON f.customer_key = c.customer_key
 JOIN g_dim_products p ON f.product_key = p.product_key
-ORDER BY f.sales_key LIMIT 10"""))(_mart(marts.nl_default, 10))
+ORDER BY f.sales_key LIMIT 10"""))(_template("default"))
+
+register("all_reports", with_pipeline(f"""
+SELECT 'sales_by_category' AS report, item, metric, value FROM (
+  SELECT p.category AS item, COUNT(*)::DOUBLE AS "Total Orders", SUM(f.quantity)::DOUBLE AS "Total Units Sold", {R2('SUM(f.total_revenue)')} AS "Total Revenue ($)",
+         {R2('SUM(f.total_profit)')} AS "Total Profit ($)", {R2('SUM(f.total_profit) / SUM(f.total_revenue) * 100')} AS "Profit Margin (%)"
+  FROM g_fact f JOIN g_dim_products p ON f.product_key = p.product_key GROUP BY p.category)
+UNPIVOT (value FOR metric IN ("Total Orders", "Total Units Sold", "Total Revenue ($)", "Total Profit ($)", "Profit Margin (%)"))
+UNION ALL SELECT 'top_customers', item, metric, value FROM (
+  SELECT c.customer_name AS item, COUNT(*)::DOUBLE AS "Transaction Count", {R2('SUM(f.total_revenue)')} AS "Total Spent ($)"
+  FROM g_fact f JOIN g_dim_customers c ON f.customer_key = c.customer_key GROUP BY c.customer_key, c.customer_name ORDER BY SUM(f.total_revenue) DESC, c.customer_key LIMIT 5)
+UNPIVOT (value FOR metric IN ("Transaction Count", "Total Spent ($)"))
+UNION ALL SELECT 'recent_months', item, metric, value FROM (
+  SELECT printf('%d-%02d', t.year, t.month) AS item, {R2('SUM(f.total_revenue)')} AS "Monthly Revenue ($)", {R2('SUM(f.total_profit)')} AS "Monthly Profit ($)", SUM(f.quantity)::DOUBLE AS "Quantity Sold"
+  FROM g_fact f JOIN g_dim_time t ON f.time_key = t.time_key GROUP BY t.year, t.month ORDER BY t.year DESC, t.month DESC LIMIT 10)
+UNPIVOT (value FOR metric IN ("Monthly Revenue ($)", "Monthly Profit ($)", "Quantity Sold"))
+UNION ALL SELECT 'revenue_by_country', item, metric, value FROM (
+  SELECT c.country AS item, COUNT(DISTINCT c.customer_key)::DOUBLE AS "Active Customers", COUNT(*)::DOUBLE AS "Total Orders", {R2('SUM(f.total_revenue)')} AS "Total Revenue ($)",
+         {R2('AVG(f.total_revenue)')} AS "Avg Order Value ($)"
+  FROM g_fact f JOIN g_dim_customers c ON f.customer_key = c.customer_key GROUP BY c.country)
+UNPIVOT (value FOR metric IN ("Active Customers", "Total Orders", "Total Revenue ($)", "Avg Order Value ($)"))"""))(_mart(all_reports))
 
 register("table_preview", with_pipeline("""
 SELECT * FROM g_fact ORDER BY sales_key LIMIT 100"""))(
@@ -259,8 +292,7 @@ FROM g_all WHERE customer_key IS NULL OR time_key IS NULL"""))(
 
 
 def _transaction_ids(spark, sf_dir):
-    rows = silver.ledger_keys(*ledger_state(spark, sf_dir))
-    return rows.select(txn_id(F.col("_txn")).alias("transaction_id"), "sales_key", *_LEDGER_KEYS)
+    return numbered_ledger(spark, sf_dir).select(txn_id(F.col("_txn")).alias("transaction_id"), "sales_key", *_LEDGER_KEYS)
 
 
 register("transaction_ids", with_pipeline(f"""
@@ -418,8 +450,53 @@ register("stage_row_counts", with_pipeline(
     "\nUNION ALL\n".join(f"SELECT {q(k)} AS stage, ({v})::BIGINT AS rows" for k, v in _STAGE_SQL.items())
 ))(lambda spark, sf_dir: testdata_warehouse(spark, sf_dir).stage_counts(spark))
 
+# The second warehouse: places that fail, a catalogue in arrays, dates that can't be read.
+
+
+def _second(read):
+    return lambda spark, sf_dir: read(spark, second_warehouse(spark, sf_dir))
+
+
+_UNREADABLE = "d IS NULL AND \"Date\" IS NOT NULL"
+_PLACES = {"customers": ("remote", "local"), "stores": ("remote", "local"), "products": ("remote", "mirror", "local"), "ledger": ("remote",)}
+register("second_stage_counts", with_pipeline("\nUNION ALL\n".join(
+    [f"SELECT {q(k)} AS stage, ({v})::BIGINT AS rows" for k, v in _STAGE_SQL.items()]
+    + [f"SELECT 'source_{t}_{places[-1]}', ({_STAGE_SQL['bronze_' + t]})::BIGINT" for t, places in _PLACES.items()]
+    + [f"SELECT 'failed_{t}_{p}', 0" for t, places in _PLACES.items() for p in places[:-1]]
+), dated=True))(_second(lambda spark, second: gold.read_stage_counts(spark, second.version_path)))
+register("second_sources", "\nUNION ALL\n".join(
+    f"SELECT {q(t)} AS table_name, {q(p)} AS source, {str(p == places[-1]).upper()} AS used, {'NULL' if p == places[-1] else q('PATH_NOT_FOUND')} AS error"
+    for t, places in _PLACES.items() for p in places
+))(_second(lambda spark, second: gold.read_sources(spark, second.version_path).withColumn("error", F.regexp_extract("error", "\\[([A-Z_]+)\\]", 1))))
+register("second_dim_products", with_pipeline("SELECT * FROM g_dim_products", dated=True))(
+    _second(lambda spark, second: gold.open_tables(spark, second.version_path)["dim_products"])
+)
+register("second_fact_sales", with_pipeline("SELECT * FROM g_fact", dated=True))(
+    _second(lambda spark, second: gold.open_tables(spark, second.version_path)["fact_sales"])
+)
+register("quarantined_rows", with_pipeline(f"""
+SELECT l.seq AS ledger_row, l."Date" AS date_text, c.product_key, c.quantity, c.unit_price
+FROM g_ledger l JOIN g_conformed c ON l.seq = c.seq WHERE {_UNREADABLE.replace('d IS', 'l.d IS').replace('"Date"', 'l."Date"')}""", dated=True))(
+    _second(lambda spark, second: gold.read_quarantine(spark, second.version_path))
+)
+register("built_if_absent", with_pipeline("""
+SELECT n AS call, n > 1 AS existed, TRUE AS same_version, (SELECT count(*) FROM g_fact) AS fact_rows FROM (VALUES (1::BIGINT), (2)) calls(n)""", dated=True))(
+    _second(lambda spark, second: spark.createDataFrame(second.calls, "call long, existed boolean, same_version boolean, fact_rows long"))
+)
+
 _GOLD_CTE = {t: f"g_{t}" if t != "fact_sales" else "g_fact" for t in schemas.GOLD_COLUMNS}
 
+register("list_tables", with_pipeline("\nUNION ALL\n".join(f"SELECT {q(t)} AS table_name, count(*) AS rows FROM {c}" for t, c in sorted(_GOLD_CTE.items()))))(
+    lambda spark, sf_dir: published.list_tables(spark, published_database(spark, sf_dir))
+)
+register("trend_of_quarter", with_pipeline(f"""
+SELECT t.year AS "Year", t.month AS "Month", {R2('SUM(f.total_revenue)')} AS "Monthly Revenue ($)",
+       {R2('SUM(f.total_profit)')} AS "Monthly Profit ($)", CAST(SUM(f.quantity) AS BIGINT) AS "Quantity Sold"
+FROM g_fact f JOIN g_dim_time t ON f.time_key = t.time_key WHERE t.quarter = 2
+GROUP BY t.year, t.month ORDER BY t.year DESC, t.month DESC"""))(
+    lambda spark, sf_dir: published.trend_of_quarter(spark, 2, published_database(spark, sf_dir))
+)
+
 register("rebuild_is_identical", with_pipeline("\nUNION ALL\n".join(
     f"SELECT {q(t)} AS table_name, count(*)::BIGINT AS rows, TRUE AS identical FROM {c}"
     for t, c in sorted(_GOLD_CTE.items())
@@ -559,16 +636,111 @@ SELECT src, k1, k2, {_INTENT_CASE} AS intent FROM (SELECT src, k1, k2, lower(tex
     lambda spark, sf_dir: guard.with_intent(testmap.questions(spark, sf_dir), "text").select("src", "k1", "k2", "intent")
 )
 
-_SQL_CASE = "CASE intent " + " ".join(f"WHEN {q(i)} THEN {q(s)}" for i, s in marts.INTENT_SQL.items()) + " END"
-register("answer_records", f"""
-WITH qs AS ({_text_source_sql(testmap.QUESTION_TEMPLATES)}),
-i AS (SELECT src, k1, k2, text AS question, {_INTENT_CASE} AS intent FROM (SELECT *, lower(text) AS p FROM qs))
-SELECT src, k1, k2, question, intent, {_SQL_CASE} AS sql, TRUE AS success, NULL::VARCHAR AS error FROM i""")(
-    lambda spark, sf_dir: assistant.answer_records(testmap.questions(spark, sf_dir), "text").select(
-        "src", "k1", "k2", F.col("text").alias("question"), "intent", "sql", "success", "error"
-    )
+# The statements of the six intents, written out: the engine makes its own from the templates.
+_STATEMENTS = {
+    "category": "SELECT d.category AS Category, SUM(s.revenue_c) / 100e0 AS Revenue, SUM(s.units) AS Quantity_Sold "
+    "FROM (SELECT product_key, SUM(CAST(ROUND(total_revenue * 100) AS BIGINT)) AS revenue_c, SUM(quantity) AS units FROM fact_sales GROUP BY product_key) s "
+    "JOIN dim_products d ON s.product_key = d.product_key GROUP BY d.category ORDER BY Revenue DESC, Category",
+    "customer": "SELECT d.customer_name AS Customer, d.country AS Country, d.membership_tier AS Tier, SUM(s.revenue_c) / 100e0 AS Total_Spent "
+    "FROM (SELECT customer_key, SUM(CAST(ROUND(total_revenue * 100) AS BIGINT)) AS revenue_c FROM fact_sales GROUP BY customer_key) s "
+    "JOIN dim_customers d ON s.customer_key = d.customer_key GROUP BY d.customer_key, d.customer_name, d.country, d.membership_tier "
+    "ORDER BY Total_Spent DESC, d.customer_key LIMIT 10",
+    "country": "SELECT d.country AS Country, SUM(s.orders) AS Orders, SUM(s.revenue_c) / 100e0 AS Revenue "
+    "FROM (SELECT customer_key, COUNT(sales_key) AS orders, SUM(CAST(ROUND(total_revenue * 100) AS BIGINT)) AS revenue_c FROM fact_sales GROUP BY customer_key) s "
+    "JOIN dim_customers d ON s.customer_key = d.customer_key GROUP BY d.country ORDER BY Revenue DESC, Country",
+    "trend": "SELECT d.year AS Year, d.month AS Month, SUM(s.revenue_c) / 100e0 AS Revenue, SUM(s.profit_c) / 100e0 AS Profit "
+    "FROM (SELECT time_key, SUM(CAST(ROUND(total_revenue * 100) AS BIGINT)) AS revenue_c, SUM(CAST(ROUND(total_profit * 100) AS BIGINT)) AS profit_c "
+    "FROM fact_sales GROUP BY time_key) s JOIN dim_time d ON s.time_key = d.time_key GROUP BY d.year, d.month ORDER BY Year DESC, Month DESC LIMIT 12",
+    "profit": "SELECT d.category AS Category, SUM(s.revenue_c) / 100e0 AS Revenue, SUM(s.profit_c) / 100e0 AS Profit "
+    "FROM (SELECT product_key, SUM(CAST(ROUND(total_revenue * 100) AS BIGINT)) AS revenue_c, SUM(CAST(ROUND(total_profit * 100) AS BIGINT)) AS profit_c "
+    "FROM fact_sales GROUP BY product_key) s JOIN dim_products d ON s.product_key = d.product_key GROUP BY d.category ORDER BY Profit DESC, Category",
+    "default": "SELECT f.transaction_id, c.customer_name, p.product_name, p.category, f.total_revenue FROM fact_sales f "
+    "JOIN dim_customers c ON f.customer_key = c.customer_key JOIN dim_products p ON f.product_key = p.product_key WHERE f.sales_key <= 10 ORDER BY f.sales_key",
+}
+_SQL_CASE = "CASE intent " + " ".join(f"WHEN {q(i)} THEN {q(s)}" for i, s in _STATEMENTS.items()) + " END"
+
+# Columns of each intent's data and their types; a row's text is its values with a bar between them.
+_SHOWN = {
+    "category": [("Category", "string"), ("Revenue", "decimal(20,2)"), ("Quantity_Sold", "bigint")],
+    "customer": [("Customer", "string"), ("Country", "string"), ("Tier", "string"), ("Total_Spent", "decimal(20,2)")],
+    "country": [("Country", "string"), ("Orders", "bigint"), ("Revenue", "decimal(20,2)")],
+    "trend": [("Year", "int"), ("Month", "int"), ("Revenue", "decimal(20,2)"), ("Profit", "decimal(20,2)")],
+    "profit": [("Category", "string"), ("Revenue", "decimal(20,2)"), ("Profit", "decimal(20,2)")],
+    "default": [("transaction_id", "string"), ("customer_name", "string"), ("product_name", "string"), ("category", "string"), ("total_revenue", "decimal(20,2)")],
+}
+
+
+def _line(columns):
+    return lambda row: F.concat_ws("|", *[F.try_variant_get(row, f"$.{c}", t).cast("string") for c, t in columns])
+
+
+def _data_text(data):
+    """The rows of a record's data as text lines, read from the VARIANT with the columns of its intent."""
+    rows = F.try_variant_get(data, "$", "array<variant>")
+    out = F.lit(None).cast("string")
+    for name, columns in _SHOWN.items():
+        out = F.when(F.col("intent") == name, F.array_join(F.transform(rows, _line(columns)), "\n")).otherwise(out)
+    return out
+
+
+def _money_sql(x: str) -> str:
+    return f"CAST({R2(x)} AS DECIMAL(20,2))"
+
+
+_REV, _PROFIT = _money_sql("SUM(f.total_revenue)"), _money_sql("SUM(f.total_profit)")
+_JOINED = {t: f"g_fact f JOIN g_dim_{t} d ON f.{k} = d.{k}" for t, k in (("products", "product_key"), ("customers", "customer_key"), ("time", "time_key"))}
+_DATA_CTES = f"""
+data_rows AS (
+  SELECT 'category' AS intent, row_number() OVER (ORDER BY rev DESC, category) AS n, concat_ws('|', category, rev, units) AS line
+  FROM (SELECT d.category, {_REV} AS rev, SUM(f.quantity) AS units FROM {_JOINED['products']} GROUP BY d.category)
+  UNION ALL SELECT 'customer', row_number() OVER (ORDER BY rev DESC, customer_key), concat_ws('|', customer_name, country, membership_tier, rev)
+  FROM (SELECT d.customer_key, d.customer_name, d.country, d.membership_tier, {_REV} AS rev FROM {_JOINED['customers']}
+        GROUP BY ALL ORDER BY rev DESC, customer_key LIMIT 10)
+  UNION ALL SELECT 'country', row_number() OVER (ORDER BY rev DESC, country), concat_ws('|', country, n, rev)
+  FROM (SELECT d.country, COUNT(*) AS n, {_REV} AS rev FROM {_JOINED['customers']} GROUP BY d.country)
+  UNION ALL SELECT 'trend', row_number() OVER (ORDER BY year DESC, month DESC), concat_ws('|', year, month, rev, profit)
+  FROM (SELECT d.year, d.month, {_REV} AS rev, {_PROFIT} AS profit FROM {_JOINED['time']} GROUP BY d.year, d.month ORDER BY year DESC, month DESC LIMIT 12)
+  UNION ALL SELECT 'profit', row_number() OVER (ORDER BY profit DESC, category), concat_ws('|', category, rev, profit)
+  FROM (SELECT d.category, {_REV} AS rev, {_PROFIT} AS profit FROM {_JOINED['products']} GROUP BY d.category)
+  UNION ALL SELECT 'default', f.sales_key, concat_ws('|', f.transaction_id, c.customer_name, p.product_name, p.category, {_money_sql('f.total_revenue')})
+  FROM g_fact f JOIN g_dim_customers c ON f.customer_key = c.customer_key JOIN g_dim_products p ON f.product_key = p.product_key WHERE f.sales_key <= 10),
+data_texts AS (SELECT intent, string_agg(line, chr(10) ORDER BY n) AS data FROM data_rows GROUP BY intent),
+qs AS ({_text_source_sql(testmap.QUESTION_TEMPLATES)}),
+routed AS (SELECT src, k1, k2, text AS question, {_INTENT_CASE} AS intent FROM (SELECT *, lower(text) AS p FROM qs))"""
+
+
+def _records(questions, found):
+    """Records with their data as text: rendered once for each intent, before the questions are joined."""
+    shown = found.select("intent", "sql", "success", _data_text(F.col("data")).alias("data"), "error")
+    routed = guard.with_intent(questions, "text").withColumnRenamed("text", "question")
+    return assistant.with_answers(routed, shown)
+
+
+register("answer_records", with_pipeline(f"""
+SELECT src, k1, k2, question, r.intent, {_SQL_CASE.replace('intent', 'r.intent', 1)} AS sql, TRUE AS success, d.data, NULL::VARCHAR AS error
+FROM routed r LEFT JOIN data_texts d ON r.intent = d.intent""", extra_ctes=_DATA_CTES))(
+    lambda spark, sf_dir: _records(testmap.questions(spark, sf_dir), assistant.answers(spark, gold_tables(spark, sf_dir)))
 )
 
+
+def _broken(spark, sf_dir):
+    """The warehouse with a calendar that lacks its months (a fault while planning) and products whose category can't be read (one while running)."""
+    t = gold_tables(spark, sf_dir)
+    unreadable = F.when(F.col("product_key").isNotNull(), F.raise_error(F.lit("unreadable category"))).cast("string")
+    return {**t, "dim_time": t["dim_time"].drop("month"), "dim_products": t["dim_products"].withColumn("category", unreadable)}
+
+
+def _failures(spark, sf_dir):
+    records = _records(testmap.questions(spark, sf_dir), assistant.answers(spark, _broken(spark, sf_dir)))
+    return records.select("src", "k1", "k2", "intent", "success", "data", F.regexp_extract("error", "^\\[([A-Z_]+)", 1).alias("error_class"))
+
+
+register("answer_failures", with_pipeline(f"""
+SELECT src, k1, k2, r.intent, r.intent IN ('customer', 'country') AS success,
+       CASE WHEN r.intent IN ('customer', 'country') THEN d.data END AS data,
+       CASE WHEN r.intent = 'trend' THEN 'UNRESOLVED_COLUMN' WHEN r.intent NOT IN ('customer', 'country') THEN 'USER_RAISED_EXCEPTION' END AS error_class
+FROM routed r LEFT JOIN data_texts d ON r.intent = d.intent""", extra_ctes=_DATA_CTES))(_failures)
+
 _FENCE = f"(?s){guard.FENCE_OPEN}{WS}*(.*?){WS}*{guard.FENCE_CLOSE}"
 register("extract_sql_block", f"""
 WITH rp AS ({_text_source_sql(testmap.REPLY_TEMPLATES)}),

@@ -20,14 +20,16 @@ one task. Instead:
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakestar.session import checkpoint_dir
 
 PID = "__pid"
-_POS = "__pos"
+POS = "__pos"
 
 
 def stage_in_place(df: DataFrame) -> DataFrame:
@@ -36,6 +38,39 @@ def stage_in_place(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+KEPT = "__kept"
+ROW = "__row"
+
+
+@contextmanager
+def _rows_as_they_come(spark: SparkSession) -> Iterator[None]:
+    """Within, a partitioned write keeps a file open for each partition value
+    instead of sorting its rows by it, so files hold rows in arrival order."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, "0")
+    spark.conf.set(key, "4")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def stage_columns(df: DataFrame, keep: Column, path: str) -> DataFrame:
+    """Stage rows, in the order of their partitions, as Parquet below ``path``.
+
+    What later passes need to number rows is stored with them: the partition
+    ``__pid`` and the position ``__pos`` in it. Rows that are kept and others
+    go to files of their own (``__kept``), one each for a partition, so the
+    place ``__row`` in its file numbers a row among those of its kind. A pass
+    reads the columns it needs, and only the kept rows if that is enough.
+    """
+    spark = df.sparkSession
+    rows = df.select("*", F.spark_partition_id().alias(PID), local_position().alias(POS), keep.alias(KEPT))
+    with _rows_as_they_come(spark):
+        rows.write.option("maxRecordsPerFile", 0).partitionBy(KEPT).parquet(path)
+    return spark.read.schema(rows.schema).parquet(path).select("*", F.col("_metadata.row_index").alias(ROW))
+
+
 def stage_ordered(df: DataFrame, order_cols: list[str], num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     checkpoint_dir(spark)
@@ -137,17 +172,17 @@ def number_rows(
     of it). With ``where`` only the matching rows are kept and numbered.
     """
     rows = staged if where is None else staged.where(where)
-    located = rows.withColumn(PID, F.spark_partition_id()).withColumn(_POS, local_position())
+    located = rows.withColumn(PID, F.spark_partition_id()).withColumn(POS, local_position())
     numbered = located.join(F.broadcast(partition_offsets(partition_counts(rows))), PID, "inner")
-    return numbered.withColumn(out_col, F.col(_POS) + F.col("__off") + F.lit(start)).drop(PID, _POS, "__off")
+    return numbered.withColumn(out_col, F.col(POS) + F.col("__off") + F.lit(start)).drop(PID, POS, "__off")
 
 
 def number_in_file_order(df: DataFrame, file_position: list[str], out_col: str, start: int = 0) -> DataFrame:
     """Number rows read with file positions by (file, place in the file), without an exchange of the rows."""
     staged = stage_in_place(df)
     key = [PID, *file_position[:2]]
-    located = staged.withColumn(PID, F.spark_partition_id()).withColumn(_POS, local_position())
-    runs = located.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.count(F.lit(1)).alias("n_kept"), F.min(_POS).alias("first"))
+    located = staged.withColumn(PID, F.spark_partition_id()).withColumn(POS, local_position())
+    runs = located.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.count(F.lit(1)).alias("n_kept"), F.min(POS).alias("first"))
     offsets = run_offsets(runs, key, file_position[:2])
     numbered = located.join(F.broadcast(offsets), key, "inner")
-    return numbered.withColumn(out_col, F.col(_POS) + F.col("__off_all") + F.lit(start)).drop(PID, _POS, "__off_all", "__off_kept", *file_position)
+    return numbered.withColumn(out_col, F.col(POS) + F.col("__off_all") + F.lit(start)).drop(PID, POS, "__off_all", "__off_kept", *file_position)

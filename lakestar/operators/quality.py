@@ -4,13 +4,16 @@ result is a small report; nothing row-level reaches the driver."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestar.operators.lookup import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
-from lakestar.session import checkpoint_dir
+from lakestar.session import concurrently
 
 # ---------------------------------------------------------------------------
 # Maximum text lengths declared by the registry DDL.
@@ -20,6 +23,9 @@ REGISTRY_MAX_LENGTHS = {
 }
 # ---------------------------------------------------------------------------
 
+#: Words of 64 keys in a bitmap that is sent to every task: 16 MB, 128 million neighbouring keys.
+MAX_BITMAP_WORDS = 2_000_000
+
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
@@ -60,7 +66,8 @@ def dense_key_surplus(df: DataFrame, key: str) -> DataFrame:
 
 def dense_key_violations(name: str, df: DataFrame, key: str) -> DataFrame:
     """The row of ``key_violations`` for a dense long key: the bitmaps are
-    counted first, and only a key that they find repeated is grouped in full."""
+    counted first, and only a key that they find repeated is grouped in full.
+    Runs the counting at once."""
     found = dense_key_surplus(df, key).first()  # one row
     nulls = df.where(F.col(key).isNull()).limit(1).count()
     if found["surplus_rows"] or nulls:
@@ -81,38 +88,86 @@ def null_violations(tables: list[tuple[str, DataFrame, list[str]]]) -> DataFrame
     return _union(frames)
 
 
+@dataclass(frozen=True)
+class KeyBitmap:
+    """The keys of a dense long column, a bit each, as 64-bit words from ``low`` on."""
+
+    low: int
+    words: np.ndarray
+
+    def holds(self, key: Column, spark: SparkSession) -> Column:
+        """Whether a key is one of them; the words travel as a scalar subquery, a value of the plan."""
+        if not len(self.words):
+            return F.lit(False)
+        held = spark.createDataFrame(pa.table({"words": pa.array([self.words], pa.list_(pa.int64()))})).scalar()
+        at = F.shiftright(key, 6)
+        inside = at.between(self.low, self.low + len(self.words) - 1)
+        word = F.get(held, F.when(inside, at - F.lit(self.low)).cast("int"))
+        bit = F.bit_get(F.coalesce(word, F.lit(0).cast("long")), key.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+        return inside & (bit == 1)
+
+
+def key_bitmap(keys: DataFrame, column: str, max_words: int = MAX_BITMAP_WORDS, rows_at_most: int | None = None) -> KeyBitmap | None:
+    """The bitmap of a column's keys, or None if they are no integers or would
+    need more than ``max_words`` words. Runs at once: words are made on the map
+    side, and at most ``max_words`` + 1 of them, 16 bytes each, are fetched."""
+    if dict(keys.dtypes)[column] not in ("bigint", "int", "smallint", "tinyint") or (rows_at_most or 0) > 64 * max_words:
+        return None
+    k = F.col(column).cast("long")
+    words = keys.where(k.isNotNull()).groupBy(F.shiftright(k, 6).alias("at")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63).cast("long")).cast("int"))).alias("bits")
+    )
+    found = words.limit(max_words + 1).toArrow()
+    at, bits = (found.column(c).to_numpy() for c in ("at", "bits"))
+    if not len(at):
+        return KeyBitmap(0, np.empty(0, dtype=np.int64))
+    low, high = int(at.min()), int(at.max())
+    if high - low >= max_words:
+        return None
+    dense = np.zeros(high - low + 1, dtype=np.int64)
+    dense[at - low] = bits
+    return KeyBitmap(low, dense)
+
+
 def fk_violations(
     fact: DataFrame,
     refs: list[tuple[str, DataFrame, str]],
     known_rows: dict[str, int] | None = None,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_bitmap_words: int = MAX_BITMAP_WORDS,
 ) -> DataFrame:
-    """Per foreign key: fact rows whose key has no match in the dimension.
-
-    One pass over the fact with a grouping set for each key reduces it to
-    (key, rows), combined on the map side. Its checkpoint serves all keys; the
-    anti joins see one row per distinct key. A dimension's keys are broadcast
-    only if their number (given in ``known_rows``, or measured) is within
-    ``max_broadcast_rows``.
+    """Per foreign key: fact rows whose key has no match in the dimension, and
+    the distinct keys they hold. A NULL key has no match.
+
+    Dense integer keys of a dimension become a bitmap, and one pass over the
+    fact tests all such keys, without an exchange, a join or a checkpoint; only
+    keys found to have orphans are looked at again. Other keys are reduced to
+    (key, rows), combined on the map side, and anti joined with the dimension's
+    keys, which are broadcast only if their number (given in ``known_rows``, or
+    measured) is within ``max_broadcast_rows``.
+
+    Runs at once: a job for each dimension's bitmap and one over the fact. Only
+    the anti joins wait for the caller.
     """
-    keys = [fk for fk, _, _ in refs]
-    used = fact.groupingSets([[k] for k in keys], *keys).agg(
-        *[F.grouping(k).alias(f"__no_{k}") for k in keys], F.count(F.lit(1)).alias("n")
-    )
-    checkpoint_dir(fact.sparkSession)
-    used = used.checkpoint(eager=True)
+    spark, known = fact.sparkSession, known_rows or {}
+    bitmaps = concurrently([lambda r=r: key_bitmap(r[1].select(r[0]), r[0], max_bitmap_words, known.get(r[2])) for r in refs])
+    orphan = {fk: ~F.coalesce(b.holds(F.col(fk).cast("long"), spark), F.lit(False)) for (fk, _, _), b in zip(refs, bitmaps) if b is not None}
+    counts: dict[str, tuple[int, int]] = {}
+    if orphan:
+        rows = fact.agg(*[F.count_if(c).alias(fk) for fk, c in orphan.items()]).first()
+        for fk, condition in orphan.items():
+            keys = fact.where(condition).select(fk).distinct().count() if rows[fk] else 0
+            counts[fk] = (keys, rows[fk])
     frames = []
     for fk, dim, dim_name in refs:
-        mine = used.where(F.col(f"__no_{fk}") == 0).select(F.col(fk).alias("k"), "n")
-        dim_keys = dim.select(F.col(fk).alias("k")).distinct()
-        dim_keys, _ = broadcast_if_small(dim_keys, max_broadcast_rows, rows_at_most=(known_rows or {}).get(dim_name))
+        named = (F.lit(fk).alias("fk_column"), F.lit(dim_name).alias("ref_table"))
+        if fk in counts:
+            frames.append(spark.createDataFrame([(fk, dim_name, *counts[fk])], "fk_column string, ref_table string, orphan_keys long, orphan_rows long"))
+            continue
+        mine = fact.groupBy(F.col(fk).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+        dim_keys, _ = broadcast_if_small(dim.select(F.col(fk).alias("k")).distinct(), max_broadcast_rows, rows_at_most=known.get(dim_name))
         orphans = mine.join(dim_keys, "k", "left_anti")
-        frames.append(
-            orphans.agg(
-                F.count(F.lit(1)).alias("orphan_keys"),
-                F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("orphan_rows"),
-            ).select(F.lit(fk).alias("fk_column"), F.lit(dim_name).alias("ref_table"), "orphan_keys", "orphan_rows")
-        )
+        frames.append(orphans.agg(F.count(F.lit(1)).alias("orphan_keys"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("orphan_rows")).select(*named, "orphan_keys", "orphan_rows"))
     return _union(frames)
 
 

@@ -75,7 +75,17 @@ def _twice(once: str, key: str, remainder: int, changed: str) -> str:
 _ORDER = ", ".join(testmap.LEDGER_ORDER)
 
 
-def pipeline_ctes() -> str:
+_DATE = _unless(testmap.NULL_DATE, "strftime(o.o_orderdate, '%Y-%m-%d')")
+_DATED = (
+    f"CASE WHEN {_DATE} IS NULL THEN NULL ELSE CASE l.l_orderkey % 13 WHEN 1 THEN strftime(o.o_orderdate, '%-m/%-d/%Y') WHEN 2 THEN '2024-13-45' "
+    f"WHEN 3 THEN 'on order ' || l.l_orderkey ELSE {_DATE} END END"
+)
+_READ_DATE = 'CAST("Date" AS DATE)'
+_READ_DATED = """coalesce(TRY_CAST("Date" AS DATE), TRY_CAST(try_strptime("Date", '%m/%d/%Y') AS DATE))"""
+
+
+def pipeline_ctes(dated: bool = False) -> str:
+    """``dated``: over the ledger of the second landing, whose unreadable dates are null dates."""
     return f"""
 bz_customers_once AS (
   SELECT c.c_custkey::BIGINT AS customer_id, '  ' || c.c_name || ' ' AS customer_name,
@@ -95,7 +105,7 @@ bz_products_once AS (
   SELECT (p_partkey + 1)::BIGINT AS id, p_name AS title, p_retailprice::DOUBLE AS price, p_type AS category FROM part),
 bz_products AS ({_twice('bz_products_once', 'id', testmap.TWICE_PRODUCT, f"title || {q(testmap.COPY_SUFFIX)} AS title, price + 1 AS price")}),
 bz_sales AS (
-  SELECT {_unless(testmap.NULL_DATE, "strftime(o.o_orderdate, '%Y-%m-%d')")} AS "Date", {_unless(testmap.NULL_COUNTRY, 'n.n_name')} AS "Country",
+  SELECT {_DATED if dated else _DATE} AS "Date", {_unless(testmap.NULL_COUNTRY, 'n.n_name')} AS "Country",
          {_unless(testmap.NULL_PRODUCT, 'p.p_name')} AS "Product",
          CASE WHEN l.l_quantity <> {testmap.NULL_QUANTITY} THEN l.l_quantity END AS "Order_Quantity",
          {_unless(testmap.NULL_PRICE, HE2('l.l_extendedprice / l.l_quantity'))} AS "Unit_Price",
@@ -115,7 +125,7 @@ g_dim_products AS (
 g_dim_stores AS (
   SELECT store_id AS store_key, store_name, city, state, country FROM bz_stores),
 g_ledger AS (
-  SELECT *, row_number() OVER (ORDER BY {_ORDER}) AS seq, CAST("Date" AS DATE) AS d,
+  SELECT *, row_number() OVER (ORDER BY {_ORDER}) AS seq, {_READ_DATED if dated else _READ_DATE} AS d,
          {TITLE(STRIP('"Country"'))} AS ctry
   FROM bz_sales),
 g_dim_time AS (
@@ -147,8 +157,8 @@ g_fact AS (
   FROM g_all WHERE customer_key IS NOT NULL AND time_key IS NOT NULL)"""
 
 
-def with_pipeline(select: str, extra_ctes: str = "") -> str:
+def with_pipeline(select: str, extra_ctes: str = "", dated: bool = False) -> str:
     """The pipeline CTEs (plus ``extra_ctes``, comma-separated CTE text)
     followed by ``select``."""
     extra = f",\n{extra_ctes.strip()}" if extra_ctes.strip() else ""
-    return f"WITH {pipeline_ctes()}{extra}\n{select}"
+    return f"WITH {pipeline_ctes(dated)}{extra}\n{select}"

@@ -9,14 +9,18 @@ keyword/prefix guard and the Spark-specific rules.
 
 from __future__ import annotations
 
+import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestar.functions.guard import extract_sql_block, guard_reason, sandbox_violation, with_intent, with_sql_guard
-from lakestar.plans import marts
+from lakestar.plans import intents
+from lakestar.session import concurrently, work_dir
 
 
 @dataclass
@@ -26,21 +30,68 @@ class BatchAnswer:
 
 
 def answer_batch(questions: DataFrame, col: str, tables: dict[str, DataFrame]) -> BatchAnswer:
+    """Runs one job at once, which finds the intents that occur (six at most)."""
     routed = with_intent(questions, col)
-    # at most one row per intent (six) reaches the driver
-    present = [r[0] for r in routed.select("intent").distinct().collect()]
-    return BatchAnswer(routed, {i: marts.INTENT_MARTS[i](tables) for i in sorted(present)})
+    return BatchAnswer(routed, {i: intents.mart(i, tables) for i in present_intents(routed)})
 
 
-def answer_records(questions: DataFrame, col: str) -> DataFrame:
-    """The questions with the record of their answer: intent, statement, and
-    whether the guard lets it run (``success``, else ``error``). One expression
-    over the column; the statement of an intent is a fixed text."""
+def present_intents(routed: DataFrame) -> list[str]:
+    return sorted(r[0] for r in routed.select("intent").distinct().collect())  # six at most
+
+
+#: Rows up to which a result is packed into its record; a larger one is written as a table.
+PACK_ROWS = 10_000
+ANSWER = "intent string, sql string, success boolean, data string, stored string, error string"
+
+
+def answers(spark: SparkSession, tables: dict[str, DataFrame], wanted: list[str] | None = None) -> DataFrame:
+    """(intent, sql, success, data, stored, error): a row for each intent, at most six.
+
+    Each statement is judged once, and its mart run once, at once and next to
+    the others. ``data`` is the result as a VARIANT: an array with an object
+    for each row, in order. A result of more than ``PACK_ROWS`` rows is written
+    below the work folder instead, and ``stored`` names the place. Whatever
+    fails while one intent is planned or run is that intent's ``error``.
+    """
+    wanted = list(intents.TEMPLATES) if wanted is None else wanted
+    judged = with_sql_guard(spark.createDataFrame([(i, intents.statement(i)) for i in wanted], "intent string, sql string"), "sql").collect()
+
+    def answer(row) -> tuple:
+        if not row["is_safe"]:
+            return row["intent"], row["sql"], False, None, None, row["reason"]
+        try:
+            data, stored = packed(intents.mart(row["intent"], tables), PACK_ROWS)
+        except (PySparkException, Py4JError) as exc:
+            return row["intent"], row["sql"], False, None, None, str(exc)
+        return row["intent"], row["sql"], True, data, stored, None
+
+    rows = concurrently([lambda r=r: answer(r) for r in judged]) if judged else []
+    return spark.createDataFrame(rows, ANSWER).withColumn("data", F.parse_json("data"))
+
+
+def packed(result: DataFrame, most: int) -> tuple[str | None, str | None]:
+    """(JSON array of the rows, None) of a small result, (None, path) of a large one."""
+    as_json = result.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
+    rows = as_json.limit(most + 1).collect()
+    if len(rows) <= most:
+        return f"[{','.join(r[0] for r in rows)}]", None
+    path = f"{work_dir(result.sparkSession)}/answers/{uuid.uuid4().hex}"
+    result.write.parquet(path)
+    return None, path
+
+
+def answer_records(questions: DataFrame, col: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """The questions with the record of their answer: intent, statement,
+    ``success``, ``data`` (or the place where it is ``stored``) and ``error``,
+    as in ``answers``. Runs the intents that occur at once; the questions
+    themselves are only routed and joined with these few rows."""
     routed = with_intent(questions, col)
-    statements = F.create_map(*[F.lit(x) for kv in marts.INTENT_SQL.items() for x in kv])
-    stated = routed.withColumn("sql", F.element_at(statements, F.col("intent")))
-    judged = with_sql_guard(stated, "sql", "success", "error")
-    return judged.withColumn("error", F.when(~F.col("success"), F.col("error")))
+    return with_answers(routed, answers(questions.sparkSession, tables, present_intents(routed)))
+
+
+def with_answers(routed: DataFrame, found: DataFrame) -> DataFrame:
+    """Six rows of ``PACK_ROWS`` result rows at most are broadcast to the questions."""
+    return routed.join(F.broadcast(found), "intent", "left")
 
 
 @dataclass

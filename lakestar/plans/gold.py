@@ -8,8 +8,6 @@ import json
 import re
 import time
 import uuid
-from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
@@ -20,11 +18,21 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from lakestar import schemas
 from lakestar.operators import quality
 from lakestar.operators.numbering import target_partitions
-from lakestar.plans import silver
-from lakestar.session import checkpoint_dir
+from lakestar.plans import lease, marts, silver
+from lakestar.session import checkpoint_dir, concurrently
 
 CURRENT_POINTER = "_CURRENT"
 STAGE_COUNTS = "_stage_counts"
+SOURCES = "_sources"
+
+
+@dataclass(frozen=True)
+class SourceUse:
+    """A source that was read, or that was tried and failed (``error``)."""
+
+    table: str
+    source: str
+    error: str | None = None
 
 
 @dataclass
@@ -41,6 +49,7 @@ class Bronze:
     customer_order: list[str] | None = None
     product_order: list[str] | None = None
     dates: silver.DateRule = silver.DateRule()
+    sources: list[SourceUse] = field(default_factory=list)
 
 
 @dataclass
@@ -49,18 +58,10 @@ class BuildResult:
     counts: dict[str, int] = field(default_factory=dict)
     seconds: float = 0.0
     timings: dict[str, float] = field(default_factory=dict)
-    # staged (checkpointed) ledger and its summary, reusable in this session
+    # staged ledger and its summary, reusable in this session, and the folder of the former
     staged: DataFrame | None = None
     summary: DataFrame | None = None
-
-
-def _concurrently(jobs: list) -> list:
-    """Run independent Spark actions as concurrent jobs from driver threads
-    (small jobs then share the executors instead of queueing); results in
-    order, the first failure re-raised."""
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        futures = [pool.submit(job) for job in jobs]
-        return [f.result() for f in futures]
+    staging: str | None = None
 
 
 def _observed_write(df: DataFrame, path: str, name: str, metrics: list, partition_by: list[str] | None = None) -> dict:
@@ -71,10 +72,11 @@ def _observed_write(df: DataFrame, path: str, name: str, metrics: list, partitio
 
 #: Versions that a build leaves in the warehouse, the new one included.
 KEEP_VERSIONS = 3
-#: A build lock older than this belongs to a build that died.
-STALE_LOCK_SECONDS = 12 * 3600
 LOCK = "_BUILDING"
+#: Marks a version that was switched to; without it a version is a failed build's.
+PUBLISHED = "_PUBLISHED"
 MONTHS = "_months"
+HEAD = "_head"
 QUARANTINE = "_quarantine"
 
 
@@ -84,21 +86,29 @@ def build(
     warehouse_root: str,
     num_partitions: int | None = None,
     keep_versions: int = KEEP_VERSIONS,
+    lease_seconds: float = lease.LEASE_SECONDS,
 ) -> BuildResult:
     """Write a new version, check it, and switch to it. One build at a time
-    works on a warehouse; versions beyond ``keep_versions`` are deleted."""
+    works on a warehouse (``lease``); a failed version is deleted at once, and
+    so are published versions beyond ``keep_versions``."""
     root = warehouse_root.rstrip("/")
-    with _build_lock(spark, root):
-        result = _build(spark, bronze, root, num_partitions)
+    with lease.held(spark, f"{root}/{LOCK}", lease_seconds) as lock:
+        out = f"{root}/v{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
+        try:
+            result = _build(spark, bronze, out, num_partitions)
+            lock.check()
+            write_small_file(spark, f"{out}/{PUBLISHED}", "\n")
+        except BaseException:
+            delete_path(spark, out)
+            raise
         # switch: readers resolve the current version through this pointer
-        write_small_file(spark, f"{root}/{CURRENT_POINTER}", result.version_path.rsplit("/", 1)[-1] + "\n")
+        write_small_file(spark, f"{root}/{CURRENT_POINTER}", out.rsplit("/", 1)[-1] + "\n")
         remove_old_versions(spark, root, keep_versions)
     return result
 
 
-def _build(spark: SparkSession, bronze: Bronze, root: str, num_partitions: int | None) -> BuildResult:
+def _build(spark: SparkSession, bronze: Bronze, out: str, num_partitions: int | None) -> BuildResult:
     t0 = time.time()
-    out = f"{root}/v{int(t0 * 1000)}-{uuid.uuid4().hex[:8]}"
     counts: dict[str, int] = {}
     timings: dict[str, float] = {}
     one = F.count(F.lit(1))
@@ -116,7 +126,7 @@ def _build(spark: SparkSession, bronze: Bronze, root: str, num_partitions: int |
     def count_bronze(name, src):
         return {f"bronze_{name}": src.count()}
 
-    for part in _concurrently([
+    for part in concurrently([
         lambda: write_dim("customers", silver.dim_customers(bronze.customers, bronze.customer_order)),
         lambda: write_dim("products", silver.dim_products(bronze.products, bronze.product_order)),
         lambda: write_dim("stores", silver.dim_stores(bronze.stores)),
@@ -132,7 +142,8 @@ def _build(spark: SparkSession, bronze: Bronze, root: str, num_partitions: int |
     n_products = max(counts["dim_products"], 1)
 
     lookups = silver.country_lookups(dim_c, dim_s)
-    staged = silver.stage_sales(bronze.sales, lookups, n_products, bronze.order_cols, num_partitions, bronze.dates)
+    staging = silver.staging_path(spark)
+    staged = silver.stage_sales(bronze.sales, lookups, n_products, bronze.order_cols, num_partitions, bronze.dates, staging)
     timings["stage_ledger"] = time.time() - t0
 
     # one small summary pass over the staged ledger feeds the calendar (every
@@ -151,7 +162,7 @@ def _build(spark: SparkSession, bronze: Bronze, root: str, num_partitions: int |
     day = F.to_date("time_key")
     fact = silver.number_sales(staged, summary).withColumns({"year": F.year(day), "month": F.month(day)})
     fact_parts = num_partitions or target_partitions(bronze.sales)
-    by_month = fact.repartitionByRange(fact_parts, "year", "month", "sales_key").sortWithinPartitions("year", "month", "sales_key")
+    by_month = silver.grouped_by_month(fact, summary, fact_parts)
     fact_metrics = [
         one.alias("n"),
         F.min("sales_key").alias("min_key"),
@@ -168,7 +179,10 @@ def _build(spark: SparkSession, bronze: Bronze, root: str, num_partitions: int |
         aside = silver.numbered(staged, summary).where(F.col("_bad_date").isNotNull())
         aside = aside.select(F.col("_txn").alias("ledger_row"), F.col("_bad_date").alias("date_text"), "product_key", "quantity", "unit_price")
         jobs.append(lambda: aside.write.mode("overwrite").parquet(f"{out}/{QUARANTINE}"))
-    tm, fm, *_ = _concurrently(jobs)
+    tm, fm, *_ = concurrently(jobs)
+    # the first rows are looked at most often: found by file statistics once, here
+    first = spark.read.schema(schemas.GOLD_SCHEMAS["fact_sales"]).parquet(f"{out}/fact_sales").where(F.col("sales_key") <= marts.HEAD_ROWS)
+    first.coalesce(1).sortWithinPartitions("sales_key").write.mode("overwrite").parquet(f"{out}/{HEAD}")
     counts["dim_time"] = tm["n"]
     counts["fact_sales"] = fm["n"]
     timings["fact_sales"] = time.time() - t0
@@ -176,9 +190,16 @@ def _build(spark: SparkSession, bronze: Bronze, root: str, num_partitions: int |
     _check_version(spark, out, fm, counts)
     timings["checks"] = time.time() - t0
 
+    for use in bronze.sources:
+        if use.error is None:
+            counts[f"source_{use.table}_{use.source}"] = counts[f"bronze_{use.table}"]
+        else:
+            counts[f"failed_{use.table}_{use.source}"] = 0
+    uses = "".join(json.dumps({"table_name": u.table, "source": u.source, "used": u.error is None, "error": u.error}) + "\n" for u in bronze.sources)
+    write_small_file(spark, f"{out}/{SOURCES}/part-0.json", uses)
     lines = "".join(json.dumps({"stage": k, "rows": v}) + "\n" for k, v in sorted(counts.items()))
     write_small_file(spark, f"{out}/{STAGE_COUNTS}/part-0.json", lines)
-    return BuildResult(out, counts, time.time() - t0, timings, staged, summary)
+    return BuildResult(out, counts, time.time() - t0, timings, staged, summary, staging)
 
 
 def _check_version(spark: SparkSession, out: str, fact_metrics: dict, counts: dict[str, int]) -> None:
@@ -205,32 +226,20 @@ def _check_version(spark: SparkSession, out: str, fact_metrics: dict, counts: di
             known_rows={t: counts[t] for t in tables if t in counts},
         ), ["orphan_rows"], "foreign key"),
     ]
-    _concurrently([(lambda r=r: quality.assert_clean(*r)) for r in reports])
-
-
-@contextmanager
-def _build_lock(spark: SparkSession, root: str):
-    """A file that only one build can create; one left by a dead build is taken over when it is old."""
-    target, fs = _fs_path(spark, f"{root}/{LOCK}")
-    if fs.exists(target) and time.time() - fs.getFileStatus(target).getModificationTime() / 1000 > STALE_LOCK_SECONDS:
-        fs.delete(target, False)
-    try:
-        fs.create(target, False).close()
-    except Py4JJavaError as exc:
-        raise RuntimeError(f"another build holds {root}/{LOCK}") from exc
-    try:
-        yield
-    finally:
-        fs.delete(target, False)
+    concurrently([(lambda r=r: quality.assert_clean(*r)) for r in reports])
 
 
 def remove_old_versions(spark: SparkSession, root: str, keep: int) -> list[str]:
-    """Delete all but the newest ``keep`` versions; the current one stays in any case."""
+    """Delete all but the newest ``keep`` published versions, and what builds
+    that died left unpublished; the current version stays in any case. For the
+    holder of the build lock only: a version being written is not published."""
     folder, fs = _fs_path(spark, root)
     names = [f.getPath().getName() for f in fs.listStatus(folder) if f.isDirectory()]
     names = sorted((n for n in names if re.fullmatch(r"v\d+-[0-9a-f]+", n)), key=lambda n: int(n[1:].split("-")[0]))
     current = read_small_file(spark, f"{root}/{CURRENT_POINTER}").strip()
-    old = [n for n in names[: max(0, len(names) - max(1, keep))] if n != current]
+    published = [n for n in names if n == current or path_exists(spark, f"{root}/{n}/{PUBLISHED}")]
+    stay = {*published[-max(1, keep) :], current}
+    old = [n for n in names if n not in stay]
     for name in old:
         delete_path(spark, f"{root}/{name}")
     return old
@@ -302,10 +311,22 @@ def read_stage_counts(spark: SparkSession, version_path: str) -> DataFrame:
     return spark.read.schema("stage string, rows long").json(f"{version_path}/{STAGE_COUNTS}")
 
 
+def read_sources(spark: SparkSession, version_path: str) -> DataFrame:
+    """The sources that a version's build read, and those that it tried in vain."""
+    return spark.read.schema("table_name string, source string, used boolean, error string").json(f"{version_path}/{SOURCES}")
+
+
+def read_quarantine(spark: SparkSession, version_path: str) -> DataFrame:
+    """The ledger rows that a version's build set aside, with the text of their date."""
+    schema = "ledger_row long, date_text string, product_key long, quantity long, unit_price double"
+    return spark.read.schema(schema).parquet(f"{version_path}/{QUARANTINE}")
+
+
 def open_tables(spark: SparkSession, version_path: str) -> dict[str, DataFrame]:
     """Gold tables of one version, with their fixed schemas (no footer-based
     schema inference). ``_fact_by_month`` is the fact with its partition
-    columns, ``_months`` the months that have sales."""
+    columns, ``_months`` the months that have sales, ``_head`` the fact's first
+    rows by key."""
     opened = {
         t: spark.read.schema(schemas.GOLD_SCHEMAS[t]).parquet(f"{version_path}/{t}")
         for t in schemas.GOLD_COLUMNS
@@ -314,15 +335,20 @@ def open_tables(spark: SparkSession, version_path: str) -> dict[str, DataFrame]:
     by_month = StructType([*schemas.GOLD_SCHEMAS["fact_sales"].fields, StructField("year", IntegerType()), StructField("month", IntegerType())])
     opened["_fact_by_month"] = spark.read.schema(by_month).parquet(f"{version_path}/fact_sales")
     opened["_months"] = spark.read.schema("year int, month int").parquet(f"{version_path}/{MONTHS}")
+    opened["_head"] = spark.read.schema(schemas.GOLD_SCHEMAS["fact_sales"]).parquet(f"{version_path}/{HEAD}")
     opened["fact_sales"] = opened["_fact_by_month"].drop("year", "month")
     return opened
 
 
-def warehouse_exists(spark: SparkSession, warehouse_root: str) -> bool:
-    target, fs = _fs_path(spark, f"{warehouse_root.rstrip('/')}/{CURRENT_POINTER}")
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target, fs = _fs_path(spark, path)
     return bool(fs.exists(target))
 
 
+def warehouse_exists(spark: SparkSession, warehouse_root: str) -> bool:
+    return path_exists(spark, f"{warehouse_root.rstrip('/')}/{CURRENT_POINTER}")
+
+
 def ensure_warehouse(spark: SparkSession, warehouse_root: str, bronze_factory) -> str:
     """Current version path; builds one first when the warehouse has none."""
     if not warehouse_exists(spark, warehouse_root):

@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from lakestar.functions.text import first_token, last_token, py_strip
 from lakestar.operators import quality
 from lakestar.operators.dedup import keep_first
-from lakestar.operators.lookup import lookup_join
+from lakestar.operators.lookup import broadcast_if_small, lookup_join
 from lakestar.operators.numbering import number_in_file_order, number_rows, stage_ordered, target_partitions
 from lakestar.plans import gold
-from lakestar.session import checkpoint_dir
+from lakestar.session import checkpointed, discard
 from lakestar.sources.readers import FILE_POSITION
 
 # ---------------------------------------------------------------------------
@@ -36,11 +36,6 @@ MISSING_TEXT = "nan"
 # ---------------------------------------------------------------------------
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def _text(col: str) -> Column:
     """``str(value).strip()`` with pandas' text for a missing value."""
     return py_strip(F.coalesce(F.col(f"`{col}`").cast("string"), F.lit(MISSING_TEXT)))
@@ -73,11 +68,9 @@ def registry_emails(extract: DataFrame) -> DataFrame:
     row position appended. An appended address counts as had from then on, so
     a later customer whose own address equals it is appended too.
 
-    The first customer with an address is found by a min-position aggregate.
-    Appended addresses are then matched with the first customers of the same
-    address as theirs, those that come later are appended in turn, and so on:
-    a round for each link of the longest chain, each over the customers that
-    the round before appended.
+    The first customer with an address is found by a min-position aggregate;
+    those that chains of appended addresses reach are added by
+    ``chained_heads``. Runs jobs at once.
     """
     name = _text("Customer Name")
     first, last = first_token(name, DEFAULT_FIRST), last_token(name, DEFAULT_LAST)
@@ -93,22 +86,11 @@ def registry_emails(extract: DataFrame) -> DataFrame:
     )
     heads = based.groupBy("base_email").agg(F.min("pos").alias("head"))
     joined = checkpointed(lookup_join(based, heads, "base_email", "inner").withColumn("_taken", F.col("pos") != F.col("head")))
-    late = checkpointed(joined.where("_taken").select(F.col("appended").alias("base_email"), F.col("pos").alias("at")))
-    taken_heads = None
-    while True:
-        first_at = late.groupBy("base_email").agg(F.min("at").alias("at"))
-        found = joined.where("not _taken").join(first_at, "base_email").where("at < pos").select("pos", "appended")
-        if taken_heads is not None:
-            found = found.join(taken_heads, "pos", "left_anti")
-        found = checkpointed(found)
-        if not found.limit(1).count():
-            break
-        heads_now = found.select("pos")
-        taken_heads = heads_now if taken_heads is None else checkpointed(taken_heads.union(heads_now))
-        late = found.select(F.col("appended").alias("base_email"), F.col("pos").alias("at"))
+    reached = chained_heads(joined)
     suffixed = F.col("_taken")
-    if taken_heads is not None:
-        joined = joined.join(taken_heads.withColumn("_chained", F.lit(True)), "pos", "left")
+    if reached is not None:
+        side, small = broadcast_if_small(reached.withColumn("_chained", F.lit(True)))
+        joined = joined.join(side, "pos", "left")
         suffixed = suffixed | F.coalesce(F.col("_chained"), F.lit(False))
     return joined.select(
         "pos",
@@ -120,6 +102,36 @@ def registry_emails(extract: DataFrame) -> DataFrame:
     )
 
 
+def chained_heads(joined: DataFrame) -> DataFrame | None:
+    """Positions of customers that are the first with their address, but whose
+    address an earlier customer got appended; None if there are none.
+
+    One pass matches all appended addresses with the later first customers that
+    have them as their own (which end in a digit, as appended ones do): the
+    links that a chain may take. Appended customers then pass the word on along
+    these few links alone, round by round, each from those that the round
+    before reached.
+    """
+    stem_end = F.col("base_email").substr(F.length("base_email") - len(EMAIL_DOMAIN), F.lit(1))
+    heads = joined.where(~F.col("_taken") & stem_end.between("0", "9")).select(F.col("base_email").alias("appended"), F.col("pos").alias("to"))
+    links = joined.select("appended", F.col("pos").alias("by"), "_taken").join(heads, "appended").where("by < to")
+    links = checkpointed(links.select("by", "to", "_taken"))
+    frontier = checkpointed(links.where("_taken").select(F.col("to").alias("pos")).distinct())
+    if not frontier.limit(1).count():
+        discard(frontier, links)
+        return None
+    reached = frontier
+    while True:
+        further = links.join(frontier.select(F.col("pos").alias("by")), "by").select(F.col("to").alias("pos")).distinct()
+        further = checkpointed(further.join(reached, "pos", "left_anti"))
+        if not further.limit(1).count():
+            discard(further, links, *([frontier] if frontier is not reached else []))
+            return reached
+        grown = checkpointed(reached.union(further))
+        discard(*{id(x): x for x in (reached, frontier)}.values())
+        reached, frontier = grown, further
+
+
 def registry_customers(emails: DataFrame, extract: DataFrame) -> DataFrame:
     staged = stage_ordered(emails, ["pos"], target_partitions(extract))
     return number_rows(staged, "customer_id").select(

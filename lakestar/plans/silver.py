@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestar import schemas
@@ -13,7 +14,8 @@ from lakestar.functions.numeric import half_even_round
 from lakestar.functions.text import py_strip, title_case, txn_id
 from lakestar.operators.dedup import first_per_key, keep_first
 from lakestar.operators.lookup import broadcast_if_small, salted_join
-from lakestar.operators.numbering import PID, local_position, run_offsets, stage_in_place, stage_ordered, target_partitions
+from lakestar.operators.numbering import KEPT, PID, POS, ROW, run_offsets, stage_columns, target_partitions
+from lakestar.session import work_dir
 from lakestar.sources.readers import FILE_POSITION
 
 # ---------------------------------------------------------------------------
@@ -219,11 +221,19 @@ def stage_sales(
     order_cols: list[str],
     num_partitions: int | None = None,
     dates: DateRule = DateRule(),
+    path: str | None = None,
 ) -> DataFrame:
-    """Conform and order the ledger once and cut the lineage."""
-    staged = stage_in_place(staging_plan(sales, lookups, n_products, order_cols, num_partitions, dates))
+    """Conform and order the ledger once and stage it as Parquet (``path``:
+    default a new folder below the work folder), the rows that will be pruned
+    apart from the others."""
+    rows = staging_plan(sales, lookups, n_products, order_cols, num_partitions, dates)
     # the files that a row came from tell the order of runs only where the scan's partitions were kept
-    return staged if in_file_order(order_cols) and lookups.small else staged.drop(*FILE_POSITION)
+    rows = rows if in_file_order(order_cols) and lookups.small else rows.drop(*FILE_POSITION)
+    return stage_columns(rows, keep_condition(), path or staging_path(sales.sparkSession))
+
+
+def staging_path(spark: SparkSession) -> str:
+    return f"{work_dir(spark)}/staging/{uuid.uuid4().hex}"
 
 
 def _run_columns(staged: DataFrame) -> list[str]:
@@ -237,17 +247,16 @@ def ledger_summary(staged: DataFrame) -> DataFrame:
     ledger dates with their kept rows. Its size is runs + distinct dates,
     independent of the ledger's row count; it feeds the numbering offsets, the
     calendar and the run counters."""
-    keep = keep_condition()
     run = _run_columns(staged)
     rows = staged.select(
-        F.spark_partition_id().alias(PID),
+        PID,
         *run,
         F.col("_date").alias("d"),
-        local_position().alias("_pos"),
+        F.col(POS).alias("_pos"),
         *[
             c.alias(n)
             for n, c in {
-                "_keep": keep,
+                "_keep": F.col(KEPT),
                 "_no_customer": F.col("customer_key").isNull(),
                 "_no_date": F.col("time_key").isNull(),
                 "_bad_date": F.col("_bad_date").isNotNull(),
@@ -296,31 +305,27 @@ def keep_condition():
 
 def numbered(staged: DataFrame, summary: DataFrame | None = None) -> DataFrame:
     """Every staged ledger row with ``_txn``, its place in the ledger, and
-    ``__off_kept``, which makes its position among the kept rows of its
-    partition its place among all kept rows.
+    ``sales_key``, its place among the kept rows (NULL for others).
 
-    Both offsets come from ``summary`` (a row for each run) and are joined by
-    a broadcast of that size.
+    Both come from the stored positions and the offsets in ``summary`` (a row
+    for each run), which are joined by a broadcast of that size.
     """
     run = _run_columns(staged)
     runs = summary_runs(summary if summary is not None else ledger_summary(staged))
     offsets = run_offsets(runs, [PID, *run], run or [PID])
-    return (
-        staged.withColumn(PID, F.spark_partition_id())
-        .withColumn("__pos_all", local_position())
-        .join(F.broadcast(offsets), [PID, *run], "inner")
-        .withColumn("_txn", F.col("__pos_all") + F.col("__off_all") + F.lit(1))
-        .drop(PID, "__pos_all", "__off_all")
-    )
+    rows = staged.join(F.broadcast(offsets), [PID, *run], "inner")
+    return rows.withColumns({
+        "_txn": F.col(POS) + F.col("__off_all") + F.lit(1),
+        "sales_key": F.when(F.col(KEPT), F.col(ROW) + F.col("__off_kept") + F.lit(1)),
+    }).drop(PID, POS, ROW, "__off_all", "__off_kept")
 
 
 def number_sales(staged: DataFrame, summary: DataFrame | None = None) -> DataFrame:
-    """transaction_id over every ledger row, then prune rows without a
-    customer or date, then sales_key 1..n over the rows that remain, in the
-    same pass over the staged ledger."""
-    rows = numbered(staged, summary).where(keep_condition())
+    """transaction_id over every ledger row, sales_key 1..n over the rows that
+    have a customer and a date; only these rows' files are read."""
+    rows = numbered(staged, summary).where(F.col(KEPT))
     return rows.select(
-        (local_position() + F.col("__off_kept") + F.lit(1)).alias("sales_key"),
+        "sales_key",
         txn_id(F.col("_txn")).alias("transaction_id"),
         F.col("customer_key").cast("long").alias("customer_key"),
         F.col("product_key").cast("long").alias("product_key"),
@@ -333,12 +338,28 @@ def number_sales(staged: DataFrame, summary: DataFrame | None = None) -> DataFra
     )
 
 
-def ledger_keys(staged: DataFrame, summary: DataFrame | None = None) -> DataFrame:
-    """Every staged ledger row with ``_txn`` and ``sales_key``, the latter NULL for pruned rows."""
-    rows = numbered(staged, summary)
-    kept = rows.where(keep_condition()).withColumn("sales_key", local_position() + F.col("__off_kept") + F.lit(1))
-    pruned = rows.where(~keep_condition()).withColumn("sales_key", F.lit(None).cast("long"))
-    return kept.unionByName(pruned).drop("__off_kept")
+def grouped_by_month(fact: DataFrame, summary: DataFrame, parts: int) -> DataFrame:
+    """The fact (with year and month) dealt to about ``parts`` partitions by
+    month: a large month has several, small neighbours share one. The months'
+    rows are known from the summary, so nothing is sampled; fetches a row for
+    each month at once."""
+    kept = summary.where((F.col("is_date") == 1) & (F.col("n_kept") > 0))
+    months = kept.groupBy(F.year("d").alias("year"), F.month("d").alias("month")).agg(F.sum("n_kept").alias("n")).orderBy("year", "month").collect()
+    each = max(1, -(-sum(r["n"] for r in months) // parts))
+    places, at, filled = [], 0, 0
+    for r in months:
+        if filled and filled + r["n"] > each:
+            at, filled = at + 1, 0
+        cuts = -(-r["n"] // each)
+        places.append((r["year"], r["month"], at, cuts))
+        if cuts > 1:
+            at += cuts
+        else:
+            filled += r["n"]
+    placed = fact.sparkSession.createDataFrame(places, "year int, month int, __first int, __cuts int")
+    to = F.col("__first") + F.pmod(F.xxhash64("sales_key"), F.col("__cuts")).cast("int")
+    dealt = fact.join(F.broadcast(placed), ["year", "month"]).withColumn("__to", to).repartitionById(at + 1, "__to")
+    return dealt.drop("__first", "__cuts", "__to").sortWithinPartitions("year", "month", "sales_key")
 
 
 def fact_columns() -> list[str]:

@@ -11,12 +11,14 @@ from __future__ import annotations
 
 import threading
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestar.functions.text import period_label
 from lakestar.operators.numbering import target_partitions
-from lakestar.plans import gold, marts, silver
+from lakestar.plans import gold, marts, published, silver
 from lakestar.session import work_dir
 from lakestar.sources import readers, testmap
 
@@ -40,7 +42,7 @@ class BuiltWarehouse:
         immutable, so the file listing is reused across queries."""
         app = spark.sparkContext.applicationId
         if self._opened.get("app") != app:
-            self._opened = {"app": app, "tables": gold.open_tables(spark, self.version_path)}
+            self._opened |= {"app": app, "tables": gold.open_tables(spark, self.version_path)}
         return dict(self._opened["tables"])
 
     def stage_counts(self, spark: SparkSession) -> DataFrame:
@@ -95,6 +97,100 @@ def testdata_warehouse(spark: SparkSession, sf_dir: str, rebuild: bool = False)
         return wh
 
 
+@dataclass
+class SecondWarehouse:
+    """A warehouse that was asked for twice, and built the first time."""
+
+    version_path: str
+    calls: list[tuple[int, bool, bool, int]]  # call, whether it existed before, whether the version is that of the first call, rows of the fact
+
+
+_SECOND: dict[tuple[str, str], SecondWarehouse] = {}
+
+
+def chosen_bronze(spark: SparkSession, places: dict[str, list[tuple[str, str]]]) -> gold.Bronze:
+    """Sources from the first of their (name, path) places that opens; unreadable dates are set aside.
+
+    The build keeps with its version which places were read and which failed.
+    """
+    order = testmap.SOURCE_ORDER
+    openers = {
+        "customers": lambda p: readers.read_registry(spark, p, "customers", order),
+        "stores": lambda p: readers.read_registry(spark, p, "stores"),
+        "products": lambda p: readers.read_catalogue(spark, p, multi_line=True, order_columns=order),
+        "ledger": lambda p: readers.read_ledger(spark, p, testmap.LEDGER_ORDER),
+    }
+    chosen, uses = {}, []
+    for table, opened in openers.items():
+        choice = readers.choose_source([(name, lambda p=path: opened(p)) for name, path in places[table]])
+        chosen[table] = choice.df
+        uses += [gold.SourceUse(table, name, error) for name, error in choice.errors.items()]
+        uses.append(gold.SourceUse(table, choice.source))
+    return gold.Bronze(
+        customers=chosen["customers"],
+        stores=chosen["stores"],
+        products=chosen["products"],
+        sales=chosen["ledger"],
+        order_cols=list(testmap.LEDGER_ORDER),
+        customer_order=list(order),
+        product_order=list(order),
+        dates=silver.DateRule(quarantine=True),
+        sources=uses,
+    )
+
+
+def second_warehouse(spark: SparkSession, sf_dir: str) -> SecondWarehouse:
+    """A warehouse over the second landing, asked for twice: the catalogue comes as arrays, some
+    dates can't be read, and the first places of the registry and of the catalogue don't exist."""
+    key = _key(spark, sf_dir)
+    with _LOCK:
+        if key in _SECOND:
+            return _SECOND[key]
+        landing = landing_for(spark, sf_dir)
+        base = f"{work_dir(spark)}/{key[1].strip('/').replace('/', '_').replace('.', '_')}/second"
+        own = testmap.write_second_landing(spark, sf_dir, f"{base}/landing")
+        places = {
+            "customers": [("remote", f"{base}/unreachable/customers"), ("local", landing["registry/customers"])],
+            "stores": [("remote", f"{base}/unreachable/stores"), ("local", landing["registry/stores"])],
+            "products": [("remote", f"{base}/unreachable/products"), ("mirror", f"{base}/unreachable/mirror"), ("local", own["catalogue"])],
+            "ledger": [("remote", own["ledger"]), ("local", landing["ledger"])],
+        }
+        calls, first = [], None
+        for n in (1, 2):
+            existed = gold.warehouse_exists(spark, f"{base}/warehouse")
+            version = gold.ensure_warehouse(spark, f"{base}/warehouse", lambda: chosen_bronze(spark, places))
+            first = first or version
+            calls.append((n, existed, version == first, gold.open_tables(spark, version)["fact_sales"].count()))
+        _SECOND[key] = SecondWarehouse(first, calls)
+        return _SECOND[key]
+
+
+def published_database(spark: SparkSession, sf_dir: str) -> str:
+    """The database that shows the warehouse of the registered queries; published once per version."""
+    wh = testdata_warehouse(spark, sf_dir)
+    database = "lakestar_" + _key(spark, sf_dir)[1].strip("/").replace("/", "_").replace(".", "_").replace("-", "_").replace(":", "_")
+    with _LOCK:
+        if wh._opened.get("database") != (spark.sparkContext.applicationId, database):
+            published.publish(spark, wh.version_path, database)
+            wh._opened["database"] = (spark.sparkContext.applicationId, database)
+    return database
+
+
+def all_reports(tables: dict[str, DataFrame]) -> DataFrame:
+    """The report set as one long table: (report, item, metric, value), a row for each figure.
+
+    ``item`` names what the figure is of: category, customer, month or country."""
+    frames = []
+    for name, df in run_all_reports(tables).items():
+        labels = [c for c, t in df.dtypes if t == "string"] or ["Year", "Month"]
+        item = period_label(F.col("Year"), F.col("Month")) if labels == ["Year", "Month"] else F.col(f"`{labels[0]}`")
+        figures = [c for c in df.columns if c not in labels]
+        pairs = ", ".join(f"'{c}', cast(`{c}` as double)" for c in figures)
+        rows = df.withColumn("item", item).selectExpr("item", f"stack({len(figures)}, {pairs}) as (metric, value)")
+        frames.append(rows.select(F.lit(name).alias("report"), "item", "metric", "value"))
+    return reduce(DataFrame.unionByName, frames)
+
+
 def run_all_reports(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The console report set: categories, top 5 customers, first 10 months of
     the trend, countries. The fact is read once: one pass with a grouping set

@@ -9,8 +9,10 @@ fresh temporary folder (which then also becomes the checkpoint dir).
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "lakestar") -> SparkSession:
@@ -52,6 +54,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage at once, through the shared checkpoint folder."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of checkpoints that nothing will read again."""
+    for df in frames:
+        spark = df.sparkSession
+        plan = df._jdf.queryExecution().logical()
+        if plan.getClass().getSimpleName() != "LogicalRDD":
+            raise ValueError("not a checkpointed table")
+        written = plan.rdd().getCheckpointFile()
+        if written.isDefined():
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(written.get())
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def work_dir(spark: SparkSession) -> str:
     """Root folder for landing files, staged data and warehouse versions."""
     explicit = spark.conf.get("lakestar.work.dir", None)
@@ -62,3 +83,12 @@ def work_dir(spark: SparkSession) -> str:
     path = f"{root}/lakestar-work"
     spark.conf.set("lakestar.work.dir", path)
     return path
+
+
+def concurrently(jobs: list[Callable]) -> list:
+    """Run independent Spark actions as concurrent jobs from driver threads
+    (small jobs then share the executors instead of queueing); results in
+    order, the first failure re-raised."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(job) for job in jobs]
+        return [f.result() for f in futures]

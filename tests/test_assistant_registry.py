@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lakestar.plans import assistant, gold as gold_mod, registry
+from lakestar.plans import assistant, gold as gold_mod, intents, registry
 from lakestar.sources import readers
 
 
@@ -94,18 +94,63 @@ def test_sandbox_reads_no_files(spark, gold, tmp_path, kind):
     assert spark.conf.get("spark.sql.runSQLOnFiles") == "true"
 
 
-def test_answer_records(spark):
-    qs = spark.createDataFrame([("per category",), ("hello",)], "q string")
-    rows = {r.q: r for r in assistant.answer_records(qs, "q").collect()}
-    assert rows["per category"].intent == "category" and "dim_products" in rows["per category"].sql
-    assert all(r.success and r.error is None for r in rows.values())
+def _values(row):
+    """The row's values, doubles by their cents."""
+    return [round(v, 2) if isinstance(v, float) else v for v in row]
 
 
-def test_intent_statements_give_the_intents_results(spark, gold):
+@pytest.mark.parametrize("intent", list(intents.TEMPLATES))
+def test_statement_and_mart_of_an_intent_agree(spark, gold, intent):
     t = gold.tables(spark)
-    for name in ("profit", "trend", "country", "default"):
-        res = assistant.run_sandbox(spark, t, assistant.marts.INTENT_SQL[name])
-        assert res.success and res.data.count() == assistant.marts.INTENT_MARTS[name](t).count()
+    res = assistant.run_sandbox(spark, t, intents.statement(intent))
+    assert res.success, res.error
+    mart = intents.mart(intent, t)
+    assert res.data.columns == mart.columns
+    rows = [_values(r) for r in mart.collect()]
+    assert [_values(r) for r in res.data.collect()] == rows and rows
+
+
+def test_answer_records(spark, gold):
+    t = gold.tables(spark)
+    qs = spark.createDataFrame([("per category", 1), ("hello", 2), (None, 3), ("the trend", 4), ("per category", 5)], "q string, key long")
+    records = assistant.answer_records(qs, "q", t)
+    assert dict(records.dtypes)["data"] == "variant"
+    rows = {r.key: r for r in records.collect()}
+    assert len(rows) == 5 and all(r.success and r.error is None and r.stored is None for r in rows.values())
+    assert rows[1].intent == rows[5].intent == "category" and rows[2].intent == rows[3].intent == "default"
+    for r in rows.values():
+        assert r.sql == intents.statement(r.intent)
+        mart = intents.mart(r.intent, t)
+        got = r.data.toPython()
+        assert [[float(x[c]) if not isinstance(x[c], str) else x[c] for c in mart.columns] for x in got] == [[float(v) if not isinstance(v, str) else v for v in m] for m in mart.collect()]
+
+
+def test_a_failing_intent_has_its_error_and_spares_the_others(spark, gold):
+    t = gold.tables(spark)
+    broken = {**t, "dim_time": t["dim_time"].drop("year")}
+    qs = spark.createDataFrame([("trend",), ("customers",)], "q string")
+    rows = {r.intent: r for r in assistant.answer_records(qs, "q", broken).collect()}
+    assert not rows["trend"].success and rows["trend"].data is None and "UNRESOLVED_COLUMN" in rows["trend"].error
+    assert rows["customer"].success and rows["customer"].error is None and len(rows["customer"].data.toPython()) <= 10
+    missing = {k: v for k, v in t.items()} | {"dim_customers": spark.read.schema(t["dim_customers"].schema).parquet(gold.version_path + "/dim_customers").where(F.raise_error(F.lit("lost block")).isNull())}
+    rows = {r.intent: r for r in assistant.answer_records(qs, "q", missing).collect()}
+    assert rows["trend"].success and not rows["customer"].success and "lost block" in rows["customer"].error
+
+
+def test_a_large_result_is_written(spark, gold, monkeypatch):
+    t = gold.tables(spark)
+    monkeypatch.setattr(assistant, "PACK_ROWS", 3)
+    found = {r.intent: r for r in assistant.answers(spark, t, ["category", "trend"]).collect()}
+    data, path = assistant.packed(intents.mart("category", t), 3)
+    assert data is None and spark.read.parquet(path).count() == intents.mart("category", t).count() > 3
+    data, path = assistant.packed(intents.mart("category", t).limit(3), 3)
+    assert path is None and data.count("Category") == 3
+    assert all(r.success and r.data is None and r.stored for r in found.values())
+
+
+def test_no_questions(spark, gold):
+    qs = spark.createDataFrame([], "q string")
+    assert assistant.answer_records(qs, "q", gold.tables(spark)).collect() == []
 
 
 EXTRACT = "pos_no long, `Customer Name` string, `Customer Segment` string, City string, State string"
@@ -125,6 +170,47 @@ def test_email_chains(spark):
     assert emails(spark, [(0, "Cher"), (1, "Cher "), (2, "")]) == {0: "cher.cust", 1: "cher.cust1", 2: "user.cust"}
 
 
+def _sequential(names):
+    """Addresses as a loop over the customers gives them."""
+    seen, out = set(), {}
+    for p, n in names:
+        parts = n.split()
+        stem = f"{parts[0].lower() if parts else 'user'}.{parts[-1].lower() if len(parts) > 1 else 'cust'}"
+        mail = stem if stem not in seen else f"{stem}{p}"
+        seen.add(mail)
+        out[p] = mail
+    return out
+
+
+def test_a_long_chain_and_random_chains(spark):
+    import random
+
+    chain, name = [(0, "A B"), (1, "A  B")], "A B1"
+    for p in range(2, 14):
+        chain.append((p, name))
+        name += str(p)
+    got = emails(spark, chain)
+    assert got == _sequential(chain) and got[13] == "a." + name[2:].lower()
+    rnd = random.Random(11)
+    for _ in range(3):
+        names = [(p, f"{rnd.choice('XY')}{' ' * rnd.randint(1, 9)}{rnd.choice('LM')}{rnd.choice(['', '', rnd.randrange(30), f'{rnd.randrange(9)}{rnd.randrange(30)}'])}") for p in range(60)]
+        names = [(p, n) for k, (p, n) in enumerate(names) if n not in {m for _, m in names[:k]}]
+        assert emails(spark, names) == _sequential(names)
+
+
+def test_rounds_of_a_chain_leave_no_checkpoints(spark):
+    rows = [(0, "A B"), (1, "A  B"), (2, "A B1"), (3, "A B12"), (4, "A B123")]
+    from lakestar.plans import gold as gold_plan
+
+    joined = spark.createDataFrame(
+        [(p, f"a.b{s}@superstore.com", f"a.b{s}{p}@superstore.com", p == 1) for (p, _), s in zip(rows, ["", "", "1", "12", "123"])], "pos long, base_email string, appended string, _taken boolean"
+    )
+    before = gold_plan.staging_folders(spark)
+    reached = registry.chained_heads(joined)
+    assert sorted(r.pos for r in reached.collect()) == [2, 3, 4]
+    assert len(gold_plan.staging_folders(spark) - before) == 1
+
+
 def test_load_is_refused_if_an_address_is_twice(spark, tmp_path):
     rows = [(0, "Ann Lee", "Corporate", "A", "X"), (1, "Ann Lee7", None, "A", "X"), (7, "Ann  Lee", None, "B", "Y")]
     root = str(tmp_path / "registry")

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lakestar.plans import marts
+from lakestar.plans import intents, lease, marts
 from lakestar.plans import gold as gold_plan
 from lakestar.plans.gold import build, current_version_path, open_tables
 from lakestar.plans.warehouse import bronze_from_landing
@@ -60,7 +60,7 @@ def _plan(df):
 def test_marts_use_no_python_and_no_global_window(spark, gold):
     t = gold.tables(spark)
     for fn in (marts.sales_by_category, marts.top_customers, marts.monthly_sales_trend, marts.revenue_by_country,
-               marts.product_units_sold, marts.nl_default):
+               marts.product_units_sold, *[x.mart for x in intents.TEMPLATES.values()]):
         plan = _plan(fn(t))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
         assert "Window" not in plan
@@ -162,10 +162,14 @@ def test_file_order_numbers_rows_across_splits(spark, gold, tmp_path):
 
 def test_reads_are_pruned(spark, gold):
     t = gold.tables(spark)
-    for df in (marts.table_preview(t, "fact_sales", 7), marts.nl_default(t)):
-        assert "LessThanOrEqual(sales_key," in _plan(df)
+    for df in (marts.table_preview(t, "fact_sales", 7), intents.mart("default", t)):
+        files = df.inputFiles()
+        assert any("/_head/" in f for f in files) and not any("/fact_sales/" in f for f in files)
+    assert [r.sales_key for r in marts.table_preview(t, "fact_sales", 7).collect()] == [1, 2, 3, 4, 5, 6, 7]
+    beyond = marts.head_of_fact(t, marts.HEAD_ROWS + 1)
+    assert "LessThanOrEqual(sales_key," in _plan(beyond) and beyond.count() == marts.HEAD_ROWS + 1
     months = t["_months"].count()
-    for n, df in ((3, marts.recent_months(t, 3)), (12, marts.nl_trend(t))):
+    for n, df in ((3, marts.recent_months(t, 3)), (12, intents.mart("trend", t))):
         assert "PartitionFilters: [" in _plan(df) and "(year#" in _plan(df).split("PartitionFilters: [")[1]
         assert df.count() == min(n, months)
 
@@ -219,16 +223,47 @@ def test_a_killed_build_leaves_the_current_version(spark, gold, tmp_path, monkey
     assert open_tables(spark, current_version_path(spark, root))["fact_sales"].count() == gold.counts["fact_sales"]
 
 
+def _versions(root):
+    return {p.name for p in root.iterdir() if p.is_dir()}
+
+
 def test_one_build_at_a_time_and_old_versions_go(spark, gold, tmp_path):
     root = str(tmp_path / "wh")
-    with gold_plan._build_lock(spark, root):
+    with lease.held(spark, f"{root}/{gold_plan.LOCK}"):
         with pytest.raises(RuntimeError, match="another build"):
             build(spark, bronze_from_landing(spark, gold.landing), root)
-    for i in range(4):
+    for i in range(5):
         (tmp_path / "wh" / f"v{i}-abcdef01").mkdir()
-    result = build(spark, bronze_from_landing(spark, gold.landing), root, keep_versions=2)
-    left = {p.name for p in (tmp_path / "wh").iterdir() if p.is_dir()}
-    assert left == {"v3-abcdef01", result.version_path.rsplit("/", 1)[-1]}
+        if i != 3:
+            (tmp_path / "wh" / f"v{i}-abcdef01" / gold_plan.PUBLISHED).touch()
+    result = build(spark, bronze_from_landing(spark, gold.landing), root, keep_versions=3)
+    # v3 is what a build that died left: it takes no place
+    assert _versions(tmp_path / "wh") == {"v2-abcdef01", "v4-abcdef01", result.version_path.rsplit("/", 1)[-1]}
+    assert [p.name for p in (tmp_path / "wh").iterdir() if p.name.startswith(gold_plan.LOCK)] == []
+
+
+def test_failed_builds_leave_nothing_and_spare_good_versions(spark, gold, tmp_path, monkeypatch):
+    root = tmp_path / "wh"
+    good = [build(spark, bronze_from_landing(spark, gold.landing), str(root), keep_versions=2).version_path for _ in range(2)]
+    with monkeypatch.context() as m:
+        m.setattr(gold_plan, "_check_version", lambda *a, **k: (_ for _ in ()).throw(ValueError("orphans")))
+        for _ in range(2):
+            with pytest.raises(ValueError, match="orphans"):
+                build(spark, bronze_from_landing(spark, gold.landing), str(root), keep_versions=2)
+            assert _versions(root) == {p.rsplit("/", 1)[-1] for p in good}
+    last = build(spark, bronze_from_landing(spark, gold.landing), str(root), keep_versions=2).version_path
+    assert _versions(root) == {p.rsplit("/", 1)[-1] for p in (good[1], last)}
+
+
+def test_a_build_that_lost_its_lock_does_not_publish(spark, gold, tmp_path, monkeypatch):
+    root = tmp_path / "wh"
+    first = build(spark, bronze_from_landing(spark, gold.landing), str(root))
+    with monkeypatch.context() as m:
+        m.setattr(gold_plan, "_check_version", lambda *a, **k: (root / gold_plan.LOCK).write_text("someone else"))
+        with pytest.raises(lease.LockHeld, match="lost"):
+            build(spark, bronze_from_landing(spark, gold.landing), str(root))
+    assert current_version_path(spark, str(root)) == first.version_path
+    assert (root / gold_plan.LOCK).read_text() == "someone else"
 
 
 def test_reports_read_the_fact_once(spark, gold):

@@ -90,3 +90,56 @@ def test_null_keys_are_spread(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old[0])
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old[1])
+
+
+def _fk(report):
+    return {r.fk_column: (r.orphan_keys, r.orphan_rows) for r in report.collect()}
+
+
+def test_foreign_keys_by_bitmap_equal_the_join(spark):
+    import random
+
+    rnd = random.Random(7)
+    for low in (-500, 0, 3_000_000_000):
+        dim = spark.createDataFrame([(low + k,) for k in range(400) if rnd.random() < 0.8], "k long")
+        rows = [(low + rnd.randrange(-100, 500) if rnd.random() < 0.95 else None,) for _ in range(2000)] + [(2**63 - 1,), (-(2**63),)]
+        fact = spark.createDataFrame(rows, "k long")
+        keys = {r.k for r in dim.collect()}
+        orphans = [k for (k,) in rows if k not in keys]
+        want = {"k": (len(set(orphans)), len(orphans))}
+        assert _fk(quality.fk_violations(fact, [("k", dim, "dim")])) == want
+        assert _fk(quality.fk_violations(fact, [("k", dim, "dim")], max_bitmap_words=3)) == want
+
+
+def test_foreign_keys_of_dense_dimensions_need_no_exchange(spark, monkeypatch):
+    fact = spark.range(1000).selectExpr("id % 70 as a", "cast(id % 9 as int) as b", "cast(id % 5 as string) as c")
+    refs = [("a", spark.range(64).toDF("a"), "da"), ("b", spark.range(9).selectExpr("cast(id as int) as b"), "db"), ("c", spark.range(4).selectExpr("cast(id as string) as c"), "dc")]
+    assert quality.key_bitmap(refs[2][1], "c") is None  # text keys take the join
+    assert quality.key_bitmap(refs[0][1], "a", rows_at_most=10**10) is None
+    bitmap = quality.key_bitmap(refs[0][1], "a")
+    assert bitmap.low == 0 and bitmap.words.tolist() == [-1]
+    plan = fact.agg(F.count_if(bitmap.holds(F.col("a"), spark)))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1  # one row for each task
+    assert _fk(quality.fk_violations(fact, refs)) == {"a": (6, 84), "b": (0, 0), "c": (1, 200)}
+    empty = spark.createDataFrame([], "a long")
+    assert _fk(quality.fk_violations(fact.select("a"), [("a", empty, "none")])) == {"a": (70, 1000)}
+    assert _fk(quality.fk_violations(empty, [("a", refs[0][1], "da")])) == {"a": (0, 0)}
+
+
+def test_staged_columns_number_rows_as_they_come(spark, tmp_path):
+    from lakestar.operators.numbering import KEPT, PID, POS, ROW, stage_columns
+
+    df = spark.range(5000).select(F.col("id"), (F.col("id") * 7919 % 5003).alias("a")).repartitionByRange(4, "a").sortWithinPartitions("a")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0")
+    staged = stage_columns(df, F.col("id") % 3 != 0, str(tmp_path / "staged"))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == before
+    rows = sorted(staged.collect(), key=lambda r: (r[PID], r[POS]))
+    assert [r.a for r in rows] == sorted(r.a for r in rows) and len(rows) == 5000
+    for pid in range(4):
+        own = [r for r in rows if r[PID] == pid]
+        assert [r[POS] for r in own] == list(range(len(own)))
+        for kept in (True, False):
+            assert [r[ROW] for r in own if r[KEPT] is kept] == list(range(sum(r[KEPT] is kept for r in own)))
+            assert all((r.id % 3 != 0) is kept for r in own if r[KEPT] is kept)
+    plan = staged.where(F.col(KEPT)).select("a")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<a:bigint,_tmp_metadata_row_index:bigint>" in plan and "PartitionFilters: [" in plan
