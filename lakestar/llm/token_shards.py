@@ -47,9 +47,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage
 from pyspark.sql.types import StructType
-from tokenizers import Tokenizer, normalizers, pre_tokenizers
+from tokenizers import Tokenizer
 
-from lakestar.llm import repair
+from lakestar.llm import bpe, repair
 from lakestar.llm.common import bounded_batches, keyed_text, steps, texts_of
 from lakestar.llm.warc import file_system
 from lakestar.operators.numbering import target_partitions
@@ -63,8 +63,6 @@ BATCH_BYTES = 4 << 20
 MANIFEST = "_token-shards-"
 #: Distinct words that an encoder remembers, and bytes of a text that it splits at once.
 WORDS, SLICE = 400_000, 1 << 20
-#: New words that are encoded as one text.
-TOGETHER = 1000
 
 _LEAST = -(1 << 63)
 #: ASCII marks but for the apostrophe, letters, ASCII marks.
@@ -80,6 +78,13 @@ _NO_KEY, _GOES_ON = 1, 2  # flags of a document: without key, begun in an earlie
 # -- ids
 
 
+def numbering() -> defaultdict:
+    """Numbers keys in order of appearance."""
+    out: defaultdict = defaultdict()
+    out.default_factory = out.__len__
+    return out
+
+
 class Table:
     """Id lists of numbered texts, in growing arrays."""
 
@@ -101,26 +106,41 @@ class Table:
         return self.flat[out], size
 
 
+def word_merges(path: str) -> bpe.Merges | None:
+    """The merges of a byte-level vocabulary whose words end in marked symbols, or None for another
+    kind of model. Bytes from 256 on are those that end a word."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    end = model.get("end_of_word_suffix")
+    if model.get("type") != "BPE" or not end or model.get("continuing_subword_prefix") or model.get("dropout") or model.get("ignore_merges"):
+        return None
+    letters, vocab = bpe.byte_letters(), model["vocab"]
+    symbols = {k: bytes(letters[c] for c in body) for t, k in vocab.items() if (body := t.removesuffix(end)) and all(c in letters for c in body)}
+    pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+    left, right, result = (np.array([vocab[t] for t in texts], dtype=np.int64) for texts in ([a for a, _ in pairs], [b for _, b in pairs], [a + b for a, b in pairs]))
+    merges = bpe.Merges(left, right, np.arange(len(pairs)), result, symbols, whole=False)
+    merges.byte_symbol = np.zeros(512, dtype=np.int32)
+    for c, byte in letters.items():
+        merges.byte_symbol[byte], merges.byte_symbol[256 + byte] = vocab.get(c, 0), vocab.get(c + end, 0)
+    return merges
+
+
 class Encoder:
     """Ids of texts by a tokenizers file, without added special tokens.
 
-    Where the tokenizer treats what blanks separate independently of each other (probed once), the
-    library encodes each distinct word once, and texts are put together from them. Where it also
-    parts letters from ASCII marks beside them, and leaves lower-case Latin letters as they are
-    (probed too), a word of such letters between marks is put together from these, and the letters
-    go to the library's model without its normalizer and pattern."""
+    Where the tokenizer treats what blanks separate independently of each other (probed once), each
+    distinct word is encoded once, and texts are put together from words. Where it also parts
+    letters from ASCII marks beside them and only lower-cases Latin letters (probed too), a word of
+    such letters between marks is put together from these, and the letters of all new words are
+    merged together in padded matrices (``bpe``); all else goes to the library."""
 
     def __init__(self, path: str) -> None:
         self.library = Tokenizer.from_file(path)
-        added = self.library.get_added_tokens_decoder()
-        self.added = tuple(t.content for t in added.values())
-        # text and id of a token that the library cuts out before anything else
-        self.mark = next(((t.content, i) for i, t in sorted(added.items()) if t.special and not t.normalized and not (t.lstrip or t.rstrip or t.single_word)), None)
-        self.by_word = self.mark is not None and self._separable()
-        self.letters = Tokenizer.from_file(path)
-        self.letters.normalizer = normalizers.Sequence([])
-        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.by_core = self.by_word and self._cored()
+        self.added = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
+        self.starts = frozenset(t[:1].encode()[0] for t in self.added if t)
+        self.by_word = self._separable()
+        self.merges = word_merges(path) if self.by_word else None
+        self.by_core = self.merges is not None and self._cored()
         self._forget()
 
     def _encode(self, text: str) -> list[int]:
@@ -136,68 +156,64 @@ class Encoder:
 
     def _cored(self) -> bool:
         letters = [chr(c) for c in [*range(97, 123), *range(0xDF, 0xF7), *range(0xF8, 0x100)]]
-        words = ["".join(letters[k::7]) for k in range(7)]
-        same = all(self._encode(w) == self._encode(w.upper().replace("SS", "ß").replace("Ÿ", "ÿ")) == self.letters.encode(w, add_special_tokens=False).ids for w in words)
+        words = ["".join(letters[k::7]) for k in range(7)] + letters
+        flat, size = self._merged([w.encode() for w in words])
+        own = [x.tolist() for x in np.split(flat, np.cumsum(size)[:-1])]
+        same = all(ids == self._encode(w) == self._encode(w.upper().replace("SS", "ß").replace("Ÿ", "ÿ")) for ids, w in zip(own, words))
         marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
         after = all(self._encode(w + m + n) == self._encode(w) + self._encode(m + n) for w in words[:2] for m in marks for n in ("", "'", "!"))
         before = all(self._encode(n + m + w) == self._encode(n + m) + self._encode(w) for w in ("s", *words[:2]) for m in marks if m != "'" for n in ("", "!"))
         return same and after and before
 
     def _forget(self) -> None:
-        self.number: defaultdict[bytes, int] = defaultdict()
-        self.number.default_factory = self.number.__len__
-        self.words = Table()
-        self.piece: dict[str, int] = {}
-        self.pieces = Table()
-
-    def _together(self, library: Tokenizer, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, ids of each) of texts without the mark: many in one, with the mark between two."""
-        flat, size = [np.empty(0, dtype=np.uint32)], [np.empty(0, dtype=np.int64)]
-        joined = [self.mark[0].join(texts[k : k + TOGETHER]) for k in range(0, len(texts), TOGETHER)]
-        for found in library.encode_batch_fast(joined, add_special_tokens=False):
-            ids = np.array(found.ids, dtype=np.uint32)
-            ends = np.append(np.flatnonzero(ids == self.mark[1]), len(ids))
-            size.append(np.diff(ends, prepend=-1) - 1)
-            flat.append(ids[ids != self.mark[1]])
-        return np.concatenate(flat), np.concatenate(size)
+        self.number, self.core, self.other = numbering(), numbering(), numbering()
+        self.words, self.cores, self.others = Table(), Table(), Table()
+
+    def _merged(self, cores: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids of each) of words of letters."""
+        sizes = np.array([len(c) for c in cores], dtype=np.int64)
+        end = np.cumsum(sizes)
+        buffer = np.frombuffer(b"".join(cores) + bytes(16), dtype=np.uint8).astype(np.uint16)
+        buffer[end - 1] += 256
+        flat, size = self.merges.encode(buffer, end - sizes, end)
+        return flat.astype(np.uint32), size
+
+    def _one_by_one(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [np.array(e.ids, dtype=np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate(found), np.array([len(x) for x in found], dtype=np.int64)
 
     def _learn(self, words: list[bytes]) -> None:
-        parts: list[str] = []
-        counts: list[int] = []
-        cores: dict[str, None] = {}
-        others: dict[str, None] = {}
-        alone: dict[str, None] = {}
+        """New words: marks, letters, marks; or as a whole."""
+        core, other, matched = self.core, self.other, _CORE.fullmatch
+        known = len(core), len(other)
+        before, middle, behind = [], [], []
         for word in words:
             text = word.decode("utf-8", "surrogatepass")
-            if any(t in text for t in self.added):
-                own = (text,)
-                alone[text] = None
-            elif self.by_core and (found := _CORE.fullmatch(text)):
-                lead, core, tail = found.groups()
-                own = tuple(filter(None, (lead, core.lower(), tail)))
-                cores[own[1 if lead else 0]] = None
-                if lead:
-                    others[lead] = None
-                if tail:
-                    others[tail] = None
+            found = matched(text) if self.by_core and (self.starts.isdisjoint(word) or not any(t in text for t in self.added)) else None
+            if found is None:
+                before.append(-1)
+                middle.append(-1)
+                behind.append(other[text])
             else:
-                own = (text,)
-                others[text] = None
-            parts += own
-            counts.append(len(own))
-        for texts, encode in ((cores, lambda t: self._together(self.letters, t)), (others, lambda t: self._together(self.library, t)), (alone, self._one_by_one)):
-            new = [t for t in texts if t not in self.piece]
-            if new:
-                self.pieces.add(*encode(new))
-                self.piece.update(zip(new, range(len(self.piece), len(self.piece) + len(new))))
-        flat, size = self.pieces.ids(np.fromiter(map(self.piece.__getitem__, parts), dtype=np.int64, count=len(parts)))
-        ends = np.cumsum(counts)
-        total = np.concatenate([[0], np.cumsum(size)])
-        self.words.add(flat, total[ends] - total[ends - counts])
-
-    def _one_by_one(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [np.array(self._encode(t), dtype=np.uint32) for t in texts]
-        return np.concatenate(found), np.array([len(x) for x in found], dtype=np.int64)
+                lead, letters, tail = found.groups()
+                before.append(other[lead] if lead else -1)
+                middle.append(core[letters.lower()])
+                behind.append(other[tail] if tail else -1)
+        if len(core) > known[0]:
+            self.cores.add(*self._merged([t.encode("utf-8") for t in islice(core, known[0], None)]))
+        if len(other) > known[1]:
+            self.others.add(*self._one_by_one(list(islice(other, known[1], None))))
+        # the parts of all words, those of letters numbered after the others
+        parts = np.array([before, middle, behind], dtype=np.int64).T
+        parts[:, 1] += np.where(parts[:, 1] >= 0, len(other), 0)
+        joined = Table()
+        joined.add(self.others.flat, self.others.size)
+        joined.add(self.cores.flat, self.cores.size)
+        there = parts >= 0
+        flat, size = joined.ids(parts[there])
+        each = np.zeros(parts.shape, dtype=np.int64)
+        each[there] = size
+        self.words.add(flat, each.sum(axis=1))
 
     def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids of each word)."""
