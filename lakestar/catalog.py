@@ -21,7 +21,9 @@ from lakestar.plans import registry as reg
 from lakestar.plans.warehouse import (
     all_reports,
     bronze_from_landing,
+    landing_for,
     numbered_ledger,
+    product_count,
     published_database,
     rebuild_comparison,
     second_warehouse,
@@ -186,7 +188,7 @@ SELECT * FROM g_fact ORDER BY sales_key LIMIT 100"""))(
 
 
 def bronze(spark: SparkSession, sf_dir: str):
-    return bronze_from_landing(spark, testdata_warehouse(spark, sf_dir).landing)
+    return bronze_from_landing(spark, landing_for(spark, sf_dir))
 
 
 register("dim_customers", with_pipeline("SELECT * FROM g_dim_customers"))(
@@ -233,7 +235,7 @@ FROM bz_sales"""))(
         "product_name",
         stable_key(
             F.coalesce(F.col("product_name"), F.lit(silver.NULL_PRODUCT_TEXT)),
-            max(testdata_warehouse(spark, sf_dir).counts["dim_products"], 1),
+            max(product_count(spark, sf_dir), 1),
         ).alias("product_key"),
     )
 )
@@ -328,7 +330,7 @@ SELECT p_partkey::BIGINT AS p_partkey, CASE WHEN p_partkey % 4 <> 0 THEN '2024-0
        CASE WHEN p_partkey % 3 = 0 AND {_NUMBER} IN ('1.5', '2') THEN {_NUMBER}::DOUBLE END AS "Unit_Price"
 FROM part""".replace(f"TRY_CAST({_NUMBER} AS DOUBLE)", f"CASE WHEN {_NUMBER} IN ('1.5', '2') THEN {_NUMBER}::DOUBLE END"))(
     lambda spark, sf_dir: readers.read_ledger(
-        spark, testdata_warehouse(spark, sf_dir).landing["ledger_quoted"], {"p_partkey": "long"}, multi_line=True
+        spark, landing_for(spark, sf_dir)["ledger_quoted"], {"p_partkey": "long"}, multi_line=True
     )
 )
 
@@ -343,7 +345,7 @@ bz_extract AS (
 
 def _extract(spark, sf_dir):
     return readers.read_orders_extract(
-        spark, testdata_warehouse(spark, sf_dir).landing["orders_extract"], testmap.EXTRACT_POSITION
+        spark, landing_for(spark, sf_dir)["orders_extract"], testmap.EXTRACT_POSITION
     )
 
 
@@ -394,7 +396,7 @@ def _registry(spark, sf_dir):
     The extract is read without its position column: the place in the files counts."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _REGISTRIES:
-        _REGISTRIES[key] = reg.build_registry(readers.read_orders_extract(spark, testdata_warehouse(spark, sf_dir).landing["orders_extract"]))
+        _REGISTRIES[key] = reg.build_registry(readers.read_orders_extract(spark, landing_for(spark, sf_dir)["orders_extract"]))
     return _REGISTRIES[key]
 
 

@@ -11,6 +11,11 @@ WHITESPACE_CLASS = (
     "\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
 )
 _STRIP_RE = f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$"
+# Most texts need no general rule: printable ASCII without a blank at its ends
+# is stripped, and where its letters only begin after a space (or the start),
+# ``initcap`` finds the same words.
+_STRIPPED_RE = "^[!-~](?:[ -~]*[!-~])?\\z"
+_PLAIN_WORDS_RE = "^(?!.*[!-@\\[-`{-~][A-Za-z])[ -~]+\\z"
 # tokens: maximal runs of cased characters, and runs of the others; cased as
 # Python defines it (Lowercase, Uppercase or Titlecase property, so "º" and
 # modifier letters count), not only the Lu/Ll/Lt categories. Matched forward:
@@ -45,7 +50,7 @@ def _title_first(ch: Column) -> Column:
 
 def py_strip(col: Column) -> Column:
     """``str.strip()``: Spark ``trim`` only removes U+0020."""
-    return F.regexp_replace(col, _STRIP_RE, "")
+    return F.when(F.rlike(col, F.lit(_STRIPPED_RE)), col.cast("string")).otherwise(F.regexp_replace(col, _STRIP_RE, ""))
 
 
 def title_case(col: Column) -> Column:
@@ -65,7 +70,8 @@ def title_case(col: Column) -> Column:
         rest = lower.substr(F.length(F.lower(first)) + F.lit(1), F.length(lower))
         return F.concat(_title_first(first), rest)
 
-    return F.when(col.isNotNull(), F.concat_ws("", F.transform(tokens, title_token)))
+    plain = F.rlike(col, F.lit(_PLAIN_WORDS_RE))
+    return F.when(plain, F.initcap(col)).when(col.isNotNull(), F.concat_ws("", F.transform(tokens, title_token)))
 
 
 def txn_id(n: Column) -> Column:

@@ -150,36 +150,41 @@ def conform_sales(
     hash (no join at all).
     """
     country = title_case(py_strip(F.col("Country").cast("string")))
+    quantity = F.coalesce(F.col("Order_Quantity"), F.lit(DEFAULT_QUANTITY)).cast("long")
+    unit_price = F.coalesce(F.col("Unit_Price"), F.lit(DEFAULT_UNIT_PRICE)).cast("double")
+    product = F.coalesce(F.col("Product").cast("string"), F.lit(NULL_PRODUCT_TEXT))
+    # row-level work in projections of its own: fused with the joins it makes a
+    # method that is too long for the JVM to compile
     base = sales.select(
         *order_cols,
         dates.date(F.col(_DATE_TEXT)).alias("_date"),
         F.col(_DATE_TEXT).alias("_date_text"),
         country.alias("_country"),
-        F.coalesce(F.col("Product").cast("string"), F.lit(NULL_PRODUCT_TEXT)).alias("_product"),
-        F.col("Order_Quantity").alias("_qty_raw"),
-        F.col("Unit_Price").alias("_price_raw"),
+        stable_key(product, n_products).alias("product_key"),
+        quantity.alias("quantity"),
+        unit_price.alias("unit_price"),
+        half_even_round(quantity * unit_price).alias("total_revenue"),
+        F.col("Order_Quantity").isNull().alias("_filled_qty"),
+        F.col("Unit_Price").isNull().alias("_filled_price"),
     )
     joined = base
     for side in (lookups.customers, lookups.stores):
         joined = joined.join(side, "_country", "left") if lookups.small else salted_join(joined, side, ["_country"])
-    quantity = F.coalesce(F.col("_qty_raw"), F.lit(DEFAULT_QUANTITY)).cast("long")
-    unit_price = F.coalesce(F.col("_price_raw"), F.lit(DEFAULT_UNIT_PRICE)).cast("double")
-    revenue = half_even_round(quantity * unit_price)
     return joined.select(
         *order_cols,
         "_date",
         F.when(F.col("_date").isNull(), F.col("_date_text")).alias("_bad_date"),
         F.col("customer_key"),
-        stable_key(F.col("_product"), n_products).alias("product_key"),
+        "product_key",
         F.coalesce(F.col("_store"), F.lit(DEFAULT_STORE_KEY)).cast("long").alias("store_key"),
         F.date_format(F.col("_date"), "yyyy-MM-dd").alias("time_key"),
-        quantity.alias("quantity"),
-        unit_price.alias("unit_price"),
-        revenue.alias("total_revenue"),
-        half_even_round(revenue * F.lit(PROFIT_RATIO)).alias("total_profit"),
+        "quantity",
+        "unit_price",
+        "total_revenue",
+        half_even_round(F.col("total_revenue") * F.lit(PROFIT_RATIO)).alias("total_profit"),
         F.col("_store").isNull().alias("_default_store"),
-        F.col("_qty_raw").isNull().alias("_filled_qty"),
-        F.col("_price_raw").isNull().alias("_filled_price"),
+        "_filled_qty",
+        "_filled_price",
     )
 
 

@@ -24,6 +24,7 @@ from lakestar.sources import readers, testmap
 
 _LOCK = threading.RLock()
 _CACHE: dict[tuple[str, str], "BuiltWarehouse"] = {}
+_LANDINGS: dict[tuple[str, str], dict[str, str]] = {}
 
 
 @dataclass
@@ -77,8 +78,29 @@ def register_build(
     return wh
 
 
+def _base(spark: SparkSession, sf_dir: str) -> str:
+    return f"{work_dir(spark)}/{_key(spark, sf_dir)[1].strip('/').replace('/', '_').replace('.', '_')}"
+
+
 def landing_for(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    return testdata_warehouse(spark, sf_dir).landing
+    """The landing zone, written once per application; what reads the sources alone needs no build."""
+    key = _key(spark, sf_dir)
+    with _LOCK:
+        if key in _CACHE:
+            return _CACHE[key].landing
+        if key not in _LANDINGS:
+            _LANDINGS[key] = testmap.write_landing(spark, sf_dir, f"{_base(spark, sf_dir)}/landing")
+        return _LANDINGS[key]
+
+
+def product_count(spark: SparkSession, sf_dir: str) -> int:
+    """Rows of the product dimension: as the build counted them if it ran, else counted from the source."""
+    key = _key(spark, sf_dir)
+    with _LOCK:
+        if key in _CACHE:
+            return _CACHE[key].counts["dim_products"]
+    bronze = bronze_from_landing(spark, landing_for(spark, sf_dir))
+    return silver.dim_products(bronze.products, bronze.product_order).count()
 
 
 def testdata_warehouse(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> BuiltWarehouse:
@@ -86,9 +108,7 @@ def testdata_warehouse(spark: SparkSession, sf_dir: str, rebuild: bool = False)
     with _LOCK:
         if key in _CACHE and not rebuild:
             return _CACHE[key]
-        tag = key[1].strip("/").replace("/", "_").replace(".", "_")
-        base = f"{work_dir(spark)}/{tag}"
-        landing = _CACHE[key].landing if key in _CACHE else testmap.write_landing(spark, sf_dir, f"{base}/landing")
+        base, landing = _base(spark, sf_dir), landing_for(spark, sf_dir)
         result = gold.build(spark, bronze_from_landing(spark, landing), f"{base}/warehouse")
         wh = BuiltWarehouse(
             landing, f"{base}/warehouse", result.version_path, result.counts, result.seconds, result.staged, result.summary
@@ -147,7 +167,7 @@ def second_warehouse(spark: SparkSession, sf_dir: str) -> SecondWarehouse:
         if key in _SECOND:
             return _SECOND[key]
         landing = landing_for(spark, sf_dir)
-        base = f"{work_dir(spark)}/{key[1].strip('/').replace('/', '_').replace('.', '_')}/second"
+        base = f"{_base(spark, sf_dir)}/second"
         own = testmap.write_second_landing(spark, sf_dir, f"{base}/landing")
         places = {
             "customers": [("remote", f"{base}/unreachable/customers"), ("local", landing["registry/customers"])],
