@@ -90,8 +90,9 @@ def _drop_gone(spark: SparkSession, database: str, root: str) -> None:
 
 def list_tables(spark: SparkSession, database: str = DATABASE) -> DataFrame:
     """(table_name, rows) of the current version's tables, as any session of
-    the application sees them: names and row counts come from the catalog."""
-    names = sorted(t.name for t in spark.catalog.listTables(database) if not t.name.startswith("_"))
+    the application sees them: names and row counts come from the catalog. A
+    session's temporary views, which the catalog lists with every database, are none."""
+    names = sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary and not t.name.startswith("_"))
     rows = [(n, _row_count(spark, database, n)) for n in names]
     return spark.createDataFrame(rows, "table_name string, rows long")
 

@@ -44,6 +44,19 @@ def test_another_session_sees_the_tables(spark, gold, database):
     assert counts == {t: gold.counts[t] for t in schemas.GOLD_COLUMNS}
 
 
+def test_temporary_views_are_not_listed(spark, gold, database):
+    """The sandbox leaves views of the tables' names in its session."""
+    gold.tables(spark)["dim_stores"].createOrReplaceTempView("dim_stores")
+    spark.range(1).createOrReplaceTempView("not_of_the_warehouse")
+    try:
+        rows = published.list_tables(spark, database).collect()
+    finally:
+        spark.catalog.dropTempView("dim_stores")
+        spark.catalog.dropTempView("not_of_the_warehouse")
+    assert sorted(r.table_name for r in rows) == sorted(schemas.GOLD_COLUMNS)
+    assert {r.table_name: r.rows for r in rows} == {t: gold.counts[t] for t in schemas.GOLD_COLUMNS}
+
+
 def test_statistics_reach_the_optimizer(spark, gold, database):
     with _cost_based(spark):
         explained = spark.sql(f"EXPLAIN COST SELECT * FROM {database}.dim_customers").first()[0]
