@@ -75,8 +75,9 @@ def title_case(col: Column) -> Column:
 
 
 def txn_id(n: Column) -> Column:
-    """``f"TXN{n:06d}"``; unlike ``lpad`` it never truncates past 6 digits."""
-    return F.format_string("TXN%06d", n)
+    """``f"TXN{n:06d}"``; unlike ``lpad`` it never truncates past 6 digits.
+    Numbers that have these digits need no formatter."""
+    return F.when(n >= 100_000, F.concat(F.lit("TXN"), n.cast("string"))).otherwise(F.format_string("TXN%06d", n))
 
 
 def period_label(year: Column, month: Column) -> Column:

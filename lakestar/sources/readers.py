@@ -20,6 +20,7 @@ MISSING_TOKENS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 # ---------------------------------------------------------------------------
+_LONGEST_TOKEN = max(len(t.encode()) for t in MISSING_TOKENS)
 
 FILE_POSITION = {"_src_file": "string", "_src_block": "long", "_src_row": "long"}
 
@@ -121,9 +122,15 @@ def _read_csv(spark: SparkSession, path: str, columns: list[str], encoding: str
 
 
 def _typed(name: str, type_: str) -> Column:
-    """A text field cast to its type, missing-value texts as NULL."""
+    """A text field cast to its type, missing-value texts as NULL. Texts that are a number, or longer
+    than every missing-value text, are not looked up among these (none of them is a number but NaN)."""
     text = F.col(f"`{name}`")
-    return F.when(~text.isin(MISSING_TOKENS), text).cast(type_).alias(name)
+    value = F.when((F.octet_length(text) > _LONGEST_TOKEN) | ~text.isin(MISSING_TOKENS), text).cast(type_)
+    if type_ in ("int", "long"):
+        value = F.coalesce(text.try_cast(type_), value)
+    elif type_ == "double":
+        value = F.coalesce(F.nanvl(text.try_cast(type_), F.lit(None).cast(type_)), value)
+    return value.alias(name)
 
 
 def read_ledger(

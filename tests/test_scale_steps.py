@@ -1,5 +1,6 @@
 """Steps that every build runs over the whole ledger, and what runs without a build."""
 
+import hashlib
 import shutil
 
 from pyspark.sql import functions as F
@@ -45,3 +46,34 @@ def test_short_ways_give_what_the_general_rules_give(spark):
         assert (r.title, r.strip) == ((r.t.title(), r.t.strip()) if r.t is not None else (None, None)), repr(r.t)
     # words of ASCII take the short way
     assert "initcap" in title_case(F.col("t"))._jc.toString().lower() or "initcap" in df._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_ledger_fields_that_are_numbers_are_not_looked_up(spark):
+    from lakestar.sources import readers
+
+    texts = [*readers.MISSING_TOKENS, " 7", "7 ", "+7", "-0", "1e3", "2.50", ".5", "Infinity", "-inf", "+NaN", "NAN", "7d", "a text beyond eight bytes", "éééé", "NaN ", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.when(~F.col("t").isin(readers.MISSING_TOKENS), F.col("t"))
+    whole = [t if t is None or t in readers.MISSING_TOKENS else t.strip() for t in texts]
+    for type_, fits in (("string", lambda t: True), ("double", lambda t: not t or t[0] not in "aé"), ("long", lambda t: not t or t.lstrip("+-").isdigit())):
+        own = rows.where(F.col("t").isNull() | F.col("t").isin([t for t, w in zip(texts, whole) if t in readers.MISSING_TOKENS or w is not None and fits(w)]))
+        got = own.select("t", readers._typed("t", type_).alias("got"), plain.cast(type_).alias("want"))
+        assert own.count() >= len(readers.MISSING_TOKENS) and got.where(~F.col("got").eqNullSafe(F.col("want"))).collect() == []
+    # the look-up comes last in the plan of a number
+    assert "coalesce" in readers._typed("t", "long")._jc.toString() and "coalesce" in readers._typed("t", "double")._jc.toString()
+
+
+def test_transaction_ids_and_product_keys_in_few_steps(spark):
+    from lakestar.functions.keys import stable_key
+    from lakestar.functions.text import txn_id
+
+    numbers = [1, 99_999, 100_000, 999_999, 1_000_000, 2**62, 0, -7, None]
+    got = spark.createDataFrame([(n,) for n in numbers], "n long").select(txn_id(F.col("n")).alias("t"), F.format_string("TXN%06d", "n").alias("w")).collect()
+    assert [r.t for r in got] == [r.w for r in got]
+    texts = [f"part {i}" for i in range(300)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    for n in (1, 7, 2**20, 2**31 - 1):
+        want = [int(hashlib.md5(t.encode()).hexdigest(), 16) % n + 1 for t in texts]
+        assert [r.k for r in rows.select(stable_key(F.col("t"), n).alias("k")).collect()] == want
+    # a digest is read in two halves, each once
+    assert rows.select(stable_key(F.col("t"), 7).alias("k"))._jdf.queryExecution().analyzed().toString().count("conv(") <= 4
