@@ -22,6 +22,8 @@ LEAST = 4
 SHARE = 32
 #: Rules of a block whose ids need more than 16 bits.
 RULES = 1 << 16
+#: Positions looked at in one step.
+STEP = 1 << 16
 
 
 class Grammar(NamedTuple):
@@ -125,24 +127,36 @@ def _counted(key: np.ndarray, none: np.unsignedinteger) -> tuple[np.ndarray, np.
 
 def _places(key: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ascending positions at which a pair is replaced, and its rank; ``pairs`` go by rank."""
-    order = np.argsort(pairs)
+    order = np.argsort(pairs).astype(np.int32)
     wanted = pairs[order]
-    # most positions are told apart by a small table of hashes
+    # positions are told apart by a table of hashes, step by step so that its work stays in the cache
     mix = (lambda x: (x * np.uint32(2654435761)) >> np.uint32(12)) if key.dtype == np.uint32 else (lambda x: (x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44))
-    marked = np.zeros(1 << 20, dtype=bool)
-    marked[mix(wanted)] = True
-    at = np.flatnonzero(marked[mix(key)])
-    found = key[at]
-    place = np.searchsorted(wanted, found)
-    place[place == len(wanted)] = 0
-    hit = wanted[place] == found
-    at, rank = at[hit], order[place[hit]]
+    marked, held = np.zeros(1 << 20, dtype=bool), np.empty(1 << 20, dtype=np.int32)
+    slot = mix(wanted)
+    marked[slot] = True
+    held[slot] = np.arange(len(wanted))
+    parts = []
+    for begin in range(0, len(key), STEP):
+        part = key[begin : begin + STEP]
+        slot = mix(part)
+        at = np.flatnonzero(marked[slot])
+        found, place = part[at], held[slot[at]]
+        hit = wanted[place] == found
+        # a slot holds one of the pairs that share it
+        miss = np.flatnonzero(~hit)
+        if len(miss):
+            place[miss] = np.minimum(np.searchsorted(wanted, found[miss]), len(wanted) - 1)
+            hit[miss] = wanted[place[miss]] == found[miss]
+        parts.append(((at[hit] + begin).astype(np.int32), order[place[hit]]))
+    at, rank = (np.concatenate(x) for x in zip(*parts))
     # of a symbol repeated, every other pair
-    again = np.concatenate([[False], (at[1:] == at[:-1] + 1) & (rank[1:] == rank[:-1])])
-    index = np.arange(len(at))
-    begin = np.maximum.accumulate(np.where(again, 0, index))
-    even = (index - begin) % 2 == 0
-    at, rank = at[even], rank[even]
+    again = np.flatnonzero((at[1:] == at[:-1] + 1) & (rank[1:] == rank[:-1])) + 1
+    if len(again):
+        index = np.arange(len(again))
+        begin = np.maximum.accumulate(np.where(np.diff(again, prepend=-1) == 1, 0, index))
+        even = np.ones(len(at), dtype=bool)
+        even[again[(index - begin) % 2 == 0]] = False
+        at, rank = at[even], rank[even]
     # of overlapping pairs, those more frequent than both neighbours
     touch = at[1:] == at[:-1] + 1
     better = np.ones(len(at), dtype=bool)

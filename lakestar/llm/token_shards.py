@@ -51,6 +51,7 @@ from tokenizers import Tokenizer
 
 from lakestar.llm import bpe, repair
 from lakestar.llm.common import bounded_batches, keyed_text, steps, texts_of
+from lakestar.llm.pieces import Pieces, PieceTable
 from lakestar.llm.warc import file_system
 from lakestar.operators.numbering import target_partitions
 
@@ -61,13 +62,14 @@ BLOCK_IDS = 2 << 20
 FILE_BYTES = 128 << 20
 BATCH_BYTES = 4 << 20
 MANIFEST = "_token-shards-"
-#: Distinct words that an encoder remembers, and bytes of a text that it splits at once.
+#: Distinct words and runs that an encoder remembers, and bytes of a text that it splits at once.
 WORDS, SLICE = 400_000, 1 << 20
 
 _LEAST = -(1 << 63)
 #: ASCII marks but for the apostrophe, letters, ASCII marks.
 _CORE = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)")
 _BLANKS = b" \t\n\x0b\x0c\r"
+_BLANK, _LETTER, _MARK, _ODD = range(4)  # kinds of bytes; a word with an odd byte is taken apart by itself
 # fixed values of the file format
 _HEAD = struct.Struct("<4sIIIQQQ")  # magic, bytes of a symbol, first rule, rules, documents, symbols, checksum
 _TAIL = struct.Struct("<Q4s")  # bytes of the list of blocks, magic
@@ -130,9 +132,10 @@ class Encoder:
 
     Where the tokenizer treats what blanks separate independently of each other (probed once), each
     distinct word is encoded once, and texts are put together from words. Where it also parts
-    letters from ASCII marks beside them and only lower-cases Latin letters (probed too), a word of
-    such letters between marks is put together from these, and the letters of all new words are
-    merged together in padded matrices (``bpe``); all else goes to the library."""
+    letters from ASCII marks beside them and only lower-cases Latin letters (probed too), words of
+    such letters and marks are cut into runs of either, for all texts at once, and each distinct run
+    is encoded once. Other words are looked at one by one. The letters of all new words are merged
+    together in padded matrices (``bpe``); all else goes to the library."""
 
     def __init__(self, path: str) -> None:
         self.library = Tokenizer.from_file(path)
@@ -141,6 +144,7 @@ class Encoder:
         self.by_word = self._separable()
         self.merges = word_merges(path) if self.by_word else None
         self.by_core = self.merges is not None and self._cored()
+        self.kinds = self._kinds()
         self._forget()
 
     def _encode(self, text: str) -> list[int]:
@@ -163,27 +167,47 @@ class Encoder:
         marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
         after = all(self._encode(w + m + n) == self._encode(w) + self._encode(m + n) for w in words[:2] for m in marks for n in ("", "'", "!"))
         before = all(self._encode(n + m + w) == self._encode(n + m) + self._encode(w) for w in ("s", *words[:2]) for m in marks if m != "'" for n in ("", "!"))
-        return same and after and before
+        between = all(self._encode(v + m + w) == self._encode(v) + self._encode(m) + self._encode(w) for v in ("s", *words[:2]) for w in ("s", words[1]) for c in marks if c != "'" for m in (c, c + "!"))
+        return same and after and before and between
+
+    def _kinds(self) -> np.ndarray:
+        """Kind of each byte. Where words can't be cut into runs all but blanks are odd."""
+        kinds = np.full(256, _ODD, dtype=np.uint8)
+        kinds[list(_BLANKS)] = _BLANK
+        if self.by_core:
+            for byte in range(33, 127):
+                if chr(byte).isalpha():
+                    kinds[byte] = _LETTER
+                elif not chr(byte).isdigit() and chr(byte) != "'":
+                    kinds[byte] = _MARK
+            kinds[list(self.starts)] = _ODD
+        return kinds
 
     def _forget(self) -> None:
         self.number, self.core, self.other = numbering(), numbering(), numbering()
         self.words, self.cores, self.others = Table(), Table(), Table()
+        self.runs = PieceTable()
+        # number in ``words`` of each run and of each odd word
+        self.run_at, self.word_at = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
 
     def _merged(self, cores: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids of each) of words of letters."""
-        sizes = np.array([len(c) for c in cores], dtype=np.int64)
+        return self._merged_bytes(np.frombuffer(b"".join(cores), dtype=np.uint8), np.array([len(c) for c in cores], dtype=np.int64))
+
+    def _merged_bytes(self, letters: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words that stand one after the other."""
         end = np.cumsum(sizes)
-        buffer = np.frombuffer(b"".join(cores) + bytes(16), dtype=np.uint8).astype(np.uint16)
+        buffer = np.concatenate([letters, np.zeros(16, dtype=np.uint8)]).astype(np.uint16)
         buffer[end - 1] += 256
         flat, size = self.merges.encode(buffer, end - sizes, end)
         return flat.astype(np.uint32), size
 
     def _one_by_one(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [np.array(e.ids, dtype=np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-        return np.concatenate(found), np.array([len(x) for x in found], dtype=np.int64)
+        return np.concatenate([np.empty(0, dtype=np.uint32), *found]), np.array([len(x) for x in found], dtype=np.int64)
 
-    def _learn(self, words: list[bytes]) -> None:
-        """New words: marks, letters, marks; or as a whole."""
+    def _learn(self, words: list[bytes]) -> np.ndarray:
+        """New words: marks, letters, marks; or as a whole. Their numbers in ``words``."""
         core, other, matched = self.core, self.other, _CORE.fullmatch
         known = len(core), len(other)
         before, middle, behind = [], [], []
@@ -213,32 +237,95 @@ class Encoder:
         flat, size = joined.ids(parts[there])
         each = np.zeros(parts.shape, dtype=np.int64)
         each[there] = size
-        self.words.add(flat, each.sum(axis=1))
+        return self._keep(flat, each.sum(axis=1))
 
-    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, ids of each word)."""
-        if len(self.number) > WORDS:
-            self._forget()
+    def _keep(self, flat: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Adds to ``words``; the numbers given."""
+        first = len(self.words.size)
+        self.words.add(flat, size)
+        return np.arange(first, first + len(size))
+
+    def _odd(self, words: list[bytes]) -> np.ndarray:
+        """Numbers in ``words``."""
         known = len(self.number)
         at = np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
         if len(self.number) > known:
-            self._learn(list(islice(self.number, known, None)))
-        return self.words.ids(at)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+            self.word_at = np.concatenate([self.word_at, self._learn(list(islice(self.number, known, None)))])
+        return self.word_at[at]
+
+    def _runs(self, buffer: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Numbers in ``words`` of runs of lower-case letters or of marks."""
+        at, begin, end = self.runs.number(Pieces(buffer, begin, end, np.empty(0, dtype=np.int64)))
+        if len(begin):
+            letters = self.kinds[buffer[begin]] != _MARK
+            new, size = np.empty(len(begin), dtype=np.int64), end - begin
+            if letters.any():
+                new[letters] = self._keep(*self._merged_bytes(bpe.gather(buffer, begin[letters], size[letters]), size[letters]))
+            marks = [buffer[b:e].tobytes().decode() for b, e in zip(begin[~letters].tolist(), end[~letters].tolist())]
+            if marks:
+                new[~letters] = self._keep(*self._one_by_one(marks))
+            self.run_at = np.concatenate([self.run_at, new])
+        return self.run_at[at]
+
+    def _lowered(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes with lower-case ASCII and Latin-1 letters and 16 zero bytes, kind of each byte)."""
+        buffer = np.frombuffer(bytearray(raw.lower() + bytes(16)), dtype=np.uint8)  # lower-cases ASCII alone
+        kind = self.kinds[np.frombuffer(raw, dtype=np.uint8)]
+        if self.by_core and 0xC3 not in self.starts:
+            # U+00C0 to U+00FF but for the signs of multiplication and division
+            at = np.flatnonzero(buffer == 0xC3) + 1
+            at = at[(buffer[at] != 0x97) & (buffer[at] != 0xB7)]
+            kind[at - 1] = kind[at] = _LETTER
+            buffer[at[buffer[at] < 0x9F]] += 0x20
+        return buffer, kind
+
+    def _ids(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, ids of each word or run, place of each in ``raw``)."""
+        if self.runs.size + len(self.number) > WORDS:
+            self._forget()
+        buffer, kind = self._lowered(raw)
+        edge = np.concatenate([[0], np.flatnonzero(kind[1:] != kind[:-1]) + 1, [len(raw)]])
+        begin, end = edge[:-1], edge[1:]
+        kind = kind[begin]
+        real = np.flatnonzero(kind != _BLANK)
+        odd = np.zeros(len(real), dtype=bool)
+        if (kind == _ODD).any():
+            word = np.cumsum(kind == _BLANK)  # runs of one word stand between two blanks
+            has = np.zeros(int(word[-1]) + 1, dtype=bool)
+            has[word[kind == _ODD]] = True
+            word = word[real]
+            odd = has[word]
+            other = word[1:] != word[:-1]
+            first, last = np.concatenate([[True], other]), np.concatenate([other, [True]])
+            begin, end = begin[real[~odd | first]], end[real[~odd | last]]
+            odd = odd[~odd | first]
+        else:
+            begin, end = begin[real], end[real]
+        at = np.empty(len(begin), dtype=np.int64)
+        at[~odd] = self._runs(buffer, begin[~odd], end[~odd])
+        if odd.any():
+            at[odd] = self._odd([raw[b:e] for b, e in zip(begin[odd].tolist(), end[odd].tolist())])
+        return *self.words.ids(at), begin
+
+    def flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, ids of each text)."""
         if not self.by_word:
-            return [np.array(e.ids, dtype=np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+            return self._one_by_one(texts)
         raw = [t.encode("utf-8", "surrogatepass") for t in texts]
         if len(raw) == 1 and len(raw[0]) > SLICE:
-            return [np.concatenate([self._words(part.split())[0] for part in _slices(raw[0])])]
-        words, counts = [], []
-        for r in raw:
-            own = r.split()  # bytes are split at exactly the six ASCII blanks
-            words += own
-            counts.append(len(own))
-        ids, size = self._words(words)
-        after = np.concatenate([[0], np.cumsum(size)])[np.cumsum(counts)]
-        return np.split(ids, after[:-1]) if len(after) else []
+            ids = np.concatenate([self._ids(part)[0] for part in _slices(raw[0])])
+            return ids, np.array([len(ids)], dtype=np.int64)
+        joined = b" ".join(raw)
+        if not joined:
+            return np.empty(0, dtype=np.uint32), np.zeros(len(raw), dtype=np.int64)
+        ids, size, begin = self._ids(joined)
+        text_end = np.cumsum([len(r) + 1 for r in raw])
+        after = np.concatenate([[0], np.cumsum(size)])[np.searchsorted(begin, text_end)]
+        return ids, np.diff(after, prepend=0)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        ids, size = self.flat(texts)
+        return np.split(ids, np.cumsum(size)[:-1]) if len(size) else []
 
 
 @lru_cache(maxsize=2)
@@ -258,6 +345,19 @@ def _slices(raw: bytes) -> Iterator[bytes]:
         at = end
 
 
+def _closed(ids: np.ndarray, size: np.ndarray, end_id: int) -> pa.Array:
+    """Each text's ids and the end id, as bytes."""
+    after = np.cumsum(size + 1)
+    own = np.ones(len(ids) + len(size), dtype=bool)
+    own[after - 1] = False
+    out = np.full(len(own), end_id, dtype="<u4")
+    out[own] = ids
+    if 4 * len(out) >= 1 << 31:
+        raise ValueError("token shards: a text has too many ids")
+    offset = np.concatenate([[0], 4 * after]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offset), pa.py_buffer(out)])
+
+
 def boundaries(keys: DataFrame, ranges: int) -> np.ndarray:
     """Upper ends of all ranges of a key column but the last, null as the smallest key; reads that column alone."""
     if ranges < 2:
@@ -272,18 +372,17 @@ def encoded(df: DataFrame, path: str, end_id: int, bounds: np.ndarray, id_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, rows = encoder_of(path), 0
-        end = np.array([end_id], dtype="<u4")
         for batch in batches:
             texts, keys = texts_of(batch), batch.column("key")
             for a, b in steps(texts):
-                ids = [np.concatenate([x, end]).astype("<u4").tobytes() for x in encoder.encode(texts[a:b])]
+                ids = _closed(*encoder.flat(texts[a:b]), end_id)
                 part = keys.slice(a, b - a)
                 key = part.fill_null(_LEAST).to_numpy(zero_copy_only=False)
                 # a key that fills several ranges goes to each in turn
                 low, high = (np.searchsorted(bounds, key, side=side) for side in ("left", "right"))
                 to = low + (rows + np.arange(len(key))) % (high - low + 1)
                 rows += len(key)
-                yield pa.RecordBatch.from_arrays([part, pa.array(ids, pa.binary()), pa.array(to.astype(np.int32))], ["key", "ids", "range"])
+                yield pa.RecordBatch.from_arrays([part, ids, pa.array(to.astype(np.int32))], ["key", "ids", "range"])
 
     bounded_batches(df.sparkSession)
     return keyed_text(df, id_col, text_col).mapInArrow(run, "key long, ids binary, range int")

@@ -94,6 +94,62 @@ def test_encoder_equals_the_library(odd_texts, documents, monkeypatch):
     assert [x.tolist() for x in other.encode(texts[:30])] == [e.ids for e in Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode_batch(texts[:30], add_special_tokens=False)]
 
 
+def test_words_of_latin_letters_and_marks_are_never_looked_at_one_by_one(monkeypatch):
+    encoder, seen = token_shards.Encoder(PATH), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda words: seen.extend(words) or learn(words))
+    plain = ["(Ab) a.b, C--d!", "ÀÉÎ Straße. ÿ-Ö", "", " \n ", "x" * 500 + ".Y", '"...," [&] Z', "a" * 17 + " " + "A" * 17 + "é"]
+    odd = ["don't a1", "a×b é÷", "x<|endoftext|>y <b> a<", "E\u0301. J\u030c ſs Ÿ 'S", "\u0301a,b", "a\x00b", "A\u00a0B.c", "字a.b", "1.5e3", "\ud7ff!"]
+    want = [x[:-1] for x in library_ids(plain + odd)]
+    assert [x.tolist() for x in encoder.encode(plain)] == want[: len(plain)] and seen == []
+    assert [x.tolist() for x in encoder.encode(plain + odd)] == want and b"don't" in seen and b"(Ab)" not in seen
+    assert [encoder.encode([t])[0].tolist() for t in odd + plain] == want[len(plain) :] + want[: len(plain)]
+    assert encoder.encode([]) == []
+    ids, size = encoder.flat(plain)
+    closed = token_shards._closed(ids, size, 2)
+    assert [np.frombuffer(x.as_buffer(), dtype="<u4").tolist() for x in closed] == [[*x, 2] for x in want[: len(plain)]]
+
+
+def test_special_strings_that_begin_with_any_byte(tmp_path):
+    spec = json.load(open(PATH, encoding="utf-8"))
+    for k, text in enumerate(["Abc", "été!", ".;x"]):
+        spec["added_tokens"].append({"id": 60_000 + k, "content": text, "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True})
+    path = str(tmp_path / "more.json")
+    json.dump(spec, open(path, "w", encoding="utf-8"))
+    texts = ["xAbcy. abc ABC Abc, A", "cétéa! vété!x Été! é", "a.;x .; ;x .,", "plain words"]
+    encoder = token_shards.Encoder(path)
+    assert [x.tolist() for x in encoder.encode(texts)] == [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_places_of_pairs_whose_hashes_meet(seed, monkeypatch):
+    monkeypatch.setattr(repair, "STEP", [7, 64, 1 << 16, 1000][seed])
+    rnd = np.random.default_rng(seed)
+    s = rnd.integers(0, 40, size=5000).astype(np.uint32) * 997
+    s[1000:1500] = 997 * 3
+    key = (s[:-1] << np.uint32(16)) | (s[1:] & np.uint32(0xFFFF))
+    # pairs of one slot: the hash keeps the highest 20 bits of the product
+    values = np.arange(1 << 22, dtype=np.uint32) * np.uint32(1021)
+    slot = (values * np.uint32(2654435761)) >> np.uint32(12)
+    order = np.argsort(slot, kind="stable")
+    twins = values[order[1:]][slot[order[1:]] == slot[order[:-1]]][:50]
+    key = np.concatenate([key, np.repeat(twins, 3)])
+    pairs = rnd.permutation(np.unique(np.concatenate([rnd.choice(np.unique(key), 300), twins])))
+    at, rank = repair._places(key, pairs)
+    ranks = {int(p): i for i, p in enumerate(pairs)}
+    found = [(i, ranks[int(k)]) for i, k in enumerate(key) if int(k) in ranks]
+    kept = []  # of a symbol repeated, every other pair
+    for i, r in found:
+        if not (kept and kept[-1][0] == i - 1 and kept[-1][1] == r and kept[-1][2]):
+            kept.append((i, r, True))
+        else:
+            kept.append((i, r, False))
+    kept = [(i, r) for i, r, real in kept if real]
+    by = dict(kept)
+    want = [(i, r) for i, r in kept if not (by.get(i - 1, r) < r or by.get(i + 1, r) < r)]
+    assert list(zip(at.tolist(), rank.tolist())) == want
+
+
 # -- the files
 
 
