@@ -20,6 +20,7 @@ one task. Instead:
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -117,6 +118,34 @@ def target_partitions(df: DataFrame, bytes_per_partition: int = TARGET_PARTITION
     return int(max(floor, -(-size // bytes_per_partition)))
 
 
+#: Cells of equal width, for each range, into which a key's span is cut.
+CELLS = 256
+
+
+def key_ranges(df: DataFrame, column: str, ranges: int) -> Column | None:
+    """Number of a row's range, for rows whose order begins with this whole-number column.
+
+    The ends of the ranges are quantiles, moved up to the next of many cells of equal width, so a row
+    finds its range by one division. Reads that column alone, where ``repartitionByRange`` computes
+    whole rows to sample them and then compares a row with one end after the other. NULL is in the
+    first range. None where it would not part the rows evenly (a cell, a key or NULL fills more
+    than a range), so that all order columns have to part them."""
+    key = F.col(column).cast("long")
+    if ranges < 2 or df.schema[column].dataType.typeName() not in ("long", "integer", "short", "byte"):
+        return None
+    quantiles = F.percentile_approx(key, [k / ranges for k in range(1, ranges)], max(10_000, 10 * ranges))
+    row = df.agg(F.min(key).alias("low"), F.max(key).alias("high"), quantiles.alias("ends"), F.count_if(key.isNull()).alias("none"), F.count(F.lit(1)).alias("n")).first()
+    if row["ends"] is None or row["none"] * ranges > row["n"] or row["high"] - row["low"] >= 1 << 62:
+        return None
+    low, width = row["low"], (row["high"] - row["low"]) // (CELLS * ranges) + 1
+    ends = [(end - low) // width for end in row["ends"]]
+    if len(set(ends)) < len(ends):
+        return None
+    of_cell = [bisect_left(ends, cell) for cell in range((row["high"] - low) // width + 1)]
+    cell = F.call_function("div", key - F.lit(low).cast("long"), F.lit(width).cast("long")).cast("int")
+    return F.when(key.isNull(), 0).otherwise(F.get(F.split(F.lit(",".join(map(str, of_cell))), ",").cast("array<int>"), cell))
+
+
 def local_position() -> Column:
     """0-based position of the row within its partition, in arrival order."""
     return F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)

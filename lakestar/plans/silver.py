@@ -14,7 +14,7 @@ from lakestar.functions.numeric import half_even_round
 from lakestar.functions.text import py_strip, title_case, txn_id
 from lakestar.operators.dedup import first_per_key, keep_first
 from lakestar.operators.lookup import broadcast_if_small, salted_join
-from lakestar.operators.numbering import KEPT, PID, POS, ROW, run_offsets, stage_columns, target_partitions
+from lakestar.operators.numbering import KEPT, PID, POS, ROW, estimated_bytes, key_ranges, run_offsets, stage_columns, target_partitions
 from lakestar.session import work_dir
 from lakestar.sources.readers import FILE_POSITION
 
@@ -192,6 +192,10 @@ def in_file_order(order_cols: list[str]) -> bool:
     return list(order_cols) == list(FILE_POSITION)
 
 
+#: Bytes of a ledger from which on reading its first order column ahead saves more than the job costs.
+KEY_RANGES_BYTES = 64 << 20
+
+
 def staging_plan(
     sales: DataFrame,
     lookups: CountryLookups,
@@ -205,6 +209,7 @@ def staging_plan(
     In file order the scan's partitions are kept: no exchange of the ledger.
     Otherwise the raw columns are range-partitioned, and rows are conformed and
     sorted after the exchange, so that sampling and shuffling never pay for it. The partition count follows the size of the raw scan.
+    A ledger of ``KEY_RANGES_BYTES`` or more is parted by its first order column alone where that does it evenly.
     """
     if num_partitions is None:
         num_partitions = target_partitions(sales)
@@ -215,7 +220,9 @@ def staging_plan(
     if in_file_order(order_cols):
         return conform_sales(sales, lookups, n_products, order_cols, dates)
     # sorted last: the optimizer drops a sort below a join
-    sales = sales.repartitionByRange(num_partitions, *order_cols)
+    large = (estimated_bytes(sales) or 0) >= KEY_RANGES_BYTES
+    to = key_ranges(sales, order_cols[0], num_partitions) if large else None
+    sales = sales.repartitionByRange(num_partitions, *order_cols) if to is None else sales.repartitionById(num_partitions, to)
     return conform_sales(sales, lookups, n_products, order_cols, dates).sortWithinPartitions(*order_cols)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakestar.catalog import QUERIES
 from lakestar.functions.text import py_strip, title_case
+from lakestar.operators import numbering
 from lakestar.plans import silver, warehouse
 
 SF = "/root/testdata/sf0.001"
@@ -77,3 +78,46 @@ def test_transaction_ids_and_product_keys_in_few_steps(spark):
         assert [r.k for r in rows.select(stable_key(F.col("t"), n).alias("k")).collect()] == want
     # a digest is read in two halves, each once
     assert rows.select(stable_key(F.col("t"), 7).alias("k"))._jdf.queryExecution().analyzed().toString().count("conv(") <= 4
+
+
+def test_key_ranges_part_rows_in_order_and_evenly(spark):
+    even = spark.range(20_000).select((F.col("id") * 7919 % 20_011 - 9000).alias("k"))
+    for df in (even, even.union(spark.createDataFrame([(None,)] * 50, "k long")), even.select(F.col("k").cast("int")), even.union(even)):
+        for n in (2, 7, 33):
+            rows = df.select("k", numbering.key_ranges(df, "k", n).alias("r")).groupBy("r").agg(F.min("k").alias("low"), F.max("k").alias("high"), F.count_if(F.col("k").isNull()).alias("none"), F.count(F.lit(1)).alias("n")).orderBy("r").collect()
+            assert [r.r for r in rows] == list(range(n))
+            assert all(a.high < b.low for a, b in zip(rows, rows[1:])) and not any(r.none for r in rows[1:])
+            assert max(r.n for r in rows) < 1.5 * df.count() / n
+    long = even.select((F.col("k") * 2**47).alias("k"))  # far apart, on both sides of zero
+    assert long.select(numbering.key_ranges(long, "k", 5).alias("r")).distinct().count() == 5
+
+
+def test_no_key_ranges_where_a_key_fills_one(spark):
+    even = spark.range(2000).select(F.col("id").alias("k"))
+    null = F.lit(None).cast("long")
+    for df in (
+        even.withColumn("k", F.lit(5).cast("long")),
+        even.withColumn("k", F.when(F.col("k") < 1200, 3).otherwise(F.col("k")).cast("long")),
+        even.withColumn("k", F.when(F.col("k") < 1200, null).otherwise(F.col("k"))),
+        even.withColumn("k", null),
+        even.where("k < 0"),
+        even.union(spark.createDataFrame([(2**60,)], "k long")),
+        even.union(spark.createDataFrame([(2**63 - 1,), (-(2**63),)], "k long")),
+        even.withColumn("k", F.col("k").cast("string")),
+    ):
+        assert numbering.key_ranges(df, "k", 8) is None
+    assert numbering.key_ranges(even, "k", 1) is None
+
+
+def test_large_ledgers_are_staged_in_the_same_order_without_sampling_whole_rows(spark, monkeypatch):
+    wh = warehouse.testdata_warehouse(spark, SF)
+    bronze = warehouse.bronze_from_landing(spark, wh.landing)
+    tables = wh.tables(spark)
+    lookups = silver.country_lookups(tables["dim_customers"], tables["dim_stores"])
+    got = []
+    for least, how in ((1 << 60, "rangepartitioning"), (0, None)):
+        monkeypatch.setattr(silver, "KEY_RANGES_BYTES", least)
+        plan = silver.staging_plan(bronze.sales, lookups, 20, bronze.order_cols, 6)
+        assert ("rangepartitioning" in plan._jdf.queryExecution().toString()) == (how is not None)
+        got.append((plan.collect(), plan.rdd.getNumPartitions()))
+    assert got[0] == got[1] and len(got[0][0]) == wh.counts["bronze_ledger"]
