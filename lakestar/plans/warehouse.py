@@ -10,6 +10,7 @@ share one build.
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -82,15 +83,18 @@ def _base(spark: SparkSession, sf_dir: str) -> str:
     return f"{work_dir(spark)}/{_key(spark, sf_dir)[1].strip('/').replace('/', '_').replace('.', '_')}"
 
 
-def landing_for(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """The landing zone, written once per application; what reads the sources alone needs no build."""
+def landing_for(spark: SparkSession, sf_dir: str, parts: Sequence[str] = testmap.LANDING_PARTS) -> dict[str, str]:
+    """The landing zone with these parts at least, each written once per application; what reads the
+    sources alone needs no build."""
     key = _key(spark, sf_dir)
     with _LOCK:
         if key in _CACHE:
             return _CACHE[key].landing
-        if key not in _LANDINGS:
-            _LANDINGS[key] = testmap.write_landing(spark, sf_dir, f"{_base(spark, sf_dir)}/landing")
-        return _LANDINGS[key]
+        landing = _LANDINGS.setdefault(key, {})
+        absent = [part for part in parts if part not in landing]
+        if absent:
+            landing.update(testmap.write_landing(spark, sf_dir, f"{_base(spark, sf_dir)}/landing", absent))
+        return landing
 
 
 def product_count(spark: SparkSession, sf_dir: str) -> int:
@@ -128,9 +132,13 @@ class SecondWarehouse:
 _SECOND: dict[tuple[str, str], SecondWarehouse] = {}
 
 
-def chosen_bronze(spark: SparkSession, places: dict[str, list[tuple[str, str]]]) -> gold.Bronze:
+Place = str | Callable[[], str]
+
+
+def chosen_bronze(spark: SparkSession, places: dict[str, list[tuple[str, Place]]]) -> gold.Bronze:
     """Sources from the first of their (name, path) places that opens; unreadable dates are set aside.
 
+    A path may be a function that prepares the place, called when the places before it have failed.
     The build keeps with its version which places were read and which failed.
     """
     order = testmap.SOURCE_ORDER
@@ -142,7 +150,7 @@ def chosen_bronze(spark: SparkSession, places: dict[str, list[tuple[str, str]]])
     }
     chosen, uses = {}, []
     for table, opened in openers.items():
-        choice = readers.choose_source([(name, lambda p=path: opened(p)) for name, path in places[table]])
+        choice = readers.choose_source([(name, lambda p=path: opened(p() if callable(p) else p)) for name, path in places[table]])
         chosen[table] = choice.df
         uses += [gold.SourceUse(table, name, error) for name, error in choice.errors.items()]
         uses.append(gold.SourceUse(table, choice.source))
@@ -166,14 +174,15 @@ def second_warehouse(spark: SparkSession, sf_dir: str) -> SecondWarehouse:
     with _LOCK:
         if key in _SECOND:
             return _SECOND[key]
-        landing = landing_for(spark, sf_dir)
+        landing = landing_for(spark, sf_dir, ["registry/customers", "registry/stores"])
         base = f"{_base(spark, sf_dir)}/second"
         own = testmap.write_second_landing(spark, sf_dir, f"{base}/landing")
         places = {
             "customers": [("remote", f"{base}/unreachable/customers"), ("local", landing["registry/customers"])],
             "stores": [("remote", f"{base}/unreachable/stores"), ("local", landing["registry/stores"])],
             "products": [("remote", f"{base}/unreachable/products"), ("mirror", f"{base}/unreachable/mirror"), ("local", own["catalogue"])],
-            "ledger": [("remote", own["ledger"]), ("local", landing["ledger"])],
+            # the first landing's ledger is as large as the second's: written if it is turned to
+            "ledger": [("remote", own["ledger"]), ("local", lambda: landing_for(spark, sf_dir, ["ledger"])["ledger"])],
         }
         calls, first = [], None
         for n in (1, 2):

@@ -21,12 +21,15 @@ Every customer, supplier, part, order and lineitem row flows into the inputs.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestar.functions.numeric import half_even_round
 from lakestar.functions.text import title_case
 from lakestar.operators.lookup import broadcast_if_small
+from lakestar.session import concurrently
 
 # ---------------------------------------------------------------------------
 # Fixed values of the test mapping.
@@ -333,25 +336,20 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 LANDING_PARTS = ("registry/customers", "registry/stores", "catalogue", "ledger", "ledger_quoted", "orders_extract")
 
 
-def write_landing(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
-    """Write the landing datasets (independent jobs, run concurrently)."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    paths = {part: f"{root}/{part}" for part in LANDING_PARTS}
-    led = ledger(spark, sf_dir)
-    writers = [
-        lambda: registry_customers(spark, sf_dir).write.mode("overwrite").parquet(paths["registry/customers"]),
-        lambda: registry_stores(spark, sf_dir).write.mode("overwrite").parquet(paths["registry/stores"]),
-        lambda: catalogue(spark, sf_dir).write.mode("overwrite").json(paths["catalogue"]),
+def write_landing(spark: SparkSession, sf_dir: str, root: str, parts: Sequence[str] = LANDING_PARTS) -> dict[str, str]:
+    """Write landing datasets (independent jobs, run concurrently)."""
+    paths = {part: f"{root}/{part}" for part in parts}
+    writers = {
+        "registry/customers": lambda to: registry_customers(spark, sf_dir).write.mode("overwrite").parquet(to),
+        "registry/stores": lambda to: registry_stores(spark, sf_dir).write.mode("overwrite").parquet(to),
+        "catalogue": lambda to: catalogue(spark, sf_dir).write.mode("overwrite").json(to),
         # header order differs from the reader's column order on purpose
-        lambda: led.select("Product", "Unit_Price", "Date", *LEDGER_ORDER, "Country", "Order_Quantity")
-        .write.mode("overwrite").option("header", True).csv(paths["ledger"]),
-        lambda: quoted_ledger(spark, sf_dir).write.mode("overwrite").option("header", True).option("escape", '"').csv(paths["ledger_quoted"]),
+        "ledger": lambda to: ledger(spark, sf_dir).select("Product", "Unit_Price", "Date", *LEDGER_ORDER, "Country", "Order_Quantity")
+        .write.mode("overwrite").option("header", True).csv(to),
+        "ledger_quoted": lambda to: quoted_ledger(spark, sf_dir).write.mode("overwrite").option("header", True).option("escape", '"').csv(to),
         # in the order of its position, as an export would be
-        lambda: orders_extract(spark, sf_dir).repartitionByRange(EXTRACT_POSITION).sortWithinPartitions(EXTRACT_POSITION).write.mode("overwrite").option("header", True)
-        .option("encoding", "ISO-8859-1").csv(paths["orders_extract"]),
-    ]
-    with ThreadPoolExecutor(max_workers=len(writers)) as pool:
-        for f in [pool.submit(w) for w in writers]:
-            f.result()
+        "orders_extract": lambda to: orders_extract(spark, sf_dir).repartitionByRange(EXTRACT_POSITION).sortWithinPartitions(EXTRACT_POSITION)
+        .write.mode("overwrite").option("header", True).option("encoding", "ISO-8859-1").csv(to),
+    }
+    concurrently([lambda part=part, to=to: writers[part](to) for part, to in paths.items()])
     return paths

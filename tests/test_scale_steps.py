@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from lakestar.catalog import QUERIES
 from lakestar.functions.text import py_strip, title_case
 from lakestar.operators import numbering
-from lakestar.plans import silver, warehouse
+from lakestar.plans import gold, silver, warehouse
+from lakestar.sources import testmap
 
 SF = "/root/testdata/sf0.001"
 
@@ -26,6 +27,26 @@ def test_sources_alone_need_no_build(spark, tmp_path):
     assert keys == {r["product_key"] for r in QUERIES["stable_product_key"](spark, sf_dir).collect()}
 
 
+def test_second_warehouse_writes_the_landing_parts_that_it_reads(spark, tmp_path):
+    sf_dir = str(tmp_path / "tables")
+    shutil.copytree(SF, sf_dir)
+    second = warehouse.second_warehouse(spark, sf_dir)
+    root = f"{warehouse._base(spark, sf_dir)}/landing"
+    assert [part for part in testmap.LANDING_PARTS if gold.path_exists(spark, f"{root}/{part}")] == ["registry/customers", "registry/stores"]
+    assert len(gold.read_sources(spark, second.version_path).collect()) == 8
+    # a place is prepared when the places before it have failed
+    landing = warehouse.landing_for(spark, sf_dir, ["catalogue"])
+    places = {
+        "customers": [("local", landing["registry/customers"])], "stores": [("local", landing["registry/stores"])], "products": [("local", landing["catalogue"])],
+        "ledger": [("remote", f"{tmp_path}/none"), ("local", lambda: warehouse.landing_for(spark, sf_dir, ["ledger"])["ledger"])],
+    }
+    bronze = warehouse.chosen_bronze(spark, places)
+    assert [(u.source, u.error is None) for u in bronze.sources if u.table == "ledger"] == [("remote", False), ("local", True)]
+    assert bronze.sales.count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    # what comes later needs every part
+    assert sorted(warehouse.landing_for(spark, sf_dir)) == sorted(testmap.LANDING_PARTS)
+
+
 def test_row_work_is_done_before_the_lookups(spark):
     sales = spark.createDataFrame(
         [(1, "2024-01-02", "NATION_3", "bolt", 2.0, 1.5)], "l int, Date string, Country string, Product string, Order_Quantity double, Unit_Price double"
