@@ -19,7 +19,7 @@ from lakestar import schemas
 from lakestar.operators import quality
 from lakestar.operators.numbering import target_partitions
 from lakestar.plans import lease, marts, silver
-from lakestar.session import checkpoint_dir, concurrently
+from lakestar.session import checkpoint_dir, concurrently, shuffles_deleted
 
 CURRENT_POINTER = "_CURRENT"
 STAGE_COUNTS = "_stage_counts"
@@ -95,7 +95,8 @@ def build(
     with lease.held(spark, f"{root}/{LOCK}", lease_seconds) as lock:
         out = f"{root}/v{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
         try:
-            result = _build(spark, bronze, out, num_partitions)
+            with shuffles_deleted(spark):
+                result = _build(spark, bronze, out, num_partitions)
             lock.check()
             write_small_file(spark, f"{out}/{PUBLISHED}", "\n")
         except BaseException:
@@ -350,7 +351,7 @@ def warehouse_exists(spark: SparkSession, warehouse_root: str) -> bool:
 
 
 def ensure_warehouse(spark: SparkSession, warehouse_root: str, bronze_factory) -> str:
-    """Current version path; builds one first when the warehouse has none."""
+    """Current version path; builds one first when the warehouse has none. Nothing reads that build's staged ledger again."""
     if not warehouse_exists(spark, warehouse_root):
-        build(spark, bronze_factory(), warehouse_root)
+        delete_path(spark, build(spark, bronze_factory(), warehouse_root).staging)
     return current_version_path(spark, warehouse_root)

@@ -9,8 +9,9 @@ fresh temporary folder (which then also becomes the checkpoint dir).
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,6 +74,20 @@ def discard(*frames: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Within, a query's shuffle files are deleted when it ends. Else they stay until the driver's garbage
+    collection finds that nothing refers to them, so those of a whole build add up on the executors' disks.
+    A DataFrame that is executed twice within shuffles its rows twice."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def work_dir(spark: SparkSession) -> str:
     """Root folder for landing files, staged data and warehouse versions."""
     explicit = spark.conf.get("lakestar.work.dir", None)

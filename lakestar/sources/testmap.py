@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from lakestar.functions.numeric import half_even_round
 from lakestar.functions.text import title_case
 from lakestar.operators.lookup import broadcast_if_small
-from lakestar.session import concurrently
+from lakestar.session import concurrently, shuffles_deleted
 
 # ---------------------------------------------------------------------------
 # Fixed values of the test mapping.
@@ -189,8 +189,9 @@ def write_second_landing(spark: SparkSession, sf_dir: str, root: str) -> dict[st
     """Ledger and catalogue in other forms than in the landing zone; text as the sources write it."""
     paths = {"ledger": f"{root}/ledger_dated", "catalogue": f"{root}/catalogue_arrays"}
     columns = ["Product", "Unit_Price", "Date", *LEDGER_ORDER, "Country", "Order_Quantity"]
-    dated_ledger(spark, sf_dir).select(*columns).write.mode("overwrite").option("header", True).csv(paths["ledger"])
-    write_catalogue_arrays(spark, sf_dir, paths["catalogue"])
+    with shuffles_deleted(spark):
+        dated_ledger(spark, sf_dir).select(*columns).write.mode("overwrite").option("header", True).csv(paths["ledger"])
+        write_catalogue_arrays(spark, sf_dir, paths["catalogue"])
     return paths
 
 
@@ -351,5 +352,6 @@ def write_landing(spark: SparkSession, sf_dir: str, root: str, parts: Sequence[s
         "orders_extract": lambda to: orders_extract(spark, sf_dir).repartitionByRange(EXTRACT_POSITION).sortWithinPartitions(EXTRACT_POSITION)
         .write.mode("overwrite").option("header", True).option("encoding", "ISO-8859-1").csv(to),
     }
-    concurrently([lambda part=part, to=to: writers[part](to) for part, to in paths.items()])
+    with shuffles_deleted(spark):
+        concurrently([lambda part=part, to=to: writers[part](to) for part, to in paths.items()])
     return paths

@@ -2,13 +2,17 @@
 
 import hashlib
 import shutil
+import time
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakestar.catalog import QUERIES
 from lakestar.functions.text import py_strip, title_case
 from lakestar.operators import numbering
 from lakestar.plans import gold, silver, warehouse
+from lakestar.session import shuffles_deleted
 from lakestar.sources import testmap
 
 SF = "/root/testdata/sf0.001"
@@ -47,6 +51,53 @@ def test_second_warehouse_writes_the_landing_parts_that_it_reads(spark, tmp_path
     assert sorted(warehouse.landing_for(spark, sf_dir)) == sorted(testmap.LANDING_PARTS)
 
 
+def _shuffle_files(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {str(p) for d in folders for p in Path(d.getPath()).rglob("shuffle_*") if not p.name.endswith(".checksum")}
+
+
+def _bytes_left(spark, before):
+    """Of shuffle files that came since and still are there after the time that their deletion may take."""
+    for _ in range(50):
+        left = sum(Path(f).stat().st_size for f in _shuffle_files(spark) - before)
+        if left < 1000:
+            break
+        time.sleep(0.2)
+    return left
+
+
+def test_landing_and_build_leave_no_shuffle_files(spark, tmp_path):
+    sf_dir = str(tmp_path / "tables")
+    shutil.copytree(SF, sf_dir)
+    before = _shuffle_files(spark)
+    second = warehouse.second_warehouse(spark, sf_dir)
+    own = testmap.write_second_landing(spark, sf_dir, str(tmp_path / "landing"))
+    result = gold.build(spark, warehouse.bronze_from_landing(spark, warehouse.landing_for(spark, sf_dir)), str(tmp_path / "wh"), num_partitions=3)
+    # the fact's counts in ``second.calls`` are the only queries outside, of a few bytes
+    assert _bytes_left(spark, before) < 1000
+    assert result.counts["fact_sales"] > second.calls[0][3] > 0 and spark.read.option("header", True).csv(own["ledger"]).count() == result.counts["bronze_ledger"]
+
+
+def test_deletion_of_shuffles_ends_with_its_block(spark, tmp_path):
+    rows = spark.range(1000).withColumn("k", F.col("id") % 7).groupBy("k").count()
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    with pytest.raises(ValueError), shuffles_deleted(spark):
+        # the same frame again: its rows are shuffled anew
+        assert sorted(rows.collect()) == sorted(rows.collect()) and rows.count() == 7
+        raise ValueError
+    assert spark.conf.get(key, None) == was
+
+
+def test_first_build_of_ensure_warehouse_leaves_no_staged_ledger(spark, tmp_path, monkeypatch):
+    built = warehouse.testdata_warehouse(spark, SF)
+    staging = f"{tmp_path}/staging"
+    monkeypatch.setattr(silver, "staging_path", lambda spark: staging)
+    version = gold.ensure_warehouse(spark, f"{tmp_path}/wh", lambda: warehouse.bronze_from_landing(spark, built.landing))
+    assert not gold.path_exists(spark, staging)
+    assert gold.open_tables(spark, version)["fact_sales"].count() == built.counts["fact_sales"]
+
+
 def test_row_work_is_done_before_the_lookups(spark):
     sales = spark.createDataFrame(
         [(1, "2024-01-02", "NATION_3", "bolt", 2.0, 1.5)], "l int, Date string, Country string, Product string, Order_Quantity double, Unit_Price double"
